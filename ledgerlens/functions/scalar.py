@@ -113,6 +113,13 @@ def landing_key(address: Column | str, run_ts: Column | str, prefix: str = LANDI
 
 
 def round6(c: Column | str) -> Column:
-    """Round to 6 decimals: used on result columns that come from floating
-    aggregates whose last bits depend on summation order."""
-    return F.round(_c(c), 6)
+    """Round to 6 decimals, for result columns that come from floating
+    aggregates whose last bits depend on summation order.
+
+    Two scaled steps, round(round(x * 1e9) / 1e9 * 1e6) / 1e6: the first maps
+    values that differ only in their last bits to one double, so a value
+    whose exact form ends in 5 at the 7th decimal is not split by the noise;
+    each step rounds half away from zero, so any engine gets the same result.
+    """
+    x9 = F.round(_c(c) * F.lit(1e9), 0) / F.lit(1e9)
+    return F.round(x9 * F.lit(1e6), 0) / F.lit(1e6)
