@@ -556,3 +556,49 @@ FROM pr""",
 FROM lab WHERE "from" IS NOT NULL GROUP BY 1""",
     ),
 }
+
+
+# Categories present in the parity tables (used for fixed-width encodings).
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+TIME_SLOT_VALUES = ["afternoon", "midnight", "morning", "night"]
+_ENC_COLS = ["methodId", "functionName", "time_slot"]
+
+
+def _index_ctes() -> str:
+    parts = []
+    for c in _ENC_COLS:
+        parts.append(
+            f"""cnt_{c} AS (SELECT {c} AS val, count(*) AS c FROM tx WHERE {c} IS NOT NULL GROUP BY 1),
+idx_{c} AS (SELECT val, CAST(row_number() OVER (ORDER BY c DESC, val) - 1 AS DOUBLE) AS idx FROM cnt_{c}),
+n_{c} AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM cnt_{c})"""
+        )
+    return TX + ",\n" + ",\n".join(parts) + """,
+enc AS (
+  SELECT tx.hash, """ + ", ".join(
+        f"coalesce(idx_{c}.idx, (SELECT n FROM n_{c})) AS {c}_index" for c in _ENC_COLS
+    ) + """
+  FROM tx """ + " ".join(f"LEFT JOIN idx_{c} ON tx.{c} = idx_{c}.val" for c in _ENC_COLS) + """
+)"""
+
+
+def _onehot_sql() -> str:
+    sizes = {"methodId": len(EVENT_TYPES), "functionName": len(EVENT_TYPES), "time_slot": len(TIME_SLOT_VALUES)}
+    cols = []
+    for c in _ENC_COLS:
+        for i in range(sizes[c]):
+            cols.append(f"CASE WHEN {c}_index = {i} THEN 1.0 ELSE 0.0 END AS {c}_onehot_{i}")
+    return w(_index_ctes(), "SELECT hash, " + ", ".join(cols) + " FROM enc")
+
+
+def _dummies_sql() -> str:
+    cols = []
+    for c, vals in (("methodId", EVENT_TYPES), ("functionName", EVENT_TYPES), ("time_slot", TIME_SLOT_VALUES)):
+        for v in vals:
+            cols.append(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}")
+        cols.append(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {c}_nan")
+    return w(TX, "SELECT hash, " + ", ".join(cols) + " FROM tx")
+
+
+ORACLE["string_index"] = w(_index_ctes(), "SELECT hash, methodId_index, functionName_index, time_slot_index FROM enc")
+ORACLE["onehot_vector"] = _onehot_sql()
+ORACLE["onehot_dummies"] = _dummies_sql()

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.scalar import landing_key, round6
 from ledgerlens.operators import reports as R
 from ledgerlens.operators.aggregates import activity_stats, daily_avg_interval
+from ledgerlens.operators.classifier import classifier_scores, fit_classifier, hash_split
+from ledgerlens.operators.encoding import add_dummies, fit_encoders, onehot_columns
 from ledgerlens.operators.features import build_features
+from ledgerlens.operators.iforest import fit_isolation_forest, score_isolation_forest
 from ledgerlens.operators.prepare import clean_column_names, model_input, prepare_transactions, q
 from ledgerlens.operators.scoring import (
     add_anomaly_score,
@@ -27,7 +30,7 @@ from ledgerlens.operators.scoring import (
     score_threshold,
 )
 from ledgerlens.operators.temporal import add_temporal_features
-from ledgerlens.schema import FEATURE_COLS
+from ledgerlens.schema import ENCODED_COLS, FEATURE_COLS
 from ledgerlens.session import ensure_session, scratch_dir
 from ledgerlens.sources.raw_json import flatten_payloads, payloads_from_tx, read_raw_payloads, split_payloads
 from ledgerlens.sources.sinks import write_landing, write_partitioned, landing_frame
@@ -377,6 +380,67 @@ def address_risk(spark, sf_dir):
     return R.address_risk(labeled(spark, sf_dir))
 
 
+# --- encoders and models ---------------------------------------------------------
+
+
+def string_index(spark, sf_dir):
+    t = tx(spark, sf_dir)
+    model = fit_encoders(t, one_hot=False)
+    out = model.transform(t)
+    return out.select("hash", *[f"{c}_index" for c in ENCODED_COLS])
+
+
+def onehot_vector(spark, sf_dir):
+    t = tx(spark, sf_dir)
+    model = fit_encoders(t)
+    out = model.transform(t)
+    return out.select("hash", *onehot_columns(out, model))
+
+
+def onehot_dummies(spark, sf_dir):
+    t = tx(spark, sf_dir).select("hash", *ENCODED_COLS)
+    return add_dummies(t)
+
+
+def _forest_input(spark, sf_dir):
+    f = features(spark, sf_dir)
+    m = add_dummies(model_input(f), keep_original=True)
+    m = materialize(m, "model_input")
+    feats = [c for c in m.columns if c not in ("hash", "from", "to", *ENCODED_COLS)]
+    return m, feats
+
+
+def _forest(spark, sf_dir):
+    m, feats = _forest_input(spark, sf_dir)
+    model = fit_isolation_forest(m, feats, n_trees=100, max_samples=256, key="hash", seed=42)
+    return score_isolation_forest(m, model, contamination=0.01)
+
+
+def iforest_scores(spark, sf_dir):
+    s = _forest(spark, sf_dir)
+    return s.select("hash", round6("anomaly_score").alias("anomaly_score"), "pred_label")
+
+
+def iforest_top10(spark, sf_dir):
+    s = _forest(spark, sf_dir)
+    top = R.top_k_suspicious(s, 10, ascending=True)
+    return top.select(
+        "hash", *_addr(top), round6("log_value").alias("log_value"), "pred_label",
+        round6("anomaly_score").alias("anomaly_score"),
+    )
+
+
+def classifier_scores_q(spark, sf_dir):
+    """Random forest trained on the z-score labels (pseudo-labels) of an 80 %
+    hash split, scored on every row."""
+    lab = labeled(spark, sf_dir).withColumns(
+        {"label": (q("pred_label") == -1).cast("double"), "is_train": hash_split(q("hash"))}
+    )
+    model = fit_classifier(lab.filter(q("is_train")), FEATURE_COLS, label="label")
+    out = classifier_scores(lab, model, FEATURE_COLS)
+    return out.select("hash", "is_train", round6("risk_prob").alias("risk_prob"), "risk_pred")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_json_roundtrip": raw_json_roundtrip,
     "feature_scan_pruned": feature_scan_pruned,
@@ -423,4 +487,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standardized_features": standardized_features,
     "prf_metrics": prf_metrics,
     "address_risk": address_risk,
+    "string_index": string_index,
+    "onehot_vector": onehot_vector,
+    "onehot_dummies": onehot_dummies,
+    "iforest_scores": iforest_scores,
+    "iforest_top10": iforest_top10,
+    "classifier_scores": classifier_scores_q,
 }
