@@ -18,7 +18,7 @@ Three interchangeable plans compute the same table:
                exchanges of the transaction rows, no joins. One address
                ends up in one task.
 ``join``       the aggregate + left-join form (eight joins back to the rows).
-``segmented``  (default) the skew-safe plan. Rows are clustered by (address,
+``segmented``  the skew-safe plan. Rows are clustered by (address,
                time segment) instead of by address, so a very active address
                is spread over many tasks. Everything that crosses segment
                boundaries is computed on a per-(address, segment) summary
@@ -26,6 +26,11 @@ Three interchangeable plans compute the same table:
                joined back on (address, segment), the key the rows are
                already clustered on. Still two exchanges of the rows.
 
+``auto`` (default) counts the rows of the busiest address first (one cheap
+aggregate) and takes ``window`` unless that address exceeds
+``hot_address_rows``, where it takes ``segmented``. Both give the same table
+(tested), so the choice only changes the physical plan.
+
 NULL keys never get aggregate features (a NULL address or date matches no
 group), as with an equi-join.
 """
@@ -231,16 +236,27 @@ def _segment_side(
     part = [q("_k"), q("_seg")]
 
     if rolling:
-        # each row also travels, shifted by W, into the segment K later: there
-        # it is the start of the 7-day frame of the rows it precedes by <= W.
-        shifted = rows.filter(q("ts").isNotNull()).select(
-            q("_k"),
-            (q("_seg") + k).alias("_seg"),
-            (q("ts") + W).alias("ts"),
-            q("log_value").alias("_sv"),
-            q("log_gasPrice").alias("_sg"),
-        ).withColumn("_kind", F.lit(1))
-        data = rows.withColumn("_kind", F.lit(0)).unionByName(shifted, allowMissingColumns=True)
+        # every row is emitted twice: as itself (kind 0) and as a narrow copy
+        # shifted by W into the segment K later (kind 1), where it opens the
+        # 7-day frame of the rows it precedes by at most W. One scan, one
+        # generator, no union.
+        data = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
+        shift = q("_kind") == 1
+        keep = {"_k", "_seg", "ts", "_kind"}
+        data = data.select(
+            *[
+                F.when(~shift, q(c)).alias(c) if c not in keep else q(c)
+                for c in data.columns
+            ],
+            F.when(shift, q("log_value")).alias("_sv"),
+            F.when(shift, q("log_gasPrice")).alias("_sg"),
+        ).withColumns(
+            {
+                "_seg": F.when(shift, q("_seg") + k).otherwise(q("_seg")),
+                "ts": F.when(shift, q("ts") + W).otherwise(q("ts")),
+            }
+        )
+        data = data.filter(~shift | q("ts").isNotNull())
     else:
         data = rows.withColumn("_kind", F.lit(0))
 
@@ -268,7 +284,7 @@ def _segment_side(
             cols[name] = col.over(after)
         for name, col in _moment_cols("old_g", old_g).items():
             cols[name] = col.over(after)
-    data = data.withColumns(cols).filter(is_row)
+    windowed = data.withColumns(cols).filter(is_row)
 
     # one row per (address, segment): everything that crosses segments
     seg_aggs = [
@@ -276,15 +292,16 @@ def _segment_side(
         F.sum(_fail()).alias("seg_fails"),
         F.min(q("datetime")).alias("seg_first"),
         F.max(q("datetime")).alias("seg_last"),
-        F.first(q(side), ignorenulls=True).alias("_side"),
-        F.first(q("date"), ignorenulls=True).alias("date"),
-        F.first(q("week_start"), ignorenulls=True).alias("week_start"),
+        F.min(q("date")).alias("date"),  # constant inside a segment
+        F.min(q("week_start")).alias("week_start"),
     ]
     if rolling:
         moments = {**_moment_cols("v", q("log_value")), **_moment_cols("g", q("log_gasPrice"))}
         for name, col in moments.items():
             seg_aggs.append(col.alias(f"seg_{name}"))
-    segs = data.groupBy(*part).agg(*seg_aggs)
+    # from the rows before the exchange: partial aggregation runs map-side, so
+    # only one small record per (address, segment) and task is shuffled
+    segs = rows.groupBy(*part).agg(*seg_aggs)
 
     by_key = Window.partitionBy(q("_k"))
     in_order = by_key.orderBy(q("_seg"))
@@ -306,12 +323,12 @@ def _segment_side(
     feats = {}
     for period, pcol in PERIODS:
         w = Window.partitionBy(q("_k"), q(pcol)) if pcol else by_key
-        ok = q("_side").isNotNull() & (q(pcol).isNotNull() if pcol else F.lit(True))
+        ok = (q("_k") != F.lit(NULL_KEY)) & (q(pcol).isNotNull() if pcol else F.lit(True))
         feats[f"{period}_tx_count_{side}"] = F.when(ok, F.sum(q("seg_rows")).over(w))
         feats[f"{period}_fail_count_{side}"] = F.when(ok, F.sum(q("seg_fails")).over(w))
     day = Window.partitionBy(q("_k"), q("date"))
     feats[f"daily_avg_interval_{side}"] = F.when(
-        q("_side").isNotNull() & q("date").isNotNull(),
+        (q("_k") != F.lit(NULL_KEY)) & q("date").isNotNull(),
         F.try_divide(F.sum(q("seg_int_sum")).over(day), F.sum(q("seg_int_n")).over(day).cast("double")),
     )
     if rolling:
@@ -328,7 +345,7 @@ def _segment_side(
     keep = ["_k", "_seg", "seg_prev_last"] + list(feats)
     segs = segs.select(*[q(c) for c in keep])
 
-    out = data.join(segs, ["_k", "_seg"], "left")
+    out = windowed.join(segs, ["_k", "_seg"], "left")
     prev = F.when(q("_prev_in_seg").isNotNull(), q("_prev_in_seg")).otherwise(q("seg_prev_last"))
     new = {
         f"prev_datetime_{side}": prev,
@@ -366,17 +383,45 @@ def _features_segmented(base: DataFrame, seg_seconds: int) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+HOT_ADDRESS_ROWS = 2_000_000  # rows one window task may hold for one address
+
+
+def busiest_address_rows(tx: DataFrame) -> int:
+    """Largest number of rows any single sender or receiver has. One
+    aggregate job (partial counts map-side, one small row per address
+    shuffled); only the maximum reaches the driver."""
+    counts = []
+    for side in SIDES:
+        per = tx.filter(q(side).isNotNull()).groupBy(q(side)).agg(F.count(F.lit(1)).alias("n"))
+        counts.append(per.agg(F.max("n").alias("m")))
+    row = counts[0].crossJoin(counts[1].withColumnRenamed("m", "m2")).first()
+    return int(max(row["m"] or 0, row["m2"] or 0))
+
+
+def choose_strategy(tx: DataFrame, hot_address_rows: int = HOT_ADDRESS_ROWS) -> str:
+    """"window" unless some address is too large for one task, then the
+    skew-safe "segmented" plan."""
+    return "segmented" if busiest_address_rows(tx) > hot_address_rows else "window"
+
+
 def build_features(
-    tx: DataFrame, strategy: str = "segmented", segment_seconds: int = 3600
+    tx: DataFrame,
+    strategy: str = "auto",
+    segment_seconds: int = 3600,
+    hot_address_rows: int = HOT_ADDRESS_ROWS,
 ) -> DataFrame:
     """Feature table from prepared transactions with temporal columns.
 
+    ``strategy``: "auto" (default: measure the busiest address, then
+    "window" or "segmented"), "window", "join" or "segmented".
     ``segment_seconds`` (plan "segmented") must divide one day; smaller
     segments spread a hot address over more tasks at the price of a larger
     summary table.
     """
     if 86400 % segment_seconds or W % segment_seconds:
         raise ValueError("segment_seconds must divide 86400")
+    if strategy == "auto":
+        strategy = choose_strategy(tx, hot_address_rows)
     base = with_value_logs(tx).withColumn("ts", F.unix_seconds(q("datetime")))
     if strategy == "window":
         df = _features_window(base)

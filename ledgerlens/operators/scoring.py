@@ -1,9 +1,10 @@
 """Global z-score anomaly scoring.
 
 score = sum over features of z^2, with z = (x - mean) / std against the
-global mean and sample std of each feature. The 1-row statistics frame is
-broadcast into the plan (its size is fixed: one row), so scoring stays lazy
-and never brings the statistics to the driver.
+global mean and sample std of each feature. The statistics are one
+aggregate job whose single row (two numbers per feature, a fixed size)
+enters the plan as literals, so every later pass over the rows is a plain
+projection.
 
 Rules kept from the original scoring job:
 * a feature whose std is NULL or 0 contributes nothing (its ``_z`` is NULL);
@@ -51,21 +52,21 @@ def add_anomaly_score(
     feats = available_features(df, features or FEATURE_COLS)
     if not feats:
         return df.withColumn("anomaly_score", F.lit(0.0)), []
-    stats = feature_stats(df, feats)
-    scored = df.withColumns({c: q(c).cast("double") for c in feats}).crossJoin(F.broadcast(stats))
+    stats = feature_stats(df, feats).first().asDict()
+    scored = df.withColumns({c: q(c).cast("double") for c in feats})
     zcols, terms = {}, []
     for c in feats:
-        mean, std = q(f"{c}_mean"), q(f"{c}_std")
-        usable = std.isNotNull() & (std != 0)
-        z = F.when(usable, F.try_divide(q(c) - mean, std))
+        m, sd = stats[f"{c}_mean"], stats[f"{c}_std"]
+        if sd is None or sd == 0 or m is None:
+            zcols[f"{c}_z"] = F.lit(None).cast("double")
+            terms.append(F.lit(0.0))
+            continue
+        z = (q(c) - F.lit(float(m))) / F.lit(float(sd))
         zcols[f"{c}_z"] = z
         term = z * z
-        if null_policy == "skip":
-            term = F.coalesce(term, F.lit(0.0))
-        terms.append(F.when(usable, term).otherwise(F.lit(0.0)))
+        terms.append(F.coalesce(term, F.lit(0.0)) if null_policy == "skip" else term)
     scored = scored.withColumns(zcols).withColumn("anomaly_score", sum_columns(terms))
-    stat_names = [n for c in feats for n in (f"{c}_mean", f"{c}_std")]
-    return scored.drop(*stat_names), feats
+    return scored, feats
 
 
 def exact_percentile(
@@ -184,9 +185,13 @@ def score_transactions(
     null_policy: str = "propagate",
     persist: bool = True,
 ) -> tuple[DataFrame, list[str], float | None]:
-    """features -> (labelled rows, features used, threshold)."""
-    scored, used = add_anomaly_score(features, null_policy=null_policy)
+    """features -> (labelled rows, features used, threshold).
+
+    With ``persist`` the feature table is written once to the shared
+    checkpoint folder first, so the statistics, threshold and scoring passes
+    read it instead of recomputing its plan."""
     if persist:
-        scored = materialize(scored, "scored")
+        features = materialize(features, "features")
+    scored, used = add_anomaly_score(features, null_policy=null_policy)
     threshold = score_threshold(scored, q_, method)
     return add_labels(scored, threshold), used, threshold

@@ -57,20 +57,22 @@ def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_temporal_features(prepare_transactions(load_raw_tx(spark, sf_dir)))
 
 
-def features(spark: SparkSession, sf_dir: str, strategy: str = "segmented") -> DataFrame:
+def features(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     return build_features(tx(spark, sf_dir), strategy=strategy)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, _ = add_anomaly_score(features(spark, sf_dir))
+    """The feature table is written once to the shared checkpoint folder (as
+    the feature job writes it for the scoring job); the statistics pass, the
+    threshold passes and the scored rows all read that columnar table instead
+    of recomputing the windows."""
+    feats = materialize(features(spark, sf_dir), "features")
+    df, _ = add_anomaly_score(feats)
     return df
 
 
 def labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored and labelled rows; the scored rows are written once to the
-    shared checkpoint folder so the threshold passes and the final query do
-    not recompute the features."""
-    s = materialize(scored(spark, sf_dir), "scored")
+    s = scored(spark, sf_dir)
     return add_labels(s, score_threshold(s))
 
 
@@ -302,7 +304,7 @@ def zscore_scores(spark, sf_dir):
 
 
 def score_threshold_q(spark, sf_dir):
-    s = materialize(scored(spark, sf_dir).select("anomaly_score"), "scores")
+    s = scored(spark, sf_dir)
     t = score_threshold(s)
     n = s.agg(F.count("anomaly_score").alias("n_scored"))
     return n.select(F.lit(t).cast("double").alias("t")).select(round6("t").alias("threshold")).crossJoin(n)
