@@ -18,12 +18,18 @@ def q(name: str):
     return F.col(f"`{name}`")
 
 
-def clean_column_names(df: DataFrame) -> DataFrame:
+def safe_names(names: list[str | None]) -> list[str]:
     """Strip names; a blank (or None) name at position i becomes ``col_<i>``."""
-    names = []
-    for i, c in enumerate(df.columns):
+    out = []
+    for i, c in enumerate(names):
         name = (c or "").strip()
-        names.append(name if name else f"col_{i}")
+        out.append(name if name else f"col_{i}")
+    return out
+
+
+def clean_column_names(df: DataFrame) -> DataFrame:
+    """``safe_names`` applied to a frame; duplicate results are an error."""
+    names = safe_names(df.columns)
     dup = {n for n in names if names.count(n) > 1}
     if dup:
         raise ValueError(f"duplicate column names after cleaning: {sorted(dup)}")
