@@ -108,19 +108,29 @@ def _fail() -> Column:
 
 
 def _window_side(df: DataFrame, side: str) -> DataFrame:
+    """One side's features with window aggregates.
+
+    All windows share one sort: rows are ordered by (address, week_start,
+    date, datetime, tie-breakers) and every window asks for a prefix of that
+    order -- the address total (address), the week (address, week_start),
+    the day (address, week_start, date; the week is implied by the date) and
+    the ``lag`` (address; ordered by week_start, date, datetime, which is
+    datetime order). Only the rolling RANGE frame, which must be ordered by
+    the epoch second alone, sorts once more; it is evaluated first so the
+    shared sort stays on top of it.
+    """
     key = q(side)
     tb = _tiebreak(df)
     by_key = Window.partitionBy(key)
-    ordered = by_key.orderBy(q("datetime"), *tb)
-    cols = {f"prev_datetime_{side}": F.lag(q("datetime")).over(ordered)}
-    for period, pcol in PERIODS:
-        w = Window.partitionBy(key, q(pcol)) if pcol else by_key
-        ok = _key_ok(side, pcol)
-        cols[f"{period}_tx_count_{side}"] = F.when(ok, F.count(F.lit(1)).over(w))
-        cols[f"{period}_fail_count_{side}"] = F.when(ok, F.sum(_fail()).over(w))
+    ordered = by_key.orderBy(q("week_start"), q("date"), q("datetime"), *tb)
+    periods = {
+        None: by_key,
+        "week_start": Window.partitionBy(key, q("week_start")),
+        "date": Window.partitionBy(key, q("week_start"), q("date")),
+    }
     if side == "from":
         roll = by_key.orderBy(q("ts")).rangeBetween(-W, -1)
-        cols.update(
+        df = df.withColumns(
             {
                 "rolling_value_mean": F.avg("log_value").over(roll),
                 "rolling_value_std": F.stddev_samp("log_value").over(roll),
@@ -129,15 +139,21 @@ def _window_side(df: DataFrame, side: str) -> DataFrame:
                 "rolling_tx_count": F.count(F.lit(1)).over(roll),
             }
         )
+    cols = {f"prev_datetime_{side}": F.lag(q("datetime")).over(ordered)}
+    for period, pcol in PERIODS:
+        w = periods[pcol]
+        ok = _key_ok(side, pcol)
+        cols[f"{period}_tx_count_{side}"] = F.when(ok, F.count(F.lit(1)).over(w))
+        cols[f"{period}_fail_count_{side}"] = F.when(ok, F.sum(_fail()).over(w))
     df = df.withColumns(cols)
     df = df.withColumn(
         f"interval_{side}", seconds_between(q("datetime"), q(f"prev_datetime_{side}"))
     )
-    day = Window.partitionBy(key, q("date"))
-    return df.withColumn(
+    df = df.withColumn(
         f"daily_avg_interval_{side}",
-        F.when(_key_ok(side, "date"), F.avg(q(f"interval_{side}")).over(day)),
+        F.when(_key_ok(side, "date"), F.avg(q(f"interval_{side}")).over(periods["date"])),
     )
+    return df
 
 
 def _features_window(base: DataFrame) -> DataFrame:
