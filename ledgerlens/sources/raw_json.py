@@ -48,14 +48,23 @@ def flatten_payloads(df: DataFrame) -> DataFrame:
     return df.select(F.explode(F.col("result")).alias("tx")).select("tx.*")
 
 
-def payloads_from_tx(raw_tx: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Pack raw transaction rows into API-shaped payloads, one per group.
+def payloads_from_tx(raw_tx: DataFrame, group_cols: list[str], max_rows: int = 10_000) -> DataFrame:
+    """Pack raw transaction rows into API-shaped payloads.
 
-    Used to land test payloads: a group is one (address, day, hour) fetch, so
-    a payload holds one hour of one address, like a paged API response.
+    A group (e.g. one address and hour: one fetch) is split into
+    ``ceil(rows / max_rows)`` pages by a hash of the transaction hash, like
+    the API's paged responses, so no payload -- and no task building one --
+    holds an unbounded group. Group sizes come from a partial aggregate.
+    Every column except helper columns named with a leading underscore goes
+    into the payload rows.
     """
-    fields = [c for c in raw_tx.columns if c not in group_cols]
-    return raw_tx.groupBy(*group_cols).agg(
+    fields = [c for c in raw_tx.columns if not c.startswith("_")]
+    sizes = raw_tx.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_rows)))
+    paged = raw_tx.join(sizes, group_cols).withColumn(
+        "_page", F.pmod(F.xxhash64(F.col("hash")), pages)
+    )
+    return paged.groupBy(*group_cols, "_page").agg(
         F.lit("1").alias("status"),
         F.lit("OK").alias("message"),
         F.collect_list(F.struct(*[F.col(f"`{c}`") for c in fields])).alias("result"),

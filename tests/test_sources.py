@@ -94,4 +94,14 @@ def test_landing_zone_roundtrip(spark, tmp_dir):
     sinks.write_landing(sinks.landing_frame(p, "from", "_t"), path)
     assert os.path.isdir(os.path.join(path, "year=2024", "month=01", "day=01"))
     valid, _ = split_payloads(read_raw_payloads(spark, path))
-    assert flatten_payloads(valid).count() == 4
+    flat = flatten_payloads(valid)
+    assert flat.count() == 4 and {"from", "hash", "timeStamp"} <= set(flat.columns)
+
+
+def test_payload_pages_are_bounded(spark):
+    from ledgerlens.sources.raw_json import payloads_from_tx
+    from ledgerlens.sources.tables import tx_from_records
+
+    raw = tx_from_records(spark, [{"hash": f"h{i}", "from": "hot"} for i in range(1000)]).withColumn("_a", F.col("from"))
+    sizes = [r[0] for r in payloads_from_tx(raw, ["_a"], max_rows=100).select(F.size("result")).collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) < 200
