@@ -25,6 +25,7 @@ scoring.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,13 @@ from pyspark.sql import types as T
 from ledgerlens.operators.prepare import q
 from ledgerlens.operators.scoring import exact_percentile, materialize
 
+try:  # ship this module's functions by value: workers need no installed package
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: rely on --py-files
+    pass
+
 EULER_GAMMA = 0.5772156649015329
 HASH_RANGE = 1 << 30
 
@@ -147,21 +155,30 @@ class IsolationForestModel:
 
 
 def _path_lengths(x: np.ndarray, feature, threshold, left, right, size) -> np.ndarray:
-    n_trees = feature.shape[0]
-    rows = np.arange(len(x))
-    total = np.zeros(len(x))
-    for t in range(n_trees):
-        node = np.zeros(len(x), dtype=np.int64)
-        depth = np.zeros(len(x))
-        active = feature[t, node] >= 0
-        while active.any():
-            f = feature[t, node[active]]
-            go_left = x[rows[active], f] < threshold[t, node[active]]
-            node[active] = np.where(go_left, left[t, node[active]], right[t, node[active]])
-            depth[active] += 1
-            active = feature[t, node] >= 0
-        total += depth + average_path_length(size[t, node])
-    return total / n_trees
+    """Mean path length of every row over all trees, vectorised over rows and
+    trees together with flat ``take`` gathers: leaves become self-loops, so
+    each step moves all (row, tree) pairs one level down at once."""
+    n_trees, width = feature.shape
+    n, d = x.shape
+    leaf = (feature < 0).ravel()
+    base = (np.arange(n_trees, dtype=np.int64) * width)[None, :]
+    feat = np.where(leaf, 0, feature.ravel()).astype(np.int64)
+    thr = np.where(leaf, np.inf, threshold.ravel())  # a leaf always "goes left"...
+    own = np.arange(n_trees * width, dtype=np.int64) % width
+    lft = np.where(leaf, own, left.ravel()).astype(np.int64)  # ...to itself
+    rgt = right.ravel().astype(np.int64)
+    xf = np.ascontiguousarray(x, dtype=float).ravel()
+    row_base = (np.arange(n, dtype=np.int64) * d)[:, None]
+    node = np.broadcast_to(base, (n, n_trees)).copy()  # flat node ids
+    depth = np.zeros((n, n_trees))
+    while True:
+        internal = ~leaf.take(node)
+        if not internal.any():
+            break
+        go_left = xf.take(row_base + feat.take(node)) < thr.take(node)
+        node = base + np.where(go_left, lft.take(node), rgt.take(node))
+        depth += internal
+    return (depth + average_path_length(size.ravel().take(node))).mean(axis=1)
 
 
 def fit_isolation_forest(

@@ -405,9 +405,8 @@ def onehot_dummies(spark, sf_dir):
 
 
 def _forest_input(spark, sf_dir):
-    f = features(spark, sf_dir)
-    m = add_dummies(model_input(f), keep_original=True)
-    m = materialize(m, "model_input")
+    f = materialize(model_input(features(spark, sf_dir)), "model_input")
+    m = add_dummies(f, keep_original=True)
     feats = [c for c in m.columns if c not in ("hash", "from", "to", *ENCODED_COLS)]
     return m, feats
 
