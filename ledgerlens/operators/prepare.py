@@ -6,6 +6,8 @@ Every step is one projection, so Catalyst collapses the chain into a single
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,11 @@ from ledgerlens.functions.scalar import contract_flag, strip_call_args, to_doubl
 from ledgerlens.schema import CATEGORICAL_COLS, FEATURE_COLS, ID_COLS, NUMERIC_COLS, RAW_TX_FIELDS
 
 
+@lru_cache(maxsize=4096)
 def q(name: str):
-    """Column reference safe for names such as ``from``/``to``."""
+    """Column reference safe for names such as ``from``/``to``. A column
+    reference is an unresolved name (not bound to a frame), so one object per
+    name is reused; this saves JVM round trips while plans are built."""
     return F.col(f"`{name}`")
 
 

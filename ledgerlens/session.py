@@ -47,6 +47,9 @@ def get_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    from ledgerlens.operators.prepare import q
+
+    q.cache_clear()  # cached column references belong to the previous JVM
     ensure_session(spark)
     return spark
 
