@@ -30,7 +30,7 @@ from ledgerlens.operators.scoring import (
     score_threshold,
 )
 from ledgerlens.operators.temporal import add_temporal_features
-from ledgerlens.schema import ENCODED_COLS, FEATURE_COLS
+from ledgerlens.schema import DEFAULT_TIME_SLOT, ENCODED_COLS, FEATURE_COLS, TIME_SLOTS
 from ledgerlens.session import ensure_session, scratch_dir
 from ledgerlens.sources.raw_json import flatten_payloads, payloads_from_tx, read_raw_payloads, split_payloads
 from ledgerlens.sources.sinks import write_landing, write_partitioned, landing_frame
@@ -399,9 +399,14 @@ def onehot_vector(spark, sf_dir):
     return out.select("hash", *onehot_columns(out, model))
 
 
+TIME_SLOT_LABELS = sorted([label for _, _, label in TIME_SLOTS] + [DEFAULT_TIME_SLOT])
+
+
 def onehot_dummies(spark, sf_dir):
+    """Dummy columns; the time slot has a fixed domain, the other categories
+    come from the data (capped)."""
     t = tx(spark, sf_dir).select("hash", *ENCODED_COLS)
-    return add_dummies(t)
+    return add_dummies(t, categories={"time_slot": TIME_SLOT_LABELS})
 
 
 def _forest_input(spark, sf_dir):
