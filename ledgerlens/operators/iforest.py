@@ -150,6 +150,46 @@ class IsolationForestModel:
     def arrays(self):
         return (self.feature, self.threshold, self.left, self.right, self.size, self.psi)
 
+    def nodes(self) -> pd.DataFrame:
+        t, n = np.nonzero(np.ones_like(self.feature, dtype=bool))
+        keep = (self.size[t, n] > 0) | (n == 0)
+        t, n = t[keep], n[keep]
+        return pd.DataFrame(
+            {
+                "tree": t.astype(np.int32),
+                "node": n.astype(np.int32),
+                "feature": self.feature[t, n],
+                "threshold": self.threshold[t, n],
+                "left": self.left[t, n],
+                "right": self.right[t, n],
+                "size": self.size[t, n].astype(np.int64),
+            }
+        )
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Nodes as Parquet plus one JSON row of settings (features, fill
+        values, psi, trees, offset)."""
+        spark.createDataFrame(self.nodes(), NODE_SCHEMA).write.mode("overwrite").parquet(f"{path}/nodes")
+        meta = {
+            "features": self.features,
+            "fill": [self.fill.get(c, 0.0) for c in self.features],
+            "psi": self.psi,
+            "n_trees": self.n_trees,
+            "offset": self.offset,
+        }
+        spark.createDataFrame([meta]).write.mode("overwrite").json(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "IsolationForestModel":
+        meta = spark.read.json(f"{path}/meta").first().asDict()
+        nodes = spark.read.parquet(f"{path}/nodes").toPandas()
+        model = cls(
+            list(meta["features"]), dict(zip(meta["features"], meta["fill"])), nodes,
+            int(meta["psi"]), int(meta["n_trees"]),
+        )
+        model.offset = meta.get("offset")
+        return model
+
     def matrix(self, df: DataFrame):
         return F.array(*[F.coalesce(q(c).cast("double"), F.lit(self.fill.get(c, 0.0))) for c in self.features])
 
@@ -239,14 +279,26 @@ def isolation_scores(df: DataFrame, model: IsolationForestModel) -> DataFrame:
 
 
 def score_isolation_forest(
-    df: DataFrame, model: IsolationForestModel, contamination: float = 0.01, persist: bool = True
+    df: DataFrame,
+    model: IsolationForestModel,
+    contamination: float | None = 0.01,
+    persist: bool = True,
 ) -> DataFrame:
-    """Adds ``anomaly_score`` (decision function) and ``pred_label`` (-1/1)."""
+    """Adds ``anomaly_score`` (decision function) and ``pred_label`` (-1/1).
+
+    The offset is the ``contamination`` percentile of the scores of ``df``
+    (fitting data); pass ``contamination=None`` to reuse the offset stored in
+    the model (scoring new data with a saved model)."""
     scored = isolation_scores(df, model)
-    if persist:
-        scored = materialize(scored, "iforest")
-    offset = exact_percentile(scored, "iforest_raw", contamination)
-    model.offset = offset
+    if contamination is None:
+        if model.offset is None:
+            raise ValueError("model has no offset; pass contamination")
+        offset = model.offset
+    else:
+        if persist:
+            scored = materialize(scored, "iforest")
+        offset = exact_percentile(scored, "iforest_raw", contamination)
+        model.offset = offset
     decision = q("iforest_raw") - F.lit(float(offset))
     return scored.withColumn("anomaly_score", decision).withColumn(
         "pred_label", F.when(decision < 0, F.lit(-1)).otherwise(F.lit(1))

@@ -86,3 +86,29 @@ def test_classifier(spark):
     assert acc > 0.9
     share = df.filter("is_train").count() / 600
     assert 0.7 < share < 0.9
+
+
+def test_model_persistence(spark, tmp_dir):
+    import os
+
+    from pyspark.ml import PipelineModel
+
+    from ledgerlens.operators.iforest import IsolationForestModel
+
+    rng = np.random.default_rng(5)
+    rows = [(f"h{i}", float(v), float(w)) for i, (v, w) in enumerate(rng.normal(size=(500, 2)))]
+    df = spark.createDataFrame(rows, "hash string, a double, b double")
+    model = fit_isolation_forest(df, ["a", "b"], n_trees=10, max_samples=64)
+    first = {r["hash"]: r["anomaly_score"] for r in score_isolation_forest(df, model, 0.05).collect()}
+    model.save(spark, os.path.join(tmp_dir, "forest"))
+    again = IsolationForestModel.load(spark, os.path.join(tmp_dir, "forest"))
+    second = {r["hash"]: r["anomaly_score"] for r in score_isolation_forest(df, again, contamination=None).collect()}
+    assert all(abs(first[k] - second[k]) < 1e-12 for k in first)
+
+    lab = df.withColumn("label", (F.col("a") > 1).cast("double"))
+    clf = fit_classifier(lab, ["a", "b"], num_trees=5, max_depth=3)
+    clf.write().overwrite().save(os.path.join(tmp_dir, "clf"))
+    back = PipelineModel.load(os.path.join(tmp_dir, "clf"))
+    p1 = [r["risk_prob"] for r in classifier_scores(lab, clf, ["a", "b"]).orderBy("hash").collect()]
+    p2 = [r["risk_prob"] for r in classifier_scores(lab, back, ["a", "b"]).orderBy("hash").collect()]
+    assert p1 == p2
