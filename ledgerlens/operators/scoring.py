@@ -34,30 +34,46 @@ from ledgerlens.session import scratch_dir
 
 def feature_stats(df: DataFrame, features: list[str]) -> DataFrame:
     """One row: ``<f>_mean`` and ``<f>_std`` (sample) for every feature."""
+    exprs = stat_exprs(features)
+    if not exprs:
+        raise ValueError("no feature columns to describe")
+    return df.agg(*exprs)
+
+
+def stat_exprs(features: list[str]) -> list:
     exprs = []
     for c in features:
         x = q(c).cast("double")
         exprs += [F.avg(x).alias(f"{c}_mean"), F.stddev_samp(x).alias(f"{c}_std")]
-    if not exprs:
-        raise ValueError("no feature columns to describe")
-    return df.agg(*exprs)
+    return exprs
+
+
+def usable(stats: dict, feature: str) -> bool:
+    sd = stats.get(f"{feature}_std")
+    return sd is not None and sd != 0 and stats.get(f"{feature}_mean") is not None
 
 
 def add_anomaly_score(
-    df: DataFrame, features: list[str] | None = None, null_policy: str = "propagate"
+    df: DataFrame,
+    features: list[str] | None = None,
+    null_policy: str = "propagate",
+    stats: dict | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Adds ``<f>_z`` for every available feature and ``anomaly_score``."""
+    """Adds ``<f>_z`` for every available feature and ``anomaly_score``.
+    ``stats`` (``<f>_mean`` / ``<f>_std``) may come from an earlier pass;
+    otherwise one aggregate job computes them."""
     if null_policy not in ("propagate", "skip"):
         raise ValueError("null_policy must be 'propagate' or 'skip'")
     feats = available_features(df, features or FEATURE_COLS)
     if not feats:
         return df.withColumn("anomaly_score", F.lit(0.0)), []
-    stats = feature_stats(df, feats).first().asDict()
+    if stats is None:
+        stats = feature_stats(df, feats).first().asDict()
     scored = df.withColumns({c: q(c).cast("double") for c in feats})
     zcols, terms = {}, []
     for c in feats:
         m, sd = stats[f"{c}_mean"], stats[f"{c}_std"]
-        if sd is None or sd == 0 or m is None:
+        if not usable(stats, c):
             zcols[f"{c}_z"] = F.lit(None).cast("double")
             terms.append(F.lit(0.0))
             continue
@@ -75,6 +91,7 @@ def exact_percentile(
     q_: float = THRESHOLD_PERCENTILE,
     max_collect: int = 200_000,
     accuracy: int = 10_000,
+    n: int | None = None,
 ) -> float | None:
     """Exact continuous percentile (linear interpolation between the two
     neighbouring ranks) of the non-NULL values of ``col``.
@@ -85,7 +102,8 @@ def exact_percentile(
     scalars and that bounded set reach the driver.
     """
     vals = df.select(q(col).cast("double").alias("v")).filter(q("v").isNotNull())
-    n = vals.count()
+    if n is None:  # the number of non-NULL values, unless already known
+        n = vals.count()
     if n == 0:
         return None
     pos = (n - 1) * q_
@@ -128,6 +146,7 @@ def score_threshold(
     q_: float = THRESHOLD_PERCENTILE,
     method: str = "exact",
     relative_error: float = APPROX_RELATIVE_ERROR,
+    n_scored: int | None = None,
 ) -> float | None:
     """Threshold at the ``q_`` percentile of ``anomaly_score``.
 
@@ -136,7 +155,7 @@ def score_threshold(
     used by the original job (may land anywhere within the error band).
     """
     if method == "exact":
-        return exact_percentile(scored, "anomaly_score", q_)
+        return exact_percentile(scored, "anomaly_score", q_, n=n_scored)
     if method == "approx":
         res = scored.filter(q("anomaly_score").isNotNull()).approxQuantile(
             "anomaly_score", [q_], relative_error
@@ -178,6 +197,27 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def materialize_features(features: DataFrame, name: str = "features") -> tuple[DataFrame, dict]:
+    """Write the feature table once (shared checkpoint folder), then gather
+    in one aggregate over the written columnar table the global statistics
+    the score needs, the row count and the number of rows with every feature
+    present (so the threshold needs no separate counting pass).
+
+    (The statistics are not gathered with ``Observation`` during the write:
+    on Spark 4.1 a session that has used it can no longer serialize MLlib
+    models that keep a training summary.)"""
+    table = materialize(features, name)
+    feats = available_features(table, FEATURE_COLS)
+    complete = F.lit(True)
+    for c in feats:
+        complete = complete & q(c).isNotNull()
+    exprs = stat_exprs(feats) + [
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(F.when(complete, 1)).alias("_complete"),
+    ]
+    return table, table.agg(*exprs).first().asDict()
+
+
 def score_transactions(
     features: DataFrame,
     q_: float = THRESHOLD_PERCENTILE,
@@ -188,10 +228,18 @@ def score_transactions(
     """features -> (labelled rows, features used, threshold).
 
     With ``persist`` the feature table is written once to the shared
-    checkpoint folder first, so the statistics, threshold and scoring passes
-    read it instead of recomputing its plan."""
+    checkpoint folder; the statistics, the threshold passes and the scored
+    rows then read the written table. The number of scored rows comes with
+    the statistics when every feature is usable (or NULLs count as 0), which
+    saves the counting pass."""
+    stats, n_scored = None, None
     if persist:
-        features = materialize(features, "features")
-    scored, used = add_anomaly_score(features, null_policy=null_policy)
-    threshold = score_threshold(scored, q_, method)
+        features, stats = materialize_features(features)
+    scored, used = add_anomaly_score(features, null_policy=null_policy, stats=stats)
+    if stats is not None:
+        if null_policy == "skip" or not used:
+            n_scored = stats["_rows"]
+        elif all(usable(stats, c) for c in used):
+            n_scored = stats["_complete"]
+    threshold = score_threshold(scored, q_, method, n_scored=n_scored)
     return add_labels(scored, threshold), used, threshold

@@ -27,7 +27,9 @@ from ledgerlens.operators.scoring import (
     feature_stats,
     label_summary,
     materialize,
+    materialize_features,
     score_threshold,
+    score_transactions,
 )
 from ledgerlens.operators.temporal import add_temporal_features
 from ledgerlens.schema import DEFAULT_TIME_SLOT, ENCODED_COLS, FEATURE_COLS, TIME_SLOTS
@@ -63,17 +65,17 @@ def features(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFr
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table is written once to the shared checkpoint folder (as
-    the feature job writes it for the scoring job); the statistics pass, the
-    threshold passes and the scored rows all read that columnar table instead
-    of recomputing the windows."""
-    feats = materialize(features(spark, sf_dir), "features")
-    df, _ = add_anomaly_score(feats)
+    the feature job writes it for the scoring job) and the global statistics
+    are observed during that write; the scored rows read the written
+    columnar table instead of recomputing the windows."""
+    feats, stats = materialize_features(features(spark, sf_dir))
+    df, _ = add_anomaly_score(feats, stats=stats)
     return df
 
 
 def labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = scored(spark, sf_dir)
-    return add_labels(s, score_threshold(s))
+    lab, _, _ = score_transactions(features(spark, sf_dir))
+    return lab
 
 
 def view(spark: SparkSession, sf_dir: str) -> DataFrame:
