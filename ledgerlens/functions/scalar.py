@@ -83,6 +83,12 @@ def spike_flag(count: Column | str, std: Column | str, z: Column | str) -> Colum
     )
 
 
+def parse_timestamp(c: Column | str) -> Column:
+    """Timestamp text (ISO forms, with or without time) -> timestamp; text
+    that is not a timestamp -> NULL."""
+    return F.coalesce(F.try_to_timestamp(_c(c)), F.try_to_timestamp(_c(c), F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+
 def wei_to_ether(c: Column | str) -> Column:
     return _c(c) / F.lit(WEI_PER_ETHER)
 

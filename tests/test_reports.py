@@ -116,3 +116,9 @@ def test_address_profile(spark):
     assert p["a"]["sent_count"] == 2 and p["a"]["received_count"] == 1 and p["a"]["sent_value"] == 4.0
     assert p["a"]["unique_counterparties"] == 2 and p["a"]["active_days"] == 2
     assert p["a"]["sender_receiver_ratio"] == 2.0 and p["c"]["sent_count"] == 0
+
+
+def test_score_histogram(spark):
+    v = view(spark, [{"s": s} for s in (0.05, 0.15, 0.16, 0.95, None)])
+    rows = {r["bin"]: r["tx_count"] for r in R.score_histogram(v, 0.0, 1.0, 10).collect()}
+    assert rows == {1: 1, 2: 2, 10: 1}

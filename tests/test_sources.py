@@ -105,3 +105,20 @@ def test_payload_pages_are_bounded(spark):
     raw = tx_from_records(spark, [{"hash": f"h{i}", "from": "hot"} for i in range(1000)]).withColumn("_a", F.col("from"))
     sizes = [r[0] for r in payloads_from_tx(raw, ["_a"], max_rows=100).select(F.size("result")).collect()]
     assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) < 200
+
+
+def test_predictions_partitioned_only_with_date(spark, tmp_dir):
+    df = spark.createDataFrame([("a", -1, dt.date(2024, 1, 1)), ("b", 1, dt.date(2024, 1, 2))], "hash string, pred_label int, date date")
+    sinks.write_predictions(df, os.path.join(tmp_dir, "p1"))
+    assert sorted(p for p in os.listdir(os.path.join(tmp_dir, "p1")) if p.startswith("date=")) == ["date=2024-01-01", "date=2024-01-02"]
+    sinks.write_predictions(df.drop("date"), os.path.join(tmp_dir, "p2"))
+    assert not any(p.startswith("date=") for p in os.listdir(os.path.join(tmp_dir, "p2")))
+    assert spark.read.parquet(os.path.join(tmp_dir, "p2")).count() == 2
+
+
+def test_parse_timestamp(spark):
+    from ledgerlens.functions.scalar import parse_timestamp
+
+    df = spark.createDataFrame([("2024-01-02 10:00:00",), ("2024-01-02",), ("not a time",), (None,)], "t string")
+    got = [r[0] for r in df.select(parse_timestamp("t")).collect()]
+    assert got[0] == dt.datetime(2024, 1, 2, 10) and got[1] == dt.datetime(2024, 1, 2) and got[2] is None and got[3] is None
