@@ -197,12 +197,16 @@ def most_suspicious_hash(labeled: DataFrame) -> DataFrame:
 
 def address_profile(tx: DataFrame) -> DataFrame:
     """Per address: sent/received counts and amounts, mean sent value,
-    distinct counterparties, active days, velocity, sender/receiver ratio."""
+    distinct counterparties, active days, velocity (transactions per active
+    day), mean time between sends, sender/receiver ratio."""
+    secs = F.unix_seconds(q("datetime"))
     sent = tx.filter(q("from").isNotNull()).groupBy(q("from").alias("address")).agg(
         F.count(F.lit(1)).alias("sent_count"),
         F.sum(q("value")).alias("sent_value"),
         F.avg(q("value")).alias("avg_sent_value"),
         F.count_distinct(q("to")).alias("unique_receivers"),
+        F.count(secs).alias("_timed"),
+        (F.max(secs) - F.min(secs)).alias("_span"),
     )
     received = tx.filter(q("to").isNotNull()).groupBy(q("to").alias("address")).agg(
         F.count(F.lit(1)).alias("received_count"),
@@ -233,6 +237,10 @@ def address_profile(tx: DataFrame) -> DataFrame:
         round6(
             F.try_divide(q("sent_count").cast("double"), q("received_count").cast("double"))
         ).alias("sender_receiver_ratio"),
+        # mean gap between consecutive sends: the gaps telescope to last - first
+        round6(F.try_divide(q("_span").cast("double"), (q("_timed") - 1).cast("double"))).alias(
+            "avg_send_interval"
+        ),
     )
 
 

@@ -483,8 +483,10 @@ FROM lab ORDER BY anomaly_score DESC NULLS LAST, hash LIMIT 10""",
         + """,
 sent AS (
   SELECT "from" AS address, count(*) AS sent_count, sum(value) AS sent_value,
-         avg(value) AS avg_sent_value, count(DISTINCT "to") AS unique_receivers
-  FROM tx WHERE "from" IS NOT NULL GROUP BY 1
+         avg(value) AS avg_sent_value, count(DISTINCT "to") AS unique_receivers,
+         avg(gap) AS avg_send_interval
+  FROM (SELECT *, CAST(epoch(datetime) - epoch(lag(datetime) OVER (PARTITION BY "from" ORDER BY datetime)) AS DOUBLE) AS gap
+        FROM tx) WHERE "from" IS NOT NULL GROUP BY 1
 ),
 recv AS (
   SELECT "to" AS address, count(*) AS received_count, sum(value) AS received_value,
@@ -502,7 +504,7 @@ act AS (
 ),
 prof AS (
   SELECT coalesce(s.address, r.address) AS address, s.sent_count, s.sent_value, s.avg_sent_value,
-         s.unique_receivers, r.received_count, r.received_value, r.unique_senders
+         s.unique_receivers, r.received_count, r.received_value, r.unique_senders, s.avg_send_interval
   FROM sent s FULL OUTER JOIN recv r ON s.address = r.address
 )""",
         f"""SELECT p.address,
@@ -517,7 +519,8 @@ prof AS (
        CAST(a.active_days AS BIGINT) AS active_days,
        {r6("CAST(coalesce(sent_count, 0) + coalesce(received_count, 0) AS DOUBLE) / NULLIF(CAST(a.active_days AS DOUBLE), 0)")}
          AS tx_per_active_day,
-       {r6("CAST(sent_count AS DOUBLE) / NULLIF(CAST(received_count AS DOUBLE), 0)")} AS sender_receiver_ratio
+       {r6("CAST(sent_count AS DOUBLE) / NULLIF(CAST(received_count AS DOUBLE), 0)")} AS sender_receiver_ratio,
+       {r6("avg_send_interval")} AS avg_send_interval
 FROM prof p LEFT JOIN act a ON p.address = a.address""",
     ),
     "value_distribution": w(
