@@ -146,6 +146,7 @@ class IsolationForestModel:
         self.right[t, n] = nodes["right"].to_numpy()
         self.size[t, n] = nodes["size"].to_numpy()
         self.offset: float | None = None
+        self.n_rows: int | None = None
 
     def arrays(self):
         return (self.feature, self.threshold, self.left, self.right, self.size, self.psi)
@@ -230,9 +231,11 @@ def fit_isolation_forest(
     seed: int = 42,
 ) -> IsolationForestModel:
     """Fit on the rows of ``df`` (``key`` identifies a row)."""
-    means = df.agg(*[F.avg(q(c).cast("double")).alias(c) for c in features]).first().asDict()
-    fill = {c: (0.0 if v is None else float(v)) for c, v in means.items()}
-    n = df.count()
+    row = df.agg(
+        F.count(F.lit(1)).alias("__rows"), *[F.avg(q(c).cast("double")).alias(c) for c in features]
+    ).first().asDict()
+    n = int(row.pop("__rows"))
+    fill = {c: (0.0 if v is None else float(v)) for c, v in row.items()}
     if n == 0:
         raise ValueError("cannot fit on an empty frame")
     psi = int(min(max_samples, n))
@@ -258,7 +261,10 @@ def fit_isolation_forest(
     )
     # at most n_trees * (2 * psi - 1) small rows
     pdf = nodes.toPandas()
-    return IsolationForestModel(features, fill, pdf, psi, n_trees)
+    model = IsolationForestModel(features, fill, pdf, psi, n_trees)
+    model.n_rows = n  # rows of the fitting frame: every one gets a score
+    model.fitted_on = df
+    return model
 
 
 def isolation_scores(df: DataFrame, model: IsolationForestModel) -> DataFrame:
@@ -297,7 +303,9 @@ def score_isolation_forest(
     else:
         if persist:
             scored = materialize(scored, "iforest")
-        offset = exact_percentile(scored, "iforest_raw", contamination)
+        # scores are never NULL (inputs are filled): the fitting count is n
+        known = model.n_rows if df is getattr(model, "fitted_on", None) else None
+        offset = exact_percentile(scored, "iforest_raw", contamination, n=known)
         model.offset = offset
     decision = q("iforest_raw") - F.lit(float(offset))
     return scored.withColumn("anomaly_score", decision).withColumn(
