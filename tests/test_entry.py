@@ -68,3 +68,10 @@ def test_oracle_parity_sf0001(spark, key):
     order = lambda cs: sorted(range(len(cs)), key=lambda i: cs[i])
     so, do = order(cols), order(dcols)
     assert _norm([tuple(r[i] for i in so) for r in srows]) == _norm([tuple(r[i] for i in do) for r in drows])
+
+
+def test_search_predicates_reach_the_scan(spark):
+    df = E.queries()["tx_search"](spark, SF0001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "PushedFilters" in line]
+    assert any("In(from, [42,7,99])" in line for line in scans)
