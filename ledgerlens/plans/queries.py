@@ -63,18 +63,24 @@ def features(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFr
     return build_features(tx(spark, sf_dir), strategy=strategy)
 
 
+# columns the scored/labelled queries read: identifiers, the serving views'
+# columns and the model features. Selected before the feature table is
+# written (a write is an action, so Catalyst cannot prune past it).
+SCORING_INPUT = ["hash", "from", "to", "blockNumber", "value", "datetime", "date"] + FEATURE_COLS
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table is written once to the shared checkpoint folder (as
     the feature job writes it for the scoring job) and the global statistics
     are observed during that write; the scored rows read the written
     columnar table instead of recomputing the windows."""
-    feats, stats = materialize_features(features(spark, sf_dir))
+    feats, stats = materialize_features(features(spark, sf_dir).select(*[q(c) for c in SCORING_INPUT]))
     df, _ = add_anomaly_score(feats, stats=stats)
     return df
 
 
 def labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lab, _, _ = score_transactions(features(spark, sf_dir))
+    lab, _, _ = score_transactions(features(spark, sf_dir).select(*[q(c) for c in SCORING_INPUT]))
     return lab
 
 
