@@ -23,7 +23,6 @@ from ledgerlens.operators.iforest import fit_isolation_forest, score_isolation_f
 from ledgerlens.operators.prepare import clean_column_names, model_input, prepare_transactions, q
 from ledgerlens.operators.scoring import (
     add_anomaly_score,
-    add_labels,
     feature_stats,
     label_summary,
     materialize,
