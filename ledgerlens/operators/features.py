@@ -403,15 +403,24 @@ HOT_ADDRESS_ROWS = 2_000_000  # rows one window task may hold for one address
 
 
 def busiest_address_rows(tx: DataFrame) -> int:
-    """Largest number of rows any single sender or receiver has. One
-    aggregate job (partial counts map-side, one small row per address
-    shuffled); only the maximum reaches the driver."""
-    counts = []
-    for side in SIDES:
-        per = tx.filter(q(side).isNotNull()).groupBy(q(side)).agg(F.count(F.lit(1)).alias("n"))
-        counts.append(per.agg(F.max("n").alias("m")))
-    row = counts[0].crossJoin(counts[1].withColumnRenamed("m", "m2")).first()
-    return int(max(row["m"] or 0, row["m2"] or 0))
+    """Largest number of rows any single sender or receiver has. One scan:
+    each row yields its (side, address) pairs, counted with partial
+    aggregation map-side (one small row per address and task shuffled);
+    only the maximum reaches the driver."""
+    pairs = F.explode(
+        F.array(
+            F.struct(F.lit(0).alias("side"), q("from").alias("address")),
+            F.struct(F.lit(1).alias("side"), q("to").alias("address")),
+        )
+    )
+    per = (
+        tx.select(pairs.alias("p"))
+        .select("p.*")
+        .filter(q("address").isNotNull())
+        .groupBy("side", "address")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return int(per.agg(F.max("n")).first()[0] or 0)
 
 
 def choose_strategy(tx: DataFrame, hot_address_rows: int = HOT_ADDRESS_ROWS) -> str:
