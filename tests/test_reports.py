@@ -122,3 +122,13 @@ def test_score_histogram(spark):
     v = view(spark, [{"s": s} for s in (0.05, 0.15, 0.16, 0.95, None)])
     rows = {r["bin"]: r["tx_count"] for r in R.score_histogram(v, 0.0, 1.0, 10).collect()}
     assert rows == {1: 1, 2: 2, 10: 1}
+
+
+def test_value_quantiles_and_most_suspicious(spark):
+    from helpers import T0, tx_rows
+
+    tx = tx_rows(spark, [{"f": "a", "t": "b", "ts": T0 + i, "v": float(i)} for i in range(101)])
+    q = R.value_quantiles(tx, [0.5, 0.9]).first()
+    assert q["from_address"] == "a" and q["value_quantiles"] == [50.0, 90.0]
+    scored = spark.createDataFrame([("x", 1.0), ("y", 9.0), ("z", 3.0)], "hash string, anomaly_score double")
+    assert R.most_suspicious_hash(scored).first()["hash"] == "y"
