@@ -98,8 +98,9 @@ def exact_percentile(
 
     Distributed: ``percentile_approx`` brackets the wanted ranks, a count
     verifies the bracket, and the search narrows to the bracket until at most
-    ``max_collect`` values remain, which are then sorted in one task. Only
-    scalars and that bounded set reach the driver.
+    ``max_collect`` values remain; of those only the tail up to the wanted
+    rank is fetched, as a bounded top-k (at most half of them). Only scalars
+    and that bounded set reach the driver.
     """
     vals = df.select(q(col).cast("double").alias("v")).filter(q("v").isNotNull())
     if n is None:  # the number of non-NULL values, unless already known
@@ -133,11 +134,19 @@ def exact_percentile(
         below += c["lt"]
         sub = sub.filter((q("v") >= a) & (q("v") <= b))
         m = c["inside"]
-    values = sub.agg(F.sort_array(F.collect_list("v")).alias("s")).first()["s"]
-    lo_v = values[ranks[0] - below]
-    if len(ranks) == 1:
+    # the wanted ranks inside ``sub`` (0-based, ascending); fetch only the
+    # shorter tail that reaches them, as a bounded top-k
+    r = [x - below for x in ranks]
+    if m - r[0] <= r[-1] + 1:
+        tail = [row[0] for row in sub.orderBy(F.desc("v")).limit(m - r[0]).collect()]
+        pick = {x: tail[m - 1 - x] for x in r}
+    else:
+        head = [row[0] for row in sub.orderBy("v").limit(r[-1] + 1).collect()]
+        pick = {x: head[x] for x in r}
+    lo_v = pick[r[0]]
+    if len(r) == 1:
         return float(lo_v)
-    hi_v = values[ranks[1] - below]
+    hi_v = pick[r[1]]
     return float(lo_v + frac * (hi_v - lo_v))
 
 
