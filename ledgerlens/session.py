@@ -64,17 +64,27 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, under the shared checkpoint
-    folder the cluster names in ``spark.checkpoint.dir``.
+    folder the cluster names in ``spark.checkpoint.dir`` (its scheme kept).
 
-    Where that setting is unset (tests, local runs) a folder is created and
-    registered as the checkpoint dir, so later calls share it.
+    Where that setting is unset, a local session gets a folder of its own,
+    registered as the checkpoint dir so that later calls share it. On a
+    cluster the setting is required: a machine-local folder would give each
+    executor a disk of its own and later reads would miss files.
     """
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
-    base = base.rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return f"{base}/ledgerlens/{name}-{uuid.uuid4().hex}"
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is unset and the master is {sc.master}: "
+                "name a folder that the driver and all executors share"
+            )
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
+        base = sc.getCheckpointDir()
+    return f"{base.rstrip('/')}/ledgerlens/{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table through Spark's own file system layer."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
