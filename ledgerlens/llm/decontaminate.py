@@ -110,14 +110,15 @@ def contaminated(
         doc_part = F.slice(F.col("_dwords"), F.greatest(F.lit(1), start + 1), F.greatest(F.lit(0), F.col("_n") - lead))
         item_part = F.slice(F.col("_words"), lead + 1, F.size(doc_part))
         equal = F.size(F.filter(F.zip_with(doc_part, item_part, lambda a, b: a == b), lambda x: x))
-        return hit.select("_doc", "_item", F.col("_n").alias("n_tokens"), start.alias("first_token"), equal.alias("n_equal")).filter(
-            F.col("n_equal") >= F.ceil(F.col("n_tokens") * overlap)
-        )
+        return hit.select("_doc", "_item", F.col("_n").alias("n_tokens"), start.alias("first_token"), equal.alias("n_equal"))
 
     seeds_df = _item_seeds(unique, masks)
     found = [verified(seeds_df.filter(F.pmod("_item", F.lit(blocks)) == b)) for b in range(blocks)]
     best = F.max(F.struct("n_equal", (-F.col("first_token")).alias("_back")))
+    # filtered behind the aggregate: as a condition of the join, the count of
+    # equal tokens would take every position out of generated code
     pairs = reduce(DataFrame.unionByName, found).groupBy("_doc", "_item", "n_tokens").agg(best.alias("_best"))
+    pairs = pairs.filter(F.col("_best.n_equal") >= F.ceil(F.col("n_tokens") * overlap))
     return pairs.join(named, "_item").select(
         F.col("_doc").alias(id_col),
         F.col("_iid").alias(item_col),

@@ -18,16 +18,19 @@ runs the merge over a whole text:
 
 Compatibility is decided by re-merging the two pieces (cached per pair).
 Characters without a piece become the pieces of their UTF-8 bytes and are
-borders no merge crosses. No piece holds a space mark after another
-character, so each run of marks with the word behind it is encoded on its own,
-and frequent ones come from a bounded cache. The space mark is written as a
-plain space throughout.
+borders no merge crosses. No piece holds a space mark behind another character
+either, so texts are cut in front of each run of space marks. The distinct
+parts of a batch that a bounded cache does not hold are encoded together, each
+step of the search being taken for all of them at once in numpy. The space mark
+is written as a plain space throughout. Decoding gathers the bytes of the ids'
+pieces.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -37,10 +40,12 @@ from pyspark.sql import DataFrame
 from ledgerlens.llm.common import text_chunks
 
 MARK = "▁"
-#: Segments in a generation of the cache; two generations are held.
-CACHE_SEGMENTS = 150_000
-#: Cached pair checks; the cache starts anew when full.
-CACHE_PAIRS = 1_000_000
+#: Parts in a generation of the cache; two generations are held.
+CACHE = 200_000
+#: Slots for pair checks; a slot holds one pair, a newer one replaces it.
+PAIR_SLOTS = 1 << 20
+#: Parts that are encoded together.
+TOGETHER = 8_192
 
 
 def read_vocabulary(model_path: str) -> dict:
@@ -54,48 +59,44 @@ def read_vocabulary(model_path: str) -> dict:
     return {"pieces": [sp.id_to_piece(i) for i in range(n)], "scores": [sp.get_score(i) for i in range(n)], "kinds": kinds, "end": sp.eos_id()}
 
 
-class _Segments(dict):
-    """Segment -> encoding, in two generations of bounded size."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, segment: str):
-        value = self.old.get(segment)
-        if value is None:
-            value = self.make(segment)
-        if len(self) >= CACHE_SEGMENTS:
-            self.old = dict(self)
-            self.clear()
-        self[segment] = value
-        return value
-
-
 class Codec:
     """Encoder and decoder for one vocabulary."""
 
     def __init__(self, vocabulary: dict):
-        self.end = vocabulary["end"]
-        self.kinds = vocabulary["kinds"]
+        self.end, self.scores = vocabulary["end"], vocabulary["scores"]
+        kinds = vocabulary["kinds"]
         self.text = [p.replace(MARK, " ") for p in vocabulary["pieces"]]
-        self.ids = {self.text[i]: i for i, k in enumerate(self.kinds) if k == "piece"}
-        self.scores = vocabulary["scores"]
-        self.byte_ids = {int(self.text[i][3:-1], 16): i for i, k in enumerate(self.kinds) if k == "byte"}
-        self.byte_of = {i: b for b, i in self.byte_ids.items()}
+        self.ids = {self.text[i]: i for i, k in enumerate(kinds) if k == "piece"}
+        self.sizes = [len(p) for p in self.text]
         if any(" " in p.lstrip(" ") for p in self.ids):
             raise ValueError("a piece holds a space mark behind another character")
-        self.automaton = ahocorasick.Automaton()
+        self.byte_ids = np.zeros(256, np.int32)
+        for i, k in enumerate(kinds):
+            if k == "byte":
+                self.byte_ids[int(self.text[i][3:-1], 16)] = i
+        raw = [
+            b"" if k == "control" else bytes([int(p[3:-1], 16)]) if k == "byte" else " ⁇ ".encode() if k == "unknown" else p.encode()
+            for p, k in zip(self.text, kinds, strict=True)
+        ]
+        self.blob = np.frombuffer(b"".join(raw), np.uint8)
+        self.length = np.array([len(r) for r in raw])
+        self.start = np.cumsum(self.length) - self.length
+        self.spaced = np.array([r[:1] == b" " and k != "unknown" for r, k in zip(raw, kinds, strict=True)])
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for p, i in self.ids.items():
-            self.automaton.add_word(p, (len(p), i))
+            self.automaton.add_word(p, i)
         self.automaton.make_automaton()
-        self.shorter = {}  # piece id -> longest piece that is a proper prefix of it
+        #: Stands for a character without a piece.
+        self.no_piece = len(kinds)
+        self.sizes = np.array([len(p) for p in self.text] + [1])
+        self.shorter = np.full(len(kinds) + 1, -1)  # the longest piece that is a proper prefix of a piece
         for p, i in self.ids.items():
             self.shorter[i] = next((self.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), -1)
-        self.pairs: dict[tuple[int, int], bool] = {}
-        border = "" if "\n" in self.ids else r"\n"
-        self.split = re.compile(rf" +[^ {border}]*|[^ {border}]+" + ("|\n" if border else "")).findall
-        self.segments = _Segments(self._segment)
+        self.pair_keys = np.full(PAIR_SLOTS, -1)
+        self.pair_ok = np.zeros(PAIR_SLOTS, bool)
+        self.cut = re.compile(" +[^ ]*").findall
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merge-type encoding by definition, for short strings."""
@@ -110,96 +111,130 @@ class Codec:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, before: int, piece: int) -> bool:
-        """Whether two adjacent pieces come out of re-merging as they are;
-        ``before`` is -1 at a border."""
-        key = (before, piece)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            want = [self.text[piece]] if before < 0 else [self.text[before], self.text[piece]]
-            known = self.pairs[key] = self.merged("".join(want)) == want
-        return known
-
-    def encode_known(self, text: str) -> list[int]:
-        """Encoding of a string whose characters all have pieces."""
-        longest = {}
-        for end, (size, i) in self.automaton.iter(text):
-            longest[end - size + 1] = i  # ends ascend, so the longest stays
-        out: list[int] = []
-        starts: list[int] = []
-        failed, pos, n, before = 0, 0, len(text), -1
-        piece = longest[0]
-        pairs, names = self.pairs, self.text
-        while pos < n:
-            while piece >= 0:
-                to = pos + len(names[piece])
-                if not failed >> to & 1:
-                    ok = pairs.get((before, piece))
-                    if ok if ok is not None else self.compatible(before, piece):
-                        break
-                piece = self.shorter[piece]
-            if piece >= 0:
-                out.append(piece)
-                starts.append(pos)
-                pos, before = to, piece
-                if pos < n:
-                    piece = longest[pos]
+    def compatible(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether pairs of adjacent pieces come out of re-merging as they
+        are; ``before`` is -1 at a border."""
+        key = (before + 1) << 20 | piece
+        slot = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - 20)).astype(np.int64) % PAIR_SLOTS
+        free = piece == self.no_piece
+        new = np.flatnonzero((self.pair_keys[slot] != key) & ~free)
+        ok = self.pair_ok[slot] | free
+        if len(new):
+            _, at, back = np.unique(key[new], return_index=True, return_inverse=True)
+            told = []
+            for b, p in zip(before[new][at].tolist(), piece[new][at].tolist()):
+                want = [self.text[p]] if b < 0 else [self.text[b], self.text[p]]
+                told.append(self.merged("".join(want)) == want)
+            told = np.array(told)[back]
+            ok[new] = told
+            self.pair_keys[slot[new]] = key[new]
+            self.pair_ok[slot[new]] = told
+            # two pairs of one slot: the later stays, and its answer with it
+            same = self.pair_keys[slot[new]] == key[new]
+            self.pair_ok[slot[new][same]] = told[same]
+        return ok
+
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """32-bit ids of parts, by backtracking on all of them in step."""
+        text = "".join(parts)
+        sizes, shorter, none = self.sizes, self.shorter, self.no_piece
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64)
+        ends, pieces = found[::2], found[1::2]
+        longest = np.full(len(text) + 1, none)
+        longest[ends + 1 - sizes[pieces]] = pieces  # ends ascend, so the longest stays
+        failed = np.zeros(len(text) + 1, bool)
+        n = np.array([len(p) for p in parts])
+        stop = np.cumsum(n)
+        pos = stop - n
+        depth = np.zeros(len(parts), np.int64)
+        before = np.full(len(parts), -1)
+        piece = longest[pos]
+        out = np.zeros((len(parts), int(n.max(initial=0)) + 1), np.int32)
+        live = np.flatnonzero(n)
+        while len(live):
+            p, at = piece[live], pos[live]
+            to = at + sizes[p]
+            good = (p >= 0) & (to <= stop[live])  # a part of spaces runs into the next
+            good[good] = ~failed[to[good]]
+            good[good] = self.compatible(before[live[good]], p[good])
+            go = live[good]
+            out[go, depth[go]] = p[good]
+            depth[go] += 1
+            pos[go] = to[good]
+            before[go] = np.where(p[good] == none, -1, p[good])
+            piece[go] = longest[to[good]]
+            other = ~good & (p >= 0)
+            piece[live[other]] = shorter[p[other]]
+            # none is left here: mark the place as failed, step back
+            back = live[p < 0]
+            if len(back):
+                failed[pos[back]] = True
+                depth[back] -= 1
+                last = out[back, depth[back]].astype(np.int64)
+                pos[back] -= sizes[last]
+                piece[back] = shorter[last]
+                prior = np.where(depth[back] > 0, out[back, depth[back] - 1].astype(np.int64), -1)
+                before[back] = np.where(prior == none, -1, prior)
+            live = live[pos[live] < stop[live]]
+        made = []
+        odd = set(np.flatnonzero((out == none).any(1)).tolist())
+        for k, (d, row) in enumerate(zip(depth.tolist(), out)):
+            if k in odd:
+                made.append(self._with_bytes(parts[k], row[:d]))
+            else:
+                made.append(row[:d].tobytes())
+        return made
+
+    def _with_bytes(self, part: str, ids: np.ndarray) -> bytes:
+        out, at = [], 0
+        for i in ids.tolist():
+            if i == self.no_piece:
+                out += [self.byte_ids[x] for x in part[at].encode("utf-8", "surrogatepass")]
             else:
-                failed |= 1 << pos
-                piece = self.shorter[out.pop()]
-                pos = starts.pop()
-                before = out[-1] if out else -1
-        return out
-
-    def _segment(self, segment: str) -> tuple[bytes, str]:
-        ids: list[int] = []
-        known = self.ids
-        if all(c in known for c in segment):
-            ids = self.encode_known(segment)
-        else:
-            run = ""
-            for c in segment:
-                if c in known:
-                    run += c
-                    continue
-                if run:
-                    ids += self.encode_known(run)
-                ids += [self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")]
-                run = ""
-            if run:
-                ids += self.encode_known(run)
-        return np.array(ids, np.int32).tobytes(), self._joined(ids)
-
-    def _joined(self, ids: list[int]) -> str:
-        """Text of pieces, spaces in front included."""
-        out: list[str] = []
-        raw = bytearray()
-        for i in [*ids, None]:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if i is not None and self.kinds[i] != "control":
-                out.append(" ⁇ " if self.kinds[i] == "unknown" else self.text[i])
-        return "".join(out)
+                out.append(i)
+            at += int(self.sizes[i])
+        return np.array(out, np.int32).tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """32-bit ids of texts, without the end id."""
+        split = []
+        for t in texts:
+            if MARK in t:
+                t = t.replace(MARK, " ")
+            # a part without a space in front has exactly one
+            split.append([] if not t else self.cut(" " + t) if t[0] == " " or "  " in t else t.split(" "))
+        if len(self.cache) > CACHE:
+            self.older, self.cache = self.cache, {}
+        cache, older = self.cache, self.older
+        new = []
+        for w in set(chain.from_iterable(split)):
+            if w not in cache:
+                if w in older:
+                    cache[w] = older[w]
+                else:
+                    new.append(w)
+        new.sort(key=len)  # parts of like length end their search together
+        for k in range(0, len(new), TOGETHER):
+            some = new[k : k + TOGETHER]
+            cache.update(zip(some, self.encode_parts([w if w[:1] == " " else " " + w for w in some])))
+        return [b"".join(map(cache.__getitem__, words)) for words in split]
 
     def encode(self, text: str, end: bool = True) -> list[int]:
-        return np.frombuffer(self.encode_bytes(text)[0], np.int32).tolist() + [self.end] * end
+        return np.frombuffer(self.encode_all([text])[0], np.int32).tolist() + [self.end] * end
 
-    def encode_bytes(self, text: str) -> tuple[bytes, str]:
-        """(32-bit ids without the end id, decoded text) of a text."""
-        if not text:
-            return b"", ""
-        parts = [self.segments[x] for x in self.split(" " + text.replace(MARK, " "))]
-        return b"".join([p[0] for p in parts]), "".join([p[1] for p in parts])[1:]
+    def decode_all(self, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of the texts whose ids lie between the offsets."""
+        size, start = self.length[ids], self.start[ids]
+        first = offs[:-1][offs[:-1] < offs[1:]]  # a text's first space mark is not part of it
+        lead = first[self.spaced[ids[first]]]
+        size[lead] -= 1
+        start[lead] += 1
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return self.blob[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])], ends[offs]
 
     def decode(self, ids: list[int]) -> str:
-        text = self._joined(ids)
-        return text[1:] if text[:1] == " " else text
+        data, _ = self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))
+        return data.tobytes().decode("utf-8", "replace")
 
 
 def encode_and_decode(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,20 +250,20 @@ def encode_and_decode(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value)
-        end = np.array([codec.end], np.int32).tobytes()
+        end = np.int32(codec.end).tobytes()
         for batch in batches:
             for a, b, data, offs in text_chunks(batch.column(1)):
                 raw, offs = data.tobytes(), offs.tolist()
-                ids, decoded, ends = [], [], [0]
-                for x, y in zip(offs, offs[1:]):
-                    got, text = codec.encode_bytes(raw[x:y].decode("utf-8", "replace"))
-                    ids.append(got)
-                    ids.append(end)
-                    ends.append(ends[-1] + len(got) // 4 + 1)
-                    decoded.append(text)
-                values = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                coded = codec.encode_all([raw[x:y].decode("utf-8", "replace") for x, y in zip(offs, offs[1:])])
+                ids = np.frombuffer(end.join([*coded, b""]), np.int32)
+                ends = np.cumsum([0, *(len(c) // 4 + 1 for c in coded)])
+                text, text_ends = codec.decode_all(ids, ends)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(decoded, pa.string())],
+                    [
+                        batch.column(0).slice(a, b - a),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                        pa.StringArray.from_buffers(b - a, pa.py_buffer(text_ends.astype(np.int32)), pa.py_buffer(text)),
+                    ],
                     names=[id_col, "ids", "decoded"],
                 )
 
