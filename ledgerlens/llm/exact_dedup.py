@@ -112,14 +112,15 @@ def exact_groups(
 def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows whose id repeats, with all columns equal, kept once. Only rows of
     ids that do repeat are compared in full."""
-    repeated = docs.groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_rid"))
-    same = docs[id_col].eqNullSafe(F.col("_rid"))
+    repeated = docs.filter(docs[id_col].isNotNull()).groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_rid"))
+    same = docs[id_col] == F.col("_rid")
     return docs.join(repeated, same, "left_anti").unionByName(docs.join(repeated, same, "left_semi").distinct())
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that are exact copies of a row that stays;
-    same columns. Rows that repeat an id and its text stay once."""
+    same columns. Rows that repeat an id with all columns equal stay once, rows
+    without an id all stay: nothing tells which of them to drop."""
     docs = one_row_per_id(docs, id_col)
     dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("_rid"))
-    return docs.join(dropped.distinct(), docs[id_col].eqNullSafe(F.col("_rid")), "left_anti")
+    return docs.join(dropped.distinct(), docs[id_col] == F.col("_rid"), "left_anti")

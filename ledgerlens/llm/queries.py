@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, piece_codec, quality
+from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, piece_codec, quality
 from ledgerlens.llm.common import load
 
 #: Name of the SentencePiece model among the public tokenizers.
@@ -52,6 +52,10 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = language_id.train(docs, ~held_out(F.col("_id"), 3, 1))
@@ -80,4 +84,4 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(docs, carry={"text_sha256": F.sha2(exact_dedup.normalise(docs["text"]), 256)})
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op6_language, op7_licenses, op8_chat, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup)}
