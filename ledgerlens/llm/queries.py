@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, piece_codec, quality
+from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, piece_codec, quality, substring_exact
 from ledgerlens.llm.common import load
 
 #: Name of the SentencePiece model among the public tokenizers.
@@ -52,6 +52,17 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_exact.remove_repeats(load(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+    )
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
 
@@ -84,4 +95,4 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(docs, carry={"text_sha256": F.sha2(exact_dedup.normalise(docs["text"]), 256)})
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup)}
