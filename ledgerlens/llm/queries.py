@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, piece_codec, quality, substring_exact
+from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, passages, piece_codec, quality, substring_exact
 from ledgerlens.llm.common import load
 
 #: Name of the SentencePiece model among the public tokenizers.
@@ -95,4 +95,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(docs, carry={"text_sha256": F.sha2(exact_dedup.normalise(docs["text"]), 256)})
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup)}
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup, op10_passages)}
