@@ -132,4 +132,4 @@ def contaminated(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; same columns."""
     leaked = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_lid")).distinct()
-    return docs.join(leaked, docs[id_col] == F.col("_lid"), "left_anti")
+    return docs.join(leaked, docs[id_col] == leaked["_lid"], "left_anti")

@@ -113,7 +113,7 @@ def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows whose id repeats, with all columns equal, kept once. Only rows of
     ids that do repeat are compared in full."""
     repeated = docs.filter(docs[id_col].isNotNull()).groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_rid"))
-    same = docs[id_col] == F.col("_rid")
+    same = docs[id_col] == repeated["_rid"]
     return docs.join(repeated, same, "left_anti").unionByName(docs.join(repeated, same, "left_semi").distinct())
 
 
@@ -123,4 +123,5 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     without an id all stay: nothing tells which of them to drop."""
     docs = one_row_per_id(docs, id_col)
     dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("_rid"))
-    return docs.join(dropped.distinct(), docs[id_col] == F.col("_rid"), "left_anti")
+    dropped = dropped.distinct()
+    return docs.join(dropped, docs[id_col] == dropped["_rid"], "left_anti")

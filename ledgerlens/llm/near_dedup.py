@@ -296,4 +296,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each component; same columns. Rows
     without an id stay: nothing tells which of them to drop."""
     gone = near_duplicates(docs, id_col, text_col, **options).filter("NOT kept").select(F.col(id_col).alias("_nid")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_nid"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["_nid"], "left_anti")

@@ -126,20 +126,40 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     return weights / max(1, shards), bias / max(1, shards)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Per row: the id (or the columns ``keep``) and ``score``, 0 to 1. Whole
-    texts are read; a null or empty text has the score of the bias alone."""
+def score(
+    docs: DataFrame,
+    model: tuple[np.ndarray, float],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: list[str] | None = None,
+    score_col: str = "score",
+) -> DataFrame:
+    """Per row: the id (or the columns ``keep``) and ``score_col``, 0 to 1.
+    Whole texts are read; a null or empty text has the score of the bias alone.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights: 2 MB
     names = keep or [id_col]
-    rows = docs.select(docs[text_col].alias("_text"), *[docs[c] for c in names])
+    if score_col in names:
+        raise ValueError(f"{score_col} is a column already")
+    read = names if text_col in names else [*names, text_col]
+    at = read.index(text_col)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches):
         weights, bias = shared.value
         for batch in batches:
-            for a, b, data, offs in text_chunks(batch.column(0)):
+            for a, b, data, offs in text_chunks(batch.column(at)):
                 got = sigmoid(np.array([bias + weights[i] @ x for i, x in features(data, offs)]))
-                cols = [batch.column(k + 1).slice(a, b - a) for k in range(len(names))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(got)], names=[*names, "score"])
+                cols = [batch.column(k).slice(a, b - a) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(got)], names=[*names, score_col])
+
+    return docs.select(*[docs[c] for c in read]).mapInArrow(run, f"{schema}, `{score_col}` double")
+
 
-    return rows.mapInArrow(run, f"{schema}, score double")
+def drop_low_quality(docs: DataFrame, model: tuple[np.ndarray, float], least: float, text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that score under ``least``; same
+    columns."""
+    name = "quality_score"
+    while name in docs.columns:
+        name += "_"
+    return score(docs, model, text_col=text_col, keep=docs.columns, score_col=name).filter(F.col(name) >= least).drop(name)
