@@ -116,12 +116,10 @@ class KeyFilter:
                     schema=pa.schema([("piece", pa.int64()), ("marks", pa.binary())]),
                 )
 
-        pieces = keys.select(
-            F.shiftright(low, shift).alias("piece"), low.bitwiseAND(F.lit(_PIECE - 1)).alias("bit")
-        ).distinct()
+        pieces = keys.select(F.shiftright(low, shift).alias("piece"), low.bitwiseAND(F.lit(_PIECE - 1)).alias("bit"))
         full = np.zeros(bits // 8, np.uint8)
         # at most MAX_FILTER_BITS / 2**16 pieces of 8 KB
-        for r in clustered(pieces, ["piece"]).mapInArrow(piece, "piece long, marks binary").toLocalIterator():
+        for r in clustered(pieces, ["piece"]).mapInArrow(piece, "piece long, marks binary").collect():
             full[r["piece"] * (_PIECE // 8) : (r["piece"] + 1) * (_PIECE // 8)] = np.frombuffer(r["marks"], np.uint8)
         self.bits = bits
         self.shared = spark.sparkContext.broadcast(full)

@@ -14,8 +14,7 @@ Documents with equal sets are one class; all else works on classes.
   share of equal tokens, with a margin that a similar pair misses with less
   than 1e-7 probability, then by exact intersection of their full sets. Only
   links that join two components of the leaf are emitted, never all pairs.
-* The first tree runs alone and its components are found; the others skip what
-  it has joined. A pair that an earlier tree's leaf has compared is not
+* The first tree runs alone; the others skip what one of its leaves has joined. A pair that an earlier tree's leaf has compared is not
   compared anew.
 
 With similarity s, a pair meets in a tree's first node with probability s, so
@@ -215,8 +214,8 @@ def candidates(leaf: DataFrame, classes: DataFrame, done: DataFrame, threshold:
 
 
 def links(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v): links between members of a leaf that hold on the full sets, as
-    a spanning forest of the leaf's components."""
+    """(u, v): for each component of a leaf, by links that hold on the full
+    sets, its smallest member u and each other member v."""
     rows = found.join(sets, "key").select(
         "node", F.col("key.a").alias("a"), F.col("key.b").alias("b"), F.col("label.a").alias("la"), F.col("label.b").alias("lb"), "set"
     )
@@ -232,7 +231,7 @@ def links(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             mark = np.zeros(len(vocab), np.int32)
             names = {x: i for i, x in enumerate({(rows[k]["la"], rows[k]["lb"]) for k in keys})}
             comp = np.array([names[rows[k]["la"], rows[k]["lb"]] for k in keys])
-            out = []
+            linked = np.zeros(len(keys), bool)
             for i in range(len(keys) - 1):
                 j = np.arange(i + 1, len(keys))
                 small, large = np.minimum(n[j], n[i]), np.maximum(n[j], n[i])
@@ -248,7 +247,14 @@ def links(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 for k in j[100 * both >= percent * (n[i] + size - both)]:
                     if comp[k] != comp[i]:
                         comp[comp == comp[k]] = comp[i]
-                        out.append((*keys[i], *keys[k]))
+                        linked[i] = linked[k] = True
+            # members that came with one label are joined already; a linked
+            # one stands for them
+            out, least = [], {}
+            for i in np.flatnonzero(linked):
+                low = least.setdefault(comp[i], i)
+                if low != i:
+                    out.append((*keys[low], *keys[i]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b", "c", "d"])
 
@@ -279,10 +285,13 @@ def near_duplicates(
         first = leaf.filter("depth = 0").groupBy("key").agg(F.expr("bit_or(shiftleft(1L, tree))").alias("done"))
         done = written(first if done is None else done.unionByName(first).groupBy("key").agg(F.bit_or("done").alias("done")), "done")
         found = written(candidates(leaf, classes, done, threshold), "candidates")
-        wanted = found.select("key").distinct().join(classes.select("key", "rep"), "key")
+        wanted = written(found.select("key").distinct().join(classes.select("key", "rep"), "key"), "wanted")
         new = written(links(found, full_sets(docs, id_col, text_col, k, wanted), percent), "links")
         edges = new if edges is None else edges.unionByName(new)
-        labels = connected_components(edges).select(F.col("vertex").alias("key"), F.col("component").alias("label"))
+        # a class has one leaf in the first tree, or few: its smallest link there
+        ends = new.select(F.col("v").alias("key"), "u").unionByName(new.select(F.col("u").alias("key"), "u"))
+        labels = ends.groupBy("key").agg(F.min("u").alias("label"))
+    labels = connected_components(edges).select(F.col("vertex").alias("key"), F.col("component").alias("label"))
     joined = labels.join(classes.select("key", "rep"), "key")
     lowest = joined.groupBy("label").agg(F.min("rep").alias("low"))
     component = joined.join(lowest, "label").select("key", "low")

@@ -118,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     parts = sample.repartition(SHARDS, "shard").sortWithinPartitions("shard", "turn").mapInArrow(shard, "i long, w double")
     weights, bias, shards = np.zeros(BUCKETS), 0.0, 0
     # at most BUCKETS + 1 rows
-    for r in parts.groupBy("i").agg(F.sum("w").alias("w"), F.count("w").alias("n")).toLocalIterator():
+    for r in parts.groupBy("i").agg(F.sum("w").alias("w"), F.count("w").alias("n")).collect():
         if r["i"] == BUCKETS:
             bias, shards = r["w"], r["n"]
         else:
