@@ -225,7 +225,11 @@ class Codec:
     def decode_all(self, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, offsets) of the texts whose ids lie between the offsets."""
         size, start = self.length[ids], self.start[ids]
-        first = offs[:-1][offs[:-1] < offs[1:]]  # a text's first space mark is not part of it
+        # a text's first space mark is not part of it; control pieces before it are nothing
+        some = np.flatnonzero(size)
+        at = np.searchsorted(some, offs[:-1])
+        first = some[np.minimum(at, len(some) - 1)] if len(some) else some
+        first = first[(at < len(some)) & (first < offs[1:])] if len(some) else some
         lead = first[self.spaced[ids[first]]]
         size[lead] -= 1
         start[lead] += 1
