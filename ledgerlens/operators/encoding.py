@@ -1,78 +1,87 @@
-"""Categorical encodings: frequency index, one-hot vectors, dummy columns."""
+"""Categorical encodings: frequency index, sparse one-hot and dummy vectors.
+
+Real categories (function names, method ids) have no small bound, so nothing
+here has a column per category or brings the categories to the driver. Indices
+come from a table of value counts that is ranked in range partitions and joined
+back; one-hot and dummy vectors are sparse.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.prepare import q
+from ledgerlens.operators.scoring import materialize
 from ledgerlens.schema import ENCODED_COLS
 
+HASHED_DUMMIES = 16
+
 
-def fit_encoders(df: DataFrame, cols: list[str] = ENCODED_COLS, one_hot: bool = True) -> PipelineModel:
-    """Index each column by descending frequency (ties alphabetical; unseen
-    and NULL values get the last index) and optionally one-hot encode the
-    index (last category dropped, so unseen/NULL is the all-zero vector).
+def category_index(df: DataFrame, col: str) -> DataFrame:
+    """(value, index) of the non-NULL values of a column: 0 for the most
+    frequent, ties in alphabetical order.
 
-    Fitting aggregates value counts on the executors; only the label list
-    (one entry per distinct value) reaches the driver.
+    The values are counted with map-side combining, range-partitioned by
+    (count, value) and numbered in each partition; the partitions' offsets are
+    a table of one row per partition.
     """
-    stages = [
-        StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep", stringOrderType="frequencyDesc")
-        for c in cols
-    ]
-    if one_hot:
-        stages.append(
-            OneHotEncoder(
-                inputCols=[f"{c}_index" for c in cols],
-                outputCols=[f"{c}_onehot" for c in cols],
-                dropLast=True,
-            )
-        )
-    return Pipeline(stages=stages).fit(df)
-
-
-def onehot_columns(encoded: DataFrame, model: PipelineModel, cols: list[str] = ENCODED_COLS) -> list:
-    """One double column per one-hot position: ``<c>_onehot_<i>``."""
-    sizes = {}
-    for st in model.stages:
-        if isinstance(st, StringIndexerModel):
-            sizes[st.getInputCol()] = len(st.labelsArray[0])
-    out = []
+    counts = df.select(q(col).alias("value")).filter("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), F.asc("value")]
+    ranged = materialize(counts.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "categories")
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))  # a row per partition
+    own = Window.partitionBy("part").orderBy(*order)
+    numbered = ranged.withColumn("at", F.row_number().over(own) - 1).join(F.broadcast(offsets), "part")
+    return numbered.select("value", (F.col("first") + F.col("at")).alias("index"))
+
+
+def add_indices(df: DataFrame, cols: list[str] = ENCODED_COLS, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``<c>_index`` (double) for each column, from ``tables`` or counted on
+    ``df`` itself. Values that are NULL or not in the table get the number of
+    values in it. A frequent value's rows can be split by adaptive execution."""
+    out = df
     for c in cols:
-        arr = vector_to_array(q(f"{c}_onehot"))
-        out += [arr[i].alias(f"{c}_onehot_{i}") for i in range(sizes[c])]
+        table = materialize(tables[c] if tables else category_index(df, c), "index")
+        n = table.count()
+        table = table.select(F.col("value").alias("_value"), F.col("index").alias("_index"))
+        out = out.join(table, out[f"`{c}`"] == table["_value"], "left")
+        out = out.withColumn(f"{c}_index", F.coalesce("_index", F.lit(n)).cast("double")).drop("_value", "_index")
+        out = out.withColumn(f"{c}_categories", F.lit(n).cast("long"))
     return out
 
 
-def category_values(df: DataFrame, col: str, max_categories: int = 100) -> list[str]:
-    """Distinct non-NULL values of a categorical column, sorted; raises above
-    ``max_categories`` (dummy columns are one per value)."""
-    vals = [r[0] for r in df.select(q(col)).filter(q(col).isNotNull()).distinct().limit(max_categories + 1).collect()]
-    if len(vals) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} distinct values")
-    return sorted(vals)
-
-
-def add_dummies(
-    df: DataFrame,
-    cols: list[str] = ENCODED_COLS,
-    categories: dict[str, list[str]] | None = None,
-    max_categories: int = 100,
-    keep_original: bool = False,
-) -> DataFrame:
-    """``<c>_<value>`` 0/1 columns per category plus ``<c>_nan`` for NULL.
-    Pass ``categories`` to fix the schema independently of the data."""
-    categories = categories or {}
+def sparse_onehot(col: str) -> list[Column]:
+    """One-hot vector of an indexed column in sparse form: its size, and the
+    place of its only 1 (NULL for the zero vector of NULL and unseen values)."""
+    index, size = q(f"{col}_index").cast("long"), q(f"{col}_categories")
+    return [F.when(index < size, index).alias(f"{col}_onehot_at"), size.alias(f"{col}_onehot_size")]
+
+
+def sparse_dummies(cols: list[str] = ENCODED_COLS) -> list[Column]:
+    """Per column the name of its dummy that is 1 in a row, ``<c>_<value>`` or
+    ``<c>_nan`` for NULL; all its other dummies are 0."""
+    return [F.concat(F.lit(f"{c}_"), F.coalesce(q(c).cast("string"), F.lit("nan"))) for c in cols]
+
+
+def add_dummies(df: DataFrame, domains: dict[str, list[str]]) -> DataFrame:
+    """``<c>_<value>`` 0/1 columns for the fixed domain of each column, and
+    ``<c>_nan`` for NULL; the schema does not depend on the data."""
     new = {}
-    for c in cols:
-        vals = categories.get(c) or category_values(df, c, max_categories)
-        for v in vals:
-            new[f"{c}_{v}"] = (q(c) == F.lit(v)).cast("int")
-            new[f"{c}_{v}"] = F.coalesce(new[f"{c}_{v}"], F.lit(0))
+    for c, values in domains.items():
+        for v in values:
+            new[f"{c}_{v}"] = F.coalesce((q(c) == F.lit(v)).cast("int"), F.lit(0))
         new[f"{c}_nan"] = q(c).isNull().cast("int")
-    out = df.withColumns(new)
-    return out if keep_original else out.drop(*cols)
+    return df.withColumns(new)
+
+
+def add_hashed_dummies(df: DataFrame, cols: list[str] = ENCODED_COLS, buckets: int = HASHED_DUMMIES) -> DataFrame:
+    """``<c>_h<i>`` 0/1 columns: the hash bucket of the value, so that models
+    that need dense input take any number of categories. NULL has none."""
+    new = {}
+    for c in cols:
+        bucket = F.when(q(c).isNotNull(), F.pmod(F.xxhash64(q(c)), F.lit(buckets)))
+        for i in range(buckets):
+            new[f"{c}_h{i}"] = F.coalesce((bucket == i).cast("int"), F.lit(0))
+    return df.withColumns(new)

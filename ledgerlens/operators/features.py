@@ -12,27 +12,25 @@ and for the sender the rolling statistics of ``log1p(value)`` and
 ``log1p(gasPrice)`` over the preceding 7 days excluding the current second,
 their z-scores and the spike flags.
 
-Three interchangeable plans compute the same table:
-
-``window``     window aggregates over ``from`` then over ``to``: two hash
-               exchanges of the transaction rows, no joins. One address
-               ends up in one task.
-``join``       the aggregate + left-join form (eight joins back to the rows).
-``segmented``  the skew-safe plan. Rows are clustered by (address,
-               time segment) instead of by address, so a very active address
-               is spread over many tasks. Everything that crosses segment
-               boundaries is computed on a per-(address, segment) summary
-               table, which holds at most one row per active segment, and
-               joined back on (address, segment), the key the rows are
-               already clustered on. Still two exchanges of the rows.
-
-``auto`` (default) counts the rows of the busiest address first (one cheap
-aggregate) and takes ``window`` unless that address exceeds
-``hot_address_rows``, where it takes ``segmented``. Both give the same table
-(tested), so the choice only changes the physical plan.
+The table is made by one plan for every size of data (``segmented``). Rows
+are clustered by (address, time segment) instead of by address, so a very
+active address is spread over many tasks. Everything that crosses segment
+boundaries is computed on a per-(address, segment) summary table, which holds
+at most one row per active segment, and joined back on (address, segment), the
+key the rows are already clustered on. A 7-day frame is the end of its first
+segment, up to 167 full segments and the beginning of its last one; count, mean
+and squared deviation of these pieces are merged pairwise, which neither
+cancels on near-constant values nor depends on where segments end. Frames only
+grow within a segment, so time is linear in the rows of an address.
+
+``window`` (window aggregates by address) and ``join`` (the aggregate +
+left-join form) give the same table on small data; they are what tests compare
+with, and put all rows of an address into one task.
 
 NULL keys never get aggregate features (a NULL address or date matches no
-group), as with an equi-join.
+group), as with an equi-join. Rows without a time have each other as rolling
+frame, as a RANGE frame has it; they are spread over ``NULL_SEGMENTS``
+segments.
 """
 
 from __future__ import annotations
@@ -201,34 +199,42 @@ def _features_join(base: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _moment_cols(prefix: str, x: Column) -> dict[str, Column]:
-    """Aggregates whose sums combine across pieces: count, sum, sum of
-    squares, min and max of the non-NULL values of ``x``."""
-    return {
-        f"{prefix}_n": F.count(x),
-        f"{prefix}_s1": F.sum(x),
-        f"{prefix}_s2": F.sum(x * x),
-        f"{prefix}_mn": F.min(x),
-        f"{prefix}_mx": F.max(x),
-    }
+def _merged(a: Column, b: Column) -> Column:
+    """Two (n, mean, m2) structs as one: the means meet by their difference,
+    so equal values keep a squared deviation of exactly 0."""
+    n = a["n"] + b["n"]
+    delta = b["mean"] - a["mean"]
+    both = F.struct(
+        n.alias("n"),
+        (a["mean"] + delta * b["n"] / n).alias("mean"),
+        (a["m2"] + b["m2"] + delta * delta * a["n"] * b["n"] / n).alias("m2"),
+    )
+    return F.when(F.coalesce(a["n"], F.lit(0.0)) == 0, b).when(F.coalesce(b["n"], F.lit(0.0)) == 0, a).otherwise(both)
+
+
+def _moment_struct(x: Column, over=None) -> Column:
+    """(n, mean, m2) of the non-NULL values of ``x``, as an aggregate or over
+    a window."""
+    parts = [F.count(x), F.avg(x), F.var_pop(x), F.min(x), F.max(x)]
+    n, mean, var, low, high = parts if over is None else [p.over(over) for p in parts]
+    n = n.cast("double")
+    # sum / n of equal values may be off by a bit; their mean is the value
+    mean = F.when(low == high, low).otherwise(mean)
+    return F.struct(n.alias("n"), F.coalesce(mean, F.lit(0.0)).alias("mean"), (F.coalesce(var, F.lit(0.0)) * n).alias("m2"))
+
+
+def _no_values() -> Column:
+    return F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mean", "m2")])
 
 
-def _combine(pieces: list[str], prefix: str) -> dict[str, Column]:
-    """Mean and sample std from moment pieces. A frame whose min equals its
-    max has std exactly 0 (the sequential algorithm gives 0 there too)."""
-    n = sum((F.coalesce(q(f"{p}_{prefix}_n"), F.lit(0)) for p in pieces), F.lit(0))
-    s1 = sum((F.coalesce(q(f"{p}_{prefix}_s1"), F.lit(0.0)) for p in pieces), F.lit(0.0))
-    s2 = sum((F.coalesce(q(f"{p}_{prefix}_s2"), F.lit(0.0)) for p in pieces), F.lit(0.0))
-    mn = F.least(*[q(f"{p}_{prefix}_mn") for p in pieces])
-    mx = F.greatest(*[q(f"{p}_{prefix}_mx") for p in pieces])
-    mean = F.when(n > 0, s1 / n)
-    var = F.greatest(F.lit(0.0), (s2 - s1 * s1 / n) / (n - 1))
-    std = F.when(n < 2, F.lit(None).cast("double")).when(mn == mx, F.lit(0.0)).otherwise(F.sqrt(var))
-    return {"mean": mean, "std": std}
+def _mean_std(m: Column) -> dict[str, Column]:
+    """Mean and sample standard deviation of a (n, mean, m2) struct."""
+    return {"mean": F.when(m["n"] > 0, m["mean"]), "std": F.when(m["n"] > 1, F.sqrt(m["m2"] / (m["n"] - 1)))}
 
 
 NULL_KEY = "\u0000"  # stands for a NULL address inside the segmented plan
-NULL_SEG = -(1 << 40)  # segment of rows without a timestamp (sorts first)
+NULL_SEG = -(1 << 40)  # first segment of rows without a timestamp (they sort first)
+NULL_SEGMENTS = 64
 
 
 def _segment_side(
@@ -246,7 +252,10 @@ def _segment_side(
     rows = rows.withColumns(
         {
             "_k": F.coalesce(q(side), F.lit(NULL_KEY)),
-            "_seg": F.coalesce(F.floor(q("ts") / seg_seconds), F.lit(NULL_SEG)),
+            "_seg": F.coalesce(
+                F.floor(q("ts") / seg_seconds),
+                F.lit(NULL_SEG) + F.pmod(F.xxhash64(*(tb or [q("value")])), F.lit(NULL_SEGMENTS)),
+            ),
         }
     )
     part = [q("_k"), q("_seg")]
@@ -292,14 +301,8 @@ def _segment_side(
         old_g = F.when(~is_row, q("_sg"))
         cols["cur_rows"] = F.count(F.when(is_row, F.lit(1))).over(before)
         cols["old_rows"] = F.count(F.when(~is_row, F.lit(1))).over(after)
-        for name, col in _moment_cols("cur_v", cur_v).items():
-            cols[name] = col.over(before)
-        for name, col in _moment_cols("cur_g", cur_g).items():
-            cols[name] = col.over(before)
-        for name, col in _moment_cols("old_v", old_v).items():
-            cols[name] = col.over(after)
-        for name, col in _moment_cols("old_g", old_g).items():
-            cols[name] = col.over(after)
+        cols["cur_v"], cols["cur_g"] = _moment_struct(cur_v, before), _moment_struct(cur_g, before)
+        cols["old_v"], cols["old_g"] = _moment_struct(old_v, after), _moment_struct(old_g, after)
     windowed = data.withColumns(cols).filter(is_row)
 
     # one row per (address, segment): everything that crosses segments
@@ -312,9 +315,7 @@ def _segment_side(
         F.min(q("week_start")).alias("week_start"),
     ]
     if rolling:
-        moments = {**_moment_cols("v", q("log_value")), **_moment_cols("g", q("log_gasPrice"))}
-        for name, col in moments.items():
-            seg_aggs.append(col.alias(f"seg_{name}"))
+        seg_aggs += [_moment_struct(q("log_value")).alias("seg_v"), _moment_struct(q("log_gasPrice")).alias("seg_g")]
     # from the rows before the exchange: partial aggregation runs map-side, so
     # only one small record per (address, segment) and task is shuffled
     segs = rows.groupBy(*part).agg(*seg_aggs)
@@ -348,16 +349,24 @@ def _segment_side(
         F.try_divide(F.sum(q("seg_int_sum")).over(day), F.sum(q("seg_int_n")).over(day).cast("double")),
     )
     if rolling:
-        # full segments strictly between the first and the current one
+        # full segments strictly between the first and the current one; for
+        # rows without a time, all segments of such rows
         mid = in_order.rangeBetween(-(k - 1), -1)
-        feats["mid_rows"] = F.sum(q("seg_rows")).over(mid)
-        for pre in ("v", "g"):
-            feats[f"mid_{pre}_n"] = F.sum(q(f"seg_{pre}_n")).over(mid)
-            feats[f"mid_{pre}_s1"] = F.sum(q(f"seg_{pre}_s1")).over(mid)
-            feats[f"mid_{pre}_s2"] = F.sum(q(f"seg_{pre}_s2")).over(mid)
-            feats[f"mid_{pre}_mn"] = F.min(q(f"seg_{pre}_mn")).over(mid)
-            feats[f"mid_{pre}_mx"] = F.max(q(f"seg_{pre}_mx")).over(mid)
+        untimed = q("_seg") < NULL_SEG + NULL_SEGMENTS
+        piece = F.struct(q("seg_rows").alias("rows"), q("seg_v").alias("v"), q("seg_g").alias("g"))
+        feats["_pieces"] = F.when(untimed, F.collect_list(F.when(untimed, piece)).over(by_key)).otherwise(
+            F.collect_list(piece).over(mid)
+        )
     segs = segs.withColumns(feats)
+    if rolling:
+        segs = segs.withColumns(
+            {
+                "mid_rows": F.aggregate("_pieces", F.lit(0).cast("long"), lambda acc, p: acc + p["rows"]),
+                "mid_v": F.aggregate("_pieces", _no_values(), lambda acc, p: _merged(acc, p["v"])),
+                "mid_g": F.aggregate("_pieces", _no_values(), lambda acc, p: _merged(acc, p["g"])),
+            }
+        )
+        feats = {c: None for c in [*feats, "mid_rows", "mid_v", "mid_g"] if c != "_pieces"}
     keep = ["_k", "_seg", "seg_prev_last"] + list(feats)
     segs = segs.select(*[q(c) for c in keep])
 
@@ -374,17 +383,15 @@ def _segment_side(
             + F.coalesce(q("old_rows"), F.lit(0))
             + F.coalesce(q("mid_rows"), F.lit(0))
         )
-        v = _combine(["old", "mid", "cur"], "v")
-        g = _combine(["old", "mid", "cur"], "g")
-        new.update(
-            {
-                "rolling_value_mean": F.when(timed_row, v["mean"]),
-                "rolling_value_std": F.when(timed_row, v["std"]),
-                "rolling_gasPrice_mean": F.when(timed_row, g["mean"]),
-                "rolling_gasPrice_std": F.when(timed_row, g["std"]),
-                "rolling_tx_count": F.when(timed_row, count).otherwise(F.lit(0)).cast("long"),
-            }
-        )
+        # one column a step: nested, the merges would repeat their inputs
+        for x in ("v", "g"):
+            out = out.withColumn(f"old_{x}", _merged(q(f"old_{x}"), q(f"mid_{x}")))
+            out = out.withColumn(f"old_{x}", _merged(q(f"old_{x}"), q(f"cur_{x}")))
+            out = out.withColumn(f"old_{x}", F.when(timed_row, q(f"old_{x}")).otherwise(q(f"mid_{x}")))
+        for name, x in (("value", "v"), ("gasPrice", "g")):
+            both = _mean_std(q(f"old_{x}"))
+            new[f"rolling_{name}_mean"], new[f"rolling_{name}_std"] = both["mean"], both["std"]
+        new["rolling_tx_count"] = F.when(timed_row, count).otherwise(q("mid_rows")).cast("long")
     out = out.withColumns(new)
     drop = [c for c in out.columns if c.startswith(("cur_", "old_", "mid_", "_prev", "seg_"))]
     drop += ["_k", "_seg", "_kind", "_sv", "_sg"]
@@ -399,54 +406,19 @@ def _features_segmented(base: DataFrame, seg_seconds: int) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-HOT_ADDRESS_ROWS = 2_000_000  # rows one window task may hold for one address
-
-
-def busiest_address_rows(tx: DataFrame) -> int:
-    """Largest number of rows any single sender or receiver has. One scan:
-    each row yields its (side, address) pairs, counted with partial
-    aggregation map-side (one small row per address and task shuffled);
-    only the maximum reaches the driver."""
-    pairs = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("side"), q("from").alias("address")),
-            F.struct(F.lit(1).alias("side"), q("to").alias("address")),
-        )
-    )
-    per = (
-        tx.select(pairs.alias("p"))
-        .select("p.*")
-        .filter(q("address").isNotNull())
-        .groupBy("side", "address")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return int(per.agg(F.max("n")).first()[0] or 0)
-
-
-def choose_strategy(tx: DataFrame, hot_address_rows: int = HOT_ADDRESS_ROWS) -> str:
-    """"window" unless some address is too large for one task, then the
-    skew-safe "segmented" plan."""
-    return "segmented" if busiest_address_rows(tx) > hot_address_rows else "window"
-
-
 def build_features(
     tx: DataFrame,
-    strategy: str = "auto",
+    strategy: str = "segmented",
     segment_seconds: int = 3600,
-    hot_address_rows: int = HOT_ADDRESS_ROWS,
 ) -> DataFrame:
     """Feature table from prepared transactions with temporal columns.
 
-    ``strategy``: "auto" (default: measure the busiest address, then
-    "window" or "segmented"), "window", "join" or "segmented".
-    ``segment_seconds`` (plan "segmented") must divide one day; smaller
-    segments spread a hot address over more tasks at the price of a larger
-    summary table.
+    ``segment_seconds`` must divide one day; smaller segments spread a hot
+    address over more tasks at the price of a larger summary table.
+    ``strategy`` "window" or "join" takes a plan that tests compare with.
     """
     if 86400 % segment_seconds or W % segment_seconds:
         raise ValueError("segment_seconds must divide 86400")
-    if strategy == "auto":
-        strategy = choose_strategy(tx, hot_address_rows)
     base = with_value_logs(tx).withColumn("ts", F.unix_seconds(q("datetime")))
     if strategy == "window":
         df = _features_window(base)

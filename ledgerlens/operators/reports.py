@@ -189,7 +189,8 @@ def top_k_suspicious(labeled: DataFrame, k: int = 10, ascending: bool = False) -
 
 
 def most_suspicious_hash(labeled: DataFrame) -> DataFrame:
-    return labeled.agg(F.max_by(q("hash"), q("anomaly_score")).alias("hash"))
+    """Hash of the row with the highest score; of equals the largest hash."""
+    return labeled.agg(F.max(F.struct("anomaly_score", "hash")).alias("top")).select("top.hash")
 
 
 # --- address-level analytics ----------------------------------------------------
@@ -255,12 +256,19 @@ def value_distribution(tx: DataFrame) -> DataFrame:
     )
 
 
-def value_quantiles(tx: DataFrame, probs: list[float], accuracy: int = 10_000) -> DataFrame:
-    """Per sender approximate quantiles of the value (bounded-memory sketch,
-    merged across tasks, so a hot sender is never held in one buffer)."""
-    return tx.filter(q("from").isNotNull()).groupBy(q("from").alias("from_address")).agg(
-        F.percentile_approx(q("value"), probs, accuracy).alias("value_quantiles")
+QUANTILES = {"q25_value": 0.25, "median_value": 0.5, "q75_value": 0.75}
+
+
+def value_quantiles(tx: DataFrame, probs: dict[str, float] | None = None, accuracy: int = 10_000) -> DataFrame:
+    """Per sender quantiles of the value: observed values whose rank is off by
+    at most 1 / ``accuracy`` of the sender's rows (exact for senders with fewer
+    rows). The sketch is bounded and merged across tasks, so a hot sender is
+    never held in one buffer."""
+    probs = probs or QUANTILES
+    got = tx.filter(q("from").isNotNull()).groupBy(q("from").alias("from_address")).agg(
+        F.percentile_approx(q("value"), list(probs.values()), accuracy).alias("_q")
     )
+    return got.select("from_address", *[F.col("_q")[i].alias(c) for i, c in enumerate(probs)])
 
 
 def standardized_features(df: DataFrame, features: list[str]) -> DataFrame:

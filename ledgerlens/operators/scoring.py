@@ -85,6 +85,51 @@ def add_anomaly_score(
     return scored, feats
 
 
+def value_at_rank(vals: DataFrame, rank: int, n: int, max_collect: int, accuracy: int) -> float:
+    """The value at 0-based ``rank`` of the ``n`` values of column ``v``.
+
+    Each round takes two values a <= b that bracket the rank by
+    ``percentile_approx`` and counts the rows below, at, between and above
+    them. A rank that falls on a or b is answered at once; otherwise the search
+    goes on in the open interval that holds it. That interval holds neither a
+    nor b, so it always shrinks, ties or not. The last ``max_collect`` values
+    are fetched as a bounded top-k of the shorter tail.
+    """
+    sub, below, m = vals, 0, n
+    while m > max_collect:
+        share = (rank - below) / m
+        eps = 2.0 / accuracy
+        a, b = sub.agg(
+            F.percentile_approx("v", [max(0.0, share - eps), min(1.0, share + eps)], accuracy)
+        ).first()[0]
+        v = q("v")
+        c = sub.agg(
+            F.count(F.when(v < a, 1)).alias("lt"),
+            F.count(F.when(v == a, 1)).alias("at_a"),
+            F.count(F.when((v > a) & (v < b), 1)).alias("mid"),
+            F.count(F.when((v == b) & F.lit(b > a), 1)).alias("at_b"),
+            F.count(F.when(v > b, 1)).alias("gt"),
+        ).first()
+        r = rank - below
+        if r < c["lt"]:
+            sub, m = sub.filter(v < a), c["lt"]
+        elif r < c["lt"] + c["at_a"]:
+            return float(a)
+        elif r < c["lt"] + c["at_a"] + c["mid"]:
+            sub, m = sub.filter((v > a) & (v < b)), c["mid"]
+            below += c["lt"] + c["at_a"]
+        elif r < m - c["gt"]:
+            return float(b)
+        else:
+            sub = sub.filter(v > b)
+            below += m - c["gt"]
+            m = c["gt"]
+    r = rank - below
+    if m - r <= r + 1:
+        return float(sub.orderBy(F.desc("v")).limit(m - r).collect()[-1][0])
+    return float(sub.orderBy("v").limit(r + 1).collect()[-1][0])
+
+
 def exact_percentile(
     df: DataFrame,
     col: str,
@@ -94,60 +139,26 @@ def exact_percentile(
     n: int | None = None,
 ) -> float | None:
     """Exact continuous percentile (linear interpolation between the two
-    neighbouring ranks) of the non-NULL values of ``col``.
+    neighbouring ranks) of the non-NULL, non-NaN values of ``col``.
 
-    Distributed: ``percentile_approx`` brackets the wanted ranks, a count
-    verifies the bracket, and the search narrows to the bracket until at most
-    ``max_collect`` values remain; of those only the tail up to the wanted
-    rank is fetched, as a bounded top-k (at most half of them). Only scalars
-    and that bounded set reach the driver.
+    Distributed (see ``value_at_rank``); the upper neighbour is the same value
+    or the smallest one above it, which one aggregate tells. Only scalars and a
+    bounded set of values reach the driver.
     """
-    vals = df.select(q(col).cast("double").alias("v")).filter(q("v").isNotNull())
-    if n is None:  # the number of non-NULL values, unless already known
+    vals = df.select(q(col).cast("double").alias("v")).filter(q("v").isNotNull() & ~F.isnan("v"))
+    if n is None:  # the number of such values, unless already known
         n = vals.count()
     if n == 0:
         return None
     pos = (n - 1) * q_
     lo = math.floor(pos)
     frac = pos - lo
-    ranks = [lo, lo + 1] if frac > 0 and lo + 1 < n else [lo]
-    below, sub, m = 0, vals, n
-    eps = 2.0 / accuracy
-    while m > max_collect:
-        r_lo = max(0.0, (ranks[0] - below) / m - eps)
-        r_hi = min(1.0, (ranks[-1] - below) / m + eps)
-        a, b = sub.agg(F.percentile_approx("v", [r_lo, r_hi], accuracy)).first()[0]
-        c = sub.agg(
-            F.count(F.when(q("v") < a, 1)).alias("lt"),
-            F.count(F.when((q("v") >= a) & (q("v") <= b), 1)).alias("inside"),
-        ).first()
-        if not (below + c["lt"] <= ranks[0] and below + c["lt"] + c["inside"] > ranks[-1]):
-            eps *= 2
-            continue
-        if a == b:
-            return float(a)
-        if c["inside"] >= m:  # no progress: ties everywhere; widen the net
-            eps /= 2
-            if eps < 1.0 / (10 * m):
-                break
-            continue
-        below += c["lt"]
-        sub = sub.filter((q("v") >= a) & (q("v") <= b))
-        m = c["inside"]
-    # the wanted ranks inside ``sub`` (0-based, ascending); fetch only the
-    # shorter tail that reaches them, as a bounded top-k
-    r = [x - below for x in ranks]
-    if m - r[0] <= r[-1] + 1:
-        tail = [row[0] for row in sub.orderBy(F.desc("v")).limit(m - r[0]).collect()]
-        pick = {x: tail[m - 1 - x] for x in r}
-    else:
-        head = [row[0] for row in sub.orderBy("v").limit(r[-1] + 1).collect()]
-        pick = {x: head[x] for x in r}
-    lo_v = pick[r[0]]
-    if len(r) == 1:
-        return float(lo_v)
-    hi_v = pick[r[1]]
-    return float(lo_v + frac * (hi_v - lo_v))
+    low = value_at_rank(vals, lo, n, max_collect, accuracy)
+    if frac == 0:
+        return low
+    c = vals.agg(F.count(F.when(q("v") <= low, 1)).alias("le"), F.min(F.when(q("v") > low, q("v"))).alias("next")).first()
+    high = low if lo + 1 < c["le"] else c["next"]
+    return float(low + frac * (high - low))
 
 
 def score_threshold(
@@ -202,8 +213,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     the columns they need."""
     spark = SparkSession.getActiveSession() or df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize_features(features: DataFrame, name: str = "features") -> tuple[DataFrame, dict]:

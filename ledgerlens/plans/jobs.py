@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.features import build_features
 from ledgerlens.operators.prepare import clean_column_names, missing_columns, prepare_transactions
 from ledgerlens.operators.reports import predictions_view
-from ledgerlens.operators.scoring import label_summary, score_transactions
+from ledgerlens.operators.scoring import label_summary, materialize, score_transactions
 from ledgerlens.operators.temporal import add_temporal_features
 from ledgerlens.session import ensure_session
 from ledgerlens.sources import sinks
@@ -25,7 +25,7 @@ def feature_job(
     landing_path: str,
     features_path: str,
     rejects_path: str | None = None,
-    strategy: str = "auto",
+    multi_line: bool = False,
 ) -> dict:
     """Landed payloads -> feature table partitioned by date.
 
@@ -33,13 +33,14 @@ def feature_job(
     payloads (written to ``rejects_path`` when given).
     """
     ensure_session(spark)
-    valid, rejects = split_payloads(read_raw_payloads(spark, landing_path))
+    payloads = materialize(read_raw_payloads(spark, landing_path, multi_line), "payloads")  # JSON is parsed once
+    valid, rejects = split_payloads(payloads)
     if rejects_path:
         rejects.write.mode("overwrite").json(rejects_path)
     flat = clean_column_names(flatten_payloads(valid))
     missing = missing_columns(flat)
     tx = add_temporal_features(prepare_transactions(flat))
-    feats = clean_column_names(build_features(tx, strategy=strategy))
+    feats = clean_column_names(build_features(tx))
     sinks.write_partitioned(feats, features_path, partition_col="date")
     return {"missing_fields": missing, "rejected_payloads": rejects.count() if rejects_path else None}
 
@@ -61,9 +62,12 @@ def scoring_job(
     """
     ensure_session(spark)
     features = spark.read.parquet(features_path)
-    labeled, used, threshold = score_transactions(features)
+    labeled, used, threshold = score_transactions(features, persist=False)  # a table already
     sinks.write_predictions(labeled, predictions_path)
     stored = spark.read.parquet(predictions_path)
+    if "date" in features.columns:  # not the dates that earlier runs left there
+        days = features.select(F.col("date").alias("_day")).distinct()
+        stored = stored.join(days, stored["date"].eqNullSafe(days["_day"]), "left_semi")
     if report_path:
         ts = (run_ts or _dt.datetime.now(_dt.timezone.utc)).strftime("%Y-%m-%dT%H-%M-%S")
         sinks.write_csv(stored, f"{report_path}/predictions_{ts}")
@@ -75,6 +79,8 @@ def scoring_job(
 
 
 def daily_rejects(rejects: DataFrame) -> DataFrame:
-    """Rejected payloads per landing day (from the file path)."""
-    day = F.regexp_extract(F.col("source_file"), r"(\d{4})/(\d{2})/(\d{2})", 0)
+    """Rejected payloads per landing day, from the file path: folders
+    ``YYYY/MM/DD`` or ``year=YYYY/month=MM/day=DD``; NULL for other paths."""
+    part = [F.regexp_extract(F.col("source_file"), r"(?:year=)?(\d{4})/(?:month=)?(\d{2})/(?:day=)?(\d{2})/", i) for i in (1, 2, 3)]
+    day = F.when(part[0] != "", F.concat_ws("/", *part))
     return rejects.groupBy(day.alias("landing_day")).agg(F.count(F.lit(1)).alias("rejected"))

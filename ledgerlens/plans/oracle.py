@@ -5,7 +5,7 @@ GROUP BY + LEFT JOIN, the straightforward relational form of each query.
 
 from __future__ import annotations
 
-from ledgerlens.schema import FEATURE_COLS
+from ledgerlens.schema import FEATURE_COLS, THRESHOLD_PERCENTILE
 
 
 def r6(x: str) -> str:
@@ -561,9 +561,6 @@ FROM lab WHERE "from" IS NOT NULL GROUP BY 1""",
 }
 
 
-# Categories present in the parity tables (used for fixed-width encodings).
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-TIME_SLOT_VALUES = ["afternoon", "midnight", "morning", "night"]
 _ENC_COLS = ["methodId", "functionName", "time_slot"]
 
 
@@ -585,23 +582,43 @@ enc AS (
 
 
 def _onehot_sql() -> str:
-    sizes = {"methodId": len(EVENT_TYPES), "functionName": len(EVENT_TYPES), "time_slot": len(TIME_SLOT_VALUES)}
     cols = []
     for c in _ENC_COLS:
-        for i in range(sizes[c]):
-            cols.append(f"CASE WHEN {c}_index = {i} THEN 1.0 ELSE 0.0 END AS {c}_onehot_{i}")
+        size = f"(SELECT CAST(n AS BIGINT) FROM n_{c})"
+        cols.append(f"CASE WHEN {c}_index < {size} THEN CAST({c}_index AS BIGINT) END AS {c}_onehot_at")
+        cols.append(f"{size} AS {c}_onehot_size")
     return w(_index_ctes(), "SELECT hash, " + ", ".join(cols) + " FROM enc")
 
 
-def _dummies_sql() -> str:
-    cols = []
-    for c, vals in (("methodId", EVENT_TYPES), ("functionName", EVENT_TYPES), ("time_slot", TIME_SLOT_VALUES)):
-        for v in vals:
-            cols.append(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}")
-        cols.append(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {c}_nan")
-    return w(TX, "SELECT hash, " + ", ".join(cols) + " FROM tx")
-
-
 ORACLE["string_index"] = w(_index_ctes(), "SELECT hash, methodId_index, functionName_index, time_slot_index FROM enc")
 ORACLE["onehot_vector"] = _onehot_sql()
-ORACLE["onehot_dummies"] = _dummies_sql()
+ORACLE["onehot_dummies"] = w(
+    TX, "SELECT hash, " + ", ".join(f"'{c}_' || coalesce({c}, 'nan') AS {c}_dummy" for c in _ENC_COLS) + " FROM tx"
+)
+
+# Written and read back.
+ORACLE["predictions_table"] = w(
+    LABELED,
+    f"""SELECT hash, "from" AS from_address, "to" AS to_address, date,
+       {r6("anomaly_score")} AS anomaly_score, pred_label FROM lab""",
+)
+ORACLE["csv_roundtrip"] = w(TX, 'SELECT hash, "from" AS from_address, value, gasPrice, functionName, date FROM tx')
+ORACLE["anomalies_csv"] = w(LABELED, 'SELECT hash, "from" AS from_address, pred_label FROM lab WHERE pred_label = -1')
+ORACLE["catalog_table"] = w(TX, "SELECT date, count(*) AS n_tx, max(value) AS max_value FROM tx GROUP BY 1")
+ORACLE["run_metadata"] = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS feature, CAST({len(FEATURE_COLS)} AS BIGINT) AS num_features, "
+    f"CAST({THRESHOLD_PERCENTILE} AS DOUBLE) AS threshold_percentile"
+    for i, c in enumerate(FEATURE_COLS)
+)
+ORACLE["most_suspicious"] = w(LABELED, "SELECT hash FROM lab ORDER BY anomaly_score DESC NULLS LAST, hash DESC LIMIT 1")
+ORACLE["timestamp_parse"] = w(
+    TX,
+    """SELECT hash, CASE CAST(blockNumber AS BIGINT) % 4 WHEN 0 THEN datetime WHEN 1 THEN datetime
+       WHEN 2 THEN CAST(CAST(datetime AS DATE) AS TIMESTAMP) END AS parsed FROM tx""",
+)
+ORACLE["value_quantiles"] = w(
+    TX + """,
+v AS (SELECT "from", list_sort(list(value)) AS l, count(value) AS n FROM tx WHERE "from" IS NOT NULL GROUP BY 1)""",
+    """SELECT "from" AS from_address, l[CAST(ceil(0.25 * n) AS INT)] AS q25_value, l[CAST(ceil(0.5 * n) AS INT)] AS median_value,
+       l[CAST(ceil(0.75 * n) AS INT)] AS q75_value FROM v""",
+)

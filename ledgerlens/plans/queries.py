@@ -8,16 +8,17 @@ on summation order).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.scalar import landing_key, round6
+from ledgerlens.functions.scalar import landing_key, parse_timestamp, round6
 from ledgerlens.operators import reports as R
 from ledgerlens.operators.aggregates import activity_stats, daily_avg_interval
 from ledgerlens.operators.classifier import classifier_scores, fit_classifier, hash_split
-from ledgerlens.operators.encoding import add_dummies, fit_encoders, onehot_columns
+from ledgerlens.operators.encoding import add_hashed_dummies, add_indices, sparse_dummies, sparse_onehot
 from ledgerlens.operators.features import build_features
 from ledgerlens.operators.iforest import fit_isolation_forest, score_isolation_forest
 from ledgerlens.operators.prepare import clean_column_names, model_input, prepare_transactions, q
@@ -31,11 +32,12 @@ from ledgerlens.operators.scoring import (
     score_transactions,
 )
 from ledgerlens.operators.temporal import add_temporal_features
-from ledgerlens.schema import DEFAULT_TIME_SLOT, ENCODED_COLS, FEATURE_COLS, TIME_SLOTS
+from ledgerlens.schema import ENCODED_COLS, FEATURE_COLS
 from ledgerlens.session import ensure_session, scratch_dir
 from ledgerlens.sources.raw_json import flatten_payloads, payloads_from_tx, read_raw_payloads, split_payloads
-from ledgerlens.sources.sinks import write_landing, write_partitioned, landing_frame
-from ledgerlens.sources.tables import read_partitioned
+from ledgerlens.sources import sinks
+from ledgerlens.sources.sinks import landing_frame, write_landing, write_partitioned
+from ledgerlens.sources.tables import read_partitioned, register_parquet_table
 from ledgerlens.sources.testdata import load_raw_tx
 
 MIN_SCORE = 50.0  # dashboard minimum-score parameter used by the report queries
@@ -58,8 +60,8 @@ def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_temporal_features(prepare_transactions(load_raw_tx(spark, sf_dir)))
 
 
-def features(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
-    return build_features(tx(spark, sf_dir), strategy=strategy)
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_features(tx(spark, sf_dir))
 
 
 # columns the scored/labelled queries read: identifiers, the serving views'
@@ -70,9 +72,9 @@ SCORING_INPUT = ["hash", "from", "to", "blockNumber", "value", "datetime", "date
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table is written once to the shared checkpoint folder (as
-    the feature job writes it for the scoring job) and the global statistics
-    are observed during that write; the scored rows read the written
-    columnar table instead of recomputing the windows."""
+    the feature job writes it for the scoring job); the global statistics and
+    the scored rows read the written columnar table instead of recomputing the
+    windows."""
     feats, stats = materialize_features(features(spark, sf_dir).select(*[q(c) for c in SCORING_INPUT]))
     df, _ = add_anomaly_score(feats, stats=stats)
     return df
@@ -130,6 +132,50 @@ def feature_scan_pruned(spark, sf_dir):
     )
 
 
+def predictions_table(spark, sf_dir):
+    """Write the predictions partitioned by date and read them back."""
+    path = scratch_dir(spark, "predictions")
+    sinks.write_predictions(labeled(spark, sf_dir), path)
+    p = spark.read.parquet(path)
+    return p.select("hash", *_addr(p), "date", round6("anomaly_score").alias("anomaly_score"), "pred_label")
+
+
+def csv_roundtrip(spark, sf_dir):
+    """Write prepared transactions as CSV with a header and read them back
+    with a schema."""
+    t = tx(spark, sf_dir).select("hash", q("from").alias("from_address"), "value", "gasPrice", "functionName", "date")
+    path = scratch_dir(spark, "csv")
+    sinks.write_csv(t, path)
+    return spark.read.schema(t.schema).option("header", "true").csv(path)
+
+
+def anomalies_csv(spark, sf_dir):
+    """Write only the anomalous rows as CSV and read them back."""
+    lab = labeled(spark, sf_dir).select("hash", q("from").alias("from_address"), "pred_label")
+    path = scratch_dir(spark, "anomalies")
+    sinks.write_anomalies_csv(lab, path)
+    return spark.read.schema(lab.schema).option("header", "true").csv(path)
+
+
+def run_metadata(spark, sf_dir):
+    """Write a scoring run's metadata as JSON and read back its features."""
+    _, used, _ = score_transactions(features(spark, sf_dir).select(*[q(c) for c in SCORING_INPUT]))
+    path = scratch_dir(spark, "metadata")
+    sinks.write_run_metadata(sinks.run_metadata(spark, used), path)
+    m = spark.read.json(path)
+    return m.select(F.posexplode("feature_names").alias("position", "feature"), "num_features", "threshold_percentile")
+
+
+def catalog_table(spark, sf_dir):
+    """Write transactions partitioned by date, register the files as an
+    external table with its partitions, and query the table."""
+    t = tx(spark, sf_dir).select("hash", q("from").alias("from_address"), "value", "date")
+    path = scratch_dir(spark, "external")
+    write_partitioned(t, path, partition_col="date")
+    table = register_parquet_table(spark, f"ledgerlens_tx_{uuid.uuid4().hex}", path, ["date"])
+    return table.groupBy("date").agg(F.count(F.lit(1)).alias("n_tx"), F.max("value").alias("max_value"))
+
+
 def dashboard_scan(spark, sf_dir):
     v = view(spark, sf_dir)
     return v.select(
@@ -334,6 +380,23 @@ def top10_suspicious(spark, sf_dir):
 # --- dashboard reports -----------------------------------------------------------
 
 
+def most_suspicious(spark, sf_dir):
+    return R.most_suspicious_hash(labeled(spark, sf_dir))
+
+
+def timestamp_parse(spark, sf_dir):
+    """Timestamp texts in several forms, and texts that are none, parsed."""
+    t = tx(spark, sf_dir)
+    form = q("blockNumber").cast("long") % 4
+    text = (
+        F.when(form == 0, F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
+        .when(form == 1, F.date_format("datetime", "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(form == 2, F.date_format("datetime", "yyyy-MM-dd"))
+        .otherwise(F.concat(F.lit("block "), q("hash")))
+    )
+    return t.select("hash", parse_timestamp(text).alias("parsed"))
+
+
 def min_score_filter(spark, sf_dir):
     v = R.min_score_filter(view(spark, sf_dir), MIN_SCORE)
     return v.select("tx_hash", "from_address", round6("anomaly_score").alias("anomaly_score"), "fraud_flag")
@@ -371,6 +434,10 @@ def value_distribution(spark, sf_dir):
     return R.value_distribution(tx(spark, sf_dir))
 
 
+def value_quantiles(spark, sf_dir):
+    return R.value_quantiles(tx(spark, sf_dir))
+
+
 STANDARDIZED = ["log_value", "daily_avg_interval_from", "daily_avg_interval_to", "value_zscore"]
 
 
@@ -393,32 +460,25 @@ def address_risk(spark, sf_dir):
 
 
 def string_index(spark, sf_dir):
-    t = tx(spark, sf_dir)
-    model = fit_encoders(t, one_hot=False)
-    out = model.transform(t)
+    out = add_indices(tx(spark, sf_dir).select("hash", *ENCODED_COLS))
     return out.select("hash", *[f"{c}_index" for c in ENCODED_COLS])
 
 
 def onehot_vector(spark, sf_dir):
-    t = tx(spark, sf_dir)
-    model = fit_encoders(t)
-    out = model.transform(t)
-    return out.select("hash", *onehot_columns(out, model))
-
-
-TIME_SLOT_LABELS = sorted([label for _, _, label in TIME_SLOTS] + [DEFAULT_TIME_SLOT])
+    """One-hot vectors in sparse form: size and place of the 1."""
+    out = add_indices(tx(spark, sf_dir).select("hash", *ENCODED_COLS))
+    return out.select("hash", *[x for c in ENCODED_COLS for x in sparse_onehot(c)])
 
 
 def onehot_dummies(spark, sf_dir):
-    """Dummy columns; the time slot has a fixed domain, the other categories
-    come from the data (capped)."""
-    t = tx(spark, sf_dir).select("hash", *ENCODED_COLS)
-    return add_dummies(t, categories={"time_slot": TIME_SLOT_LABELS})
+    """Dummy variables in sparse form: per column, the dummy that is 1."""
+    t = tx(spark, sf_dir)
+    return t.select("hash", *[d.alias(f"{c}_dummy") for c, d in zip(ENCODED_COLS, sparse_dummies())])
 
 
 def _forest_input(spark, sf_dir):
     f = materialize(model_input(features(spark, sf_dir)), "model_input")
-    m = add_dummies(f, keep_original=True)
+    m = add_hashed_dummies(f)
     feats = [c for c in m.columns if c not in ("hash", "from", "to", *ENCODED_COLS)]
     return m, feats
 
@@ -506,4 +566,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "iforest_scores": iforest_scores,
     "iforest_top10": iforest_top10,
     "classifier_scores": classifier_scores_q,
+    "predictions_table": predictions_table,
+    "csv_roundtrip": csv_roundtrip,
+    "anomalies_csv": anomalies_csv,
+    "run_metadata": run_metadata,
+    "catalog_table": catalog_table,
+    "most_suspicious": most_suspicious,
+    "timestamp_parse": timestamp_parse,
+    "value_quantiles": value_quantiles,
 }

@@ -7,6 +7,7 @@ for partition coalescing, skew-join splitting and runtime broadcast choice.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -81,7 +82,34 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             )
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
         base = sc.getCheckpointDir()
-    return f"{base.rstrip('/')}/ledgerlens/{name}-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/ledgerlens/{sc.applicationId}"
+    if own not in _scratch:
+        _scratch.add(own)
+        atexit.register(_drop_at_exit, spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+_scratch: set[str] = set()
+
+
+def _drop_at_exit(spark: SparkSession, path: str) -> None:
+    try:
+        drop_path(spark, path)
+    except Exception:  # noqa: BLE001 - the session has ended; the folder is named by application
+        pass
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application. Results that read
+    them must have been used before. Runs by itself when Python ends."""
+    for path in [p for p in _scratch if p.endswith("/" + spark.sparkContext.applicationId)]:
+        drop_path(spark, path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked of Spark's own file system layer."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -21,18 +21,22 @@ def write_partitioned(
     cluster: bool = True,
     order_col: str | None = "hash",
     max_records_per_file: int | None = 5_000_000,
+    tasks_per_value: int = 8,
 ) -> None:
     """Parquet dataset partitioned by ``partition_col`` (Hive layout).
 
-    ``cluster`` range-partitions the rows by (partition value, ``order_col``)
-    before writing: each task then writes to a few date folders only, and a
-    large day is split over several tasks instead of landing in one. Overwrite
-    replaces only the partitions present in ``df`` (dynamic mode).
+    ``cluster`` hashes the rows by (partition value, ``order_col`` modulo
+    ``tasks_per_value``) before writing: each task then writes to a few date
+    folders only, and a large day is split over several tasks instead of landing
+    in one. A hash needs no pass over the input to sample it. Overwrite replaces
+    only the partitions present in ``df`` (dynamic mode).
     """
     out = df
     if cluster and partition_col in df.columns:
-        keys = [partition_col] + ([order_col] if order_col and order_col in df.columns else [])
-        out = df.repartitionByRange(*[F.col(f"`{k}`") for k in keys])
+        keys = [F.col(f"`{partition_col}`")]
+        if order_col and order_col in df.columns:
+            keys.append(F.pmod(F.xxhash64(F.col(f"`{order_col}`")), F.lit(tasks_per_value)))
+        out = df.repartition(*keys)
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))

@@ -5,9 +5,10 @@ schema; ``trigger(availableNow=True)`` processes whatever landed since the
 last run (the checkpoint remembers which files were seen) and stops, which
 is what a daily scheduled batch needs. Each micro-batch is flattened,
 prepared and appended to the transaction table, skipping hashes that are
-already there (a re-fetched address returns its old transactions too).
-Features are then recomputed in batch; the rolling and total features need
-the full history of an address, so there is no streaming state to keep.
+already there (a re-fetched address returns its old transactions too); only
+the date folders of the batch are read for that. Features are then recomputed
+in batch; the rolling and total features need the full history of an address,
+so there is no streaming state to keep.
 """
 
 from __future__ import annotations
@@ -16,22 +17,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.prepare import prepare_transactions, q
-from ledgerlens.schema import RAW_PAYLOAD_SCHEMA
-from ledgerlens.sources.raw_json import flatten_payloads, split_payloads
+from ledgerlens.session import path_exists
+from ledgerlens.sources.raw_json import CORRUPT, flatten_payloads, payload_schema, split_payloads
 
 
-def _append_new(table_path: str):
+def _append_new(table_path: str, rejects_path: str | None):
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        valid, _ = split_payloads(batch)
-        rows = prepare_transactions(flatten_payloads(valid)).dropDuplicates(["hash"])
-        try:
-            existing = spark.read.parquet(table_path).select("hash")
-            rows = rows.join(existing, "hash", "left_anti")
-        except Exception as e:  # first batch: the table does not exist yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-        rows.write.mode("append").parquet(table_path)
+        valid, rejects = split_payloads(batch)
+        if rejects_path:
+            rejects.write.mode("append").json(rejects_path)
+        day = F.to_date(F.timestamp_seconds(q("timeStamp").cast("long")))
+        rows = prepare_transactions(flatten_payloads(valid)).withColumn("date", day)
+        # a row without a hash is a repeat only if it is equal as a whole
+        named = rows.filter(q("hash").isNotNull()).dropDuplicates(["hash"])
+        rows = named.unionByName(rows.filter(q("hash").isNull()).distinct())
+        if path_exists(spark, table_path):
+            # a transaction has one date: only the batch's date folders are read
+            days = rows.select(q("date").alias("_day")).distinct()
+            stored = spark.read.schema(rows.schema).parquet(table_path)
+            stored = stored.join(days, stored["date"].eqNullSafe(days["_day"]), "left_semi")
+            old = stored.filter(q("hash").isNotNull()).select(q("hash").alias("_h"))
+            fresh = rows.filter(q("hash").isNotNull()).join(old, q("hash") == q("_h"), "left_anti")
+            rows = fresh.unionByName(rows.filter(q("hash").isNull()).exceptAll(stored.filter(q("hash").isNull())))
+        rows.write.mode("append").partitionBy("date").parquet(table_path)
 
     return write_batch
 
@@ -42,10 +51,16 @@ def ingest_new_payloads(
     table_path: str,
     checkpoint_path: str,
     max_files_per_trigger: int | None = None,
+    rejects_path: str | None = None,
+    multi_line: bool = False,
 ) -> None:
-    """Process every payload landed since the previous call, then return."""
+    """Process every payload landed since the previous call, then return. The
+    table is partitioned by date; rejected payloads, corrupt text included, are
+    appended to ``rejects_path``."""
     reader = (
-        spark.readStream.schema(RAW_PAYLOAD_SCHEMA)
+        spark.readStream.schema(payload_schema())
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", "true" if multi_line else "false")
         .option("recursiveFileLookup", "true")
         .option("mode", "PERMISSIVE")
     )
@@ -53,7 +68,7 @@ def ingest_new_payloads(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.json(landing_path)
     query = (
-        stream.writeStream.foreachBatch(_append_new(table_path))
+        stream.writeStream.foreachBatch(_append_new(table_path, rejects_path))
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()

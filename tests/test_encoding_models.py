@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.classifier import classifier_scores, fit_classifier, hash_split
-from ledgerlens.operators.encoding import add_dummies, fit_encoders, onehot_columns
+from ledgerlens.operators.encoding import add_dummies, add_hashed_dummies, add_indices, category_index, sparse_dummies, sparse_onehot
+from ledgerlens.operators.scoring import materialize
 from ledgerlens.operators.iforest import average_path_length, fit_isolation_forest, score_isolation_forest
 
 
@@ -14,33 +15,55 @@ def cats(spark):
 
 def test_string_index_frequency_then_alphabetical(spark):
     df = cats(spark)
-    out = fit_encoders(df, one_hot=False).transform(df)
+    out = add_indices(df)
     idx = {r["hash"]: (r["methodId_index"], r["functionName_index"]) for r in out.collect()}
     # methodId: b (2) -> 0, then a, c tie -> alphabetical; NULL -> last index 3
     assert idx["h1"][0] == 0.0 and idx["h2"][0] == 1.0 and idx["h4"][0] == 2.0 and idx["h5"][0] == 3.0
     assert idx["h4"][1] == 2.0  # NULL functionName -> number of labels
 
 
-def test_onehot_null_is_all_zeros(spark):
+def test_onehot_null_is_the_zero_vector(spark):
+    out = add_indices(cats(spark))
+    rows = {r["hash"]: r for r in out.select("hash", *sparse_onehot("methodId")).collect()}
+    assert rows["h1"]["methodId_onehot_at"] == 0 and rows["h1"]["methodId_onehot_size"] == 3
+    assert rows["h5"]["methodId_onehot_at"] is None
+
+
+def test_unseen_values_get_the_last_index(spark):
     df = cats(spark)
-    model = fit_encoders(df)
-    out = model.transform(df)
-    rows = {r["hash"]: r for r in out.select("hash", *onehot_columns(out, model)).collect()}
-    assert [rows["h1"][f"methodId_onehot_{i}"] for i in range(3)] == [1.0, 0.0, 0.0]
-    assert [rows["h5"][f"methodId_onehot_{i}"] for i in range(3)] == [0.0, 0.0, 0.0]
+    table = materialize(category_index(df.filter("hash <> 'h2'"), "methodId"), "table")
+    got = {r["hash"]: r["methodId_index"] for r in add_indices(df, ["methodId"], {"methodId": table}).collect()}
+    assert got == {"h1": 0.0, "h2": 2.0, "h3": 0.0, "h4": 1.0, "h5": 2.0}
+
+
+def test_many_categories(spark):
+    # every third row has one value, the others a value of their own
+    df = spark.range(150_000).select(
+        F.col("id").alias("hash"), F.when(F.col("id") % 3 == 0, "transfer").otherwise(F.concat(F.lit("f"), F.lpad(F.col("id").cast("string"), 7, "0"))).alias("functionName")
+    )
+    out = add_indices(df, ["functionName"]).select("hash", "functionName", *sparse_onehot("functionName"))
+    r = out.agg(F.min("functionName_onehot_size"), F.countDistinct("functionName_onehot_at"), F.max("functionName_onehot_at"), F.count("*")).first()
+    assert tuple(r) == (100_001, 100_001, 100_000, 150_000)
+    assert {x[0] for x in out.filter("functionName = 'transfer'").select("functionName_onehot_at").distinct().collect()} == {0}
+    assert out.filter("hash = 1").first()["functionName_onehot_at"] == 1  # ties in alphabetical order
+
+
+def test_sparse_dummies(spark):
+    d = sparse_dummies(["methodId", "time_slot"])
+    got = {r["hash"]: tuple(r)[1:] for r in cats(spark).select("hash", *d).collect()}
+    assert got["h1"] == ("methodId_b", "time_slot_night") and got["h5"] == ("methodId_nan", "time_slot_midnight")
 
 
-def test_dummies_with_nan_column(spark):
-    out = add_dummies(cats(spark), cols=["methodId"])
-    assert [c for c in out.columns if c.startswith("methodId")] == ["methodId_a", "methodId_b", "methodId_c", "methodId_nan"]
+def test_dummies_of_a_fixed_domain(spark):
+    out = add_dummies(cats(spark), {"methodId": ["a", "b", "c"]})
     r = out.filter(F.col("hash") == "h5").first()
     assert (r["methodId_a"], r["methodId_b"], r["methodId_c"], r["methodId_nan"]) == (0, 0, 0, 1)
 
 
-def test_dummies_cardinality_cap(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("methodId"))
-    with pytest.raises(ValueError):
-        add_dummies(df, cols=["methodId"], max_categories=10)
+def test_hashed_dummies(spark):
+    out = add_hashed_dummies(cats(spark), ["methodId"], buckets=4)
+    rows = {r["hash"]: [r[f"methodId_h{i}"] for i in range(4)] for r in out.collect()}
+    assert rows["h1"] == rows["h3"] and sum(rows["h1"]) == 1 and sum(rows["h5"]) == 0
 
 
 def test_average_path_length():

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.features import DERIVED_COLS, build_features, busiest_address_rows, choose_strategy
+from ledgerlens.operators.features import DERIVED_COLS, build_features
 from ledgerlens.plans import queries as Q
 from helpers import T0, tx_rows
 from conftest import SF0001, SF001
@@ -130,11 +130,40 @@ def test_window_plan_has_two_exchanges(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
-def test_auto_picks_segmented_for_hot_address(spark):
-    tx = tx_rows(spark, edge_rows())
-    assert busiest_address_rows(tx) == 63
-    assert choose_strategy(tx, hot_address_rows=50) == "segmented"
-    assert choose_strategy(tx, hot_address_rows=1000) == "window"
+def _compare(a, b, rel):
+    """Rows of two feature tables agree; floating columns to ``rel``."""
+    key = lambda r: r["hash"]
+    for x, y in zip(sorted(a.collect(), key=key), sorted(b.collect(), key=key), strict=True):
+        for c in DERIVED_COLS:
+            if isinstance(x[c], float) and y[c] is not None:
+                assert math.isclose(x[c], y[c], rel_tol=rel, abs_tol=rel), (x["hash"], c, x[c], y[c])
+            else:
+                assert x[c] == y[c], (x["hash"], c, x[c], y[c])
+
+
+def test_one_plan_agrees_on_null_times_and_addresses(spark):
+    rows = [{"f": "a" if i % 3 else None, "t": "b", "ts": None if i % 4 == 0 else T0 + i * 977, "v": 1.0 + i, "err": i % 2} for i in range(80)]
+    tx = tx_rows(spark, rows)
+    _compare(build_features(tx), build_features(tx, "window"), 1e-9)
+    untimed = [r for r in build_features(tx).collect() if r["datetime"] is None and r["from"] == "a"]
+    assert untimed and all(r["rolling_tx_count"] == len(untimed) for r in untimed)
+
+
+def test_one_plan_is_stable_on_near_constant_values(spark):
+    # whole frames of one gas price, small changes, and one outlier
+    rows = [{"f": "a", "t": "b", "ts": T0 + i * 1801, "v": 1e18 + (i % 5) * 1e12, "g": 2e10 if i < 100 else 2e10 + (i % 7) * 1e6} for i in range(200)]
+    rows.append({"f": "a", "t": "b", "ts": T0 + 200 * 1801, "v": 1e18, "g": 9e10})
+    tx = tx_rows(spark, rows)
+    one, window = build_features(tx), build_features(tx, "window")
+    cols = ["hash", "rolling_tx_count", "value_spike", "gasPrice_spike"]
+    assert one.select(cols).exceptAll(window.select(cols)).count() == 0
+    by = {r["hash"]: r for r in window.collect()}
+    for r in one.collect():
+        for c in ("rolling_value_std", "rolling_gasPrice_std", "rolling_value_mean", "rolling_gasPrice_mean"):
+            x, y = r[c], by[r["hash"]][c]
+            assert (x is None) == (y is None) and (x is None or math.isclose(x, y, abs_tol=1e-9))
+        if by[r["hash"]]["rolling_gasPrice_std"] == 0:
+            assert r["rolling_gasPrice_std"] == 0
 
 
 def test_output_columns(spark):

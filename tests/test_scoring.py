@@ -96,3 +96,23 @@ def test_score_transactions_and_summary(spark):
 def test_approx_method_is_available(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("anomaly_score"))
     assert score_threshold(df, method="approx") >= 970
+
+
+@pytest.mark.parametrize("shape", ["two", "equal", "tied_at_rank"])
+def test_percentile_ends_on_ties(spark, shape):
+    n = 400_000
+    v = {
+        "two": F.when(F.col("id") % 2 == 0, 1.0).otherwise(2.0),
+        "equal": F.lit(7.0),
+        "tied_at_rank": F.when(F.col("id") < 0.985 * n, F.col("id").cast("double")).otherwise(1e9),
+    }[shape]
+    df = spark.range(n).select(v.alias("v"))
+    want = {"two": 2.0, "equal": 7.0, "tied_at_rank": 1e9}[shape]
+    assert exact_percentile(df, "v", 0.99) == want
+    ends = {"two": 1.0, "equal": 7.0, "tied_at_rank": 0.0}[shape]
+    assert exact_percentile(df, "v", 0.0, max_collect=10) == ends
+
+
+def test_percentile_between_two_runs_of_ties(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 500, 1.0).otherwise(3.0).alias("v"))
+    assert exact_percentile(df, "v", 0.5, max_collect=5, accuracy=50) == pytest.approx(2.0)

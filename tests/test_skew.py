@@ -36,10 +36,9 @@ def test_segmented_spreads_a_hot_sender(spark):
         spark.conf.set("spark.sql.adaptive.enabled", prev)
 
 
-def test_auto_takes_segmented_and_results_match(spark):
+def test_results_match(spark):
     tx = skewed_tx(spark)
-    assert FT.choose_strategy(tx, hot_address_rows=1000) == "segmented"
     cols = ["hash", "rolling_tx_count", "interval_from", "daily_tx_count_from", "total_tx_count_from", "value_spike"]
     a = FT.build_features(tx, "window").select(*cols)
-    b = FT.build_features(tx, "auto", hot_address_rows=1000).select(*cols)
+    b = FT.build_features(tx).select(*cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -122,3 +122,67 @@ def test_parse_timestamp(spark):
     df = spark.createDataFrame([("2024-01-02 10:00:00",), ("2024-01-02",), ("not a time",), (None,)], "t string")
     got = [r[0] for r in df.select(parse_timestamp("t")).collect()]
     assert got[0] == dt.datetime(2024, 1, 2, 10) and got[1] == dt.datetime(2024, 1, 2) and got[2] is None and got[3] is None
+
+
+def test_payloads_keep_rows_with_null_keys(spark):
+    from ledgerlens.sources.raw_json import flatten_payloads, payloads_from_tx
+
+    rows = [("h1", "a", 1), ("h2", None, 1), ("h3", "a", None), (None, None, None), (None, None, None)]
+    raw = spark.createDataFrame(rows, "hash string, addr string, _t int")
+    p = payloads_from_tx(raw, ["addr", "_t"], max_rows=1)
+    assert sorted(str(r["hash"]) for r in flatten_payloads(p).collect()) == ["None", "None", "h1", "h2", "h3"]
+
+
+def test_corrupt_text_is_among_the_rejects(spark, tmp_dir):
+    from ledgerlens.plans.jobs import daily_rejects
+    from ledgerlens.sources.raw_json import read_raw_payloads, split_payloads
+
+    for day, body in (("year=2024/month=01/day=02", "{not json"), ("2024/01/03", '{"status": "0", "message": "NOTOK"}')):
+        os.makedirs(f"{tmp_dir}/{day}")
+        with open(f"{tmp_dir}/{day}/p.json", "w") as f:
+            f.write(body)
+    valid, rejects = split_payloads(read_raw_payloads(spark, tmp_dir))
+    assert valid.count() == 0
+    assert sorted(map(str, [r["_corrupt_record"] for r in rejects.collect()])) == ["None", "{not json"]
+    assert sorted((r["landing_day"], r["rejected"]) for r in daily_rejects(rejects).collect()) == [("2024/01/02", 1), ("2024/01/03", 1)]
+
+
+def test_multi_line_payloads(spark, tmp_dir):
+    from ledgerlens.sources.raw_json import flatten_payloads, read_raw_payloads
+
+    with open(f"{tmp_dir}/p.json", "w") as f:
+        f.write('{"status": "1",\n "message": "OK",\n "result": [{"hash": "h"}]}')
+    assert flatten_payloads(read_raw_payloads(spark, tmp_dir, multi_line=True)).first()["hash"] == "h"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from ledgerlens.session import scratch_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master, applicationId = "spark://head:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
+
+
+def test_scratch_is_dropped(spark):
+    from ledgerlens.operators.scoring import materialize
+    from ledgerlens.session import drop_scratch, path_exists, scratch_dir
+
+    t = materialize(spark.range(3), "gone")
+    path = t.inputFiles()[0].rsplit("/", 1)[0]
+    assert t.count() == 3 and path_exists(spark, path)
+    drop_scratch(spark)
+    assert not path_exists(spark, path) and "/ledgerlens/" in scratch_dir(spark, "x")

@@ -37,3 +37,19 @@ def test_incremental_ingest_dedupes_and_skips_bad_payloads(spark, tmp_dir):
 def test_touched_dates(spark):
     df = spark.createDataFrame([(float(T0),)], "timeStamp double")
     assert touched_dates(df).count() == 8
+
+
+def test_ingest_keeps_rejects_and_rows_without_a_hash(spark, tmp_dir):
+    landing, table, ckpt, bad = (os.path.join(tmp_dir, x) for x in ("landing", "tx", "ckpt", "bad"))
+    day = os.path.join(landing, "year=2024/month=01/day=01")
+    nameless = [{**tx(i), "hash": None} for i in (1, 1, 2)]
+    land(day, "p1.json", [tx(0), *nameless])
+    land(day, "bad.json", [], status="0")
+    with open(os.path.join(day, "corrupt.json"), "w") as f:
+        f.write("{no json")
+    ingest_new_payloads(spark, landing, table, ckpt, rejects_path=bad)
+    assert spark.read.parquet(table).count() == 3  # one row repeats as a whole
+    assert spark.read.json(bad).count() == 2
+    land(day, "p2.json", [tx(0), tx(9), *nameless])
+    ingest_new_payloads(spark, landing, table, ckpt, rejects_path=bad)
+    assert spark.read.parquet(table).count() == 4
