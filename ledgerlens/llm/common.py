@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import scratch_dir
+from ledgerlens.session import drop_path, scratch_dir
 
 #: Bytes of text handled by one numpy step; longer texts are steps of their own.
 CHUNK_BYTES = 1 << 20
@@ -29,6 +29,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``written`` made, once all that is made from it has
+    been written as well."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        drop_path(table.sparkSession, path)
+
+
 def string_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

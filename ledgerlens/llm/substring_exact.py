@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import KeyFilter, clustered, sorted_groups, string_buffer, text_chunks, written
+from ledgerlens.llm.common import KeyFilter, clustered, discard, sorted_groups, string_buffer, text_chunks, written
 from ledgerlens.llm.suffix_sort import suffix_array
 from ledgerlens.llm.textops import BYTE_VALUE, mix, span_hashes
 
@@ -161,8 +161,8 @@ class _Array:
 
 
 def repeated_windows(docs: DataFrame, text: str, length: int, hot_contexts: int) -> DataFrame:
-    """(a, b, lo, hi): by the key (a, b) of a text, runs of places where
-    windows begin that occur elsewhere too."""
+    """(a, b, runs): by the key (a, b) of a text, the runs (lo, hi) of places
+    where windows begin that occur elsewhere too, in order."""
     spark = docs.sparkSession
     keyed = docs.select(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), F.col(text).alias("t"))
 
@@ -244,8 +244,13 @@ def repeated_windows(docs: DataFrame, text: str, length: int, hot_contexts: int)
     twice = hot.groupBy("anchor", "g", "h").agg(F.sum("count").alias("n")).filter("n > 1").select("anchor", "g", "h")
     single = hot.join(twice, ["anchor", "g", "h"], "left_semi").select("anchor", "own", "lo", (F.col("lo") + 1).alias("hi"))
     runs = written(whole.unionByName(sorted_).unionByName(single), "runs")
+    discard(distinct)
     places = found.select("a", "b", "anchor", "own", "first").join(runs, ["anchor", "own"])
-    return places.select("a", "b", (F.col("first") + F.col("lo")).alias("lo"), (F.col("first") + F.col("hi")).alias("hi")).distinct()
+    places = places.select("a", "b", (F.col("first") + F.col("lo")).alias("lo"), (F.col("first") + F.col("hi")).alias("hi")).distinct()
+    by_text = written(places.groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("runs")), "removals")
+    discard(found)
+    discard(runs)
+    return by_text
 
 
 def remove_repeats(
@@ -263,9 +268,7 @@ def remove_repeats(
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     rows = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("_t"))
-    runs = repeated_windows(rows, "_t", length, hot_contexts)
-    by_text = runs.groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
-    by_text = written(by_text, "removals").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "runs")
+    by_text = repeated_windows(rows, "_t", length, hot_contexts).select(F.col("a").alias("_a"), F.col("b").alias("_b"), "runs")
     keyed = rows.select("_id", "_t", F.xxhash64("_t").alias("_x"), F.xxhash64(F.lit(1), "_t").alias("_y"))
     met = keyed.join(by_text, (F.col("_x") == F.col("_a")) & (F.col("_y") == F.col("_b")), "left").select("_id", "_t", "runs")
     id_type = docs.schema[id_col].dataType.simpleString()
