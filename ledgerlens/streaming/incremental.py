@@ -37,9 +37,11 @@ def _append_new(table_path: str, rejects_path: str | None):
             days = rows.select(q("date").alias("_day")).distinct()
             stored = spark.read.schema(rows.schema).parquet(table_path)
             stored = stored.join(days, stored["date"].eqNullSafe(days["_day"]), "left_semi")
-            old = stored.filter(q("hash").isNotNull()).select(q("hash").alias("_h"))
-            fresh = rows.filter(q("hash").isNotNull()).join(old, q("hash") == q("_h"), "left_anti")
-            rows = fresh.unionByName(rows.filter(q("hash").isNull()).exceptAll(stored.filter(q("hash").isNull())))
+            # one key for both kinds: the hash, or all fields of a row without
+            key = F.coalesce(q("hash"), F.sha2(F.to_json(F.struct(*[q(c) for c in sorted(rows.columns)])), 256))
+            old = stored.select(key.alias("_old"))
+            rows = rows.withColumn("_key", key)
+            rows = rows.join(old, rows["_key"] == old["_old"], "left_anti").drop("_key")
         rows.write.mode("append").partitionBy("date").parquet(table_path)
 
     return write_batch

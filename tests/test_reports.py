@@ -128,7 +128,7 @@ def test_value_quantiles_and_most_suspicious(spark):
     from helpers import T0, tx_rows
 
     tx = tx_rows(spark, [{"f": "a", "t": "b", "ts": T0 + i, "v": float(i)} for i in range(101)])
-    q = R.value_quantiles(tx, [0.5, 0.9]).first()
-    assert q["from_address"] == "a" and q["value_quantiles"] == [50.0, 90.0]
+    q = R.value_quantiles(tx, {"median": 0.5, "q90": 0.9}).first()
+    assert (q["from_address"], q["median"], q["q90"]) == ("a", 50.0, 90.0)
     scored = spark.createDataFrame([("x", 1.0), ("y", 9.0), ("z", 3.0)], "hash string, anomaly_score double")
     assert R.most_suspicious_hash(scored).first()["hash"] == "y"
