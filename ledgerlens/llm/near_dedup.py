@@ -145,7 +145,9 @@ def _branch(node: Column, which: int) -> Column:
 
 
 def leaves(classes: DataFrame, trees: range, labels: DataFrame | None, threshold: float, leaf_members: int) -> DataFrame:
-    """(node, tree, depth, key, label) of the leaves of some trees."""
+    """(node, tree, depth, key, label, n, sig) of the leaves of some trees.
+    The min-hashes join members once, after the nodes of a single member are
+    gone, and go down the tree with them."""
     known = classes.withColumn("label", F.col("key")) if labels is None else classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     roots = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.col("sig")[t]).alias("node")) for t in trees])
     members = known.select("key", "label", "n", F.explode(roots).alias("r")).select("r.tree", "r.node", "key", "label", "n")
@@ -157,8 +159,9 @@ def leaves(classes: DataFrame, trees: range, labels: DataFrame | None, threshold
             .filter("lo <> hi")
             .select("node", "size", "weight", ((F.col("size") > leaf_members) | (F.col("weight") > LEAF_SHINGLES)).alias("big"))
         )
-        mixed = written(members.join(stats, "node"), "nodes")
-        here = mixed.filter("NOT big").select("node", "tree", F.lit(depth).alias("depth"), "key", "label")
+        mixed = members.join(stats, "node")
+        mixed = written(mixed if depth else mixed.join(classes.select("key", "sig"), "key"), "nodes")
+        here = mixed.filter("NOT big").select("node", "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig")
         found = here if found is None else found.unionByName(here)
         big = mixed.filter("big")
         if not big.head(1):
@@ -168,17 +171,17 @@ def leaves(classes: DataFrame, trees: range, labels: DataFrame | None, threshold
             blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") * 2 / LEAF_SHINGLES)).cast("int")
             cut = big.withColumn("mine", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             cell = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-            return found.unionByName(cut.select(cell.alias("node"), "tree", F.lit(depth).alias("depth"), "key", "label"))
+            return found.unionByName(cut.select(cell.alias("node"), "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig"))
         second = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(1000)) < int(1000 * (1 / threshold - 1))
         child = lambda c: F.xxhash64("node", c, F.element_at("sig", c + 1))
         nodes = F.filter(F.array(child(_branch(F.col("node"), 1)), F.when(second, child(_branch(F.col("node"), 3)))), lambda x: x.isNotNull())
-        members = big.select("node", "tree", "key", "label", "n").join(classes.select("key", "sig"), "key").select("tree", F.explode(nodes).alias("node"), "key", "label", "n")
+        members = big.select("tree", F.explode(nodes).alias("node"), "key", "label", "n", "sig")
 
 
-def candidates(leaf: DataFrame, classes: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
+def candidates(leaf: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
     """(node, key, label) of leaf members that may have a link in their leaf.
     ``done`` has, by key, a bit for each tree whose first node was a leaf."""
-    rows = leaf.join(classes.select("key", "n", "sig"), "key").join(done, "key", "left")
+    rows = leaf.join(done, "key", "left")
     rows = rows.select(
         "node", "tree", F.col("key.a").alias("a"), F.col("key.b").alias("b"), F.col("label.a").alias("la"), F.col("label.b").alias("lb"),
         "n", F.coalesce("done", F.lit(0)).cast("long").alias("done"), "sig",
@@ -284,7 +287,7 @@ def near_duplicates(
         leaf = leaves(classes, part, labels, threshold, leaf_members)
         first = leaf.filter("depth = 0").groupBy("key").agg(F.expr("bit_or(shiftleft(1L, tree))").alias("done"))
         done = written(first if done is None else done.unionByName(first).groupBy("key").agg(F.bit_or("done").alias("done")), "done")
-        found = written(candidates(leaf, classes, done, threshold), "candidates")
+        found = written(candidates(leaf, done, threshold), "candidates")
         wanted = written(found.select("key").distinct().join(classes.select("key", "rep"), "key"), "wanted")
         new = written(links(found, full_sets(docs, id_col, text_col, k, wanted), percent), "links")
         edges = new if edges is None else edges.unionByName(new)
