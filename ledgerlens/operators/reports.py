@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import round6, wei_to_ether
+from ledgerlens.operators.scoring import materialize
 from ledgerlens.operators.prepare import q
 from ledgerlens.schema import ANOMALY_LABEL
 
@@ -129,6 +130,7 @@ def daily_trend(view: DataFrame) -> DataFrame:
         F.sum(flag).cast("bigint").alias("fraud_tx"),
         F.avg(q("anomaly_score")).alias("avg_score"),
     )
+    per_day = materialize(per_day, "per_day")  # read twice: one row per day
     span = per_day.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     # one row per day of the span: bounded by the number of days
     calendar = span.select(F.explode(F.sequence(q("lo"), q("hi"), F.expr("interval 1 day"))).alias("date"))
@@ -201,28 +203,39 @@ def address_profile(tx: DataFrame) -> DataFrame:
     distinct counterparties, active days, velocity (transactions per active
     day), mean time between sends, sender/receiver ratio."""
     secs = F.unix_seconds(q("datetime"))
-    sent = tx.filter(q("from").isNotNull()).groupBy(q("from").alias("address")).agg(
-        F.count(F.lit(1)).alias("sent_count"),
-        F.sum(q("value")).alias("sent_value"),
-        F.avg(q("value")).alias("avg_sent_value"),
-        F.count_distinct(q("to")).alias("unique_receivers"),
-        F.count(secs).alias("_timed"),
-        (F.max(secs) - F.min(secs)).alias("_span"),
+    # each row once for either side, in one scan; folded by (address, other,
+    # day) before the distinct counts
+    sides = F.array(
+        F.struct(q("from").alias("address"), q("to").alias("other"), F.lit(True).alias("sent")),
+        F.struct(q("to").alias("address"), q("from").alias("other"), F.lit(False).alias("sent")),
     )
-    received = tx.filter(q("to").isNotNull()).groupBy(q("to").alias("address")).agg(
-        F.count(F.lit(1)).alias("received_count"),
-        F.sum(q("value")).alias("received_value"),
-        F.count_distinct(q("from")).alias("unique_senders"),
+    rows = tx.select("date", q("value").alias("value"), secs.alias("secs"), F.explode(sides).alias("s"))
+    rows = rows.select("s.*", "date", "value", "secs").filter(q("address").isNotNull())
+    out, back = q("sent"), ~q("sent")
+    folded = rows.groupBy("address", "other", "date").agg(
+        F.count(F.when(out, 1)).alias("sent_n"),
+        F.count(F.when(back, 1)).alias("received_n"),
+        F.sum(F.when(out, q("value"))).alias("sent_sum"),
+        F.count(F.when(out, q("value"))).alias("sent_values"),
+        F.sum(F.when(back, q("value"))).alias("received_sum"),
+        F.count(F.when(out, q("secs"))).alias("timed"),
+        F.min(F.when(out, q("secs"))).alias("first"),
+        F.max(F.when(out, q("secs"))).alias("last"),
     )
-    sides = tx.select(q("from").alias("address"), q("to").alias("other"), "date").unionByName(
-        tx.select(q("to").alias("address"), q("from").alias("other"), "date")
-    ).filter(q("address").isNotNull())
-    activity = sides.groupBy("address").agg(
+    prof = folded.groupBy("address").agg(
+        F.sum("sent_n").alias("sent_count"),
+        F.sum("received_n").alias("received_count"),
+        F.sum("sent_sum").alias("sent_value"),
+        F.sum("received_sum").alias("received_value"),
+        F.try_divide(F.sum("sent_sum"), F.sum("sent_values")).alias("avg_sent_value"),
+        F.sum("timed").alias("_timed"),
+        (F.max("last") - F.min("first")).alias("_span"),
+        F.count_distinct(F.when(q("sent_n") > 0, q("other"))).alias("unique_receivers"),
+        F.count_distinct(F.when(q("received_n") > 0, q("other"))).alias("unique_senders"),
         F.count_distinct("other").alias("unique_counterparties"),
         F.count_distinct("date").alias("active_days"),
     )
-    prof = sent.join(received, "address", "full").join(activity, "address", "left")
-    n_tx = F.coalesce(q("sent_count"), F.lit(0)) + F.coalesce(q("received_count"), F.lit(0))
+    n_tx = q("sent_count") + q("received_count")
     return prof.select(
         "address",
         F.coalesce(q("sent_count"), F.lit(0)).cast("bigint").alias("sent_count"),
@@ -236,7 +249,7 @@ def address_profile(tx: DataFrame) -> DataFrame:
         q("active_days").cast("bigint").alias("active_days"),
         round6(F.try_divide(n_tx.cast("double"), q("active_days").cast("double"))).alias("tx_per_active_day"),
         round6(
-            F.try_divide(q("sent_count").cast("double"), q("received_count").cast("double"))
+            F.when(q("sent_count") > 0, F.try_divide(q("sent_count").cast("double"), q("received_count").cast("double")))
         ).alias("sender_receiver_ratio"),
         # mean gap between consecutive sends: the gaps telescope to last - first
         round6(F.try_divide(q("_span").cast("double"), (q("_timed") - 1).cast("double"))).alias(
@@ -272,7 +285,9 @@ def value_quantiles(tx: DataFrame, probs: dict[str, float] | None = None, accura
 
 
 def standardized_features(df: DataFrame, features: list[str]) -> DataFrame:
-    """Mean-imputed then standardised features (z against global stats)."""
+    """Mean-imputed then standardised features (z against global stats). The
+    columns are written once; statistics and rows read the written table."""
+    df = materialize(df.select(q("hash"), *[q(c) for c in features]), "standardize")
     stats_exprs = []
     for c in features:
         x = q(c).cast("double")
