@@ -3,8 +3,9 @@ follow-the-regularised-leader updates, scored as sparse dot products.
 
 Tokens are runs of letters and digits and runs of other characters, so marks
 glued to words count as tokens of their own. Single tokens and pairs of
-neighbours are hashed into ``BUCKETS`` features; a text's vector has the square
-roots of their shares, so its length is 1 whatever the text's length.
+neighbours are hashed into ``BUCKETS`` features, any token followed by itself,
+at once or after one other, into the same one; a text's vector has the square roots of their shares, so its
+length is 1 whatever the text's length.
 
 Training uses at most ``max_rows`` labelled rows (chosen by a hash of the id),
 dealt to ``SHARDS`` tasks that each run FTRL-proximal over their rows, several
@@ -31,6 +32,9 @@ SHARDS = 4
 #: FTRL-proximal: step, its decay, L1 and L2, passes over the rows.
 ALPHA, BETA, L1, L2, PASSES = 0.3, 1.0, 0.02, 0.1, 4
 
+#: Features of any token followed by itself, at once or after one other.
+REPEATED, ECHO = np.uint64(0x5EA7), 0x1EC40
+
 #: 0: white space, 1: letters and digits (all bytes of non-ASCII characters
 #: included), 2: other characters.
 _KIND = np.full(256, 2, np.uint8)
@@ -55,10 +59,13 @@ def features(data: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, n
     else:
         words, first = np.empty(0, np.uint64), np.zeros(len(offs), np.int64)
     pairs = mix(words[:-1] * WORD_MULT[0] + words[1:] * WORD_MULT[1]) if len(words) else words
+    pairs[words[:-1] == words[1:]] = REPEATED
     low = np.uint64(BUCKETS - 1)
     one, two = (words & low).astype(np.int32), (pairs & low).astype(np.int32)
+    again = np.concatenate([[0], np.cumsum(words[:-2] == words[2:])])
     for a, b in zip(first[:-1], first[1:]):
-        idx, count = np.unique(np.concatenate([one[a:b], two[a : max(a, b - 1)]]), return_counts=True)
+        echoes = np.full(again[max(a, b - 2)] - again[a] if b - a > 2 else 0, ECHO, np.int32)
+        idx, count = np.unique(np.concatenate([one[a:b], two[a : max(a, b - 1)], echoes]), return_counts=True)
         yield idx, np.sqrt(count / max(1, count.sum()))
 
 
