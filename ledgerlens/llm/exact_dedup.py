@@ -111,8 +111,10 @@ def exact_groups(
 
 def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows whose id repeats, with all columns equal, kept once. Only rows of
-    ids that do repeat are compared in full."""
+    ids that do repeat are compared in full; without any, ``docs`` itself."""
     repeated = docs.filter(docs[id_col].isNotNull()).groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_rid"))
+    if not repeated.head(1):
+        return docs
     same = docs[id_col] == repeated["_rid"]
     return docs.join(repeated, same, "left_anti").unionByName(docs.join(repeated, same, "left_semi").distinct())
 
