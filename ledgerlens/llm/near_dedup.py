@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import KeyFilter, clustered, sorted_groups, text_chunks, written
+from ledgerlens.llm.common import KeyFilter, clustered, discard, sorted_groups, text_chunks, written
 from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.textops import mix, shingle_hashes, word_hashes
 
@@ -144,14 +144,17 @@ def _branch(node: Column, which: int) -> Column:
     return F.pmod(F.xxhash64(node, F.lit(which)), F.lit(COORDINATES)).cast("int")
 
 
-def leaves(classes: DataFrame, trees: range, labels: DataFrame | None, threshold: float, leaf_members: int) -> DataFrame:
-    """(node, tree, depth, key, label, n, sig) of the leaves of some trees.
+def leaves(
+    classes: DataFrame, trees: range, labels: DataFrame | None, threshold: float, leaf_members: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """(node, tree, depth, key, label, n, sig) of the leaves of some trees, and
+    the written tables they are read from.
     The min-hashes join members once, after the nodes of a single member are
     gone, and go down the tree with them."""
     known = classes.withColumn("label", F.col("key")) if labels is None else classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     roots = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.col("sig")[t]).alias("node")) for t in trees])
     members = known.select("key", "label", "n", F.explode(roots).alias("r")).select("r.tree", "r.node", "key", "label", "n")
-    found, depth = None, 0
+    found, depth, tables = None, 0, []
     while True:
         stats = (
             members.groupBy("node")
@@ -161,17 +164,19 @@ def leaves(classes: DataFrame, trees: range, labels: DataFrame | None, threshold
         )
         mixed = members.join(stats, "node")
         mixed = written(mixed if depth else mixed.join(classes.select("key", "sig"), "key"), "nodes")
+        tables.append(mixed)
         here = mixed.filter("NOT big").select("node", "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig")
         found = here if found is None else found.unionByName(here)
         big = mixed.filter("big")
         if not big.head(1):
-            return found
+            return found, tables
         depth += 1
         if depth > MAX_DEPTH:
             blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") * 2 / LEAF_SHINGLES)).cast("int")
             cut = big.withColumn("mine", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             cell = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-            return found.unionByName(cut.select(cell.alias("node"), "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig"))
+            cells = cut.select(cell.alias("node"), "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig")
+            return found.unionByName(cells), tables
         second = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(1000)) < int(1000 * (1 / threshold - 1))
         child = lambda c: F.xxhash64("node", c, F.element_at("sig", c + 1))
         nodes = F.filter(F.array(child(_branch(F.col("node"), 1)), F.when(second, child(_branch(F.col("node"), 3)))), lambda x: x.isNotNull())
@@ -280,14 +285,18 @@ def near_duplicates(
     gives an empty result.
     """
     threshold = percent / 100
-    sigs = written(signatures(docs, id_col, text_col, k), "signatures")
-    classes = written(sigs.filter("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), "classes")
+    full = written(signatures(docs, id_col, text_col, k), "signatures")
+    classes = written(full.filter("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), "classes")
+    sigs = written(full.select("id", "n", "key"), "rows")
+    discard(full)
     labels = edges = done = None
     for part in (range(0, 1), range(1, trees)):
-        leaf = leaves(classes, part, labels, threshold, leaf_members)
+        leaf, tables = leaves(classes, part, labels, threshold, leaf_members)
         first = leaf.filter("depth = 0").groupBy("key").agg(F.expr("bit_or(shiftleft(1L, tree))").alias("done"))
         done = written(first if done is None else done.unionByName(first).groupBy("key").agg(F.bit_or("done").alias("done")), "done")
         found = written(candidates(leaf, done, threshold), "candidates")
+        for table in tables:
+            discard(table)
         wanted = written(found.select("key").distinct().join(classes.select("key", "rep"), "key"), "wanted")
         new = written(links(found, full_sets(docs, id_col, text_col, k, wanted), percent), "links")
         edges = new if edges is None else edges.unionByName(new)
