@@ -41,11 +41,11 @@ from ledgerlens.llm.common import text_chunks
 
 MARK = "▁"
 #: Parts in a generation of the cache; two generations are held.
-CACHE = 200_000
+CACHE = 100_000
 #: Slots for pair checks; a slot holds one pair, a newer one replaces it.
 PAIR_SLOTS = 1 << 20
-#: Parts that are encoded together.
-TOGETHER = 8_192
+#: Parts that are encoded together, and parts times the length of the longest.
+TOGETHER, CELLS = 8_192, 1 << 20
 
 
 def read_vocabulary(model_path: str) -> dict:
@@ -214,8 +214,10 @@ class Codec:
                 else:
                     new.append(w)
         new.sort(key=len)  # parts of like length end their search together
-        for k in range(0, len(new), TOGETHER):
-            some = new[k : k + TOGETHER]
+        while new:
+            # the longest left, and as many others as fit
+            some = new[-max(1, min(TOGETHER, CELLS // (len(new[-1]) + 1))) :]
+            del new[-len(some) :]
             cache.update(zip(some, self.encode_parts([w if w[:1] == " " else " " + w for w in some])))
         return [b"".join(map(cache.__getitem__, words)) for words in split]
 
