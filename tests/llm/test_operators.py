@@ -193,6 +193,47 @@ def test_compact_windows_are_all_windows():
                 assert h[of[t, i, j]] == h[i : j + 1].min()
 
 
+def test_pair_windows_are_all_common_runs():
+    rng = np.random.default_rng(3)
+    s = rng.integers(0, 60, 160, dtype=np.uint64)
+    first = np.array([0, 70, 70, 160])
+    salts = np.uint64(5), np.uint64(9)
+    made = [passages.compact_windows(s, first, 7, salt)[1:] for salt in salts]
+    i, j = passages.pair_windows(*made, 7)
+    want = set()
+    for t in range(3):
+        for x in range(first[t], first[t + 1]):
+            for y in range(x + 7, first[t + 1] + 1):
+                want.add(tuple(next(n for n, (a, c, b) in enumerate(zip(*w)) if a <= x <= c < y <= b + 1) for w in made))
+    assert sorted(zip(i.tolist(), j.tolist())) == sorted(want)
+
+
+def test_windows_of_repeated_lines_are_few():
+    s = np.tile(np.arange(1, 9, dtype=np.uint64), 1000)
+    assert len(passages.compact_windows(s, np.array([0, len(s)]), 46, np.uint64(5))[0]) < 4 * len(s) / 46
+
+
+def frequent_lines(rng, pairs):
+    """Pairs of texts that share a passage of 51 words made of lines; each line
+    stands in many other texts."""
+    lines = [prose(rng, 17, 10**6) for _ in range(12)]
+    rows = [(1000 + i, prose(rng, 60, 10**6) + " " + lines[i % 12] + " " + prose(rng, 60, 10**6)) for i in range(240)]
+    for i in range(pairs):
+        passage = " ".join(rng.sample(lines, 3))
+        rows += [(2 * i + z, prose(rng, 55, 10**6) + " " + passage + " " + prose(rng, 55, 10**6)) for z in range(2)]
+    return rows
+
+
+def test_passages_of_frequent_lines(spark):
+    rows = frequent_lines(random.Random(11), 40)
+    covered = {}
+    for r in passages.near_passages(frame(spark, rows)).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.first_word, r.last_word))
+    want = brute.repeated_words(rows)
+    assert len(want) >= 80
+    assert {i for i, places in want.items() if places - covered.get(i, set())} == set()
+
+
 # 1 ---------------------------------------------------------------------------
 
 
