@@ -234,6 +234,22 @@ def test_passages_of_frequent_lines(spark):
     assert {i for i, places in want.items() if places - covered.get(i, set())} == set()
 
 
+def test_passage_in_a_group_without_any(spark):
+    """Two texts share a passage that lies around a line of many other texts."""
+    rng = random.Random(12)
+    line = prose(rng, 34, 10**6)
+    rows = [(i, prose(rng, 60, 10**6) + " " + line + " " + prose(rng, 60, 10**6)) for i in range(150)]
+    for i in range(20):
+        passage = prose(rng, 10, 10**6) + " " + line + " " + prose(rng, 10, 10**6)
+        rows += [(1000 + 2 * i + z, prose(rng, 60, 10**6) + " " + passage + " " + prose(rng, 60, 10**6)) for z in range(2)]
+    covered = {}
+    for r in passages.near_passages(frame(spark, rows)).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.first_word, r.last_word))
+    want = brute.repeated_words(rows)
+    assert len(want) == 40
+    assert {i for i, places in want.items() if places - covered.get(i, set())} == set()
+
+
 # 1 ---------------------------------------------------------------------------
 
 
