@@ -6,10 +6,9 @@ Documents with equal sets are one class; all else works on classes.
 * A class has ``COORDINATES`` min-hashes: the tokens that stand for its set.
 * ``TREES`` independent trees start with one token each. Classes that share a
   node's tokens are its members. A node is dropped when its members are known
-  to be one component already; it is a leaf when it is small; else its members
-  branch by another token, and with some chance by a second one, so that a node
-  has 1 / threshold children in the mean and similar pairs stay together in one
-  of them.
+  to be one component already; it is a leaf when it is small; one of up to
+  ``MANY`` leaves' members, or of few members with many shingles, is compared
+  in pairs of blocks at once; else its members branch by two other tokens.
 * In a leaf, members are compared exhaustively: first by length and by the
   share of equal tokens, with a margin that a similar pair misses with less
   than 1e-7 probability, then by exact intersection of their full sets. Only
@@ -18,9 +17,10 @@ Documents with equal sets are one class; all else works on classes.
   compared anew.
 
 With similarity s, a pair meets in a tree's first node with probability s, so
-ten trees miss a pair at the threshold 0.85 with probability 6e-9; in nodes that
-branch the chance per tree falls slowly with the depth. Nodes still too large
-at ``MAX_DEPTH`` are compared exhaustively in pairs of blocks.
+ten trees miss a pair at the threshold 0.85 with probability 6e-9. In nodes that
+branch, a pair stays together in 2 s > 1 children in the mean, so the chance that
+none of them keeps it does not grow to 1 with the depth. Nodes still too large at
+``MAX_DEPTH`` are compared exhaustively in pairs of blocks.
 
 Full sets are fetched for members with a candidate only: a second pass over the
 texts computes them again, behind a key filter of bounded size.
@@ -44,8 +44,9 @@ TREES = 10
 #: A node is a leaf up to so many members, and shingles of all of them.
 LEAF_MEMBERS = 1024
 LEAF_SHINGLES = 1 << 21
-MAX_DEPTH = 24
-#: Members of a block at MAX_DEPTH.
+MANY = 8
+MAX_DEPTH = 8
+#: Members of a block.
 BLOCK = 512
 
 _RNG = np.random.default_rng(85)
@@ -140,12 +141,14 @@ def _joined(run, size: int = 256):
     return out
 
 
-def _branch(node: Column, which: int) -> Column:
-    return F.pmod(F.xxhash64(node, F.lit(which)), F.lit(COORDINATES)).cast("int")
+def _branches(node: Column) -> list[Column]:
+    """Two different coordinates."""
+    one = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES)).cast("int")
+    return [one, F.pmod(one + 1 + F.pmod(F.xxhash64(node, F.lit(3)), F.lit(COORDINATES - 1)), F.lit(COORDINATES)).cast("int")]
 
 
 def leaves(
-    classes: DataFrame, trees: range, labels: DataFrame | None, threshold: float, leaf_members: int
+    classes: DataFrame, trees: range, labels: DataFrame | None, leaf_members: int
 ) -> tuple[DataFrame, list[DataFrame]]:
     """(node, tree, depth, key, label, n, sig) of the leaves of some trees, and
     the written tables they are read from.
@@ -161,26 +164,23 @@ def leaves(
             .agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("label").alias("lo"), F.max("label").alias("hi"))
             .filter("lo <> hi")
             .select("node", "size", "weight", ((F.col("size") > leaf_members) | (F.col("weight") > LEAF_SHINGLES)).alias("big"))
+            .withColumn("branch", F.col("size") > (MANY * leaf_members if depth < MAX_DEPTH else 2**62))
         )
         mixed = members.join(stats, "node")
         mixed = written(mixed if depth else mixed.join(classes.select("key", "sig"), "key"), "nodes")
         tables.append(mixed)
         here = mixed.filter("NOT big").select("node", "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig")
         found = here if found is None else found.unionByName(here)
-        big = mixed.filter("big")
-        if not big.head(1):
+        blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") * 2 / LEAF_SHINGLES)).cast("int")
+        cut = mixed.filter("big AND NOT branch").withColumn("mine", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        cell = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
+        found = found.unionByName(cut.select(cell.alias("node"), "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig"))
+        large = mixed.filter("branch")
+        if not large.head(1):
             return found, tables
         depth += 1
-        if depth > MAX_DEPTH:
-            blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") * 2 / LEAF_SHINGLES)).cast("int")
-            cut = big.withColumn("mine", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            cell = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-            cells = cut.select(cell.alias("node"), "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig")
-            return found.unionByName(cells), tables
-        second = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(1000)) < int(1000 * (1 / threshold - 1))
-        child = lambda c: F.xxhash64("node", c, F.element_at("sig", c + 1))
-        nodes = F.filter(F.array(child(_branch(F.col("node"), 1)), F.when(second, child(_branch(F.col("node"), 3)))), lambda x: x.isNotNull())
-        members = big.select("tree", F.explode(nodes).alias("node"), "key", "label", "n", "sig")
+        nodes = F.array(*[F.xxhash64("node", c, F.element_at("sig", c + 1)) for c in _branches(F.col("node"))])
+        members = large.select("tree", F.explode(nodes).alias("node"), "key", "label", "n", "sig")
 
 
 def candidates(leaf: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
@@ -291,7 +291,7 @@ def near_duplicates(
     discard(full)
     labels = edges = done = None
     for part in (range(0, 1), range(1, trees)):
-        leaf, tables = leaves(classes, part, labels, threshold, leaf_members)
+        leaf, tables = leaves(classes, part, labels, leaf_members)
         first = leaf.filter("depth = 0").groupBy("key").agg(F.expr("bit_or(shiftleft(1L, tree))").alias("done"))
         done = written(first if done is None else done.unionByName(first).groupBy("key").agg(F.bit_or("done").alias("done")), "done")
         found = written(candidates(leaf, done, threshold), "candidates")

@@ -100,6 +100,21 @@ def test_near_duplicates_blocks(spark, rows, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near(rows, 85)
 
 
+def test_near_duplicates_in_a_large_group(spark):
+    """Pairs just above the threshold, in a group that shares a template."""
+    rng = random.Random(13)
+    template, rows = prose(rng, 100, 10**6), []
+    for i in range(150):
+        text = template + " " + prose(rng, 32, 10**6)
+        w = text.split(" ")
+        w[rng.randrange(10, 50)] = w[rng.randrange(60, 120)] = f"y{i}"
+        rows += [(2 * i, text), (2 * i + 1, " ".join(w))]
+    got = near_dedup.near_duplicates(frame(spark, rows), leaf_members=2).collect()
+    want = brute.near(rows, 85)
+    assert sum(c != i for i, (_, c) in want.items()) == 150
+    assert {r.doc_id for r in got if r.component_id != want[r.doc_id][1]} == set()
+
+
 def test_near_duplicates_edges(spark):
     one = "a b c d e f g"
     got = near_dedup.near_duplicates(frame(spark, [(3, one), (3, one), (None, one), (5, "x y"), (4, "X  y"), (6, None)])).collect()
