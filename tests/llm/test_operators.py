@@ -223,6 +223,23 @@ def test_pair_windows_are_all_common_runs():
     assert sorted(zip(i.tolist(), j.tolist())) == sorted(want)
 
 
+def test_recall_at_the_threshold():
+    """Runs of 50 words with one word substituted (similarity 0.8) have a key in common."""
+    rng = np.random.default_rng(4)
+    met = 0
+    for _ in range(1000):
+        one = rng.integers(0, 2**63, 46, dtype=np.uint64)
+        two, at = one.copy(), rng.integers(4, 38)
+        two[at : at + 5] = rng.integers(0, 2**63, 5, dtype=np.uint64)
+        keys = []
+        for s in (one, two):
+            made = [passages.compact_windows(s, np.array([0, 46]), 46, salt)[1:] for salt in passages._SALT]
+            pairs = [(e, f, *passages.pair_windows(made[e], made[f], 46)) for e in range(passages.HASHES) for f in range(e + 1, passages.HASHES)]
+            keys.append({(e, f, s[made[e][1][i]], s[made[f][1][j]]) for e, f, x, y in pairs for i, j in zip(x, y)})
+        met += bool(keys[0] & keys[1])
+    assert met >= 985
+
+
 def test_windows_of_repeated_lines_are_few():
     s = np.tile(np.arange(1, 9, dtype=np.uint64), 1000)
     assert len(passages.compact_windows(s, np.array([0, len(s)]), 46, np.uint64(5))[0]) < 4 * len(s) / 46
