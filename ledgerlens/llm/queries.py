@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, passages, piece_codec, quality, substring_exact
+from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, passages, periodic_runs, piece_codec, quality, substring_exact
 from ledgerlens.llm.common import load
 
 #: Name of the SentencePiece model among the public tokenizers.
@@ -99,4 +99,35 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.near_passages(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup, op10_passages)}
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's input: where crc32 of the id ends in 0, the words from
+    ``a`` on repeat with period ``p``."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    d = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    d = d.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    a = (F.col("g") % F.col("n")).cast("int")
+    p = F.lit(1) + F.floor((F.col("n") - a) / (F.lit(3) + F.col("g") % 8)).cast("int")
+    times = F.ceil((F.col("n") - a) / p).cast("int")
+    again = F.concat(F.slice("words", F.lit(1), a), F.flatten(F.array_repeat(F.slice("words", a + 1, p), times)))
+    planted = F.array_join(F.slice(again, F.lit(1), F.col("n")), " ")
+    return d.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs.periodic_runs(with_planted_runs(load(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return runs.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        (F.lit(1000) * best["length"]).try_cast("long").alias("_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    ).withColumn("exponent_milli", F.expr("_milli div period")).drop("_milli")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup, op10_passages, op11_runs)}

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
 
 
 def lower(text):
@@ -118,3 +122,52 @@ def repeated_words(rows, n=50):
             for i, j in places:
                 out[i].update(range(j, j + n))
     return out
+
+
+def planted_words(doc_id, text):
+    """The words of a text as the contract of operator 11 changes them."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+
+
+def _smallest_period(w):
+    fail, k = [0], 0
+    for x in w[1:]:
+        while k and x != w[k]:
+            k = fail[k - 1]
+        k += x == w[k]
+        fail.append(k)
+    return len(w) - fail[-1]
+
+
+def runs(w, min_length=24, exponent=3):
+    """(start, length, period) of all runs: every stretch of words that equal
+    the one ``p`` later, for every ``p``."""
+    ids = {}
+    a = np.array([ids.setdefault(x, len(ids)) for x in w], np.int64)
+    n, out = len(a), []
+    for p in range(1, n // exponent + 1):
+        same = np.concatenate([[False], a[:-p] == a[p:], [False]])
+        turns = np.flatnonzero(same[1:] != same[:-1])
+        for s, e in zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True):
+            length = e - s + p
+            if length >= max(min_length, exponent * p) and _smallest_period(w[s : s + length]) == p:
+                out.append((s, length, p))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_row(w, min_length=24, exponent=3):
+    """(number of runs, strongest, digest of runs, digest of what is left)."""
+    found = runs(w, min_length, exponent)
+    best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None, None, None))
+    gone = {i for s, length, p in found for i in range(s + p, s + length)}
+    kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+    lines = "".join(f"{s},{length},{p}\n" for s, length, p in found)
+    milli = None if best[0] is None else 1000 * best[1] // best[2]
+    return (len(found), *best, milli, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
