@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat_format, decontaminate, exact_dedup, language_id, license_scan, near_dedup, passages, periodic_runs, piece_codec, quality, substring_exact
+from ledgerlens.llm import chat_format, decontaminate, exact_dedup, identifiers, language_id, license_scan, near_dedup, passages, periodic_runs, piece_codec, quality, substring_exact
 from ledgerlens.llm.common import load
 
 #: Name of the SentencePiece model among the public tokenizers.
@@ -130,4 +130,25 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("exponent_milli", F.expr("_milli div period")).drop("_milli")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup, op10_passages, op11_runs)}
+def op13_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_<kind> and base_sha256 are of the plain spans; spans holds all."""
+    found = identifiers.find_identifiers(load(spark, sf_dir, "documents"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    d = found.withColumn("base", F.filter("spans", lambda s: ~s["disguised"]))
+    counts = [number(k) for k in identifiers.KINDS]
+    return d.select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_disguised"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup, op10_passages, op11_runs, op13_identifiers)}
