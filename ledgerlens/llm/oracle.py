@@ -39,4 +39,42 @@ SELECT conv_id,
 FROM t GROUP BY conv_id
 """
 
-ORACLE = {"op8_chat": CHAT, "op9_exact_dedup": EXACT_DEDUP}
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_NORMAL}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+ones AS (SELECT lang, word, count(*) AS f FROM (SELECT lang, unnest(ws) AS word FROM w) GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang),
+twos AS (
+  SELECT lang, p[1] AS x, p[2] AS y, count(*) AS a
+  FROM (SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]])) AS p FROM w) GROUP BY ALL
+),
+threes AS (
+  SELECT lang, p[1] AS x, p[2] AS y, p[3] AS z, count(*) AS a
+  FROM (SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: [ws[i], ws[i + 1], ws[i + 2]])) AS p FROM w) GROUP BY ALL
+  HAVING count(*) >= 10
+),
+longer AS (
+  SELECT lang, x, y, max(a) AS m
+  FROM (SELECT lang, x, y, a FROM threes UNION ALL SELECT lang, y, z, a FROM threes) GROUP BY ALL
+),
+cut AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, t.a, 1 AS k, l.f AS l, r.f AS r
+  FROM twos t JOIN ones l ON l.lang = t.lang AND l.word = t.x JOIN ones r ON r.lang = t.lang AND r.word = t.y
+  LEFT JOIN longer g ON g.lang = t.lang AND g.x = t.x AND g.y = t.y
+  WHERE t.a >= 10 AND (g.m IS NULL OR 100 * g.m < 50 * t.a)
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.a, 1, l.f, r.a
+  FROM threes t JOIN ones l ON l.lang = t.lang AND l.word = t.x JOIN twos r ON r.lang = t.lang AND r.x = t.y AND r.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.a, 2, l.a, r.f
+  FROM threes t JOIN twos l ON l.lang = t.lang AND l.x = t.x AND l.y = t.y JOIN ones r ON r.lang = t.lang AND r.word = t.z
+),
+scored AS (SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cut),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {"op8_chat": CHAT, "op9_exact_dedup": EXACT_DEDUP, "op12_collocations": COLLOCATIONS}

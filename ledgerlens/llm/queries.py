@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat_format, decontaminate, exact_dedup, identifiers, language_id, license_scan, near_dedup, passages, periodic_runs, piece_codec, quality, substring_exact
+from ledgerlens.llm import chat_format, collocations, decontaminate, exact_dedup, identifiers, language_id, license_scan, near_dedup, passages, periodic_runs, piece_codec, quality, substring_exact
 from ledgerlens.llm.common import load
 
 #: Name of the SentencePiece model among the public tokenizers.
@@ -130,6 +130,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("exponent_milli", F.expr("_milli div period")).drop("_milli")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
 def op13_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """n_<kind> and base_sha256 are of the plain spans; spans holds all."""
     found = identifiers.find_identifiers(load(spark, sf_dir, "documents"))
@@ -151,4 +155,4 @@ def op13_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup, op10_passages, op11_runs, op13_identifiers)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_pieces, op4_substrings, op5_near_dedup, op6_language, op7_licenses, op8_chat, op9_exact_dedup, op10_passages, op11_runs, op12_collocations, op13_identifiers)}

@@ -197,3 +197,29 @@ def identifiers(text):
             if good[kind]:
                 out.append((m.start(), order, f"{kind}:{m.start()}:{m.end()}"))
     return [x[2] for x in sorted(out)]
+
+
+def collocations(rows, min_count=10, top=2000):
+    """rows (text, lang) -> (lang, rank, phrase, a, l, r, n, score)."""
+    f, n = Counter(), Counter()
+    for text, lang in rows:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(w)
+            for size in (1, 2, 3):
+                f.update((lang or "und", *w[i : i + size]) for i in range(len(w) - size + 1))
+    candidates = {p for p, a in f.items() if len(p) > 2 and a >= min_count}
+    out = []
+    for p in candidates:
+        lang, a = p[0], f[p]
+        if len(p) == 3 and any((q[1:3] == p[1:] or q[2:] == p[1:]) and q[0] == lang and len(q) == 4 and 100 * f[q] >= 50 * a for q in candidates):
+            continue
+        score, _, left, right = min((10**6 * a * a // (f[p[: k + 1]] * f[(lang, *p[k + 1 :])]), k, f[p[: k + 1]], f[(lang, *p[k + 1 :])]) for k in range(1, len(p) - 1))
+        out.append((lang, -score, -a, " ".join(p[1:]).encode(), left, right))
+    out.sort()
+    rank, result = Counter(), []
+    for lang, score, a, phrase, left, right in out:
+        rank[lang] += 1
+        if rank[lang] <= top:
+            result.append((lang, rank[lang], phrase.decode(), -a, left, right, n[lang], -score))
+    return result
