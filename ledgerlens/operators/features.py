@@ -12,16 +12,22 @@ and for the sender the rolling statistics of ``log1p(value)`` and
 ``log1p(gasPrice)`` over the preceding 7 days excluding the current second,
 their z-scores and the spike flags.
 
-The table is made by one plan for every size of data (``segmented``). Rows
-are clustered by (address, time segment) instead of by address, so a very
-active address is spread over many tasks. Everything that crosses segment
-boundaries is computed on a per-(address, segment) summary table, which holds
-at most one row per active segment, and joined back on (address, segment), the
-key the rows are already clustered on. A 7-day frame is the end of its first
-segment, up to 167 full segments and the beginning of its last one; count, mean
-and squared deviation of these pieces are merged pairwise, which neither
-cancels on near-constant values nor depends on where segments end. Frames only
-grow within a segment, so time is linear in the rows of an address.
+Counts and first and last times per (side, address, day) are one small table
+(``activity_days``), partially aggregated before its shuffle. Windows by address
+over it (``day_table``; at most one row a day) give all that crosses clusters:
+totals, weeks, the last time before a day, and the telescoped intervals.
+
+Rows are clustered by (address, week), and the day table's rows go with them.
+With each row goes a narrow copy moved on by 7 days, into the next week's
+cluster. So a 7-day frame is the copies from a row's time on, and the rows
+before it, of one cluster: two running windows, whatever the length of the
+frame, and time is linear in the rows of an address.
+
+A week of one address with very many rows is cut into slices: its hours, and
+busy hours into equal parts. Only then, (n, mean, squared deviation) of whole
+slices are merged by the difference of their means, which does not cancel on
+near-constant values, and added to what the running windows give. Which weeks
+are cut depends on the share of rows they hold, so their number is bounded.
 
 ``window`` (window aggregates by address) and ``join`` (the aggregate +
 left-join form) give the same table on small data; they are what tests compare
@@ -29,8 +35,7 @@ with, and put all rows of an address into one task.
 
 NULL keys never get aggregate features (a NULL address or date matches no
 group), as with an equi-join. Rows without a time have each other as rolling
-frame, as a RANGE frame has it; they are spread over ``NULL_SEGMENTS``
-segments.
+frame, as a RANGE frame has it.
 """
 
 from __future__ import annotations
@@ -41,6 +46,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.scalar import seconds_between, smoothed_rate, spike_flag, zscore
 from ledgerlens.operators.aggregates import activity_stats, daily_avg_interval
 from ledgerlens.operators.prepare import q
+from ledgerlens.operators.scoring import materialize
 from ledgerlens.schema import ROLLING_WINDOW_SECONDS
 
 W = ROLLING_WINDOW_SECONDS
@@ -195,9 +201,17 @@ def _features_join(base: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# plan "segmented"
+# plan "clustered"
 # ---------------------------------------------------------------------------
 
+NULL_KEY = "\u0000"  # stands for a NULL address
+MONDAY = 4 * 86400  # 1970-01-05: weeks of seconds begin where week_start does
+#: A week of an address is cut once it holds more rows than this, and more than
+#: one in MAX_BUSY of all rows: at most MAX_BUSY weeks are.
+BUSY_ROWS = 100_000
+MAX_BUSY = 20_000
+SLICES = 1 << 20  # a week has fewer slices
+
 
 def _merged(a: Column, b: Column) -> Column:
     """Two (n, mean, m2) structs as one: the means meet by their difference,
@@ -215,11 +229,11 @@ def _merged(a: Column, b: Column) -> Column:
 def _moment_struct(x: Column, over=None) -> Column:
     """(n, mean, m2) of the non-NULL values of ``x``, as an aggregate or over
     a window."""
-    parts = [F.count(x), F.avg(x), F.var_pop(x), F.min(x), F.max(x)]
-    n, mean, var, low, high = parts if over is None else [p.over(over) for p in parts]
+    parts = [F.count(x), F.avg(x), F.var_pop(x), F.max(x)]
+    n, mean, var, high = parts if over is None else [p.over(over) for p in parts]
     n = n.cast("double")
-    # sum / n of equal values may be off by a bit; their mean is the value
-    mean = F.when(low == high, low).otherwise(mean)
+    # the deviation of equal values is exactly 0, but sum / n may be off by a bit
+    mean = F.when(var == 0, high).otherwise(mean)
     return F.struct(n.alias("n"), F.coalesce(mean, F.lit(0.0)).alias("mean"), (F.coalesce(var, F.lit(0.0)) * n).alias("m2"))
 
 
@@ -232,175 +246,247 @@ def _mean_std(m: Column) -> dict[str, Column]:
     return {"mean": F.when(m["n"] > 0, m["mean"]), "std": F.when(m["n"] > 1, F.sqrt(m["m2"] / (m["n"] - 1)))}
 
 
-NULL_KEY = "\u0000"  # stands for a NULL address inside the segmented plan
-NULL_SEG = -(1 << 40)  # first segment of rows without a timestamp (they sort first)
-NULL_SEGMENTS = 64
+def _week(t: Column) -> Column:
+    return F.floor((t - MONDAY) / W)
 
 
-def _segment_side(
-    rows: DataFrame, side: str, seg_seconds: int, rolling: bool
-) -> DataFrame:
-    """Attach one side's features with rows clustered by (address, segment).
+def _key(side: str) -> Column:
+    return F.coalesce(q(side), F.lit(NULL_KEY))
 
-    Internal keys ``_k`` (address, NULL mapped to a sentinel so NULL senders
-    still form one ordered group) and ``_seg`` (timestamp // segment size)
-    drive every window, aggregate and join; the rows are exchanged once, on
-    (``_k``, ``_seg``), and everything downstream reuses that clustering.
-    """
-    k = W // seg_seconds
-    tb = _tiebreak(rows)
-    rows = rows.withColumns(
+
+def activity_days(base: DataFrame) -> DataFrame:
+    """(side, k, date, week_start, day_rows, day_fails, day_first, day_last) of
+    both sides in one pass; ``k`` is the address. Tables of separate rows can
+    be added up (``merge_days``)."""
+    sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), _key(s).alias("k")) for s in SIDES]))
+    rows = base.select(sides.alias("_s"), q("date"), q("week_start"), q("datetime"), _fail().alias("fail"))
+    return rows.groupBy("_s.side", "_s.k", "date").agg(
+        F.min("week_start").alias("week_start"),
+        F.count(F.lit(1)).alias("day_rows"),
+        F.sum("fail").alias("day_fails"),
+        F.min("datetime").alias("day_first"),
+        F.max("datetime").alias("day_last"),
+    )
+
+
+def merge_days(days: DataFrame) -> DataFrame:
+    """Several rows of a (side, k, date) as one."""
+    return days.groupBy("side", "k", "date").agg(
+        F.min("week_start").alias("week_start"),
+        F.sum("day_rows").alias("day_rows"),
+        F.sum("day_fails").alias("day_fails"),
+        F.min("day_first").alias("day_first"),
+        F.max("day_last").alias("day_last"),
+    )
+
+
+def day_table(days: DataFrame) -> DataFrame:
+    """``activity_days`` with what crosses days: the last time before the day,
+    the counts of the week and in all, and the mean interval of the day."""
+    by_key = Window.partitionBy("side", "k")
+    by_week = Window.partitionBy("side", "k", "week_start")
+    in_order = by_key.orderBy("week_start", "date")
+    known = (q("k") != F.lit(NULL_KEY)) & q("date").isNotNull()
+    days = days.withColumn("prev_last", F.lag("day_last").over(in_order))
+    has_prev = q("prev_last").isNotNull()
+    length = seconds_between(q("day_last"), F.coalesce("prev_last", "day_first"))
+    number = q("day_rows") - 1 + has_prev.cast("long")
+    return days.withColumns(
         {
-            "_k": F.coalesce(q(side), F.lit(NULL_KEY)),
-            "_seg": F.coalesce(
-                F.floor(q("ts") / seg_seconds),
-                F.lit(NULL_SEG) + F.pmod(F.xxhash64(*(tb or [q("value")])), F.lit(NULL_SEGMENTS)),
-            ),
+            "week_rows": F.sum("day_rows").over(by_week),
+            "week_fails": F.sum("day_fails").over(by_week),
+            "total_rows": F.sum("day_rows").over(by_key),
+            "total_fails": F.sum("day_fails").over(by_key),
+            "day_interval": F.when(known, F.try_divide(length, number.cast("double"))),
         }
     )
-    part = [q("_k"), q("_seg")]
 
+
+INFO = ["prev_last", "day_rows", "day_fails", "week_rows", "week_fails", "total_rows", "total_fails", "day_interval"]
+PIECES = ["pre_rows", "pre_v", "pre_g", "suf_rows", "suf_v", "suf_g"]
+
+
+class _Layout:
+    """The slices of the busy weeks of one side, and what whole slices hold."""
+
+    def __init__(self, rows: DataFrame, days: DataFrame, side: str, weeks: DataFrame, limit: int, rolling: bool):
+        self.side = side
+        self.weeks = F.broadcast(weeks.filter(q("side") == side).select("k", "_week"))
+        moved = F.array(F.lit(0), F.lit(1)) if rolling else F.array(F.lit(0))
+        logs = ["log_value", "log_gasPrice"] if rolling else []
+        own = rows.select(_key(side).alias("k"), q("ts"), q("date"), q("datetime"), *[q(c) for c in logs], F.explode(moved).alias("_copy"))
+        own = own.withColumn("_t", q("ts") + q("_copy") * W).withColumn("_week", _week(q("_t")))
+        own = own.join(self.weeks, ["k", "_week"]).withColumn("_hour", F.floor(q("_t") / 3600))
+        hours = own.groupBy("k", "_week", "_hour").agg(F.count(F.lit(1)).alias("n"))
+        parts = F.least(F.lit(3600), F.ceil(q("n") / F.lit(limit)))
+        before = Window.partitionBy("k", "_week").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+        hours = hours.withColumn("parts", parts).withColumn("first", F.coalesce(F.sum("parts").over(before), F.lit(0)))
+        entry = F.struct("_hour", F.struct("first", "parts"))
+        slices = hours.groupBy("k", "_week").agg(F.map_from_entries(F.collect_list(entry)).alias("_slices"))  # 168 hours at most
+        self.slices = F.broadcast(materialize(slices, "slices"))
+        self.info = materialize(self._info(self.cut(own), days, rolling), "slice_info")
+
+    def cut(self, data: DataFrame) -> DataFrame:
+        """``_slice``: the slice of a row in its week, 0 where that is whole."""
+        own = q("_slices")[F.floor(q("_t") / 3600)]
+        at = own["first"] + F.floor(F.pmod(q("_t"), F.lit(3600)) * own["parts"] / 3600)
+        out = data.join(self.slices, ["k", "_week"], "left")
+        return out.withColumn("_slice", F.coalesce(at, F.lit(0)).cast("long")).drop("_slices")
+
+    def _info(self, own: DataFrame, days: DataFrame, rolling: bool) -> DataFrame:
+        real = q("_copy") == 0
+        sums = [F.min("_t").alias("_t"), F.min(F.when(real, q("date"))).alias("date"), F.max(F.when(real, q("datetime"))).alias("last")]
+        if rolling:
+            for name, which in (("rows", real), ("copies", ~real)):
+                sums.append(F.count(F.when(which, 1)).alias(name))
+                sums += [_moment_struct(F.when(which, q(c))).alias(f"{name}_{x}") for x, c in (("v", "log_value"), ("g", "log_gasPrice"))]
+        slices = own.groupBy("k", "_week", "_slice").agg(*sums)
+        order = Window.partitionBy("k", "_week").orderBy("_slice")
+        earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+        later = Window.partitionBy("k", "_week").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+        new = {"last_before": F.last("last", ignorenulls=True).over(earlier)}
+        if rolling:
+            for to, name, frame in (("pre", "rows", earlier), ("suf", "copies", later)):
+                new[f"{to}_rows"] = F.coalesce(F.sum(name).over(frame), F.lit(0))
+                new[f"_{to}"] = F.collect_list(F.struct(q(f"{name}_v").alias("v"), q(f"{name}_g").alias("g"))).over(frame)
+        slices = slices.withColumns(new).filter(q("date").isNotNull())  # the others have copies only
+        if rolling:
+            for to in ("pre", "suf"):
+                for x in ("v", "g"):
+                    slices = slices.withColumn(f"{to}_{x}", _folded(f"_{to}", x))
+        day = days.filter(q("side") == self.side).select("k", "date", *INFO)
+        out = slices.join(day, ["k", "date"]).withColumn("prev_last", F.coalesce("last_before", "prev_last"))
+        return out.select("k", "_week", "_slice", "_t", *INFO, *(PIECES if rolling else []))
+
+
+def _folded(pieces: str, x: str) -> Column:
+    return F.aggregate(pieces, _no_values(), lambda acc, p: _merged(acc, p[x]))
+
+
+def _cluster_side(rows: DataFrame, days: DataFrame, side: str, layout: _Layout | None, rolling: bool) -> DataFrame:
+    """Attach one side's features to rows that have a time: one exchange, by
+    (address, week, slice), of the rows, their copies and the day table."""
+    tb = _tiebreak(rows)
+    names = rows.columns
+    data = rows.withColumns({"k": _key(side), "_t": q("ts"), "_kind": F.lit(0)})
     if rolling:
-        # every row is emitted twice: as itself (kind 0) and as a narrow copy
-        # shifted by W into the segment K later (kind 1), where it opens the
-        # 7-day frame of the rows it precedes by at most W. One scan, one
-        # generator, no union.
-        data = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
-        shift = q("_kind") == 1
-        keep = {"_k", "_seg", "ts", "_kind"}
+        # each row as itself (kind 0) and as a narrow copy 7 days on (kind 1)
+        data = rows.select("*", _key(side).alias("k"), F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
+        own = q("_kind") == 0
         data = data.select(
-            *[
-                F.when(~shift, q(c)).alias(c) if c not in keep else q(c)
-                for c in data.columns
-            ],
-            F.when(shift, q("log_value")).alias("_sv"),
-            F.when(shift, q("log_gasPrice")).alias("_sg"),
-        ).withColumns(
-            {
-                "_seg": F.when(shift, q("_seg") + k).otherwise(q("_seg")),
-                "ts": F.when(shift, q("ts") + W).otherwise(q("ts")),
-            }
-        )
-        data = data.filter(~shift | q("ts").isNotNull())
+            *[F.when(own, q(c)).alias(c) for c in names],
+            "k", "_kind", (q("ts") + q("_kind") * W).alias("_t"),
+            F.when(~own, q("log_value")).alias("_sv"), F.when(~own, q("log_gasPrice")).alias("_sg"),
+        )
+    data = data.withColumn("_week", _week(q("_t")))
+    data = layout.cut(data) if layout else data.withColumn("_slice", F.lit(0).cast("long"))
+
+    # the day's row stands before the rows of the day
+    info = days.filter((q("side") == side) & q("date").isNotNull())
+    info = info.withColumn("_t", F.unix_seconds(q("date").cast("timestamp"))).withColumn("_week", _week(q("_t")))
+    kept = [*INFO, *(PIECES if layout and rolling else [])]
+    if layout:
+        whole = info.join(layout.weeks, ["k", "_week"], "left_anti").withColumn("_slice", F.lit(0).cast("long"))
+        info = whole.unionByName(layout.info, allowMissingColumns=True)
     else:
-        data = rows.withColumn("_kind", F.lit(0))
+        info = info.withColumn("_slice", F.lit(0).cast("long"))
+    info = info.select("k", "_week", "_slice", "_t", F.lit(-1).alias("_kind"), F.struct(*[q(c) for c in kept]).alias("_info"))
+    data = data.unionByName(info, allowMissingColumns=True).withColumn("_seg", q("_week") * SLICES + q("_slice")).drop("_week", "_slice")
 
+    part = Window.partitionBy("k", "_seg")
+    earlier = part.orderBy(q("_t"), q("_kind"), *tb).rowsBetween(Window.unboundedPreceding, -1)
     is_row = q("_kind") == 0
-    asc_rows = Window.partitionBy(*part).orderBy(q("ts"), q("_kind"), *tb).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
     cols = {
-        "_prev_in_seg": F.last(F.when(is_row, q("datetime")), ignorenulls=True).over(asc_rows)
+        "_prev": F.last(F.when(is_row, q("datetime")), ignorenulls=True).over(earlier),
+        "_info": F.last("_info", ignorenulls=True).over(earlier),
     }
     if rolling:
-        before = Window.partitionBy(*part).orderBy(q("ts")).rangeBetween(Window.unboundedPreceding, -1)
-        after = Window.partitionBy(*part).orderBy(q("ts").desc()).rangeBetween(Window.unboundedPreceding, 0)
-        cur_v = F.when(is_row, q("log_value"))
-        cur_g = F.when(is_row, q("log_gasPrice"))
-        old_v = F.when(~is_row, q("_sv"))
-        old_g = F.when(~is_row, q("_sg"))
-        cols["cur_rows"] = F.count(F.when(is_row, F.lit(1))).over(before)
-        cols["old_rows"] = F.count(F.when(~is_row, F.lit(1))).over(after)
-        cols["cur_v"], cols["cur_g"] = _moment_struct(cur_v, before), _moment_struct(cur_g, before)
-        cols["old_v"], cols["old_g"] = _moment_struct(old_v, after), _moment_struct(old_g, after)
-    windowed = data.withColumns(cols).filter(is_row)
-
-    # one row per (address, segment): everything that crosses segments
-    seg_aggs = [
-        F.count(F.lit(1)).alias("seg_rows"),
-        F.sum(_fail()).alias("seg_fails"),
-        F.min(q("datetime")).alias("seg_first"),
-        F.max(q("datetime")).alias("seg_last"),
-        F.min(q("date")).alias("date"),  # constant inside a segment
-        F.min(q("week_start")).alias("week_start"),
-    ]
-    if rolling:
-        seg_aggs += [_moment_struct(q("log_value")).alias("seg_v"), _moment_struct(q("log_gasPrice")).alias("seg_g")]
-    # from the rows before the exchange: partial aggregation runs map-side, so
-    # only one small record per (address, segment) and task is shuffled
-    segs = rows.groupBy(*part).agg(*seg_aggs)
-
-    by_key = Window.partitionBy(q("_k"))
-    in_order = by_key.orderBy(q("_seg"))
-    segs = segs.withColumn("seg_prev_last", F.lag(q("seg_last")).over(in_order))
-    # telescoped sum and count of the intervals inside one segment
-    has_prev = q("seg_prev_last").isNotNull()
-    timed = q("seg_last").isNotNull()
-    segs = segs.withColumns(
-        {
-            "seg_int_sum": F.when(
-                timed,
-                seconds_between(q("seg_last"), F.when(has_prev, q("seg_prev_last")).otherwise(q("seg_first"))),
-            ),
-            "seg_int_n": F.when(
-                timed, q("seg_rows") - 1 + F.when(has_prev, F.lit(1)).otherwise(F.lit(0))
-            ).otherwise(F.lit(0)),
-        }
-    )
-    feats = {}
-    for period, pcol in PERIODS:
-        w = Window.partitionBy(q("_k"), q(pcol)) if pcol else by_key
-        ok = (q("_k") != F.lit(NULL_KEY)) & (q(pcol).isNotNull() if pcol else F.lit(True))
-        feats[f"{period}_tx_count_{side}"] = F.when(ok, F.sum(q("seg_rows")).over(w))
-        feats[f"{period}_fail_count_{side}"] = F.when(ok, F.sum(q("seg_fails")).over(w))
-    day = Window.partitionBy(q("_k"), q("date"))
-    feats[f"daily_avg_interval_{side}"] = F.when(
-        (q("_k") != F.lit(NULL_KEY)) & q("date").isNotNull(),
-        F.try_divide(F.sum(q("seg_int_sum")).over(day), F.sum(q("seg_int_n")).over(day).cast("double")),
-    )
-    if rolling:
-        # full segments strictly between the first and the current one; for
-        # rows without a time, all segments of such rows
-        mid = in_order.rangeBetween(-(k - 1), -1)
-        untimed = q("_seg") < NULL_SEG + NULL_SEGMENTS
-        piece = F.struct(q("seg_rows").alias("rows"), q("seg_v").alias("v"), q("seg_g").alias("g"))
-        feats["_pieces"] = F.when(untimed, F.collect_list(F.when(untimed, piece)).over(by_key)).otherwise(
-            F.collect_list(piece).over(mid)
-        )
-    segs = segs.withColumns(feats)
-    if rolling:
-        segs = segs.withColumns(
-            {
-                "mid_rows": F.aggregate("_pieces", F.lit(0).cast("long"), lambda acc, p: acc + p["rows"]),
-                "mid_v": F.aggregate("_pieces", _no_values(), lambda acc, p: _merged(acc, p["v"])),
-                "mid_g": F.aggregate("_pieces", _no_values(), lambda acc, p: _merged(acc, p["g"])),
-            }
-        )
-        feats = {c: None for c in [*feats, "mid_rows", "mid_v", "mid_g"] if c != "_pieces"}
-    keep = ["_k", "_seg", "seg_prev_last"] + list(feats)
-    segs = segs.select(*[q(c) for c in keep])
-
-    out = windowed.join(segs, ["_k", "_seg"], "left")
-    prev = F.when(q("_prev_in_seg").isNotNull(), q("_prev_in_seg")).otherwise(q("seg_prev_last"))
+        before = part.orderBy(q("_t")).rangeBetween(Window.unboundedPreceding, -1)
+        after = part.orderBy(q("_t").desc()).rangeBetween(Window.unboundedPreceding, 0)
+        cols["_cur_rows"] = F.count(F.when(is_row, F.lit(1))).over(before)
+        cols["_old_rows"] = F.count(F.when(q("_kind") == 1, F.lit(1))).over(after)
+        for x, c, old in (("v", "log_value", "_sv"), ("g", "log_gasPrice", "_sg")):
+            cols[f"_cur_{x}"] = _moment_struct(F.when(is_row, q(c)), before)
+            cols[f"_old_{x}"] = _moment_struct(q(old), after)
+    out = data.withColumns(cols).filter(is_row)
+    get = q("_info")
+    prev = F.coalesce(q("_prev"), get["prev_last"])
+    known = q("k") != F.lit(NULL_KEY)
     new = {
         f"prev_datetime_{side}": prev,
         f"interval_{side}": seconds_between(q("datetime"), prev),
+        f"daily_avg_interval_{side}": get["day_interval"],
     }
+    for period, name in (("daily", "day"), ("weekly", "week"), ("total", "total")):
+        new[f"{period}_tx_count_{side}"] = F.when(known, get[f"{name}_rows"])
+        new[f"{period}_fail_count_{side}"] = F.when(known, get[f"{name}_fails"])
     if rolling:
-        timed_row = q("ts").isNotNull()
-        count = (
-            F.coalesce(q("cur_rows"), F.lit(0))
-            + F.coalesce(q("old_rows"), F.lit(0))
-            + F.coalesce(q("mid_rows"), F.lit(0))
-        )
+        count = q("_old_rows") + q("_cur_rows")
         # one column a step: nested, the merges would repeat their inputs
-        for x in ("v", "g"):
-            out = out.withColumn(f"old_{x}", _merged(q(f"old_{x}"), q(f"mid_{x}")))
-            out = out.withColumn(f"old_{x}", _merged(q(f"old_{x}"), q(f"cur_{x}")))
-            out = out.withColumn(f"old_{x}", F.when(timed_row, q(f"old_{x}")).otherwise(q(f"mid_{x}")))
+        if layout:
+            count = count + F.coalesce(get["suf_rows"] + get["pre_rows"], F.lit(0))
+            for x in ("v", "g"):
+                for piece in ("suf", "pre"):
+                    out = out.withColumn(f"_old_{x}", _merged(q(f"_old_{x}"), F.coalesce(get[f"{piece}_{x}"], _no_values())))
         for name, x in (("value", "v"), ("gasPrice", "g")):
-            both = _mean_std(q(f"old_{x}"))
+            out = out.withColumn(f"_old_{x}", _merged(q(f"_old_{x}"), q(f"_cur_{x}")))
+            both = _mean_std(q(f"_old_{x}"))
             new[f"rolling_{name}_mean"], new[f"rolling_{name}_std"] = both["mean"], both["std"]
-        new["rolling_tx_count"] = F.when(timed_row, count).otherwise(q("mid_rows")).cast("long")
-    out = out.withColumns(new)
-    drop = [c for c in out.columns if c.startswith(("cur_", "old_", "mid_", "_prev", "seg_"))]
-    drop += ["_k", "_seg", "_kind", "_sv", "_sg"]
-    return out.drop(*[c for c in drop if c in out.columns])
+        new["rolling_tx_count"] = count.cast("long")
+    return out.withColumns(new).select(*[q(c) for c in names], *new)
+
 
+def _untimed(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Features of the rows without a time: they have each other as rolling
+    frame, and totals, but no day and no order."""
+    own = rows.groupBy(_key("from").alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), _moment_struct(q("log_value")).alias("v"), _moment_struct(q("log_gasPrice")).alias("g")
+    )
+    totals = days.filter(q("date").isNull()).select("side", "k", "total_rows", "total_fails")
+    out = rows
+    for side in SIDES:
+        mine = totals.filter(q("side") == side).drop("side")
+        if side == "from":
+            mine = mine.join(own, "k")
+        out = out.withColumn("k", _key(side)).join(materialize(mine, "untimed"), "k")
+        known = q("k") != F.lit(NULL_KEY)
+        new = {f"prev_datetime_{side}": F.lit(None).cast("timestamp")}
+        new |= dict.fromkeys((f"interval_{side}", f"daily_avg_interval_{side}"), F.lit(None).cast("double"))
+        for c in ("tx_count", "fail_count"):
+            new |= {f"{p}_{c}_{side}": F.lit(None).cast("long") for p in ("daily", "weekly")}
+        new[f"total_tx_count_{side}"] = F.when(known, q("total_rows"))
+        new[f"total_fail_count_{side}"] = F.when(known, q("total_fails"))
+        if side == "from":
+            for name, x in (("value", "v"), ("gasPrice", "g")):
+                both = _mean_std(q(x))
+                new[f"rolling_{name}_mean"], new[f"rolling_{name}_std"] = both["mean"], both["std"]
+            new["rolling_tx_count"] = q("n")
+        out = out.withColumns(new).drop("k", "total_rows", "total_fails", "n", "v", "g")
+    return out
 
-def _features_segmented(base: DataFrame, seg_seconds: int) -> DataFrame:
-    df = _segment_side(base, "from", seg_seconds, rolling=True)
-    return _segment_side(df, "to", seg_seconds, rolling=False)
+
+def _features_clustered(base: DataFrame, busy_rows: int, days: DataFrame | None) -> DataFrame:
+    days = materialize(day_table(activity_days(base) if days is None else days), "days")
+    size = days.agg(
+        F.sum(F.when(q("side") == "from", q("day_rows"))).alias("rows"),
+        F.max(F.when(q("date").isNotNull(), q("week_rows"))).alias("busiest"),
+        F.count(F.when(q("date").isNull(), 1)).alias("untimed"),
+    ).first()
+    limit = max(busy_rows, (size["rows"] or 0) // MAX_BUSY)
+    layouts = dict.fromkeys(SIDES)
+    timed = base.filter(q("ts").isNotNull()) if size["untimed"] else base
+    if (size["busiest"] or 0) > limit:
+        first = F.unix_seconds(q("week_start").cast("timestamp"))
+        weeks = days.filter((q("week_rows") > limit) & q("date").isNotNull()).select("side", "k", _week(first).alias("_week")).distinct()
+        # copies of a busy week go to the next one
+        weeks = weeks.withColumn("_week", F.explode(F.when(q("side") == "from", F.array("_week", q("_week") + 1)).otherwise(F.array("_week")))).distinct()
+        weeks = materialize(weeks, "busy_weeks")
+        layouts = {s: _Layout(timed, days, s, weeks, limit, s == "from") for s in SIDES}
+    out = _cluster_side(timed, days, "from", layouts["from"], rolling=True)
+    out = _cluster_side(out, days, "to", layouts["to"], rolling=False)
+    if size["untimed"]:
+        out = out.unionByName(_untimed(base.filter(q("ts").isNull()), days))
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -408,24 +494,25 @@ def _features_segmented(base: DataFrame, seg_seconds: int) -> DataFrame:
 
 def build_features(
     tx: DataFrame,
-    strategy: str = "segmented",
-    segment_seconds: int = 3600,
+    strategy: str = "clustered",
+    busy_rows: int = BUSY_ROWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Feature table from prepared transactions with temporal columns.
 
-    ``segment_seconds`` must divide one day; smaller segments spread a hot
-    address over more tasks at the price of a larger summary table.
-    ``strategy`` "window" or "join" takes a plan that tests compare with.
+    Weeks of one address with more than ``busy_rows`` rows are cut (see the
+    module). ``days`` is the ``activity_days`` table of a longer history than
+    ``tx``; counts and intervals are then of that history. The day table is
+    written when this is called. ``strategy`` "window" or "join" takes a plan
+    that tests compare with.
     """
-    if 86400 % segment_seconds or W % segment_seconds:
-        raise ValueError("segment_seconds must divide 86400")
     base = with_value_logs(tx).withColumn("ts", F.unix_seconds(q("datetime")))
     if strategy == "window":
         df = _features_window(base)
     elif strategy == "join":
         df = _features_join(base)
-    elif strategy == "segmented":
-        df = _features_segmented(base, segment_seconds)
+    elif strategy == "clustered":
+        df = _features_clustered(base, busy_rows, days)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     df = df.withColumns(

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import features as FT
 from ledgerlens.operators.features import DERIVED_COLS, build_features
 from ledgerlens.plans import queries as Q
 from helpers import T0, tx_rows
@@ -55,23 +56,23 @@ def assert_same(a, b, rtol=1e-9):
         assert ok.all(), f"column {c} differs in {int((~ok).sum())} rows"
 
 
-@pytest.mark.parametrize("seg", [3600, 86400])
-def test_plans_agree_on_edge_fixture(spark, seg):
+@pytest.mark.parametrize("busy", [2, 7, 40, 100_000])
+def test_plans_agree_on_edge_fixture(spark, busy):
     tx = tx_rows(spark, edge_rows())
     w = collect(build_features(tx, "window"))
     assert_same(w, collect(build_features(tx, "join")))
-    assert_same(w, collect(build_features(tx, "segmented", segment_seconds=seg)))
+    assert_same(w, collect(build_features(tx, busy_rows=busy)))
 
 
 def test_plans_agree_on_events(spark):
     tx = Q.tx(spark, SF001)
     w = collect(build_features(tx, "window"))
-    assert_same(w, collect(build_features(tx, "segmented")))
+    assert_same(w, collect(build_features(tx)))
 
 
 def test_rolling_frame_excludes_current_second_and_includes_7_days(spark):
     tx = tx_rows(spark, edge_rows())
-    f = {r["hash"]: r for r in build_features(tx, "segmented").collect()}
+    f = {r["hash"]: r for r in build_features(tx).collect()}
     first = f["h0000"]
     assert first["rolling_tx_count"] == 0 and first["rolling_value_mean"] is None
     # h0001 and the tie row share one second: neither sees the other
@@ -85,20 +86,20 @@ def test_rolling_frame_excludes_current_second_and_includes_7_days(spark):
 
 def test_constant_values_give_zero_std_and_null_z(spark):
     tx = tx_rows(spark, edge_rows())
-    rows = build_features(tx, "segmented").filter(F.col("from") == "flat").orderBy("timeStamp").collect()
+    rows = build_features(tx).filter(F.col("from") == "flat").orderBy("timeStamp").collect()
     last = rows[-1]
     assert last["rolling_value_std"] == 0.0 and last["value_zscore"] is None and last["value_spike"] == 0
 
 
 def test_spike_detected(spark):
     tx = tx_rows(spark, edge_rows())
-    r = build_features(tx, "segmented").filter(F.col("from") == "spiky").orderBy(F.desc("timeStamp")).first()
+    r = build_features(tx).filter(F.col("from") == "spiky").orderBy(F.desc("timeStamp")).first()
     assert r["rolling_tx_count"] == 12 and r["value_spike"] == 1 and r["gasPrice_spike"] == 1
 
 
 def test_null_keys_get_no_aggregates(spark):
     tx = tx_rows(spark, edge_rows())
-    f = build_features(tx, "segmented")
+    f = build_features(tx)
     n = f.filter(F.col("from").isNull()).collect()
     assert len(n) == 2 and all(r["total_tx_count_from"] is None and r["daily_tx_count_from"] is None for r in n)
     assert all(r["total_tx_count_to"] == 2 + 20 + 1 for r in n)  # r0 receives 20 hot rows, the tie row, 2 null rows
@@ -110,7 +111,7 @@ def test_null_keys_get_no_aggregates(spark):
 
 def test_intervals_and_daily_mean(spark):
     tx = tx_rows(spark, [{"f": "a", "t": "b", "ts": T0 + s} for s in (0, 10, 40, DAY + 5)])
-    rows = build_features(tx, "segmented").orderBy("timeStamp").collect()
+    rows = build_features(tx).orderBy("timeStamp").collect()
     assert [r["interval_from"] for r in rows] == [None, 10.0, 30.0, float(DAY + 5 - 40)]
     assert rows[0]["daily_avg_interval_from"] == 20.0
     assert rows[3]["daily_avg_interval_from"] == float(DAY + 5 - 40)
@@ -170,3 +171,22 @@ def test_output_columns(spark):
     tx = tx_rows(spark, edge_rows()[:3])
     cols = build_features(tx).columns
     assert cols[-len(DERIVED_COLS):] == DERIVED_COLS
+
+
+def test_four_exchanges_in_all(spark):
+    tx = Q.tx(spark, SF0001)
+    main = build_features(tx)
+    days = FT.day_table(FT.activity_days(FT.with_value_logs(tx)))
+    counts = [d._jdf.queryExecution().executedPlan().toString().count("Exchange ") for d in (main, days)]
+    assert counts == [2, 2]
+
+
+def test_days_of_a_longer_history(spark):
+    tx = tx_rows(spark, edge_rows())
+    base = FT.with_value_logs(tx)
+    new = F.col("timeStamp") >= T0 + 2 * DAY
+    days = FT.merge_days(FT.activity_days(base.filter(new)).unionByName(FT.activity_days(base.filter(~new))))
+    whole = {r["hash"]: r for r in build_features(tx).collect()}
+    # the last day from the rows of its 7-day frame only
+    late = build_features(tx.filter(F.col("timeStamp") >= T0 - DAY), days=days).filter(new).collect()
+    assert late and all(r == whole[r["hash"]] for r in late)
