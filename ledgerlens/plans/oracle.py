@@ -622,3 +622,6 @@ v AS (SELECT "from", list_sort(list(value)) AS l, count(value) AS n FROM tx WHER
     """SELECT "from" AS from_address, l[CAST(ceil(0.25 * n) AS INT)] AS q25_value, l[CAST(ceil(0.5 * n) AS INT)] AS median_value,
        l[CAST(ceil(0.75 * n) AS INT)] AS q75_value FROM v""",
 )
+
+# Landed, ingested and refreshed in two parts: the same table.
+ORACLE["features_incremental"] = ORACLE["features_full"]

@@ -19,7 +19,7 @@ from ledgerlens.operators import reports as R
 from ledgerlens.operators.aggregates import activity_stats, daily_avg_interval
 from ledgerlens.operators.classifier import classifier_scores, fit_classifier, hash_split
 from ledgerlens.operators.encoding import add_hashed_dummies, add_indices, sparse_dummies, sparse_onehot
-from ledgerlens.operators.features import build_features
+from ledgerlens.operators.features import DERIVED_COLS, build_features
 from ledgerlens.operators.iforest import fit_isolation_forest, score_isolation_forest
 from ledgerlens.operators.prepare import clean_column_names, model_input, prepare_transactions, q
 from ledgerlens.operators.scoring import (
@@ -39,6 +39,8 @@ from ledgerlens.sources import sinks
 from ledgerlens.sources.sinks import landing_frame, write_landing, write_partitioned
 from ledgerlens.sources.tables import read_partitioned, register_parquet_table
 from ledgerlens.sources.testdata import load_raw_tx
+from ledgerlens.streaming.incremental import ingest_new_payloads
+from ledgerlens.streaming.refresh import FeatureTables, read_features, refresh_features
 
 MIN_SCORE = 50.0  # dashboard minimum-score parameter used by the report queries
 SEARCH = {
@@ -49,6 +51,8 @@ SEARCH = {
     "max_value": 1e-16,
 }
 SCAN_DATES = ("2024-01-08", "2024-01-14")
+# the second landing of features_incremental, and from when it has late rows
+SECOND_FROM, LATE_FROM = "2024-01-16", "2024-01-12"
 
 
 # --- shared stages ----------------------------------------------------------
@@ -100,15 +104,9 @@ def raw_json_roundtrip(spark, sf_dir):
     """Land the transactions as API payloads (one per address and hour) in the
     year/month/day layout, scan them back with the explicit schema, keep the
     valid payloads and flatten."""
-    raw = load_raw_tx(spark, sf_dir)
     ensure_session(spark)
-    ts = F.timestamp_seconds(q("timeStamp").cast("long"))
-    keyed = raw.withColumns(
-        {"_addr": q("from"), "_hour": F.date_trunc("hour", ts)}
-    )
-    payloads = payloads_from_tx(keyed, ["_addr", "_hour"])
     path = scratch_dir(spark, "landing")
-    write_landing(landing_frame(payloads, "_addr", "_hour"), path, mode="overwrite")
+    land(spark, load_raw_tx(spark, sf_dir), path)
     valid, _ = split_payloads(read_raw_payloads(spark, path))
     flat = prepare_transactions(flatten_payloads(valid))
     return flat.select(
@@ -315,8 +313,7 @@ def gas_spike_rows(spark, sf_dir):
     return g.select("hash", q("from").alias("from_address"), "gasPrice", round6("gasPrice_zscore").alias("gasPrice_zscore"))
 
 
-def features_full(spark, sf_dir):
-    f = features(spark, sf_dir)
+def _rounded_features(f: DataFrame) -> DataFrame:
     out = []
     for field in f.schema.fields:
         c = field.name
@@ -332,6 +329,35 @@ def features_full(spark, sf_dir):
     return f.select(*out)
 
 
+def features_full(spark, sf_dir):
+    return _rounded_features(features(spark, sf_dir))
+
+
+def land(spark: SparkSession, raw: DataFrame, path: str) -> None:
+    """Land transactions as API payloads, one per address and hour."""
+    ts = F.timestamp_seconds(q("timeStamp").cast("long"))
+    keyed = raw.withColumns({"_addr": q("from"), "_hour": F.date_trunc("hour", ts)})
+    write_landing(landing_frame(payloads_from_tx(keyed, ["_addr", "_hour"]), "_addr", "_hour"), path)
+
+
+def features_incremental(spark, sf_dir):
+    """Land the first half of the month, ingest and refresh; land the rest,
+    with late rows of the first half, ingest and refresh; read the features."""
+    ensure_session(spark)
+    raw = load_raw_tx(spark, sf_dir)
+    day = F.to_date(F.timestamp_seconds(q("timeStamp").cast("long")))
+    late = (day >= LATE_FROM) & (q("hash").cast("long") % 20 == 0)
+    rest = (day >= SECOND_FROM) | late
+    root = scratch_dir(spark, "incremental")
+    tables = FeatureTables(f"{root}/transactions", f"{root}/tables")
+    for part in (raw.filter(~rest), raw.filter(rest)):
+        land(spark, part, f"{root}/landing")
+        ingest_new_payloads(spark, f"{root}/landing", tables.transactions, f"{root}/stream", rejects_path=f"{root}/rejects")
+        refresh_features(spark, tables)
+    f = read_features(spark, tables)
+    return _rounded_features(f.select(*[q(c) for c in [*tx(spark, sf_dir).columns, *DERIVED_COLS]]))
+
+
 def daily_tx_stats(spark, sf_dir):
     return R.daily_tx_stats(tx(spark, sf_dir))
 
@@ -553,6 +579,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_tx_stats": daily_tx_stats,
     "rolling_stats": rolling_stats,
     "features_full": features_full,
+    "features_incremental": features_incremental,
     "top10_suspicious": top10_suspicious,
     "pred_labels": pred_labels,
     "address_profile": address_profile,

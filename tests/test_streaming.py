@@ -1,7 +1,16 @@
+import datetime as dt
 import json
 import os
+import random
 
-from ledgerlens.streaming.incremental import ingest_new_payloads, touched_dates
+from pyspark.sql import functions as F
+
+from ledgerlens.operators import features as FT
+from ledgerlens.operators.temporal import add_temporal_features
+from ledgerlens.plans import queries as Q
+from ledgerlens.sources.raw_json import read_raw_payloads
+from ledgerlens.streaming.incremental import batch_writer, ingest_new_payloads
+from ledgerlens.streaming.refresh import FeatureTables, features_input, read_features, refresh_features, touched_dates
 from helpers import T0
 
 
@@ -34,9 +43,97 @@ def test_incremental_ingest_dedupes_and_skips_bad_payloads(spark, tmp_dir):
     assert spark.read.parquet(table).count() == 9
 
 
+def test_a_batch_that_is_tried_again_replaces_itself(spark, tmp_dir):
+    landing, table, bad = (os.path.join(tmp_dir, x) for x in ("landing", "tx", "bad"))
+    land(landing, "p1.json", [tx(i) for i in range(5)])
+    land(landing, "bad.json", [], status="0")
+    write = batch_writer(table, bad, "s")
+    for _ in range(2):
+        write(read_raw_payloads(spark, landing, with_source=False), 0)
+        assert spark.read.parquet(table).count() == 5 and spark.read.json(bad).count() == 1
+    # the next batch brings old rows again, and is tried again too
+    land(os.path.join(tmp_dir, "more"), "p2.json", [tx(i) for i in range(3, 9)])
+    for _ in range(2):
+        write(read_raw_payloads(spark, os.path.join(tmp_dir, "more"), with_source=False), 1)
+        t = spark.read.parquet(table)
+        assert t.count() == 9 and t.select("hash").distinct().count() == 9
+        assert sorted(r[0] for r in t.select("batch").distinct().collect()) == ["s-0", "s-1"]
+
+
+DAY = 86400
+
+
+def _keys(spark, rows):
+    return spark.createDataFrame([(s, k, None if d is None else dt.date(2024, 1, d)) for s, k, d in rows], "side string, k string, date date")
+
+
 def test_touched_dates(spark):
-    df = spark.createDataFrame([(float(T0),)], "timeStamp double")
-    assert touched_dates(df).count() == 8
+    # 2024-01-03 is a Wednesday: its week, the 7 days behind it, and the day
+    # on which an address of the new row is active next
+    activity = _keys(spark, [("from", "a", 3), ("from", "a", 25), ("from", "a", 28), ("to", "b", 3), ("to", "c", 20), ("from", "c", 22)])
+    got = touched_dates(_keys(spark, [("from", "a", 3), ("to", "b", 3)]), activity)
+    assert got == {dt.date(2024, 1, d) for d in (*range(1, 11), 25)}
+    assert touched_dates(_keys(spark, [("from", "a", None)]), activity) == {None}
+
+
+def _refreshed(spark, tmp_dir, parts):
+    tables = FeatureTables(os.path.join(tmp_dir, "tx"), os.path.join(tmp_dir, "tables"))
+    touched = []
+    for i, rows in enumerate(parts):
+        land(os.path.join(tmp_dir, "landing"), f"p{i}.json", rows)
+        ingest_new_payloads(spark, os.path.join(tmp_dir, "landing"), tables.transactions, os.path.join(tmp_dir, "ckpt"))
+        touched.append(refresh_features(spark, tables))
+    return tables, touched
+
+
+def test_refresh_gives_what_a_full_build_gives(spark, tmp_dir):
+    rng = random.Random(4)
+    rows = [{**tx(i), "from": rng.choice("abc"), "to": rng.choice(["a", "b", None]), "timeStamp": str(T0 + rng.randrange(40 * DAY)), "value": str(rng.randrange(1, 9)), "gasPrice": "3"} for i in range(120)]
+    rows += [{**tx(900 + i), "timeStamp": None} for i in range(3)]
+    late = rows[::7]
+    tables, touched = _refreshed(spark, tmp_dir, [[r for r in rows if r not in late], late])
+    assert len(touched[0]) <= 49 and None in touched[0]
+    full = FT.build_features(add_temporal_features(spark.read.parquet(tables.transactions).drop("batch")))
+    cols = sorted(full.columns)
+    key = lambda r: r["hash"]
+    want = sorted(full.select(*[F.col(f"`{c}`") for c in cols]).collect(), key=key)
+    got = sorted(read_features(spark, tables).select(*[F.col(f"`{c}`") for c in cols]).collect(), key=key)
+    assert len(got) == 123
+    for x, y in zip(got, want, strict=True):
+        for c in cols:
+            same = x[c] == y[c] or (isinstance(x[c], float) and abs(x[c] - y[c]) < 1e-9)
+            assert same, (c, x[c], y[c])
+    # nothing new: nothing is written
+    assert refresh_features(spark, tables) == set()
+
+
+def test_untouched_date_folders_are_not_read(spark, tmp_dir):
+    old = [{**tx(i), "timeStamp": str(T0 + i * DAY)} for i in range(60)]
+    new = [{**tx(100 + i), "from": "n", "timeStamp": str(T0 + 50 * DAY)} for i in range(2)]
+    tables, touched = _refreshed(spark, tmp_dir, [old, new])
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
+    assert touched[1] == {day(i) for i in range(49, 58)}  # its week and 7 days on; b's next day is among them
+    before = {day(i): os.stat(os.path.join(tables.features, f"date={day(i)}")).st_mtime_ns for i in range(42)}
+    read = features_input(spark.read.parquet(tables.transactions), touched[1])
+    folders = {f.split("date=")[1].split("/")[0] for f in read.inputFiles()}
+    assert "PartitionFilters: [" in read._jdf.queryExecution().executedPlan().toString()
+    dates = {r[0] for r in read.select("date").distinct().collect()}
+    assert dates == {day(i) for i in range(42, 58)} and len(folders) >= len(dates)
+    scan = [x for x in read._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert all("PartitionFilters: [date" in x or "date#" in x.split("PartitionFilters:")[1].split("]")[0] for x in scan)
+    # a further refresh leaves the old folders as they are
+    land(os.path.join(tmp_dir, "landing"), "p9.json", [{**tx(200), "from": "n", "timeStamp": str(T0 + 55 * DAY)}])
+    ingest_new_payloads(spark, os.path.join(tmp_dir, "landing"), tables.transactions, os.path.join(tmp_dir, "ckpt"))
+    refresh_features(spark, tables)
+    assert {d: os.stat(os.path.join(tables.features, f"date={d}")).st_mtime_ns for d in before} == before
+    # totals of rows in folders that were not touched are up to date
+    assert read_features(spark, tables, {day(0)}).first()["total_tx_count_to"] == 63
+
+
+def test_incremental_query_is_the_full_one(spark):
+    a, b = Q.features_incremental(spark, "/root/testdata/sf0.001"), Q.features_full(spark, "/root/testdata/sf0.001")
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_ingest_keeps_rejects_and_rows_without_a_hash(spark, tmp_dir):
