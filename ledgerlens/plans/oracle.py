@@ -625,3 +625,26 @@ v AS (SELECT "from", list_sort(list(value)) AS l, count(value) AS n FROM tx WHER
 
 # Landed, ingested and refreshed in two parts: the same table.
 ORACLE["features_incremental"] = ORACLE["features_full"]
+
+# Exact amounts: 128-bit integers, shown as digits.
+_WEI = TX + """,
+wei AS (
+  SELECT "from", "to", date, isError,
+         CAST(round(value * 100) AS HUGEINT) * 10000000000000000::HUGEINT + CAST(hash AS HUGEINT) AS wei
+  FROM tx
+)"""
+ORACLE["daily_tx_stats_wei"] = w(
+    _WEI,
+    """SELECT date, count(*) AS tx_count, CAST(sum(CAST(isError AS INTEGER)) AS BIGINT) AS failed_tx,
+       CAST(sum(wei) AS VARCHAR) AS total_wei FROM wei GROUP BY 1""",
+)
+ORACLE["address_amounts_wei"] = w(
+    _WEI + """,
+moved AS (
+  SELECT "from" AS address, 1 AS sent, wei, 0::HUGEINT AS back FROM wei WHERE "from" IS NOT NULL
+  UNION ALL SELECT "to", 0, 0::HUGEINT, wei FROM wei WHERE "to" IS NOT NULL
+)""",
+    """SELECT address, CAST(sum(sent) AS BIGINT) AS sent_count, CAST(sum(wei) AS VARCHAR) AS sent_wei,
+       CAST(sum(back) AS VARCHAR) AS received_wei, CAST(sum(back) - sum(wei) AS VARCHAR) AS net_wei
+FROM moved GROUP BY 1""",
+)

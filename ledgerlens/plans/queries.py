@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import landing_key, parse_timestamp, round6
+from ledgerlens.operators import amounts
 from ledgerlens.operators import reports as R
 from ledgerlens.operators.aggregates import activity_stats, daily_avg_interval
 from ledgerlens.operators.classifier import classifier_scores, fit_classifier, hash_split
@@ -38,7 +39,7 @@ from ledgerlens.sources.raw_json import flatten_payloads, payloads_from_tx, read
 from ledgerlens.sources import sinks
 from ledgerlens.sources.sinks import landing_frame, write_landing, write_partitioned
 from ledgerlens.sources.tables import read_partitioned, register_parquet_table
-from ledgerlens.sources.testdata import load_raw_tx
+from ledgerlens.sources.testdata import load_raw_tx, load_table, raw_tx_from_events
 from ledgerlens.streaming.incremental import ingest_new_payloads
 from ledgerlens.streaming.refresh import FeatureTables, read_features, refresh_features
 
@@ -362,6 +363,25 @@ def daily_tx_stats(spark, sf_dir):
     return R.daily_tx_stats(tx(spark, sf_dir))
 
 
+def _tx_wei(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with their amount in wei as digits: the value's cents at
+    10**16 wei each, and the event id below that, which a double would lose."""
+    events = load_table(spark, sf_dir, "events")
+    cents = F.round(F.col("value") * 100).cast("decimal(20,0)")
+    wei = (cents * F.lit(10**16).cast("decimal(17,0)") + F.col("event_id").cast("decimal(19,0)")).cast("decimal(38,0)")
+    raw = raw_tx_from_events(events.withColumn("value_text", wei.cast("string")), keep=["value_text"])
+    ensure_session(spark)
+    return add_temporal_features(prepare_transactions(raw))
+
+
+def daily_tx_stats_wei(spark, sf_dir):
+    return amounts.daily_tx_stats_wei(_tx_wei(spark, sf_dir))
+
+
+def address_amounts_wei(spark, sf_dir):
+    return amounts.address_amounts_wei(_tx_wei(spark, sf_dir))
+
+
 # --- scoring --------------------------------------------------------------------
 
 
@@ -577,6 +597,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_distribution": score_distribution,
     "top_suspicious_senders": top_suspicious_senders,
     "daily_tx_stats": daily_tx_stats,
+    "daily_tx_stats_wei": daily_tx_stats_wei,
+    "address_amounts_wei": address_amounts_wei,
     "rolling_stats": rolling_stats,
     "features_full": features_full,
     "features_incremental": features_incremental,

@@ -17,8 +17,9 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_tx_from_events(events: DataFrame) -> DataFrame:
-    """events -> raw transaction rows (all strings, API field names)."""
+def raw_tx_from_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """events -> raw transaction rows (all strings, API field names), with the
+    columns ``keep`` as they are."""
     k = F.get_json_object(F.col("props"), "$.k")
     et = F.col("event_type")
     gas_price = F.col("value") * (F.lit(1.0) + k.cast("double") / F.lit(100.0))
@@ -35,6 +36,7 @@ def raw_tx_from_events(events: DataFrame) -> DataFrame:
         F.when(et == "purchase", F.col("props")).otherwise(F.lit("")).alias("contractAddress"),
         et.alias("methodId"),
         F.concat(et, F.lit("("), k, F.lit(")")).alias("functionName"),
+        *(keep or []),
     )
 
 

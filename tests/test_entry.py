@@ -17,7 +17,7 @@ SURVEY_KEYS = (
     "rolling_stats features_full iforest_top10 top10_suspicious pred_labels string_index onehot_vector "
     "iforest_scores address_profile value_distribution standardized_features prf_metrics address_risk "
     "classifier_scores predictions_table csv_roundtrip anomalies_csv run_metadata catalog_table most_suspicious "
-    "timestamp_parse value_quantiles features_incremental"
+    "timestamp_parse value_quantiles features_incremental daily_tx_stats_wei address_amounts_wei"
 ).split()
 
 NO_ORACLE = {"iforest_scores", "iforest_top10", "classifier_scores"}
@@ -58,6 +58,7 @@ if FAST:
         "features_full", "pred_labels", "kpi_summary", "daily_trend", "address_profile", "string_index",
         "onehot_vector", "onehot_dummies", "score_threshold", "raw_json_roundtrip", "feature_scan_pruned",
         "predictions_table", "csv_roundtrip", "catalog_table", "most_suspicious", "timestamp_parse", "value_quantiles",
+        "daily_tx_stats_wei", "address_amounts_wei",
     ]
 
 
