@@ -2,12 +2,14 @@
 
 Real categories (function names, method ids) have no small bound, so nothing
 here has a column per category or brings the categories to the driver. Indices
-come from a table of value counts that is ranked in range partitions and joined
-back; one-hot and dummy vectors are sparse.
+of all columns come from one table of value counts that is ranked in range
+partitions and joined back; one-hot and dummy vectors are sparse, as columns of
+places and values or as MLlib vectors, made without a Python worker.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,40 +17,40 @@ from ledgerlens.operators.prepare import q
 from ledgerlens.operators.scoring import materialize
 from ledgerlens.schema import ENCODED_COLS
 
-HASHED_DUMMIES = 16
+def category_tables(df: DataFrame, cols: list[str] = ENCODED_COLS) -> DataFrame:
+    """(column, value, index) of the non-NULL values of some columns: index 0
+    for a column's most frequent value, ties in alphabetical order. Written.
 
-
-def category_index(df: DataFrame, col: str) -> DataFrame:
-    """(value, index) of the non-NULL values of a column: 0 for the most
-    frequent, ties in alphabetical order.
-
-    The values are counted with map-side combining, range-partitioned by
-    (count, value) and numbered in each partition; the partitions' offsets are
-    a table of one row per partition.
+    One pass counts the values of all columns with map-side combining; they are
+    range-partitioned by (column, count, value) and numbered in each partition;
+    the partitions' offsets are a table of one row per partition and column.
     """
-    counts = df.select(q(col).alias("value")).filter("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), q(c).cast("string").alias("value")) for c in cols]))
+    counts = df.select(pairs.alias("p")).select("p.*").filter("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     order = [F.desc("n"), F.asc("value")]
-    ranged = materialize(counts.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "categories")
-    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))  # a row per partition
-    own = Window.partitionBy("part").orderBy(*order)
-    numbered = ranged.withColumn("at", F.row_number().over(own) - 1).join(F.broadcast(offsets), "part")
-    return numbered.select("value", (F.col("first") + F.col("at")).alias("index"))
-
-
-def add_indices(df: DataFrame, cols: list[str] = ENCODED_COLS, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``<c>_index`` (double) for each column, from ``tables`` or counted on
-    ``df`` itself. Values that are NULL or not in the table get the number of
-    values in it. A frequent value's rows can be split by adaptive execution."""
+    ranged = materialize(counts.repartitionByRange(F.asc("column"), *order).withColumn("part", F.spark_partition_id()), "categories")
+    sizes = ranged.groupBy("part", "column").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", "column", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
+    own = Window.partitionBy("part", "column").orderBy(*order)
+    numbered = ranged.withColumn("at", F.row_number().over(own) - 1).join(F.broadcast(offsets), ["part", "column"])
+    return materialize(numbered.select("column", "value", (F.col("first") + F.col("at")).alias("index")), "index")
+
+
+def add_indices(df: DataFrame, cols: list[str] = ENCODED_COLS, tables: DataFrame | None = None) -> DataFrame:
+    """``<c>_index`` (double) and ``<c>_categories`` (number of values) for
+    each column, from the written ``tables`` or counted on ``df`` itself. Values
+    that are NULL or not in the tables get the number of values. A frequent
+    value's rows can be split by adaptive execution."""
+    if tables is None:
+        tables = category_tables(df, cols)
+    sizes = dict(tables.groupBy("column").count().collect())  # a row per column
     out = df
     for c in cols:
-        table = materialize(tables[c] if tables else category_index(df, c), "index")
-        n = table.count()
-        table = table.select(F.col("value").alias("_value"), F.col("index").alias("_index"))
-        out = out.join(table, out[f"`{c}`"] == table["_value"], "left")
-        out = out.withColumn(f"{c}_index", F.coalesce("_index", F.lit(n)).cast("double")).drop("_value", "_index")
-        out = out.withColumn(f"{c}_categories", F.lit(n).cast("long"))
+        own = tables.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("index").alias("_index"))
+        n = F.lit(sizes.get(c, 0))
+        out = out.join(own, q(c).cast("string") == F.col("_value"), "left")
+        out = out.withColumns({f"{c}_index": F.coalesce("_index", n).cast("double"), f"{c}_categories": n.cast("long")}).drop("_value", "_index")
     return out
 
 
@@ -59,29 +61,36 @@ def sparse_onehot(col: str) -> list[Column]:
     return [F.when(index < size, index).alias(f"{col}_onehot_at"), size.alias(f"{col}_onehot_size")]
 
 
+def _dummy_place(c: str) -> Column:
+    """A row's place among the dummies of an indexed column: the index of its
+    value, the number of values for NULL, NULL for a value that is unseen."""
+    index, size = q(f"{c}_index").cast("long"), q(f"{c}_categories")
+    return F.when(q(c).isNull(), size).when(index < size, index)
+
+
 def sparse_dummies(cols: list[str] = ENCODED_COLS) -> list[Column]:
-    """Per column the name of its dummy that is 1 in a row, ``<c>_<value>`` or
-    ``<c>_nan`` for NULL; all its other dummies are 0."""
-    return [F.concat(F.lit(f"{c}_"), F.coalesce(q(c).cast("string"), F.lit("nan"))) for c in cols]
-
-
-def add_dummies(df: DataFrame, domains: dict[str, list[str]]) -> DataFrame:
-    """``<c>_<value>`` 0/1 columns for the fixed domain of each column, and
-    ``<c>_nan`` for NULL; the schema does not depend on the data."""
-    new = {}
-    for c, values in domains.items():
-        for v in values:
-            new[f"{c}_{v}"] = F.coalesce((q(c) == F.lit(v)).cast("int"), F.lit(0))
-        new[f"{c}_nan"] = q(c).isNull().cast("int")
-    return df.withColumns(new)
-
-
-def add_hashed_dummies(df: DataFrame, cols: list[str] = ENCODED_COLS, buckets: int = HASHED_DUMMIES) -> DataFrame:
-    """``<c>_h<i>`` 0/1 columns: the hash bucket of the value, so that models
-    that need dense input take any number of categories. NULL has none."""
-    new = {}
+    """The dummies of indexed columns as one sparse vector: ``size``, and the
+    ``indices`` and ``values`` of what is not 0. Each column has a place for
+    each of its values and one for NULL, behind those of the columns before."""
+    places, first = [], F.lit(0).cast("long")
     for c in cols:
-        bucket = F.when(q(c).isNotNull(), F.pmod(F.xxhash64(q(c)), F.lit(buckets)))
-        for i in range(buckets):
-            new[f"{c}_h{i}"] = F.coalesce((bucket == i).cast("int"), F.lit(0))
-    return df.withColumns(new)
+        places.append(first + _dummy_place(c))
+        first = first + q(f"{c}_categories") + 1
+    indices = F.array_compact(F.array(*places))
+    return [first.alias("size"), indices.alias("indices"), F.transform(indices, lambda _: F.lit(1.0)).alias("values")]
+
+
+def add_dummy_vectors(df: DataFrame, cols: list[str] = ENCODED_COLS, more: list[str] | None = None, output: str = "features") -> DataFrame:
+    """The same vector as an MLlib column, behind the numeric columns ``more``;
+    ``df`` is indexed. Made by MLlib's own encoder and assembler in the JVM."""
+    sizes = df.select(*[q(f"{c}_categories") for c in cols]).head()
+    if sizes is None:
+        sizes = [0] * len(cols)
+    # the last place of each column, for unseen values, is dropped: no 1 at all
+    names = [f"_{c}_place" for c in cols]
+    out = df.withColumns({n: F.coalesce(_dummy_place(c), q(f"{c}_categories") + 1).cast("double") for n, c in zip(names, cols, strict=True)})
+    last = df.sparkSession.createDataFrame([tuple(float(s + 1) for s in sizes)], ", ".join(f"`{n}` double" for n in names))
+    vectors = [f"{n}_vector" for n in names]
+    encoder = OneHotEncoder(inputCols=names, outputCols=vectors, dropLast=True).fit(last)
+    assembler = VectorAssembler(inputCols=[*(more or []), *vectors], outputCol=output)
+    return assembler.transform(encoder.transform(out)).drop(*names, *vectors)

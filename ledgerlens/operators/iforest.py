@@ -1,4 +1,9 @@
-"""Isolation forest as a Spark job.
+"""Isolation forest as a Spark job, over sparse rows.
+
+A row has numeric features and categorical ones. A category is a feature of
+its own, ``c:<column>=<value>`` (``c:<column>`` for NULL), that is 1 in the rows
+that have it and 0 elsewhere, so every value of a column can be split on; there
+are no buckets, and no column per category.
 
 fit
   * every tree draws its own sample of ``psi = min(256, n)`` rows by hashing
@@ -6,33 +11,40 @@ fit
     candidate rows in total, then each tree keeps its ``psi`` candidates with
     the smallest per-tree hash (``row_number`` inside a group of ~1.5 psi
     rows). Deterministic for a given seed, independent of partitioning;
-  * ``groupBy(tree).applyInPandas`` grows one isolation tree per group
-    (random feature, uniform split between the node's min and max, depth
-    limit ceil(log2 psi)). A tree has at most 2 psi - 1 nodes, so the forest
-    is bounded by trees * (2 * 256 - 1) rows and is broadcast for scoring.
+  * ``groupBy(tree).applyInPandas`` grows one isolation tree per group: a
+    random one of the features that differ in the node, in the order of their
+    names, split at a uniform value between the node's min and max, depth
+    limit ceil(log2 psi). All random numbers are md5 hashes of (seed, tree,
+    node), which SQL can compute too. The children of node i are 2i + 1 and
+    2i + 2. A tree has at most 2 psi - 1 nodes, so the forest is bounded by
+    trees * (2 * 256 - 1) rows and is broadcast for scoring.
 
 score
   * a pandas UDF (Arrow batches) averages the path length over the trees:
-    s = 2^(-E[h] / c(psi)); ``score_samples = -s``;
+    s = 2^(-E[h] / c(psi)); ``score_samples = -s``, rounded to 9 decimals so
+    that rows that take the same paths score alike;
   * offset = the ``contamination`` percentile of score_samples (exact,
     distributed); decision = score_samples - offset; label -1 when < 0.
     Lower decision = more abnormal.
 
-Missing feature values are filled with the feature mean before fitting and
-scoring.
+Numeric values are rounded to 6 decimals (see ``round6``) and missing ones
+filled with the feature mean, before fitting and scoring.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import sys
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.functions.scalar import round6
 from ledgerlens.operators.prepare import q
 from ledgerlens.operators.scoring import exact_percentile, materialize
 
@@ -44,19 +56,23 @@ except Exception:  # noqa: BLE001 - older cloudpickle: rely on --py-files
     pass
 
 EULER_GAMMA = 0.5772156649015329
-HASH_RANGE = 1 << 30
+#: Hashes are the first 12 hex digits of an md5.
+HASH_DIGITS = 12
+HASH_RANGE = 16**HASH_DIGITS
+
+NODE_SCHEMA = "tree int, node int, feature string, threshold double, size long"
+
+
+def _hash(*parts: Column | str | int) -> Column:
+    """0 to HASH_RANGE - 1 for the parts joined by colons."""
+    text = F.concat_ws(":", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, HASH_DIGITS), 16, 10).cast("long")
 
-NODE_SCHEMA = T.StructType(
-    [
-        T.StructField("tree", T.IntegerType()),
-        T.StructField("node", T.IntegerType()),
-        T.StructField("feature", T.IntegerType()),
-        T.StructField("threshold", T.DoubleType()),
-        T.StructField("left", T.IntegerType()),
-        T.StructField("right", T.IntegerType()),
-        T.StructField("size", T.LongType()),
-    ]
-)
+
+def _uniform(*parts: str | int) -> float:
+    """A number between 0 and 1 for the parts; the hash is that of ``_hash``."""
+    text = ":".join(map(str, parts))
+    return (int(hashlib.md5(text.encode()).hexdigest()[:HASH_DIGITS], 16) + 0.5) / HASH_RANGE
 
 
 def average_path_length(n: np.ndarray | float) -> np.ndarray:
@@ -70,156 +86,133 @@ def average_path_length(n: np.ndarray | float) -> np.ndarray:
     return out
 
 
-def _grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int):
-    feature, threshold, left, right, size = [], [], [], [], []
-
-    def new_node():
-        for lst, v in ((feature, -1), (threshold, 0.0), (left, -1), (right, -1), (size, 0)):
-            lst.append(v)
-        return len(feature) - 1
-
-    root = new_node()
-    stack = [(root, np.arange(len(x)), 0)]
+def _grow_tree(x: np.ndarray, names: list[str], seed: int, tree: int, max_depth: int) -> list[tuple]:
+    """(node, feature, threshold, size) of a tree over the rows of ``x``, whose
+    columns are in the order of their names; leaves have no feature."""
+    out = []
+    stack = [(0, np.arange(len(x)), 0)]
     while stack:
         node, idx, depth = stack.pop()
-        size[node] = len(idx)
-        if depth >= max_depth or len(idx) <= 1:
-            continue
-        xs = x[idx]
-        lo, hi = xs.min(axis=0), xs.max(axis=0)
-        cand = np.flatnonzero(hi > lo)
-        if len(cand) == 0:
-            continue
-        f = int(rng.choice(cand))
-        thr = float(rng.uniform(lo[f], hi[f]))
-        go_left = xs[:, f] < thr
-        if go_left.all() or not go_left.any():
-            continue
-        feature[node], threshold[node] = f, thr
-        ln, rn = new_node(), new_node()
-        left[node], right[node] = ln, rn
-        stack.append((ln, idx[go_left], depth + 1))
-        stack.append((rn, idx[~go_left], depth + 1))
-    return feature, threshold, left, right, size
-
-
-def _fit_group(features: list[str], seed: int, max_depth: int):
+        feature, threshold = None, None
+        if depth < max_depth and len(idx) > 1:
+            low, high = x[idx].min(axis=0), x[idx].max(axis=0)
+            open_ones = np.flatnonzero(high > low)
+            if len(open_ones):
+                f = open_ones[int(_uniform(seed, "feature", tree, node) * len(open_ones))]
+                at = float(low[f] + _uniform(seed, "threshold", tree, node) * (high[f] - low[f]))
+                left = x[idx, f] < at
+                if left.any():
+                    feature, threshold = names[f], at
+                    stack.append((2 * node + 1, idx[left], depth + 1))
+                    stack.append((2 * node + 2, idx[~left], depth + 1))
+        out.append((node, feature, threshold, len(idx)))
+    return out
+
+
+def category_name(column: str, value: str | None) -> str:
+    return f"c:{column}" if value is None else f"c:{column}={value}"
+
+
+def _fit_group(features: list[str], categories: list[str], seed: int, max_depth: int):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        x = pdf[features].to_numpy(dtype=float)
-        rng = np.random.default_rng(seed + tree)
-        f, t, lft, rgt, sz = _grow_tree(x, rng, max_depth)
-        n = len(f)
-        return pd.DataFrame(
-            {
-                "tree": np.full(n, tree, dtype=np.int32),
-                "node": np.arange(n, dtype=np.int32),
-                "feature": np.array(f, dtype=np.int32),
-                "threshold": np.array(t, dtype=float),
-                "left": np.array(lft, dtype=np.int32),
-                "right": np.array(rgt, dtype=np.int32),
-                "size": np.array(sz, dtype=np.int64),
-            }
-        )
+        columns = {f"n:{c}": pdf[c].to_numpy(dtype=float) for c in features}
+        for c in categories:
+            value = [None if pd.isna(v) else v for v in pdf[c]]
+            for v in set(value):
+                columns[category_name(c, v)] = np.array([w == v for w in value], dtype=float)
+        names = sorted(columns)
+        x = np.column_stack([columns[c] for c in names])
+        nodes = _grow_tree(x, names, seed, tree, max_depth)
+        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "size"])
+        out.insert(0, "tree", tree)
+        return out
 
     return fit
 
 
 class IsolationForestModel:
-    def __init__(self, features: list[str], fill: dict[str, float], nodes: pd.DataFrame, psi: int, n_trees: int):
-        self.features = features
-        self.fill = fill
-        self.psi = psi
-        self.n_trees = n_trees
-        nodes = nodes.sort_values(["tree", "node"])
-        width = int(nodes.groupby("tree")["node"].max().max()) + 1
+    def __init__(self, features: list[str], categories: list[str], fill: dict[str, float], nodes: list[tuple], psi: int, n_trees: int):
+        """``nodes``: (tree, node, feature, threshold, size) rows."""
+        self.features, self.categories, self.fill = features, categories, fill
+        self.psi, self.n_trees = psi, n_trees
+        self.nodes = sorted(tuple(n) for n in nodes)
+        width = max(n[1] for n in self.nodes) + 1
         shape = (n_trees, width)
-        self.feature = np.full(shape, -1, dtype=np.int32)
-        self.threshold = np.zeros(shape)
-        self.left = np.full(shape, -1, dtype=np.int32)
-        self.right = np.full(shape, -1, dtype=np.int32)
+        self.feature = np.full(shape, -1, dtype=np.int64)  # place of the column, -1 in leaves
+        self.threshold = np.zeros(shape)  # or the code of the category
         self.size = np.zeros(shape)
-        t, n = nodes["tree"].to_numpy(), nodes["node"].to_numpy()
-        self.feature[t, n] = nodes["feature"].to_numpy()
-        self.threshold[t, n] = nodes["threshold"].to_numpy()
-        self.left[t, n] = nodes["left"].to_numpy()
-        self.right[t, n] = nodes["right"].to_numpy()
-        self.size[t, n] = nodes["size"].to_numpy()
+        place = {f"n:{c}": i for i, c in enumerate(features)}
+        self.codes: list[dict[str | None, int]] = [{} for _ in categories]
+        for tree, node, feature, threshold, size in self.nodes:
+            self.size[tree, node] = size
+            if feature is None:
+                continue
+            if feature in place:
+                self.feature[tree, node], self.threshold[tree, node] = place[feature], threshold
+                continue
+            column, _, value = feature[2:].partition("=")
+            k = categories.index(column)
+            code = self.codes[k].setdefault(value if "=" in feature else None, len(self.codes[k]))
+            self.feature[tree, node], self.threshold[tree, node] = len(features) + k, code
         self.offset: float | None = None
         self.n_rows: int | None = None
 
     def arrays(self):
-        return (self.feature, self.threshold, self.left, self.right, self.size, self.psi)
-
-    def nodes(self) -> pd.DataFrame:
-        t, n = np.nonzero(np.ones_like(self.feature, dtype=bool))
-        keep = (self.size[t, n] > 0) | (n == 0)
-        t, n = t[keep], n[keep]
-        return pd.DataFrame(
-            {
-                "tree": t.astype(np.int32),
-                "node": n.astype(np.int32),
-                "feature": self.feature[t, n],
-                "threshold": self.threshold[t, n],
-                "left": self.left[t, n],
-                "right": self.right[t, n],
-                "size": self.size[t, n].astype(np.int64),
-            }
-        )
+        return (self.feature, self.threshold, self.size, self.psi, len(self.features), self.codes)
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Nodes as Parquet plus one JSON row of settings (features, fill
         values, psi, trees, offset)."""
-        spark.createDataFrame(self.nodes(), NODE_SCHEMA).write.mode("overwrite").parquet(f"{path}/nodes")
+        spark.createDataFrame(self.nodes, NODE_SCHEMA).write.mode("overwrite").parquet(f"{path}/nodes")
         meta = {
             "features": self.features,
+            "categories": self.categories,
             "fill": [self.fill.get(c, 0.0) for c in self.features],
             "psi": self.psi,
             "n_trees": self.n_trees,
             "offset": self.offset,
         }
-        spark.createDataFrame([meta]).write.mode("overwrite").json(f"{path}/meta")
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "IsolationForestModel":
-        meta = spark.read.json(f"{path}/meta").first().asDict()
-        nodes = spark.read.parquet(f"{path}/nodes").toPandas()
-        model = cls(
-            list(meta["features"]), dict(zip(meta["features"], meta["fill"])), nodes,
-            int(meta["psi"]), int(meta["n_trees"]),
-        )
-        model.offset = meta.get("offset")
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes").collect()  # bounded, see above
+        model = cls(meta["features"], meta["categories"], dict(zip(meta["features"], meta["fill"])), nodes, meta["psi"], meta["n_trees"])
+        model.offset = meta["offset"]
         return model
 
     def matrix(self, df: DataFrame):
-        return F.array(*[F.coalesce(q(c).cast("double"), F.lit(self.fill.get(c, 0.0))) for c in self.features])
+        return F.array(*[F.coalesce(round6(q(c).cast("double")), F.lit(self.fill.get(c, 0.0))) for c in self.features])
+
+    def values(self, df: DataFrame):
+        return F.array(*[q(c).cast("string") for c in self.categories]).cast("array<string>")
 
 
-def _path_lengths(x: np.ndarray, feature, threshold, left, right, size) -> np.ndarray:
+def _path_lengths(x: np.ndarray, feature, threshold, size, n_numeric: int) -> np.ndarray:
     """Mean path length of every row over all trees, vectorised over rows and
-    trees together with flat ``take`` gathers: leaves become self-loops, so
-    each step moves all (row, tree) pairs one level down at once."""
+    trees together with flat ``take`` gathers; rows in a leaf stay there. A
+    split on a category sends the rows that have it to the right."""
     n_trees, width = feature.shape
     n, d = x.shape
-    leaf = (feature < 0).ravel()
     base = (np.arange(n_trees, dtype=np.int64) * width)[None, :]
-    feat = np.where(leaf, 0, feature.ravel()).astype(np.int64)
-    thr = np.where(leaf, np.inf, threshold.ravel())  # a leaf always "goes left"...
-    own = np.arange(n_trees * width, dtype=np.int64) % width
-    lft = np.where(leaf, own, left.ravel()).astype(np.int64)  # ...to itself
-    rgt = right.ravel().astype(np.int64)
+    flat, thr, is_category = feature.ravel(), threshold.ravel(), feature.ravel() >= n_numeric
     xf = np.ascontiguousarray(x, dtype=float).ravel()
     row_base = (np.arange(n, dtype=np.int64) * d)[:, None]
-    node = np.broadcast_to(base, (n, n_trees)).copy()  # flat node ids
+    node = np.zeros((n, n_trees), dtype=np.int64)
     depth = np.zeros((n, n_trees))
     while True:
-        internal = ~leaf.take(node)
-        if not internal.any():
+        at = base + node
+        f = flat.take(at)
+        inner = f >= 0
+        if not inner.any():
             break
-        go_left = xf.take(row_base + feat.take(node)) < thr.take(node)
-        node = base + np.where(go_left, lft.take(node), rgt.take(node))
-        depth += internal
-    return (depth + average_path_length(size.ravel().take(node))).mean(axis=1)
+        v, t = xf.take(row_base + np.maximum(f, 0)), thr.take(at)
+        right = np.where(is_category.take(at), v == t, v >= t)
+        node = np.where(inner, 2 * node + 1 + right, node)
+        depth += inner
+    return (depth + average_path_length(size.ravel().take(base + node))).mean(axis=1)
 
 
 def fit_isolation_forest(
@@ -229,10 +222,12 @@ def fit_isolation_forest(
     max_samples: int = 256,
     key: str = "hash",
     seed: int = 42,
+    categories: list[str] | None = None,
 ) -> IsolationForestModel:
     """Fit on the rows of ``df`` (``key`` identifies a row)."""
+    categories = list(categories or [])
     row = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.avg(q(c).cast("double")).alias(c) for c in features]
+        F.count(F.lit(1)).alias("__rows"), *[round6(F.avg(round6(q(c).cast("double")))).alias(c) for c in features]
     ).first().asDict()
     n = int(row.pop("__rows"))
     fill = {c: (0.0 if v is None else float(v)) for c, v in row.items()}
@@ -242,26 +237,21 @@ def fit_isolation_forest(
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     p_row = min(1.0, 1.5 * psi / n)  # per-tree inclusion probability
     p_any = min(1.0, n_trees * p_row)  # one-hash pre-filter
-    h_any = F.pmod(F.xxhash64(q(key).cast("string"), F.lit(seed)), F.lit(HASH_RANGE))
-    cand = df.filter(h_any < F.lit(int(p_any * HASH_RANGE)))
-    per_tree = min(1.0, p_row / p_any)
-    trees = F.filter(
-        F.sequence(F.lit(0), F.lit(n_trees - 1)),
-        lambda t: F.pmod(F.xxhash64(q("_key").cast("string"), t, F.lit(seed + 1)), F.lit(HASH_RANGE))
-        < F.lit(int(per_tree * HASH_RANGE)),
-    )
-    filled = [F.coalesce(q(c).cast("double"), F.lit(fill[c])).alias(c) for c in features]
-    sample = cand.select(q(key).alias("_key"), *filled).withColumn("tree", F.explode(trees))
-    rank = Window.partitionBy("tree").orderBy(F.xxhash64(q("_key").cast("string"), q("tree"), F.lit(seed + 2)), "_key")
+    cand = df.filter(_hash(seed, "any", q(key)) < F.lit(int(p_any * HASH_RANGE)))
+    limit = F.lit(int(min(1.0, p_row / p_any) * HASH_RANGE))
+    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: _hash(seed, "tree", q("_key"), t) < limit)
+    filled = [F.coalesce(round6(q(c).cast("double")), F.lit(fill[c])).alias(c) for c in features]
+    named = [q(c).cast("string").alias(c) for c in categories]
+    sample = cand.select(q(key).cast("string").alias("_key"), *filled, *named).withColumn("tree", F.explode(trees))
+    rank = Window.partitionBy("tree").orderBy(_hash(seed, "rank", q("_key"), q("tree")), "_key")
     sample = sample.withColumn("_r", F.row_number().over(rank)).filter(q("_r") <= psi)
     nodes = (
-        sample.select("tree", *features)
+        sample.select("tree", *features, *categories)
         .groupBy("tree")
-        .applyInPandas(_fit_group(features, seed, max_depth), schema=NODE_SCHEMA)
+        .applyInPandas(_fit_group(features, categories, seed, max_depth), schema=NODE_SCHEMA)
     )
     # at most n_trees * (2 * psi - 1) small rows
-    pdf = nodes.toPandas()
-    model = IsolationForestModel(features, fill, pdf, psi, n_trees)
+    model = IsolationForestModel(features, categories, fill, nodes.collect(), psi, n_trees)
     model.n_rows = n  # rows of the fitting frame: every one gets a score
     model.fitted_on = df
     return model
@@ -274,14 +264,19 @@ def isolation_scores(df: DataFrame, model: IsolationForestModel) -> DataFrame:
     bc = spark.sparkContext.broadcast(model.arrays())
 
     @F.pandas_udf(T.DoubleType())
-    def raw_score(rows: pd.Series) -> pd.Series:
-        feature, threshold, left, right, size, psi = bc.value
-        x = np.vstack(rows.to_numpy()) if len(rows) else np.zeros((0, feature.shape[1]))
-        mean_path = _path_lengths(x, feature, threshold, left, right, size)
+    def raw_score(rows: pd.Series, values: pd.Series) -> pd.Series:
+        feature, threshold, size, psi, n_numeric, codes = bc.value
+        if not len(rows):
+            return pd.Series([], dtype=float)
+        x = np.vstack(rows.to_numpy())
+        if codes:
+            own = zip(*values, strict=True)
+            x = np.column_stack([x, *([code.get(v, -1) for v in column] for code, column in zip(codes, own, strict=True))])
+        mean_path = _path_lengths(x, feature, threshold, size, n_numeric)
         c = average_path_length(np.array([float(psi)]))[0]
-        return pd.Series(-np.power(2.0, -mean_path / c))
+        return pd.Series(np.round(-np.power(2.0, -mean_path / c), 9))
 
-    return df.withColumn("iforest_raw", raw_score(model.matrix(df)))
+    return df.withColumn("iforest_raw", raw_score(model.matrix(df), model.values(df)))
 
 
 def score_isolation_forest(

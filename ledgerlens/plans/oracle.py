@@ -592,10 +592,6 @@ def _onehot_sql() -> str:
 
 ORACLE["string_index"] = w(_index_ctes(), "SELECT hash, methodId_index, functionName_index, time_slot_index FROM enc")
 ORACLE["onehot_vector"] = _onehot_sql()
-ORACLE["onehot_dummies"] = w(
-    TX, "SELECT hash, " + ", ".join(f"'{c}_' || coalesce({c}, 'nan') AS {c}_dummy" for c in _ENC_COLS) + " FROM tx"
-)
-
 # Written and read back.
 ORACLE["predictions_table"] = w(
     LABELED,
@@ -648,3 +644,112 @@ moved AS (
        CAST(sum(back) AS VARCHAR) AS received_wei, CAST(sum(back) - sum(wei) AS VARCHAR) AS net_wei
 FROM moved GROUP BY 1""",
 )
+
+# Dummies: places of the columns one behind the other, the last of each for NULL.
+def _dummies_sql() -> str:
+    places, first = [], "0"
+    for c in _ENC_COLS:
+        places.append(f"CAST({first} + {c}_index AS BIGINT)")  # NULL has the number of values as its index
+        first += f" + (SELECT n FROM n_{c}) + 1"
+    return w(
+        _index_ctes(),
+        f"""SELECT hash, CAST({first} AS BIGINT) AS size, concat_ws(',', {", ".join(places)}) AS indices,
+       '{",".join("1" for _ in _ENC_COLS)}' AS "values" FROM enc""",
+    )
+
+
+ORACLE["onehot_dummies"] = _dummies_sql()
+
+
+# The isolation forest: samples, splits and walks from md5 hashes.
+_TREES, _PSI, _DEPTH, _SEED, _RANGE = 100, 256, 8, 42, 16**12
+
+
+def _md5_number(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5('{_SEED}:' || {" || ':' || ".join(parts)}), 1, 12) AS BIGINT)"
+
+
+def _md5_uniform(what: str) -> str:
+    return f"((CAST({_md5_number(f"'{what}'", "t", "node")} AS DOUBLE) + 0.5e0) / {_RANGE}e0)"
+
+
+def _path_length(n: str) -> str:
+    return (
+        f"(CASE WHEN {n} <= 1 THEN 0e0 WHEN {n} = 2 THEN 1e0 ELSE 2e0 * (ln(CAST({n} AS DOUBLE) - 1e0) + 0.5772156649015329e0)"
+        f" - 2e0 * (CAST({n} AS DOUBLE) - 1e0) / CAST({n} AS DOUBLE) END)"
+    )
+
+
+def _forest_ctes() -> str:
+    numeric = [f"coalesce({r6(f'CAST(feat.{c} AS DOUBLE)')}, fill.{c}) AS {c}" for c in FEATURE_COLS]
+    fill = [f"{r6('avg(' + r6(f'CAST({c} AS DOUBLE)') + ')')} AS {c}" for c in FEATURE_COLS]
+    values = [f"SELECT hash, 'n:{c}' AS f, {c} AS v FROM filled" for c in FEATURE_COLS]
+    values += [f"SELECT hash, 'c:{c}' || coalesce('=' || {c}, ''), 1e0 FROM filled" for c in _ENC_COLS]
+    out = f"""{FEATURES},
+fill AS (SELECT {", ".join(fill)} FROM feat),
+filled AS MATERIALIZED (SELECT hash, {", ".join(_ENC_COLS)}, {", ".join(numeric)} FROM feat CROSS JOIN fill),
+vals AS MATERIALIZED ({" UNION ALL ".join(values)}),
+par AS (
+  SELECT psi, CAST(floor(p_any * {_RANGE}e0) AS BIGINT) AS any_limit, CAST(floor(least(1e0, p_row / p_any) * {_RANGE}e0) AS BIGINT) AS tree_limit
+  FROM (SELECT psi, p_row, least(1e0, {_TREES} * p_row) AS p_any
+        FROM (SELECT least({_PSI}, n) AS psi, least(1e0, 1.5e0 * least({_PSI}, n) / n) AS p_row FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM feat)))
+),
+drawn AS (
+  SELECT hash, t, psi FROM (SELECT hash, psi, tree_limit FROM feat CROSS JOIN par WHERE {_md5_number("'any'", "hash")} < any_limit)
+  CROSS JOIN range({_TREES}) AS r(t) WHERE {_md5_number("'tree'", "hash", "t")} < tree_limit
+),
+a0 AS MATERIALIZED (
+  SELECT t, hash, 0 AS node FROM drawn
+  QUALIFY row_number() OVER (PARTITION BY t ORDER BY {_md5_number("'rank'", "hash", "t")}, hash) <= psi
+)"""
+    for i in range(_DEPTH):
+        out += f""",
+z{i} AS (SELECT t, node, count(*) AS size FROM a{i} GROUP BY 1, 2),
+b{i} AS (
+  SELECT t, node, f, CASE WHEN c < size THEN least(low, 0e0) ELSE low END AS low, CASE WHEN c < size THEN greatest(high, 0e0) ELSE high END AS high
+  FROM (SELECT a.t, a.node, v.f, count(*) AS c, min(v.v) AS low, max(v.v) AS high FROM a{i} a JOIN vals v ON v.hash = a.hash GROUP BY 1, 2, 3)
+  JOIN z{i} USING (t, node)
+),
+c{i} AS (
+  SELECT t, node, f, low, high, row_number() OVER (PARTITION BY t, node ORDER BY f) - 1 AS i, count(*) OVER (PARTITION BY t, node) AS m
+  FROM b{i} WHERE high > low
+),
+s{i} AS MATERIALIZED (
+  SELECT t, node, f, low + {_md5_uniform("threshold")} * (high - low) AS cut
+  FROM c{i} WHERE i = CAST(floor({_md5_uniform("feature")} * m) AS BIGINT)
+),
+a{i + 1} AS MATERIALIZED (
+  SELECT a.t, a.hash, CASE WHEN coalesce(v.v, 0e0) < s.cut THEN 2 * a.node + 1 ELSE 2 * a.node + 2 END AS node
+  FROM a{i} a JOIN s{i} s ON s.t = a.t AND s.node = a.node LEFT JOIN vals v ON v.hash = a.hash AND v.f = s.f
+)"""
+    out += f""",
+z{_DEPTH} AS (SELECT t, node, count(*) AS size FROM a{_DEPTH} GROUP BY 1, 2),
+sizes AS MATERIALIZED ({" UNION ALL ".join(f"SELECT t, node, size FROM z{i}" for i in range(_DEPTH + 1))}),
+walk0 AS (SELECT hash, t, 0 AS node FROM feat CROSS JOIN range({_TREES}) AS r(t))"""
+    for i in range(_DEPTH):
+        out += f""",
+walk{i + 1} AS MATERIALIZED (
+  SELECT w.hash, w.t, CASE WHEN coalesce(v.v, 0e0) < s.cut THEN 2 * w.node + 1 ELSE 2 * w.node + 2 END AS node
+  FROM walk{i} w JOIN s{i} s ON s.t = w.t AND s.node = w.node LEFT JOIN vals v ON v.hash = w.hash AND v.f = s.f
+)"""
+    # a row's last node in a tree is the largest; its depth follows from it
+    ends = " UNION ALL ".join(f"SELECT hash, t, node, {i} AS depth FROM walk{i}" for i in range(_DEPTH + 1))
+    out += f""",
+ends AS (SELECT hash, t, max(depth) AS depth, max(node) AS node FROM ({ends}) GROUP BY 1, 2),
+raw AS (
+  SELECT e.hash, round(-pow(2e0, -avg(e.depth + {_path_length("z.size")}) / {_path_length("max(par.psi)")}), 9) AS raw
+  FROM ends e JOIN sizes z ON z.t = e.t AND z.node = e.node CROSS JOIN par GROUP BY 1
+),
+decided AS (
+  SELECT feat.hash, feat."from", feat."to", feat.log_value, raw - o AS anomaly_score, CASE WHEN raw - o < 0 THEN -1 ELSE 1 END AS pred_label
+  FROM raw JOIN feat ON feat.hash = raw.hash CROSS JOIN (SELECT quantile_cont(raw, 0.01) AS o FROM raw)
+)"""
+    return out
+
+
+ORACLE["iforest_scores"] = w(_forest_ctes(), f"SELECT hash, {r6('anomaly_score')} AS anomaly_score, pred_label FROM decided")
+ORACLE["iforest_top10"] = w(
+    _forest_ctes(),
+    f"""SELECT hash, "from" AS from_address, "to" AS to_address, {r6("log_value")} AS log_value, pred_label, {r6("anomaly_score")} AS anomaly_score
+FROM (SELECT * FROM decided ORDER BY anomaly_score, hash LIMIT 10)""",
+)

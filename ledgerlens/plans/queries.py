@@ -19,7 +19,7 @@ from ledgerlens.operators import amounts
 from ledgerlens.operators import reports as R
 from ledgerlens.operators.aggregates import activity_stats, daily_avg_interval
 from ledgerlens.operators.classifier import classifier_scores, fit_classifier, hash_split
-from ledgerlens.operators.encoding import add_hashed_dummies, add_indices, sparse_dummies, sparse_onehot
+from ledgerlens.operators.encoding import add_indices, sparse_dummies, sparse_onehot
 from ledgerlens.operators.features import DERIVED_COLS, build_features
 from ledgerlens.operators.iforest import fit_isolation_forest, score_isolation_forest
 from ledgerlens.operators.prepare import clean_column_names, model_input, prepare_transactions, q
@@ -517,21 +517,17 @@ def onehot_vector(spark, sf_dir):
 
 
 def onehot_dummies(spark, sf_dir):
-    """Dummy variables in sparse form: per column, the dummy that is 1."""
-    t = tx(spark, sf_dir)
-    return t.select("hash", *[d.alias(f"{c}_dummy") for c, d in zip(ENCODED_COLS, sparse_dummies())])
-
-
-def _forest_input(spark, sf_dir):
-    f = materialize(model_input(features(spark, sf_dir)), "model_input")
-    m = add_hashed_dummies(f)
-    feats = [c for c in m.columns if c not in ("hash", "from", "to", *ENCODED_COLS)]
-    return m, feats
+    """Dummy variables as one sparse vector: size, places and values of what is
+    not 0, with a place for NULL in each column."""
+    out = add_indices(tx(spark, sf_dir).select("hash", *ENCODED_COLS)).select("hash", *sparse_dummies())
+    listed = [F.array_join(F.transform(c, lambda x: x.cast("long").cast("string")), ",").alias(c) for c in ("indices", "values")]
+    return out.select("hash", "size", *listed)
 
 
 def _forest(spark, sf_dir):
-    m, feats = _forest_input(spark, sf_dir)
-    model = fit_isolation_forest(m, feats, n_trees=100, max_samples=256, key="hash", seed=42)
+    m = materialize(model_input(features(spark, sf_dir)), "model_input")
+    feats = [c for c in m.columns if c not in ("hash", "from", "to", *ENCODED_COLS)]
+    model = fit_isolation_forest(m, feats, n_trees=100, max_samples=256, key="hash", seed=42, categories=ENCODED_COLS)
     return score_isolation_forest(m, model, contamination=0.01)
 
 

@@ -3,9 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.classifier import classifier_scores, fit_classifier, hash_split
-from ledgerlens.operators.encoding import add_dummies, add_hashed_dummies, add_indices, category_index, sparse_dummies, sparse_onehot
-from ledgerlens.operators.scoring import materialize
-from ledgerlens.operators.iforest import average_path_length, fit_isolation_forest, score_isolation_forest
+from ledgerlens.operators.encoding import add_dummy_vectors, add_indices, category_tables, sparse_dummies, sparse_onehot
+from ledgerlens.operators.iforest import average_path_length, fit_isolation_forest, isolation_scores, score_isolation_forest
 
 
 def cats(spark):
@@ -31,8 +30,14 @@ def test_onehot_null_is_the_zero_vector(spark):
 
 def test_unseen_values_get_the_last_index(spark):
     df = cats(spark)
-    table = materialize(category_index(df.filter("hash <> 'h2'"), "methodId"), "table")
-    got = {r["hash"]: r["methodId_index"] for r in add_indices(df, ["methodId"], {"methodId": table}).collect()}
+    tables = category_tables(df.filter("hash <> 'h2'"), ["methodId"])
+    seen = add_indices(df, ["methodId"], tables)
+    got = {r["hash"]: r["methodId_index"] for r in seen.collect()}
+    # an unseen value has no dummy, NULL has the last one
+    dummies = {r["hash"]: list(r["indices"]) for r in seen.select("hash", *sparse_dummies(["methodId"])).collect()}
+    assert dummies == {"h1": [0], "h2": [], "h3": [0], "h4": [1], "h5": [2]}
+    vectors = {r["hash"]: np.flatnonzero(r["features"].toArray()).tolist() for r in add_dummy_vectors(seen, ["methodId"]).collect()}
+    assert vectors == dummies
     assert got == {"h1": 0.0, "h2": 2.0, "h3": 0.0, "h4": 1.0, "h5": 2.0}
 
 
@@ -48,22 +53,38 @@ def test_many_categories(spark):
     assert out.filter("hash = 1").first()["functionName_onehot_at"] == 1  # ties in alphabetical order
 
 
-def test_sparse_dummies(spark):
-    d = sparse_dummies(["methodId", "time_slot"])
-    got = {r["hash"]: tuple(r)[1:] for r in cats(spark).select("hash", *d).collect()}
-    assert got["h1"] == ("methodId_b", "time_slot_night") and got["h5"] == ("methodId_nan", "time_slot_midnight")
+def test_sparse_dummies_tell_null_from_the_text_nan(spark):
+    rows = [("h1", "b", "x"), ("h2", "nan", "x"), ("h3", None, "x"), ("h4", "b", None)]
+    df = spark.createDataFrame(rows, "hash string, methodId string, functionName string")
+    cols = ["methodId", "functionName"]
+    got = {r["hash"]: (r["size"], list(r["indices"]), list(r["values"])) for r in add_indices(df, cols).select("hash", *sparse_dummies(cols)).collect()}
+    # methodId: b, nan, NULL; functionName: x, NULL
+    assert got == {"h1": (5, [0, 3], [1.0, 1.0]), "h2": (5, [1, 3], [1.0, 1.0]), "h3": (5, [2, 3], [1.0, 1.0]), "h4": (5, [0, 4], [1.0, 1.0])}
 
 
-def test_dummies_of_a_fixed_domain(spark):
-    out = add_dummies(cats(spark), {"methodId": ["a", "b", "c"]})
-    r = out.filter(F.col("hash") == "h5").first()
-    assert (r["methodId_a"], r["methodId_b"], r["methodId_c"], r["methodId_nan"]) == (0, 0, 0, 1)
+def test_dummy_vectors_are_what_the_columns_say(spark):
+    indexed = add_indices(cats(spark)).withColumn("amount", F.length("hash").cast("double"))
+    both = add_dummy_vectors(indexed, more=["amount"]).select("features", "amount", *sparse_dummies())
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    for r in both.collect():
+        dense = [r["amount"]] + [0.0] * r["size"]
+        for i, v in zip(r["indices"], r["values"], strict=True):
+            dense[1 + i] = v
+        assert r["features"].toArray().tolist() == dense
 
 
-def test_hashed_dummies(spark):
-    out = add_hashed_dummies(cats(spark), ["methodId"], buckets=4)
-    rows = {r["hash"]: [r[f"methodId_h{i}"] for i in range(4)] for r in out.collect()}
-    assert rows["h1"] == rows["h3"] and sum(rows["h1"]) == 1 and sum(rows["h5"]) == 0
+def test_dummy_vectors_of_100_000_names(spark):
+    df = spark.range(100_000).select(F.col("id").alias("hash"), F.concat(F.lit("f"), F.col("id")).alias("functionName"), (F.col("id") % 2).cast("double").alias("label"))
+    indexed = add_indices(df, ["functionName"])
+    r = indexed.select(*sparse_dummies(["functionName"])).agg(F.min("size"), F.countDistinct(F.col("indices")[0]), F.max(F.size("indices"))).first()
+    assert tuple(r) == (100_001, 100_000, 1)
+    from pyspark.ml.classification import LogisticRegression
+
+    vectors = add_dummy_vectors(indexed, ["functionName"])
+    assert vectors.first()["features"].size == 100_001
+    model = LogisticRegression(maxIter=2).fit(vectors.limit(2000))
+    assert model.numFeatures == 100_001
 
 
 def test_average_path_length():
@@ -96,6 +117,36 @@ def test_forest_samples_have_fixed_size(spark):
     assert model.psi == 64 and list(model.size[:, 0]) == [64.0] * 20
 
 
+def test_forest_over_categories_walks_its_nodes(spark):
+    # one rare category, NULLs, and ten thousand names of which none is merged
+    df = spark.range(20_000).select(
+        F.col("id").cast("string").alias("hash"),
+        (F.col("id") % 7).cast("double").alias("a"),
+        F.when(F.col("id") == 5, "rare").when(F.col("id") % 11 == 0, F.lit(None)).otherwise("m").alias("methodId"),
+        F.concat(F.lit("f"), F.col("id") % 10_000).alias("functionName"),
+    )
+    model = fit_isolation_forest(df, ["a"], n_trees=10, max_samples=128, categories=["methodId", "functionName"])
+    names = {n[2] for n in model.nodes if n[2]}
+    assert "c:methodId" in names and "c:methodId=m" in names and sum(x.startswith("c:functionName=") for x in names) > 50
+    nodes = {(t, i): (f, cut, size) for t, i, f, cut, size in model.nodes}
+    rows = {r["hash"]: r for r in df.filter("hash < 40").collect()}
+    got = {r["hash"]: r["iforest_raw"] for r in isolation_scores(df.filter("hash < 40"), model).collect()}
+    for h, r in rows.items():
+        path = 0.0
+        for t in range(10):
+            i, depth = 0, 0
+            while nodes[t, i][0] is not None:
+                f, cut, _ = nodes[t, i]
+                kind, _, rest = f.partition(":")
+                column, _, value = rest.partition("=")
+                x = r[column] if kind == "n" else float(r[column] == (value if "=" in rest else None))
+                i, depth = 2 * i + 1 + (x >= cut), depth + 1
+            path += depth + float(average_path_length(np.array([float(nodes[t, i][2])]))[0])
+        want = -(2 ** (-path / 10 / float(average_path_length(np.array([128.0]))[0])))
+        assert got[h] == pytest.approx(want, abs=2e-9)
+    assert sum(f is not None for f, _, _ in nodes.values()) * 2 + 10 == len(nodes)
+
+
 def test_classifier(spark):
     rng = np.random.default_rng(3)
     rows = []

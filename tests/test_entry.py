@@ -20,7 +20,7 @@ SURVEY_KEYS = (
     "timestamp_parse value_quantiles features_incremental daily_tx_stats_wei address_amounts_wei"
 ).split()
 
-NO_ORACLE = {"iforest_scores", "iforest_top10", "classifier_scores"}
+NO_ORACLE = {"classifier_scores"}
 
 
 def test_every_survey_key_is_registered():
@@ -58,7 +58,7 @@ if FAST:
         "features_full", "pred_labels", "kpi_summary", "daily_trend", "address_profile", "string_index",
         "onehot_vector", "onehot_dummies", "score_threshold", "raw_json_roundtrip", "feature_scan_pruned",
         "predictions_table", "csv_roundtrip", "catalog_table", "most_suspicious", "timestamp_parse", "value_quantiles",
-        "daily_tx_stats_wei", "address_amounts_wei",
+        "daily_tx_stats_wei", "address_amounts_wei", "iforest_scores", "iforest_top10",
     ]
 
 
