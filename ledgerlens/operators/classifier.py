@@ -1,8 +1,9 @@
 """Supervised scoring: a random forest trained on labelled transactions.
 
-The labels are the caller's (for example confirmed cases, or the z-score
-labels as pseudo-labels). Training rows are a deterministic hash split, so
-the split does not depend on partitioning or on a random seed per run.
+The labels are the caller's (confirmed cases, say), a table of its own that is
+joined by transaction hash. Rows to train on are told by time (train on the
+past, test on what came later) or by a deterministic hash split; neither depends
+on partitioning or on a random seed per run.
 """
 
 from __future__ import annotations
@@ -22,6 +23,22 @@ def hash_split(key: Column, train_pct: int = 80, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(key.cast("string"), F.lit(seed)), F.lit(100)) < F.lit(train_pct)
 
 
+def with_labels(rows: DataFrame, labels: DataFrame, key: str = "hash") -> DataFrame:
+    """Adds ``label`` (double) from ``labels`` (hash, label); NULL where the
+    caller knows nothing. A hash that is labelled twice must agree, else it has
+    no label."""
+    known = labels.select(q(key).cast("string").alias("_key"), q("label").cast("double").alias("label")).groupBy("_key").agg(
+        F.min("label").alias("_low"), F.max("label").alias("_high")
+    )
+    out = rows.drop("label").join(known, rows[key] == known["_key"], "left")
+    return out.withColumn("label", F.when(q("_low") == q("_high"), q("_low"))).drop("_key", "_low", "_high")
+
+
+def time_split(when: Column, cutoff: str) -> Column:
+    """True for rows before ``cutoff``; rows without a time are not trained on."""
+    return F.coalesce(when < F.lit(cutoff).cast("timestamp"), F.lit(False))
+
+
 def fit_classifier(
     df: DataFrame,
     features: list[str],

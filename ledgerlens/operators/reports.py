@@ -6,7 +6,7 @@ they reach the Parquet/JDBC scan when the input is a table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import round6, wei_to_ether
@@ -95,6 +95,24 @@ def tx_search(
     return view.filter(cond)
 
 
+def search_stored(
+    predictions: DataFrame,
+    addresses: list[str] | None = None,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    **more,
+) -> DataFrame:
+    """``tx_search`` over a stored predictions table (``write_search_table``):
+    the dates prune its folders, the addresses reach its files' statistics and
+    bloom filters, and the dashboard columns are made from what is left."""
+    rows = predictions
+    if date_from is not None:
+        rows = rows.filter(q("date") >= F.lit(date_from).cast("date"))
+    if date_to is not None:
+        rows = rows.filter(q("date") <= F.lit(date_to).cast("date"))
+    return tx_search(dashboard_view(rows), addresses, date_from, date_to, **more)
+
+
 # --- KPIs and trends -----------------------------------------------------------
 
 
@@ -273,15 +291,67 @@ QUANTILES = {"q25_value": 0.25, "median_value": 0.5, "q75_value": 0.75}
 
 
 def value_quantiles(tx: DataFrame, probs: dict[str, float] | None = None, accuracy: int = 10_000) -> DataFrame:
-    """Per sender quantiles of the value: observed values whose rank is off by
-    at most 1 / ``accuracy`` of the sender's rows (exact for senders with fewer
-    rows). The sketch is bounded and merged across tasks, so a hot sender is
-    never held in one buffer."""
+    """Per sender, exact quantiles of the value: of its n values, the one at
+    rank ceil(p * n).
+
+    One aggregate gives each sender's count and a bounded, mergeable sketch.
+    Up to ``accuracy`` rows the sketch is exact. For larger senders it gives two
+    values that bracket each wanted rank; only the values inside the brackets,
+    about 4 / ``accuracy`` of the rows, are counted one by one, and what lies
+    below is a number. Rows meet the brackets in a join of two tables, so a
+    sender with a large share of all rows is split over tasks.
+    """
     probs = probs or QUANTILES
-    got = tx.filter(q("from").isNotNull()).groupBy(q("from").alias("from_address")).agg(
-        F.percentile_approx(q("value"), list(probs.values()), accuracy).alias("_q")
+    wanted = list(probs.values())
+    eps = 2.0 / accuracy
+    points = wanted + [max(0.0, p - eps) for p in wanted] + [min(1.0, p + eps) for p in wanted]
+    rows = tx.filter(q("from").isNotNull()).select(q("from").alias("k"), q("value").alias("v"))
+    groups = rows.groupBy("k").agg(F.count("v").alias("n"), F.percentile_approx("v", points, accuracy).alias("s"))
+    groups = materialize(groups, "value_sketches")
+    small = groups.filter(q("n") <= accuracy).select(q("k").alias("from_address"), *[q("s")[i].alias(c) for i, c in enumerate(probs)])
+    if groups.filter(q("n") > accuracy).head() is None:
+        return small
+    m = len(wanted)
+    ranks = F.explode(
+        F.array(*[F.struct(F.lit(i).alias("i"), F.ceil(F.lit(p) * q("n")).alias("r"), q("s")[m + i].alias("lo"), q("s")[2 * m + i].alias("hi")) for i, p in enumerate(wanted)])
     )
-    return got.select("from_address", *[F.col("_q")[i].alias(c) for i, c in enumerate(probs)])
+    brackets = materialize(groups.filter(q("n") > accuracy).select("k", ranks.alias("b")).select("k", "b.*"), "brackets")
+    met = rows.filter(q("v").isNotNull()).join(brackets, "k").filter(q("v") <= q("hi"))
+    inside = F.when(q("v") >= q("lo"), q("v"))  # NULL: below the bracket, counted only
+    counted = materialize(met.groupBy("k", "i", inside.alias("v")).agg(F.count(F.lit(1)).alias("c"), F.first("r").alias("r")), "bracketed")
+    upto = F.sum("c").over(Window.partitionBy("k", "i").orderBy(F.asc_nulls_first("v")))
+    found = counted.withColumn("upto", upto).filter(q("v").isNotNull() & (q("upto") >= q("r"))).groupBy("k", "i").agg(F.min("v").alias("v"))
+    large = found.groupBy(q("k").alias("from_address")).agg(*[F.max(F.when(q("i") == i, q("v"))).alias(c) for i, c in enumerate(probs)])
+    return small.unionByName(large)
+
+
+# --- distinct counts that can be merged ------------------------------------------
+
+#: log2 of the registers of a sketch: relative standard error 1.04 / sqrt(4096).
+SKETCH_BITS = 12
+SKETCH_ERROR = 0.0163
+
+
+def counterparty_sketches(tx: DataFrame) -> DataFrame:
+    """Per address and day a sketch of its counterparties (about 4 KB at most,
+    whatever their number); stored by date, they serve any period."""
+    sides = F.array(
+        F.struct(q("from").alias("address"), q("to").alias("other")),
+        F.struct(q("to").alias("address"), q("from").alias("other")),
+    )
+    rows = tx.select("date", F.explode(sides).alias("s")).select("date", "s.*").filter(q("address").isNotNull() & q("other").isNotNull())
+    return rows.groupBy("address", "date").agg(F.hll_sketch_agg("other", F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def merged_counterparties(sketches: DataFrame, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """Per address the estimated number of distinct counterparties of a
+    period, from the sketches of its days alone."""
+    rows = sketches
+    if date_from is not None:
+        rows = rows.filter(q("date") >= F.lit(date_from).cast("date"))
+    if date_to is not None:
+        rows = rows.filter(q("date") <= F.lit(date_to).cast("date"))
+    return rows.groupBy("address").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("counterparties"))
 
 
 def standardized_features(df: DataFrame, features: list[str]) -> DataFrame:
@@ -331,3 +401,35 @@ def address_risk(labeled: DataFrame) -> DataFrame:
         round6(F.max(q("anomaly_score"))).alias("max_score"),
         round6(F.avg(q("anomaly_score"))).alias("avg_score"),
     )
+
+
+def ranking_metrics(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """One row: rows, positives, area under the ROC curve and average precision
+    of a score (higher: positive likelier) against a 0/1 label; rows without
+    either are left out. Equal scores count as one step of the curves.
+
+    Scores are counted, range-partitioned from the highest on, and added up
+    within each partition behind the sums of those before it, one row each.
+    """
+    rows = scored.select(q(score).cast("double").alias("s"), q(label).cast("int").alias("y")).filter(q("s").isNotNull() & q("y").isNotNull())
+    steps = rows.groupBy("s").agg(F.sum("y").alias("p"), F.count(F.lit(1)).alias("c"))
+    steps = materialize(steps.repartitionByRange(F.desc("s")).withColumn("part", F.spark_partition_id()), "steps")
+    sums = steps.groupBy("part").agg(F.sum("p").alias("part_p"), F.sum("c").alias("part_c"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = sums.select("part", *[F.coalesce(F.sum(f"part_{x}").over(before), F.lit(0)).alias(f"{x}_before") for x in "pc"])
+    total = sums.agg(F.sum("part_p").alias("all_p"), F.sum("part_c").alias("all_c"))
+    upto = Window.partitionBy("part").orderBy(F.desc("s"))
+    curve = steps.withColumns({f"{x}_upto": F.sum(x).over(upto) for x in "pc"}).join(F.broadcast(offsets), "part")
+    hits, seen = q("p_before") + q("p_upto"), q("c_before") + q("c_upto")
+    negatives = (q("c") - q("p")).cast("double")
+    out = curve.agg(
+        F.sum(negatives * (hits - q("p") / F.lit(2.0))).alias("area"),
+        F.sum(q("p") * (hits.cast("double") / seen)).alias("precisions"),
+    ).crossJoin(F.broadcast(total))
+    positives = q("all_p").cast("double")
+    return out.select(
+        F.coalesce(q("all_c"), F.lit(0)).alias("n_rows"),
+        F.coalesce(q("all_p"), F.lit(0)).alias("n_positive"),
+        round6(F.try_divide(q("area"), positives * (q("all_c") - q("all_p")))).alias("roc_auc"),
+        round6(F.try_divide(q("precisions"), positives)).alias("average_precision"),
+    )

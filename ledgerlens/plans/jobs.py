@@ -15,6 +15,7 @@ from ledgerlens.operators.prepare import clean_column_names, missing_columns, pr
 from ledgerlens.operators.reports import predictions_view
 from ledgerlens.operators.scoring import label_summary, materialize, score_transactions
 from ledgerlens.operators.temporal import add_temporal_features
+from ledgerlens.operators.zscore_model import ZScoreModel, versions
 from ledgerlens.session import ensure_session
 from ledgerlens.sources import sinks
 from ledgerlens.sources.raw_json import flatten_payloads, read_raw_payloads, split_payloads
@@ -52,9 +53,16 @@ def scoring_job(
     report_path: str | None = None,
     jdbc: dict | None = None,
     run_ts: _dt.datetime | None = None,
+    model_path: str | None = None,
+    dates: list[_dt.date] | None = None,
 ) -> tuple[DataFrame, float | None]:
     """Feature table -> scored and labelled predictions.
 
+    With ``model_path`` the latest saved model scores the rows, and is fitted
+    on all of them and saved first where there is none; without, a model is
+    fitted for this run alone. ``dates`` are the dates to score: the date
+    folders of others are neither read nor written.
+
     Writes the predictions (partitioned by date), and under ``report_path``
     the full CSV, the anomalies-only CSV and the run metadata; appends the
     relational predictions table when ``jdbc`` (url, table, properties) is
@@ -62,7 +70,17 @@ def scoring_job(
     """
     ensure_session(spark)
     features = spark.read.parquet(features_path)
-    labeled, used, threshold = score_transactions(features, persist=False)  # a table already
+    if model_path:
+        if not versions(spark, model_path):
+            ZScoreModel.fit(features).save(spark, model_path)
+        model = ZScoreModel.load(spark, model_path)
+        used, threshold = model.features, model.threshold
+    if dates is not None:
+        features = features.filter(F.col("date").isin(dates))
+    if model_path:
+        labeled = model.apply(features)
+    else:
+        labeled, used, threshold = score_transactions(features, persist=False)  # a table already
     sinks.write_predictions(labeled, predictions_path)
     stored = spark.read.parquet(predictions_path)
     if "date" in features.columns:  # not the dates that earlier runs left there

@@ -644,6 +644,38 @@ moved AS (
        CAST(sum(back) AS VARCHAR) AS received_wei, CAST(sum(back) - sum(wei) AS VARCHAR) AS net_wei
 FROM moved GROUP BY 1""",
 )
+# A model of the first half of the month, applied to the second.
+ORACLE["scores_from_saved_model"] = w(
+    SCORED.replace("  FROM feat\n),\nscored AS", "  FROM feat WHERE date < DATE '2024-01-16'\n),\nscored AS")
+    + """,
+thr AS (SELECT quantile_cont(anomaly_score, 0.99) AS t FROM scored WHERE date < DATE '2024-01-16')""",
+    f"""SELECT hash, {r6("anomaly_score")} AS anomaly_score, CASE WHEN anomaly_score >= thr.t THEN -1 ELSE 1 END AS pred_label
+FROM scored CROSS JOIN thr WHERE date >= DATE '2024-01-16'""",
+)
+ORACLE["address_risk_bucketed"] = ORACLE["address_risk"]
+ORACLE["counterparties_sketch"] = w(
+    TX + """,
+sides AS (
+  SELECT "from" AS address, "to" AS other, date FROM tx UNION ALL SELECT "to", "from", date FROM tx
+)""",
+    """SELECT address, count(DISTINCT other) AS exact_count, TRUE AS estimate_near FROM sides
+WHERE address IS NOT NULL AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY 1""",
+)
+ORACLE["ranking_metrics"] = w(
+    SCORED + f""",
+ranked AS (
+  SELECT {r6("anomaly_score")} AS s, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS y
+  FROM scored JOIN orders ON CAST(o_orderkey AS VARCHAR) = hash WHERE o_orderstatus <> 'P' AND anomaly_score IS NOT NULL
+),
+steps AS (SELECT s, CAST(sum(y) AS DOUBLE) AS p, CAST(count(*) AS DOUBLE) AS c FROM ranked GROUP BY 1),
+curve AS (SELECT *, sum(p) OVER o AS p_upto, sum(c) OVER o AS c_upto, sum(p) OVER () AS all_p, sum(c) OVER () AS all_c
+          FROM steps WINDOW o AS (ORDER BY s DESC))""",
+    f"""SELECT CAST(max(all_c) AS BIGINT) AS n_rows, CAST(max(all_p) AS BIGINT) AS n_positive,
+       {r6("sum((c - p) * (p_upto - p / 2)) / NULLIF(max(all_p) * (max(all_c) - max(all_p)), 0)")} AS roc_auc,
+       {r6("sum(p * p_upto / c_upto) / NULLIF(max(all_p), 0)")} AS average_precision
+FROM curve""",
+)
+
 
 # Dummies: places of the columns one behind the other, the last of each for NULL.
 def _dummies_sql() -> str:

@@ -18,7 +18,7 @@ from ledgerlens.functions.scalar import landing_key, parse_timestamp, round6
 from ledgerlens.operators import amounts
 from ledgerlens.operators import reports as R
 from ledgerlens.operators.aggregates import activity_stats, daily_avg_interval
-from ledgerlens.operators.classifier import classifier_scores, fit_classifier, hash_split
+from ledgerlens.operators.classifier import classifier_scores, fit_classifier, time_split, with_labels
 from ledgerlens.operators.encoding import add_indices, sparse_dummies, sparse_onehot
 from ledgerlens.operators.features import DERIVED_COLS, build_features
 from ledgerlens.operators.iforest import fit_isolation_forest, score_isolation_forest
@@ -33,6 +33,7 @@ from ledgerlens.operators.scoring import (
     score_transactions,
 )
 from ledgerlens.operators.temporal import add_temporal_features
+from ledgerlens.operators.zscore_model import ZScoreModel
 from ledgerlens.schema import ENCODED_COLS, FEATURE_COLS
 from ledgerlens.session import ensure_session, scratch_dir
 from ledgerlens.sources.raw_json import flatten_payloads, payloads_from_tx, read_raw_payloads, split_payloads
@@ -465,10 +466,23 @@ def top_suspicious_senders(spark, sf_dir):
 
 
 def tx_search(spark, sf_dir):
-    v = R.tx_search(view(spark, sf_dir), **SEARCH)
+    """Write the predictions for searches, once, and search the stored table."""
+    path = scratch_dir(spark, "search")
+    sinks.write_search_table(labeled(spark, sf_dir), path)
+    v = R.search_stored(spark.read.parquet(path), **SEARCH)
     return v.select("tx_hash", "from_address", "to_address", "value_eth", "timestamp", "fraud_flag")
 
 
+def scores_from_saved_model(spark, sf_dir):
+    """Fit the z-score model on the first half of the month, save it, load it
+    and score the second half."""
+    feats = materialize(features(spark, sf_dir).select(*[q(c) for c in SCORING_INPUT]), "features")
+    path = scratch_dir(spark, "model")
+    ZScoreModel.fit(feats.filter(q("date") < SECOND_FROM)).save(spark, path)
+    new = ZScoreModel.load(spark, path).apply(feats.filter(q("date") >= SECOND_FROM))
+    return new.select("hash", round6("anomaly_score").alias("anomaly_score"), "pred_label")
+
+
 # --- address analytics -------------------------------------------------------------
 
 
@@ -502,6 +516,27 @@ def address_risk(spark, sf_dir):
     return R.address_risk(labeled(spark, sf_dir))
 
 
+def address_risk_bucketed(spark, sf_dir):
+    """The same from a table bucketed by sender, without an exchange."""
+    rows = labeled(spark, sf_dir).select("hash", "from", "anomaly_score", "pred_label")
+    name, path = f"ledgerlens_risk_{uuid.uuid4().hex}", scratch_dir(spark, "bucketed")
+    return R.address_risk(sinks.write_bucketed(rows, name, path, buckets=8))
+
+
+def counterparties_sketch(spark, sf_dir):
+    """Distinct counterparties per address in one week: the exact count, and
+    whether the estimate merged from daily sketches is within 4 standard errors
+    of it."""
+    t = tx(spark, sf_dir)
+    sketches = materialize(R.counterparty_sketches(t), "sketches")
+    estimate = R.merged_counterparties(sketches, *SCAN_DATES)
+    week = t.filter(q("date").between(F.lit(SCAN_DATES[0]).cast("date"), F.lit(SCAN_DATES[1]).cast("date")))
+    sides = week.select("from", "to").unionByName(week.select(q("to").alias("from"), q("from").alias("to")))
+    exact = sides.filter(q("from").isNotNull()).groupBy(q("from").alias("address")).agg(F.countDistinct("to").alias("exact_count"))
+    near = F.abs(q("counterparties") - q("exact_count")) <= F.greatest(F.lit(1.0), q("exact_count") * (4 * R.SKETCH_ERROR))
+    return exact.join(estimate, "address").select("address", "exact_count", near.alias("estimate_near"))
+
+
 # --- encoders and models ---------------------------------------------------------
 
 
@@ -545,15 +580,27 @@ def iforest_top10(spark, sf_dir):
     )
 
 
+def _caller_labels(spark, sf_dir) -> DataFrame:
+    """Labels that do not come from the transactions: the event's order, where
+    it is not pending, was urgent or not."""
+    orders = load_table(spark, sf_dir, "orders").filter(q("o_orderstatus") != "P")
+    return orders.select(q("o_orderkey").cast("string").alias("hash"), (q("o_orderpriority") == "1-URGENT").cast("int").alias("label"))
+
+
 def classifier_scores_q(spark, sf_dir):
-    """Random forest trained on the z-score labels (pseudo-labels) of an 80 %
-    hash split, scored on every row."""
-    lab = labeled(spark, sf_dir).withColumns(
-        {"label": (q("pred_label") == -1).cast("double"), "is_train": hash_split(q("hash"))}
-    )
-    model = fit_classifier(lab.filter(q("is_train")), FEATURE_COLS, label="label")
+    """Random forest trained on the caller's labels of the first half of the
+    month, scored on every row."""
+    lab = with_labels(labeled(spark, sf_dir), _caller_labels(spark, sf_dir)).withColumn("is_train", time_split(q("datetime"), SECOND_FROM))
+    lab = materialize(lab, "labelled")
+    model = fit_classifier(lab.filter(q("is_train") & q("label").isNotNull()), FEATURE_COLS, label="label")
     out = classifier_scores(lab, model, FEATURE_COLS)
-    return out.select("hash", "is_train", round6("risk_prob").alias("risk_prob"), "risk_pred")
+    return out.select("hash", "is_train", "label", round6("risk_prob").alias("risk_prob"), "risk_pred")
+
+
+def ranking_metrics(spark, sf_dir):
+    """How well the z-score ranks the rows that the caller has labelled."""
+    rows = materialize(scored(spark, sf_dir).select("hash", round6("anomaly_score").alias("score")), "scores")
+    return R.ranking_metrics(with_labels(rows, _caller_labels(spark, sf_dir)), "score", "label")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -619,4 +666,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "most_suspicious": most_suspicious,
     "timestamp_parse": timestamp_parse,
     "value_quantiles": value_quantiles,
+    "scores_from_saved_model": scores_from_saved_model,
+    "address_risk_bucketed": address_risk_bucketed,
+    "counterparties_sketch": counterparties_sketch,
+    "ranking_metrics": ranking_metrics,
 }

@@ -50,6 +50,32 @@ def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None
     write_partitioned(df, path, partition_col="date", mode=mode, cluster="date" in df.columns)
 
 
+def write_search_table(df: DataFrame, path: str, keys: tuple[str, ...] = ("from", "to"), mode: str = "overwrite", parts: int = 8, expected_keys: int = 1_000_000) -> None:
+    """Scored rows for searches by address: date folders, files that hold the
+    rows of some senders in order, and Parquet bloom filters on the addresses.
+    A search reads the folders of its dates and skips the row groups whose
+    statistics or filters rule its addresses out. Files are dealt by (date, part
+    of the senders) in a way that lets adaptive execution split a busy one."""
+    first = F.col(f"`{keys[0]}`")
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(first), F.lit(parts))).hint("rebalance", "date", "_part")
+    writer = dealt.sortWithinPartitions("date", first).drop("_part").write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(f"parquet.bloom.filter.expected.ndv#{key}", str(expected_keys))
+    writer.partitionBy("date").parquet(path)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str = "from", buckets: int = 64) -> DataFrame:
+    """The rows as an external table bucketed and sorted by ``key``: reports
+    grouped by it need no exchange. A key with a large share of all rows makes a
+    large bucket, so this suits tables that are read by address again and again.
+    Returns the table; its entry in the catalog is dropped, the files stay."""
+    spark = df.sparkSession
+    df.repartition(buckets, F.col(f"`{key}`")).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header line; vectors/arrays are not CSV types, so complex
     columns are rendered as JSON strings."""

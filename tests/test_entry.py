@@ -17,7 +17,8 @@ SURVEY_KEYS = (
     "rolling_stats features_full iforest_top10 top10_suspicious pred_labels string_index onehot_vector "
     "iforest_scores address_profile value_distribution standardized_features prf_metrics address_risk "
     "classifier_scores predictions_table csv_roundtrip anomalies_csv run_metadata catalog_table most_suspicious "
-    "timestamp_parse value_quantiles features_incremental daily_tx_stats_wei address_amounts_wei"
+    "timestamp_parse value_quantiles features_incremental daily_tx_stats_wei address_amounts_wei "
+    "scores_from_saved_model address_risk_bucketed counterparties_sketch ranking_metrics"
 ).split()
 
 NO_ORACLE = {"classifier_scores"}
@@ -39,7 +40,7 @@ def test_entry_runs(spark):
 
 def _duck(sf):
     con = duckdb.connect()
-    for t in ("events",):
+    for t in ("events", "orders"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con
 
@@ -59,6 +60,7 @@ if FAST:
         "onehot_vector", "onehot_dummies", "score_threshold", "raw_json_roundtrip", "feature_scan_pruned",
         "predictions_table", "csv_roundtrip", "catalog_table", "most_suspicious", "timestamp_parse", "value_quantiles",
         "daily_tx_stats_wei", "address_amounts_wei", "iforest_scores", "iforest_top10",
+        "scores_from_saved_model", "address_risk_bucketed", "counterparties_sketch", "ranking_metrics", "tx_search",
     ]
 
 
@@ -81,3 +83,4 @@ def test_search_predicates_reach_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "PushedFilters" in line]
     assert any("In(from, [42,7,99])" in line for line in scans)
+    assert any("PartitionFilters: [isnotnull(date" in line and "date" in line for line in scans)
