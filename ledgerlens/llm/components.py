@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import written
+from ledgerlens.llm.common import discard, written
 
 
 def _low(edges: DataFrame) -> DataFrame:
@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     shared folder; the rounds needed grow with the logarithm of the graph. It
     ends when every edge leads to a vertex that has no smaller neighbour.
     Neighbours are never gathered: a vertex with very many is a partial
-    aggregate and one side of a join that can be split.
+    aggregate, which is written, and one side of a join of two tables that can
+    be split. Tables of earlier rounds are deleted.
     """
     e = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
     while True:
@@ -35,8 +36,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
                 e.select(F.col("v").alias("vertex"), F.col("v").alias("component"))
             ).distinct()
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_low(both), "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = _low(large)
+        low = written(_low(both), "low")
+        large = written(both.join(low, "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
+        used = [e, low, large]
+        low = written(_low(large), "low")
         down = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = down.unionByName(low.select("u", F.col("m").alias("v")))
         e = written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
+        for table in (*used, low):
+            discard(table)

@@ -4,23 +4,28 @@ A document is the set of its distinct five-word shingles, as 64-bit hashes.
 Documents with equal sets are one class; all else works on classes.
 
 * A class has ``COORDINATES`` min-hashes: the tokens that stand for its set.
-* ``TREES`` independent trees start with one token each. Classes that share a
-  node's tokens are its members. A node is dropped when its members are known
-  to be one component already; it is a leaf when it is small; one of up to
-  ``MANY`` leaves' members, or of few members with many shingles, is compared
-  in pairs of blocks at once; else its members branch by two other tokens.
+* ``TREES`` independent trees start with two tokens each, no token in two trees.
+  Classes that share a node's tokens are its members. A node is a leaf when it
+  is small; else its members branch by two other tokens, but for nodes with at
+  most ``MANY`` leaves' members outside their largest component so far, which are
+  compared at once.
 * In a leaf, members are compared exhaustively: first by length and by the
   share of equal tokens, with a margin that a similar pair misses with less
   than 1e-7 probability, then by exact intersection of their full sets. Only
   links that join two components of the leaf are emitted, never all pairs.
-* The first tree runs alone; the others skip what one of its leaves has joined. A pair that an earlier tree's leaf has compared is not
+* ``FIRST`` trees run first. In their large nodes, each block of members is
+  compared with itself and with a few members that all blocks share; nearly all
+  of a group of near copies is then one component, at a cost in proportion to
+  its size. The trees, those first ones again for their large nodes, compare
+  members of different components only: those outside a node's largest component
+  with all others. A pair that an earlier tree's leaf has compared is not
   compared anew.
 
-With similarity s, a pair meets in a tree's first node with probability s, so
-ten trees miss a pair at the threshold 0.85 with probability 6e-9. In nodes that
-branch, a pair stays together in 2 s > 1 children in the mean, so the chance that
-none of them keeps it does not grow to 1 with the depth. Nodes still too large at
-``MAX_DEPTH`` are compared exhaustively in pairs of blocks.
+With similarity s, a pair meets in a tree's first node with probability s * s, so
+14 trees miss a pair at the threshold 0.85 with probability 2e-8, and at 0.8 with
+6e-7. In nodes that branch, a pair stays together in 2 s > 1 children in the mean,
+so the chance that none of them keeps it does not grow to 1 with the depth. Nodes
+still too large at ``MAX_DEPTH`` are compared exhaustively in pairs of blocks.
 
 Full sets are fetched for members with a candidate only: a second pass over the
 texts computes them again, behind a key filter of bounded size.
@@ -40,14 +45,17 @@ from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.textops import mix, shingle_hashes, word_hashes
 
 COORDINATES = 64
-TREES = 10
+TREES = 14
+#: Trees that run first.
+FIRST = 3
 #: A node is a leaf up to so many members, and shingles of all of them.
 LEAF_MEMBERS = 1024
 LEAF_SHINGLES = 1 << 21
 MANY = 8
 MAX_DEPTH = 8
-#: Members of a block.
+#: Members of a block, and members of a large node that all its blocks share.
 BLOCK = 512
+HUBS = 8
 
 _RNG = np.random.default_rng(85)
 _XOR = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
@@ -142,39 +150,85 @@ def _joined(run, size: int = 256):
 
 
 def _branches(node: Column) -> list[Column]:
-    """Two different coordinates."""
-    one = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(COORDINATES)).cast("int")
-    return [one, F.pmod(one + 1 + F.pmod(F.xxhash64(node, F.lit(3)), F.lit(COORDINATES - 1)), F.lit(COORDINATES)).cast("int")]
+    """Two different coordinates, none of those that trees start with."""
+    rest = COORDINATES - 2 * TREES
+    one = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(rest)).cast("int")
+    two = F.pmod(one + 1 + F.pmod(F.xxhash64(node, F.lit(3)), F.lit(rest - 1)), F.lit(rest)).cast("int")
+    return [one + 2 * TREES, two + 2 * TREES]
+
+
+LEAF = ["node", "tree", "depth", "key", "label", "n", "sig"]
+
+
+def _blocks(members: Column, weight: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.greatest(members / BLOCK, weight * 2 / LEAF_SHINGLES))).cast("int")
+
+
+def _block(key: str, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(key), blocks).cast("int")
+
+
+def _hub_cells(large: DataFrame) -> DataFrame:
+    """Blocks of a large node, each with the node's hubs: some ``HUBS`` members
+    whose hash is below a bound that the node's size gives."""
+    blocks = _blocks(F.col("size"), F.col("weight"))
+    chance = F.shiftright(F.xxhash64("key", "node"), 1).cast("double") / F.lit(float(2**62)) + 1  # from 0 to 2
+    hub = chance * F.col("size") < 2 * HUBS
+    cells = F.when(hub, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(_block("key", blocks)))
+    at = large.withColumn("cell", F.explode(cells))
+    return at.withColumn("node", F.xxhash64("node", "cell")).withColumn("depth", F.lit(-1)).select(LEAF)
+
+
+def _rest_cells(large: DataFrame) -> DataFrame:
+    """Cells that hold each pair of members of a node of which not both are of
+    its largest component: blocks of the others with blocks of the largest
+    component, and with one another."""
+    blocks = _blocks(F.col("top.c"), F.col("top.w"))
+    rest = _blocks(F.col("size") - F.col("top.c"), F.col("weight") - F.col("top.w"))
+    inner = F.col("label") == F.col("top.label")
+    large = large.withColumns({"inner": inner, "blocks": blocks, "rest": rest, "mine": _block("key", F.when(inner, blocks).otherwise(rest))})
+    own, every = F.col("mine"), lambda n: F.sequence(F.lit(0), n - 1)
+    node = F.col("node")
+    across = F.when(F.col("inner"), F.transform(every(F.col("rest")), lambda i: F.xxhash64(node, F.lit(0), i, own)))
+    across = across.otherwise(F.transform(every(F.col("blocks")), lambda j: F.xxhash64(node, F.lit(0), own, j)))
+    among = F.transform(F.filter(every(F.col("rest")), lambda i: i != own), lambda i: F.xxhash64(node, F.lit(1), F.least(i, own), F.greatest(i, own)))
+    cells = F.when(F.col("inner"), across).otherwise(F.concat(across, among))
+    return large.withColumn("node", F.explode(cells)).withColumn("depth", F.lit(-1)).select(LEAF)
 
 
 def leaves(
     classes: DataFrame, trees: range, labels: DataFrame | None, leaf_members: int
 ) -> tuple[DataFrame, list[DataFrame]]:
     """(node, tree, depth, key, label, n, sig) of the leaves of some trees, and
-    the written tables they are read from.
+    the written tables they are read from. Without ``labels`` large nodes are
+    compared with hubs; with them, members of one component never are, and of
+    the trees that ran first only large nodes remain.
     The min-hashes join members once, after the nodes of a single member are
     gone, and go down the tree with them."""
     known = classes.withColumn("label", F.col("key")) if labels is None else classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    roots = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.col("sig")[t]).alias("node")) for t in trees])
+    roots = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.col("sig")[2 * t], F.col("sig")[2 * t + 1]).alias("node")) for t in trees])
     members = known.select("key", "label", "n", F.explode(roots).alias("r")).select("r.tree", "r.node", "key", "label", "n")
     found, depth, tables = None, 0, []
     while True:
-        stats = (
-            members.groupBy("node")
-            .agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-            .filter("lo <> hi")
-            .select("node", "size", "weight", ((F.col("size") > leaf_members) | (F.col("weight") > LEAF_SHINGLES)).alias("big"))
-            .withColumn("branch", F.col("size") > (MANY * leaf_members if depth < MAX_DEPTH else 2**62))
+        parts = members.groupBy("node", "tree", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
+        stats = parts.groupBy("node", "tree").agg(
+            F.sum("c").alias("size"), F.sum("w").alias("weight"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("c", "w", "label")).alias("top")
         )
+        big = (F.col("size") > leaf_members) | (F.col("weight") > LEAF_SHINGLES)
+        stats = stats.filter("labels > 1").withColumn("big", big).drop("labels")
+        if labels is not None and depth == 0:
+            stats = stats.filter(F.col("big") | (F.col("tree") >= FIRST))
+        # a node with few members outside its largest component costs little
+        deep = (F.col("size") - F.col("top.c") > MANY * leaf_members) & F.lit(depth < MAX_DEPTH and labels is not None)
+        # written first: a join of two tables can be split where a node is hot
+        stats = written(stats.withColumn("branch", F.col("big") & deep).drop("tree"), "nodes")
         mixed = members.join(stats, "node")
-        mixed = written(mixed if depth else mixed.join(classes.select("key", "sig"), "key"), "nodes")
-        tables.append(mixed)
-        here = mixed.filter("NOT big").select("node", "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig")
+        mixed = written(mixed if depth else mixed.join(classes.select("key", "sig"), "key"), "members")
+        tables += [stats, mixed]
+        here = mixed.filter("NOT big").withColumn("depth", F.lit(depth)).select(LEAF)
+        large = mixed.filter("big AND NOT branch")
+        here = here.unionByName(_hub_cells(large) if labels is None else _rest_cells(large))
         found = here if found is None else found.unionByName(here)
-        blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") * 2 / LEAF_SHINGLES)).cast("int")
-        cut = mixed.filter("big AND NOT branch").withColumn("mine", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        cell = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
-        found = found.unionByName(cut.select(cell.alias("node"), "tree", F.lit(depth).alias("depth"), "key", "label", "n", "sig"))
         large = mixed.filter("branch")
         if not large.head(1):
             return found, tables
@@ -201,7 +255,7 @@ def candidates(leaf: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
             t = t.combine_chunks()
             sig = t.column("sig").chunk(0).flatten().to_numpy().reshape(m, COORDINATES)
             n, done_, la, lb = (t.column(c).to_numpy() for c in ("n", "done", "la", "lb"))
-            earlier = np.arange(t.column("tree")[0].as_py())
+            earlier = np.arange(t.column("tree")[0].as_py())  # trees in which a pair may have met
             hit = np.zeros(m, bool)
             for i in range(m - 1):
                 rest = slice(i + 1, m)
@@ -210,7 +264,7 @@ def candidates(leaf: DataFrame, done: DataFrame, threshold: float) -> DataFrame:
                 ok &= np.minimum(n[rest], n[i]) >= threshold * np.maximum(n[rest], n[i]) - 1e-9
                 if len(earlier) and ok.any():
                     both = (done_[rest] & done_[i])[:, None] >> earlier & 1 == 1
-                    ok &= ~(equal[:, : len(earlier)] & both).any(1)
+                    ok &= ~(equal[:, : 2 * len(earlier) : 2] & equal[:, 1 : 2 * len(earlier) : 2] & both).any(1)
                 if ok.any():
                     hit[i] = True
                     hit[rest] |= ok
@@ -290,7 +344,8 @@ def near_duplicates(
     sigs = written(full.select("id", "n", "key"), "rows")
     discard(full)
     labels = edges = done = None
-    for part in (range(0, 1), range(1, trees)):
+    kept: list[DataFrame] = []
+    for part in (range(min(FIRST, trees)), range(trees)):
         leaf, tables = leaves(classes, part, labels, leaf_members)
         first = leaf.filter("depth = 0").groupBy("key").agg(F.expr("bit_or(shiftleft(1L, tree))").alias("done"))
         done = written(first if done is None else done.unionByName(first).groupBy("key").agg(F.bit_or("done").alias("done")), "done")
@@ -299,15 +354,24 @@ def near_duplicates(
             discard(table)
         wanted = written(found.select("key").distinct().join(classes.select("key", "rep"), "key"), "wanted")
         new = written(links(found, full_sets(docs, id_col, text_col, k, wanted), percent), "links")
+        discard(found)
+        discard(wanted)
+        kept += [done, new]
         edges = new if edges is None else edges.unionByName(new)
-        # a class has one leaf in the first tree, or few: its smallest link there
-        ends = new.select(F.col("v").alias("key"), "u").unionByName(new.select(F.col("u").alias("key"), "u"))
-        labels = ends.groupBy("key").agg(F.min("u").alias("label"))
-    labels = connected_components(edges).select(F.col("vertex").alias("key"), F.col("component").alias("label"))
-    joined = labels.join(classes.select("key", "rep"), "key")
-    lowest = joined.groupBy("label").agg(F.min("rep").alias("low"))
+        if labels is not None:
+            discard(labels)
+        labels = written(connected_components(edges).select(F.col("vertex").alias("key"), F.col("component").alias("label")), "labels")
+    for table in kept:
+        discard(table)
+    # tables, not aggregates, are joined: a component or a set that very many
+    # rows share can then be split
+    joined = written(labels.join(classes.select("key", "rep"), "key"), "component_rows")
+    lowest = written(joined.groupBy("label").agg(F.min("rep").alias("low")), "lowest")
     component = joined.join(lowest, "label").select("key", "low")
     reps = classes.select("key", "rep").join(component, "key", "left").select("key", F.coalesce("low", "rep").alias("component_id"))
+    reps = written(reps, "components")
+    for table in (classes, joined, lowest, labels):
+        discard(table)
     out = sigs.select("id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(reps, "key", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"))

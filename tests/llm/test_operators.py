@@ -115,6 +115,44 @@ def test_near_duplicates_in_a_large_group(spark):
     assert {r.doc_id for r in got if r.component_id != want[r.doc_id][1]} == set()
 
 
+def test_near_duplicates_in_a_branching_group(spark, monkeypatch):
+    """1,500 texts with one template, of which pairs are just above the
+    threshold: nodes branch, and no member is dropped."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 32)
+    monkeypatch.setattr(near_dedup, "MANY", 2)
+    rng = random.Random(17)
+    template, rows = prose(rng, 60, 10**6), []
+    for i in range(750):
+        text = template + " " + prose(rng, 70, 10**6)
+        w = text.split(" ")
+        w[rng.randrange(10, 50)] = w[rng.randrange(70, 120)] = f"y{i}"
+        rows += [(2 * i, text), (2 * i + 1, " ".join(w))]
+    got = near_dedup.near_duplicates(frame(spark, rows), leaf_members=40).collect()
+    linked = sum(r.component_id == r.doc_id - 1 for r in got)
+    assert linked >= 0.99 * 750 and not any(r.component_id not in (r.doc_id, r.doc_id - 1) for r in got)
+
+
+def test_a_group_of_near_copies_costs_in_proportion(spark, monkeypatch):
+    """A group of near copies is joined through hubs: what is compared grows
+    with its members, not with their pairs."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rng = random.Random(19)
+    base = prose(rng, 200, 10**6)
+    made = {}
+    compare = near_dedup.candidates
+
+    def counted(leaf, *more):
+        made[n] = made.get(n, 0) + leaf.count()
+        return compare(leaf, *more)
+
+    monkeypatch.setattr(near_dedup, "candidates", counted)
+    for n in (300, 1200):
+        rows = [(i, edited(rng, base, 1)) for i in range(n)]
+        got = near_dedup.near_duplicates(frame(spark, rows), leaf_members=20).collect()
+        assert {r.component_id for r in got} == {0}
+    assert made[1200] <= 6 * made[300] <= 6 * 60 * 300
+
+
 def test_near_duplicates_edges(spark):
     one = "a b c d e f g"
     got = near_dedup.near_duplicates(frame(spark, [(3, one), (3, one), (None, one), (5, "x y"), (4, "X  y"), (6, None)])).collect()
