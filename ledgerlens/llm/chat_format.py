@@ -40,6 +40,7 @@ CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_star
 
 _AFTER = "|".join(re.escape(c[1:]) for c in CONTROL)
 _ESCAPED = re.compile(r"\\(\\?)")
+_ESCAPED_ROLE = re.compile(r"\\(n|\\?)")
 _MESSAGE = re.compile(re.escape(TURN) + r"([^\n]*)\n(.*)" + re.escape(END), re.S)
 
 
@@ -51,13 +52,28 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+def unescape_role(role: str) -> str:
+    return _ESCAPED_ROLE.sub(lambda m: "\n" if m[1] == "n" else m[1], role)
+
+
 def events_from_turns(turns: DataFrame, delta_chars: int = 512) -> DataFrame:
-    """Event log of a table of turns (conv_id, turn, role, text): each turn
-    starts a message and streams its text in deltas. A null text is empty."""
-    text = F.coalesce(turns["text"], F.lit(""))
+    """Event log of a table of turns (conv_id, turn, role, text): each row
+    starts a message and streams its text in deltas. A null text is empty.
+
+    Every row is a message of its own. They are in the order of ``turn``, null
+    first; rows with one (conv_id, turn) are ordered by role, null first, then
+    by a hash of the text, and rows that are equal follow one another. They are
+    told apart by a count with map-side combining, so a turn that very many rows
+    repeat needs no group of its own in one task.
+    """
+    rows = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("copies"))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    message = F.struct("turn", "role", F.md5("text").alias("text"), "copy")
+    text = F.col("text")
     n = F.ceil(F.length(text) / F.lit(delta_chars)).cast("int")
     parts = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(i.alias("part"), F.when(i > 0, F.substring(text, (i - 1) * delta_chars + 1, F.lit(delta_chars))).alias("text")))
-    return turns.select(turns["conv_id"], turns["turn"].alias("message"), turns["role"], F.explode(parts).alias("p")).select(
+    return rows.select("conv_id", message.alias("message"), "role", F.explode(parts).alias("p")).select(
         "conv_id",
         "message",
         F.struct(F.col("message"), F.col("p.part")).alias("seq"),
@@ -99,10 +115,10 @@ def render(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) ->
     """Per message: ``formatted`` (its part of the conversation's text; parts
     in the order of ``message`` are the whole), ``loss_start`` and
     ``loss_length`` (code points of that part under the loss mask)."""
-    role = F.translate(F.col("role"), "\n", " ")
+    role = F.replace(escape(F.col("role")), F.lit("\n"), F.lit("\\n"))
     body = escape(F.col("text"))
     counts = F.col("role").isin(*loss_roles)
-    head = F.concat(F.lit(TURN), escape(role), F.lit("\n"))
+    head = F.concat(F.lit(TURN), role, F.lit("\n"))
     return messages.select(
         "conv_id",
         "message",
@@ -140,7 +156,7 @@ def read_back(rendered: DataFrame) -> DataFrame:
                 if m is None:
                     raise ValueError(f"conversation {conv}: a part is not in the template")
                 state[0] += 1
-                state[1].update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
+                state[1].update(f"{unescape_role(m[1])}\n{unescape(m[2])}\n".encode())
                 if length:
                     loss = unescape(part[start : start + length])
                     state[2] += len(loss)

@@ -8,6 +8,11 @@ training documents, and each hit is verified on the diagonal it lies on: the
 item is laid over the document so that the hit's tokens meet, and the equal
 tokens are counted, position by position.
 
+Items shorter than the shortest mask have masks of their own length: one for all
+their tokens, and, where the asked share lets a token differ, one for each place
+that leaves that token out. Documents are hashed by them only if the benchmark
+has such items.
+
 Only DataFrame functions run on this path. A document's positions are exploded
 with a slice per mask column, hashed in generated code and matched against the
 item seeds. The items are the query set: they are taken in blocks of at most
@@ -19,6 +24,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +48,15 @@ def _width(masks) -> int:
     return max(len(m) for m in masks)
 
 
+def short_masks(n: int, overlap: float) -> list[str]:
+    """Masks for items of ``n`` tokens that ignore as many as may differ; those
+    that begin or end with ignored places are cut there, so that what is ignored
+    may lie outside a document."""
+    spare = n - math.ceil(n * overlap - 1e-9)
+    made = ("".join("0" if i in gone else "1" for i in range(n)).strip("0") for k in range(spare + 1) for gone in combinations(range(n), k))
+    return sorted(set(made) - {""})
+
+
 def _seed_rows(words: Column, masks: tuple[str, ...]) -> Column:
     """For each position, the tokens from there on that any mask can need, as
     a struct; behind the end they are null."""
@@ -51,20 +66,23 @@ def _seed_rows(words: Column, masks: tuple[str, ...]) -> Column:
     return F.arrays_zip(*[F.slice(padded, F.lit(j + 1), n).alias(f"t{j}") for j in range(width)])
 
 
-def _hashes(masks: tuple[str, ...], at: str, n: Column, pos: Column) -> Column:
-    """The hash of each mask at a position; null where the mask does not fit."""
+def _hashes(masks: tuple[str, ...], at: str, n: Column, pos: Column, only: dict[str, list[int]] | None = None) -> Column:
+    """The hash of each mask at a position; null where the mask does not fit.
+    ``only`` says for some masks which numbers of tokens they are for."""
     out = []
     for k, mask in enumerate(masks):
         picked = [F.col(f"{at}.t{j}") for j, c in enumerate(mask) if c == "1"]
-        out.append(F.when(pos + len(mask) <= n, F.xxhash64(F.lit(k), *picked)))
+        fits = pos + len(mask) <= n
+        if only and mask in only:
+            fits = fits & n.isin(only[mask])
+        out.append(F.when(fits, F.xxhash64(F.lit(k), *picked)))
     return F.array(*out)
 
 
-def _item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """(item, words, n, pos, hash) of the benchmark. Items with fewer tokens
-    than the shortest mask have no seeds: they are too short to tell a leak."""
+def _item_seeds(items: DataFrame, masks: tuple[str, ...], only: dict[str, list[int]]) -> DataFrame:
+    """(item, words, n, pos, hash) of the benchmark."""
     w = items.withColumn("_n", F.size("_words")).select("_item", "_words", "_n", F.posexplode_outer(_seed_rows(F.col("_words"), masks)).alias("_pos", "_at"))
-    return w.select("_item", "_words", "_n", "_pos", F.explode(_hashes(masks, "_at", F.col("_n"), F.col("_pos"))).alias("_hash")).filter("_hash IS NOT NULL")
+    return w.select("_item", "_words", "_n", "_pos", F.explode(_hashes(masks, "_at", F.col("_n"), F.col("_pos"), only)).alias("_hash")).filter("_hash IS NOT NULL")
 
 
 def contaminated(
@@ -81,8 +99,10 @@ def contaminated(
     ``first_token`` (of the document, where the item begins) and ``overlap``.
 
     Null texts have no tokens, rows with a null id are left out, rows that
-    repeat a document's id count as one document. Items with fewer tokens than
-    the shortest mask are not looked for. Items with equal tokens are looked up
+    repeat a document's id count as one document. Items without tokens are not
+    looked for; items of few tokens are found wherever the asked share of them
+    stands, so an item of one common word is in many documents. Items with equal
+    tokens are looked up
     once and reported under each of their ids. A benchmark or documents table
     without rows gives an empty result.
     """
@@ -94,8 +114,14 @@ def contaminated(
     named = items.select("_item", "_iid").distinct()
     unique = items.select("_item", "_words").dropDuplicates(["_item"])
     # a bound on the seeds from a one-row count, to choose the blocks
-    seeds = unique.agg(F.sum(F.size("_words"))).first()[0] or 0
-    blocks = max(1, math.ceil(seeds * len(masks) / BLOCK_SEEDS))
+    shortest = min(map(len, masks))
+    known = unique.agg(F.sum(F.size("_words")), F.collect_set(F.when(F.size("_words") < shortest, F.size("_words")))).first()
+    only: dict[str, list[int]] = {}
+    for n in sorted(known[1]):
+        for mask in short_masks(n, overlap):
+            only.setdefault(mask, []).append(n)
+    masks = (*masks, *only)
+    blocks = max(1, math.ceil((known[0] or 0) * len(masks) / BLOCK_SEEDS))
 
     words = docs.select(docs[id_col].alias("_doc"), tokens(docs[text_col]).alias("_dwords")).filter("_doc IS NOT NULL")
     places = words.withColumn("_dn", F.size("_dwords")).select(
@@ -112,7 +138,7 @@ def contaminated(
         equal = F.size(F.filter(F.zip_with(doc_part, item_part, lambda a, b: a == b), lambda x: x))
         return hit.select("_doc", "_item", F.col("_n").alias("n_tokens"), start.alias("first_token"), equal.alias("n_equal"))
 
-    seeds_df = _item_seeds(unique, masks)
+    seeds_df = _item_seeds(unique, masks, only)
     found = [verified(seeds_df.filter(F.pmod("_item", F.lit(blocks)) == b)) for b in range(blocks)]
     best = F.max(F.struct("n_equal", (-F.col("first_token")).alias("_back")))
     # filtered behind the aggregate: as a condition of the join, the count of

@@ -5,7 +5,8 @@ of its first characters, then by a hash of all of it. Each step looks only at
 the groups the step before left with two rows or more:
 
 1. ``length``: one partial aggregate over (length).
-2. ``length, prefix hash``: rows of shared lengths only.
+2. ``length, prefix hash``: rows of shared lengths only; a bitmap of fixed size
+   tells them, so a length that very many rows have is no group of its own.
 3. ``full hash``: the whole text is normalised and hashed only for rows whose
    (length, prefix hash) is shared. A bitmap of fixed size, broadcast to the
    scan, tells which rows those are; it may let a few more through, whose
@@ -38,6 +39,24 @@ def normalise(text: Column) -> Column:
     return F.when(ascii_only, F.lower(t)).otherwise(F.translate(t, string.ascii_uppercase, string.ascii_lowercase))
 
 
+def _bit(*parts: Column) -> Column:
+    return F.pmod(F.xxhash64(*parts), F.lit(FILTER_BITS))
+
+
+def _bitmap(bits: DataFrame) -> DataFrame:
+    """The set of ``_bit`` as words of 64: at most FILTER_BITS / 64 rows of two
+    longs, 2 MB."""
+    marks = bits.select(F.shiftright("_bit", 6).alias("_word"), F.expr("shiftleft(1L, cast(_bit & 63 AS int))").alias("_mark"))
+    return marks.groupBy("_word").agg(F.bit_or("_mark").alias("_marks"))
+
+
+def _marked(rows: DataFrame, bitmap: DataFrame) -> DataFrame:
+    """Adds ``_in``: whether the row's ``_bit`` is in the set. More may be in,
+    none is missing."""
+    met = rows.withColumn("_word", F.shiftright("_bit", 6)).join(F.broadcast(bitmap), "_word", "left")
+    return met.withColumn("_in", F.expr("coalesce(_marks & shiftleft(1L, cast(_bit & 63 AS int)), 0L) <> 0"))
+
+
 def exact_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -57,39 +76,27 @@ def exact_groups(
     length = F.octet_length(F.coalesce(text, F.lit(""))).cast("long")
     prefix = F.xxhash64(normalise(F.substring(F.coalesce(text, F.lit("")), 1, PREFIX_CHARS)))
 
-    by_length = docs.select(length.alias("_len")).groupBy("_len").count().filter("count > 1").select("_len")
-    shared = (
-        docs.select(length.alias("_len"), prefix.alias("_pre"))
-        .join(by_length, "_len", "left_semi")
-        .groupBy("_len", "_pre")
-        .count()
-        .filter("count > 1")
-    )
-
-    def bit(le: Column, pre: Column) -> Column:
-        return F.pmod(F.xxhash64(le, pre), F.lit(FILTER_BITS))
+    # lengths that occur once need no further step; they are told by a bitmap of
+    # fixed size, so that the rows of one length, which may be all rows, are
+    # dealt by (length, prefix hash) only
+    by_length = docs.select(length.alias("_len")).groupBy("_len").count().filter("count > 1")
+    lengths = _bitmap(by_length.select(_bit(F.col("_len")).alias("_bit")))
+    known = _marked(docs.select(length.alias("_len"), prefix.alias("_pre")).withColumn("_bit", _bit(F.col("_len"))), lengths)
+    shared = known.filter("_in").groupBy("_len", "_pre").count().filter("count > 1")
 
-    bitmap = (
-        shared.select(bit(F.col("_len"), F.col("_pre")).alias("_bit"))
-        .select(F.shiftright("_bit", 6).alias("_word"), F.expr("shiftleft(1L, cast(_bit & 63 AS int))").alias("_mark"))
-        .groupBy("_word")
-        .agg(F.bit_or("_mark").alias("_marks"))
-    )
+    bitmap = _bitmap(shared.select(_bit(F.col("_len"), F.col("_pre")).alias("_bit")))
     rows = docs.select(
         docs[id_col].alias("_id"),
         text.alias("_text"),
         length.alias("_len"),
         prefix.alias("_pre"),
         *[c.alias(n) for n, c in (carry or {}).items()],
-    ).withColumn("_bit", bit(F.col("_len"), F.col("_pre")))
-    # at most FILTER_BITS / 64 rows of two longs: 2 MB
-    rows = rows.withColumn("_word", F.shiftright("_bit", 6)).join(F.broadcast(bitmap), "_word", "left")
-    survives = F.expr("coalesce(_marks & shiftleft(1L, cast(_bit & 63 AS int)), 0L) <> 0")
-    rows = rows.select(
+    ).withColumn("_bit", _bit(F.col("_len"), F.col("_pre")))
+    rows = _marked(rows, bitmap).select(
         "_id",
         "_len",
         "_pre",
-        F.when(survives, F.sha2(normalise(F.col("_text")), 256)).alias("_full"),
+        F.when(F.col("_in"), F.sha2(normalise(F.col("_text")), 256)).alias("_full"),
         *(carry or {}),
     )
     groups = (

@@ -72,6 +72,25 @@ def test_exact_groups(spark, rows):
     assert exact_dedup.exact_groups(frame(spark, [])).count() == 0
 
 
+def test_one_length_of_all_rows_is_spread(spark):
+    """Different texts of one length: no exchange deals rows by the length."""
+    d = spark.range(40_000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    got = exact_dedup.exact_groups(d)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.splitlines() if "hashpartitioning(_len" in x]
+    assert dealt and all("partial_count" not in x for x in dealt)
+    assert got.filter("kept AND group_size = 1").count() == 40_000
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shared = d.select(F.octet_length("text").cast("long").alias("_len"), F.xxhash64(exact_dedup.normalise(F.substring("text", 1, 256))).alias("_pre"))
+        known = exact_dedup._marked(shared.withColumn("_bit", exact_dedup._bit(F.col("_len"))), exact_dedup._bitmap(shared.select(exact_dedup._bit(F.col("_len")).alias("_bit"))))
+        sizes = known.filter("_in").groupBy("_len", "_pre").count().rdd.glom().map(len).collect()
+        assert sum(sizes) == 40_000 and max(sizes) < 0.2 * 40_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
 def test_drop_exact_copies(spark, rows):
     more = [*rows, (111, "Tie"), (112, "tie"), (None, "tie"), (None, "alone")]
     d = frame(spark, more, True)
@@ -344,6 +363,24 @@ def test_contaminated(spark):
     assert decontaminate.contaminated(frame(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_items_of_few_tokens(spark):
+    """Items shorter than every mask, with a token substituted or missing at an
+    end where their length allows it."""
+    rng = random.Random(23)
+    items = [(n, " ".join(f"q{n}x{i}" for i in range(n))) for n in range(1, 9)] + [(20, ""), (21, None), (22, "...")]
+    docs = []
+    for n, text in items[:8]:
+        w = text.split(" ")
+        docs += [prose(rng, 12) + " " + text + " " + prose(rng, 9), " ".join([*w[:-1], "zz"]), " ".join(w[1:]) + " " + prose(rng, 3), " ".join(w[: n // 2] + ["zz"] + w[n // 2 + 1 :])]
+        docs += [" ".join(w[:-2] + ["a", "b"]), text.upper() + "!"]
+    docs = [(i, t) for i, t in enumerate(docs)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_equal for r in decontaminate.contaminated(frame(spark, docs), bench).collect()}
+    want = brute.leaks(docs, [(i, t) for i, t in items if i < 20])
+    assert set(got) == {p for p in want if p[1] < 7} | {p for p in got if p[1] >= 7} and {p for p in got if p[1] >= 7} <= want
+    assert all((6 * n - 6, n) in got and (6 * n - 1, n) in got for n in range(1, 9))
+
+
 def test_contaminated_in_blocks(spark, monkeypatch):
     rng = random.Random(6)
     items = [(i, prose(rng, 20, 10**6)) for i in range(10)]
@@ -490,6 +527,24 @@ def test_fold_events(spark):
     assert chat_format.fold_events(ev.limit(0)).count() == 0
 
 
+def test_chat_keeps_repeated_turns_and_odd_roles(spark):
+    """Every row is a turn: rows of one (conversation, turn), rows that are
+    equal, rows without a turn, and roles with line breaks and escapes."""
+    import hashlib
+
+    turns = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "x"), (1, 1, "user", "y"), (1, None, "system", "s"), (1, None, "system", "s"), (1, 2, None, "n")]
+    turns += [(2, 0, "as\nsistant", "t"), (2, 1, "a\\nb", "u"), (2, 2, "</s>\\\n", None), (2, 3, "assistant", "v")]
+    d = spark.createDataFrame([(*t, 1, "m") for t in turns], "conv_id long, turn long, role string, text string, copies int, message string")
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.render(chat_format.fold_events(chat_format.events_from_turns(d)))).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for c in (1, 2):
+        own = sorted((t for t in turns if t[0] == c), key=lambda t: (t[1] is not None, t[1] or 0, t[2] or ""))
+        assert got[c].n_turns == len(own)
+        assert got[c].turns_sha256 == sha("".join(f"{role or ''}\n{text or ''}\n" for _, _, role, text in own))
+        loss = "".join(text for _, _, role, text in own if role == "assistant")
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), sha(loss))
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(5)
     parts = [*chat_format.CONTROL, "\\", "\\\\", "<", "[", "x", "\n", "é", "🙂", "</", "s>", "|>"]
