@@ -28,36 +28,128 @@ DICE = 0.8
 #: it, word for word: so short a notice differs from prose by its words alone.
 SHORT = 3
 
-#: Short licence notices and the permission paragraphs of common
-#: licences, as published.
+_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+    "to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "the following conditions are met:"
+)
+_BSD_2 = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission."
+)
+_BSD_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _gnu(subject: str, licence: str, version: str) -> str:
+    """The notice that the GNU licences ask to be put on a program's files."""
+    return (
+        f"{subject} is free software: you can redistribute it and/or modify it under the terms of the GNU {licence} as "
+        f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+    )
+
+
+def _gnu_warranty(licence: str) -> str:
+    return (
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        f"warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {licence} for more details."
+    )
+
+
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+_APACHE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+    "with the License. You may obtain a copy of the License at"
+)
+
+#: Short licence notices, the notices for files and the permission
+#: paragraphs of common licences, and the full text of the short ones, as
+#: published. Of overlapping matches the better one stays, of equals the longer,
+#: so a full text goes before its first paragraph, and a notice of one version
+#: before that of another.
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
         "Licensed under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
-        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
-        "to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        _MIT,
+        f"{_MIT} The above copyright notice and this permission notice shall be included in all copies or substantial "
+        f"portions of the Software. {_AS_IS}",
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
-        "with the License. You may obtain a copy of the License at",
+        _APACHE,
+        f"{_APACHE} http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+        'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY '
+        "KIND, either express or implied. See the License for the specific language governing permissions and limitations "
+        "under the License.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version.",
+        _gnu("This program", _GPL, "3"),
+        f"{_gnu('This program', _GPL, '3')} {_gnu_warranty(_GPL)}",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        _gnu("This program", _GPL, "2"),
+        _gnu("This program", _GPL, "2").replace("software: you", "software; you"),
+        f"{_gnu('This program', _GPL, '2')} {_gnu_warranty(_GPL)}",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License version 2 as published by the Free Software Foundation.",
+    ],
+    "LGPL-2.1": [_gnu("This library", _LGPL, "2.1"), f"{_gnu('This library', _LGPL, '2.1')} {_gnu_warranty(_LGPL).replace('program', 'library')}"],
+    "LGPL-3.0": [_gnu("This library", _LGPL, "3"), f"{_gnu('This library', _LGPL, '3')} {_gnu_warranty(_LGPL).replace('program', 'library')}"],
+    "AGPL-3.0": [_gnu("This program", _AGPL, "3"), f"{_gnu('This program', _AGPL, '3')} {_gnu_warranty(_AGPL)}"],
+    "BSD": [_BSD, "Released under the BSD License."],
+    "BSD-2-Clause": [f"{_BSD} {_BSD_2}", f"{_BSD} {_BSD_2} {_BSD_AS_IS}"],
+    "BSD-3-Clause": [f"{_BSD} {_BSD_2} {_BSD_3}", f"{_BSD} {_BSD_2} {_BSD_3} {_BSD_AS_IS}"],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "0BSD": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions:",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means.",
     ],
-    "BSD": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met:",
-        "Released under the BSD License.",
+    "BSL-1.0": [
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, '
+        "execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to "
+        "whom the Software is furnished to do so, all subject to the following:",
     ],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at",

@@ -48,12 +48,37 @@ PAIR_SLOTS = 1 << 20
 TOGETHER, CELLS = 8_192, 1 << 20
 
 
+def unsupported(settings) -> list[str]:
+    """What in a model's settings (a parsed model file) ``Codec`` would not
+    follow; empty for models that it encodes exactly."""
+    trainer, normalizer = settings.trainer_spec, settings.normalizer_spec
+    kinds = {p.type for p in settings.pieces}
+    checks = {
+        "its type is not BPE": trainer.model_type != trainer.BPE,
+        "it normalises text": len(normalizer.precompiled_charsmap) > 0,
+        "it adds no dummy prefix": not normalizer.add_dummy_prefix,
+        "it removes extra white space": normalizer.remove_extra_whitespaces,
+        "it does not escape white space": not normalizer.escape_whitespaces,
+        "it treats white space as a suffix": trainer.treat_whitespace_as_suffix,
+        "it denormalises what it decodes": len(settings.denormalizer_spec.precompiled_charsmap) > 0,
+        "it has user-defined pieces": settings.SentencePiece.USER_DEFINED in kinds,
+        "it has unused pieces": settings.SentencePiece.UNUSED in kinds,
+    }
+    return [what for what, holds in checks.items() if holds]
+
+
 def read_vocabulary(model_path: str) -> dict:
     """Pieces, scores and kinds of a model file (at most its size: some
-    hundred KB), for ``Codec``; tasks get it instead of the path."""
+    hundred KB), for ``Codec``; tasks get it instead of the path. A model that
+    the codec cannot encode exactly is an error."""
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    settings = sentencepiece_model_pb2.ModelProto()
+    settings.ParseFromString(sp.serialized_model_proto())
+    if wrong := unsupported(settings):
+        raise ValueError(f"{model_path}: " + ", ".join(wrong))
     n = sp.get_piece_size()
     kinds = ["byte" if sp.is_byte(i) else "control" if sp.is_control(i) else "unknown" if sp.is_unknown(i) else "piece" for i in range(n)]
     return {"pieces": [sp.id_to_piece(i) for i in range(n)], "scores": [sp.get_score(i) for i in range(n)], "kinds": kinds, "end": sp.eos_id()}

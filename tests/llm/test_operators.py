@@ -507,6 +507,58 @@ def test_licenses(spark):
     assert license_scan.scan(frame(spark, [])).count() == 0
 
 
+def test_each_notice_gets_its_own_name(spark):
+    """All templates within prose, as they are and with words changed: each is
+    found, under its own name where it is unchanged."""
+    rng = random.Random(31)
+    docs, names = [], {}
+    for name, texts in license_scan.TEMPLATES.items():
+        for text in texts:
+            names[len(docs)] = (name, 1.0)
+            docs.append((len(docs), f"{prose(rng, 30)}.\n{text}\n{prose(rng, 30)}"))
+            w = text.split(" ")
+            if len(w) >= 30:
+                k = len(w) // 20
+                for i in rng.sample(range(len(w)), k):
+                    w[i] = f"v{i}"
+                names[len(docs)] = (None, 0.8)
+                docs.append((len(docs), f"{prose(rng, 30)} {' '.join(w)}"))
+    for r in license_scan.scan(frame(spark, docs)).collect():
+        name, dice = names[r.doc_id]
+        assert r.license is not None and r.dice >= dice - 1e-9
+        assert name in (None, r.license), (name, r.license)
+
+
+def test_models_that_cannot_be_encoded_are_told(tmp_path):
+    import public_tokenizers
+    from sentencepiece import sentencepiece_model_pb2
+
+    path = public_tokenizers.path(queries.PIECE_MODEL)
+    good = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        good.ParseFromString(f.read())
+    assert piece_codec.unsupported(good) == []
+    changes = {
+        "not BPE": lambda m: setattr(m.trainer_spec, "model_type", m.trainer_spec.UNIGRAM),
+        "normalises": lambda m: setattr(m.normalizer_spec, "precompiled_charsmap", b"x"),
+        "dummy prefix": lambda m: setattr(m.normalizer_spec, "add_dummy_prefix", False),
+        "extra white space": lambda m: setattr(m.normalizer_spec, "remove_extra_whitespaces", True),
+        "user-defined": lambda m: setattr(m.pieces[500], "type", m.SentencePiece.USER_DEFINED),
+        "unused": lambda m: setattr(m.pieces[500], "type", m.SentencePiece.UNUSED),
+    }
+    for what, change in changes.items():
+        model = sentencepiece_model_pb2.ModelProto()
+        model.CopyFrom(good)
+        change(model)
+        assert len(piece_codec.unsupported(model)) == 1 and what in piece_codec.unsupported(model)[0]
+    odd = sentencepiece_model_pb2.ModelProto()
+    odd.CopyFrom(good)
+    odd.normalizer_spec.remove_extra_whitespaces = True
+    (tmp_path / "odd.model").write_bytes(odd.SerializeToString())
+    with pytest.raises(ValueError, match="white space"):
+        piece_codec.read_vocabulary(str(tmp_path / "odd.model"))
+
+
 # 8 ---------------------------------------------------------------------------
 
 
