@@ -286,7 +286,6 @@ def day_table(days: DataFrame) -> DataFrame:
     by_key = Window.partitionBy("side", "k")
     by_week = Window.partitionBy("side", "k", "week_start")
     in_order = by_key.orderBy("week_start", "date")
-    known = (q("k") != F.lit(NULL_KEY)) & q("date").isNotNull()
     days = days.withColumn("prev_last", F.lag("day_last").over(in_order))
     has_prev = q("prev_last").isNotNull()
     length = seconds_between(q("day_last"), F.coalesce("prev_last", "day_first"))
@@ -297,11 +296,19 @@ def day_table(days: DataFrame) -> DataFrame:
             "week_fails": F.sum("day_fails").over(by_week),
             "total_rows": F.sum("day_rows").over(by_key),
             "total_fails": F.sum("day_fails").over(by_key),
-            "day_interval": F.when(known, F.try_divide(length, number.cast("double"))),
+            "day_interval": F.try_divide(length, number.cast("double")),
         }
     )
 
 
+def daily_intervals(tx: DataFrame, side: str) -> DataFrame:
+    """Mean interval (seconds) per address and day, from the day table alone:
+    the intervals of a day add up to the time between its last transaction and
+    the last one before it. NULL addresses are one address, as in a group."""
+    days = day_table(activity_days(tx)).filter(q("side") == side)
+    return days.select(F.when(q("k") != F.lit(NULL_KEY), q("k")).alias(side), "date", q("day_interval").alias(f"daily_avg_interval_{side}"))
+
+
 INFO = ["prev_last", "day_rows", "day_fails", "week_rows", "week_fails", "total_rows", "total_fails", "day_interval"]
 PIECES = ["pre_rows", "pre_v", "pre_g", "suf_rows", "suf_v", "suf_g"]
 
@@ -415,7 +422,7 @@ def _cluster_side(rows: DataFrame, days: DataFrame, side: str, layout: _Layout |
     new = {
         f"prev_datetime_{side}": prev,
         f"interval_{side}": seconds_between(q("datetime"), prev),
-        f"daily_avg_interval_{side}": get["day_interval"],
+        f"daily_avg_interval_{side}": F.when(known, get["day_interval"]),
     }
     for period, name in (("daily", "day"), ("weekly", "week"), ("total", "total")):
         new[f"{period}_tx_count_{side}"] = F.when(known, get[f"{name}_rows"])

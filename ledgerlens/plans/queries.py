@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.scalar import landing_key, parse_timestamp, round6
 from ledgerlens.operators import amounts
 from ledgerlens.operators import reports as R
-from ledgerlens.operators.aggregates import activity_stats, daily_avg_interval
+from ledgerlens.operators.aggregates import activity_stats
 from ledgerlens.operators.classifier import classifier_scores, fit_classifier, time_split, with_labels
 from ledgerlens.operators.encoding import add_indices, sparse_dummies, sparse_onehot
-from ledgerlens.operators.features import DERIVED_COLS, build_features
+from ledgerlens.operators.features import DERIVED_COLS, build_features, daily_intervals
 from ledgerlens.operators.iforest import fit_isolation_forest, score_isolation_forest
 from ledgerlens.operators.prepare import clean_column_names, model_input, prepare_transactions, q
 from ledgerlens.operators.scoring import (
@@ -272,8 +272,7 @@ def _stats(side, period):
 
 def _avg_interval(side):
     def run(spark, sf_dir):
-        f = features(spark, sf_dir)
-        d = daily_avg_interval(f, side)
+        d = daily_intervals(tx(spark, sf_dir), side)
         return d.select(
             q(side).alias(f"{side}_address"), "date",
             round6(q(f"daily_avg_interval_{side}")).alias(f"daily_avg_interval_{side}"),

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import features as FT
+from ledgerlens.operators.aggregates import daily_avg_interval
 from ledgerlens.operators.features import DERIVED_COLS, build_features
 from ledgerlens.plans import queries as Q
 from helpers import T0, tx_rows
@@ -190,3 +191,15 @@ def test_days_of_a_longer_history(spark):
     # the last day from the rows of its 7-day frame only
     late = build_features(tx.filter(F.col("timeStamp") >= T0 - DAY), days=days).filter(new).collect()
     assert late and all(r == whole[r["hash"]] for r in late)
+
+
+def test_daily_intervals_from_the_day_table(spark):
+    rows = [{"f": "a" if i % 3 else None, "t": "b", "ts": None if i % 9 == 0 else T0 + i * 9777, "v": 1.0} for i in range(80)]
+    tx = tx_rows(spark, rows + edge_rows()[:40])
+    full = build_features(tx, "window")
+    for side in ("from", "to"):
+        key = lambda r: (str(r[0]), str(r[1]))
+        a = sorted(map(tuple, daily_avg_interval(full, side).collect()), key=key)
+        b = sorted(map(tuple, FT.daily_intervals(tx, side).collect()), key=key)
+        assert [r[:2] for r in a] == [r[:2] for r in b]
+        assert all(x[2] == y[2] or math.isclose(x[2], y[2], rel_tol=1e-12) for x, y in zip(a, b, strict=True))
