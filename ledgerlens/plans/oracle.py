@@ -785,3 +785,10 @@ ORACLE["iforest_top10"] = w(
     f"""SELECT hash, "from" AS from_address, "to" AS to_address, {r6("log_value")} AS log_value, pred_label, {r6("anomaly_score")} AS anomaly_score
 FROM (SELECT * FROM decided ORDER BY anomaly_score, hash LIMIT 10)""",
 )
+
+# One payload per address and day; refused and cut-off ones are rejects.
+ORACLE["payload_rejects"] = w(
+    TX,
+    """SELECT strftime(date, '%Y/%m/%d') AS landing_day, count(*) AS rejected
+FROM (SELECT DISTINCT "from", date FROM tx WHERE CAST("from" AS BIGINT) % 7 IN (0, 1)) GROUP BY 1""",
+)

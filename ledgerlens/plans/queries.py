@@ -36,6 +36,7 @@ from ledgerlens.operators.temporal import add_temporal_features
 from ledgerlens.operators.zscore_model import ZScoreModel
 from ledgerlens.schema import ENCODED_COLS, FEATURE_COLS
 from ledgerlens.session import ensure_session, scratch_dir
+from ledgerlens.plans.jobs import daily_rejects
 from ledgerlens.sources.raw_json import flatten_payloads, payloads_from_tx, read_raw_payloads, split_payloads
 from ledgerlens.sources import sinks
 from ledgerlens.sources.sinks import landing_frame, write_landing, write_partitioned
@@ -117,6 +118,23 @@ def raw_json_roundtrip(spark, sf_dir):
     )
 
 
+def payload_rejects(spark, sf_dir):
+    """Land one payload per address and day, of which some are the API's error
+    answers and some are cut off, and count the rejects of each landing day."""
+    t = tx(spark, sf_dir)
+    kind = q("from").cast("long") % 7
+    fetches = t.groupBy("from", "date").agg(F.slice(F.collect_set("hash"), 1, 3).alias("hashes"))
+    result = F.transform("hashes", lambda h: F.struct(h.alias("hash")))
+    good = F.to_json(F.struct(F.lit("1").alias("status"), F.lit("OK").alias("message"), result.alias("result")))
+    refused = F.to_json(F.struct(F.lit("0").alias("status"), F.lit("NOTOK").alias("message"), F.lit("Max rate limit reached").alias("result")))
+    line = F.when(kind == 0, refused).when(kind == 1, F.substring(good, 1, 25)).otherwise(good)
+    day = [F.date_format("date", f).alias(n) for f, n in (("yyyy", "year"), ("MM", "month"), ("dd", "day"))]
+    path = scratch_dir(spark, "payloads")
+    fetches.select(line.alias("value"), *day).write.partitionBy("year", "month", "day").text(path)
+    _, rejects = split_payloads(read_raw_payloads(spark, path))
+    return daily_rejects(rejects)
+
+
 def feature_scan_pruned(spark, sf_dir):
     """Write the feature table partitioned by date, then scan one week of it:
     only that week's folders are read (partition filter) and only the
@@ -604,6 +622,7 @@ def ranking_metrics(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_json_roundtrip": raw_json_roundtrip,
+    "payload_rejects": payload_rejects,
     "feature_scan_pruned": feature_scan_pruned,
     "dashboard_scan": dashboard_scan,
     "anomalies_only": anomalies_only,

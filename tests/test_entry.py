@@ -18,7 +18,7 @@ SURVEY_KEYS = (
     "iforest_scores address_profile value_distribution standardized_features prf_metrics address_risk "
     "classifier_scores predictions_table csv_roundtrip anomalies_csv run_metadata catalog_table most_suspicious "
     "timestamp_parse value_quantiles features_incremental daily_tx_stats_wei address_amounts_wei "
-    "scores_from_saved_model address_risk_bucketed counterparties_sketch ranking_metrics"
+    "scores_from_saved_model address_risk_bucketed counterparties_sketch ranking_metrics payload_rejects"
 ).split()
 
 NO_ORACLE = {"classifier_scores"}
@@ -60,7 +60,7 @@ if FAST:
         "onehot_vector", "onehot_dummies", "score_threshold", "raw_json_roundtrip", "feature_scan_pruned",
         "predictions_table", "csv_roundtrip", "catalog_table", "most_suspicious", "timestamp_parse", "value_quantiles",
         "daily_tx_stats_wei", "address_amounts_wei", "iforest_scores", "iforest_top10",
-        "scores_from_saved_model", "address_risk_bucketed", "counterparties_sketch", "ranking_metrics", "tx_search",
+        "scores_from_saved_model", "address_risk_bucketed", "counterparties_sketch", "ranking_metrics", "tx_search", "payload_rejects",
     ]
 
 
