@@ -252,6 +252,31 @@ def test_near_passages(spark, rows):
     assert passages.near_passages(frame(spark, [])).count() == 0
 
 
+def test_passages_around_a_frequent_line(spark, monkeypatch):
+    """Passages of 50 words with one substituted, each around a line that all
+    texts share: they are found, and texts with the line alone are not compared
+    with all others."""
+    rng = random.Random(41)
+    line, rows = prose(rng, 9, 10**6), []
+    for i in range(60):
+        p = prose(rng, 20, 10**6).split(" ") + line.split(" ") + prose(rng, 21, 10**6).split(" ")
+        q = list(p)
+        q[rng.choice([j for j in range(5, 45) if not 20 <= j < 29])] = f"y{i}"
+        for k, text in enumerate((p, q)):
+            rows.append((2 * i + k, f"{prose(rng, 70, 10**6)} {' '.join(text)} {prose(rng, 70, 10**6)}"))
+    rows += [(1000 + i, f"{prose(rng, 60, 10**6)} {line} {prose(rng, 60, 10**6)}") for i in range(200)]
+    met = []
+    pairs = passages._pairs
+    monkeypatch.setattr(passages, "_pairs", lambda *a: met.append((d := pairs(*a)).count()) or d)
+    got = {}
+    for r in passages.near_passages(frame(spark, rows)).collect():
+        got.setdefault(r.class_id, set()).add(r.doc_id)
+    assert sum({2 * i, 2 * i + 1} in got.values() for i in range(60)) >= 57
+    assert all(len(x) == 2 for x in got.values())
+    # 320 texts have the line: their pairs would be 51,040
+    assert sum(met) < 8000
+
+
 def test_compact_windows_are_all_windows():
     rng = np.random.default_rng(2)
     s = rng.integers(0, 30, 200, dtype=np.uint64)
