@@ -41,13 +41,14 @@ from ledgerlens.llm.common import clustered, discard, sorted_groups, text_chunks
 from ledgerlens.llm.textops import LOWER, U, mix, word_spans
 
 #: Bytes of text of a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Distinct phrases a task holds before it writes its filters out.
-HELD_ENTRIES = 1 << 21
+HELD_ENTRIES = 1 << 20
 #: Occurrences in a part of the phrases' numbers.
 PART_WORDS = 1 << 21
-#: Window partitions of a language in the first step of the ranking.
-RANK_PARTS = 256
+#: Parts of a language that are ranked by themselves first; the best of so many
+#: parts together next.
+RANK_PARTS = (256, 16)
 
 #: 0 for bytes of words, 1 for blanks, 2 for bytes that end a piece.
 _KIND = np.zeros(256, np.uint8)
@@ -378,7 +379,8 @@ def collocations(docs: DataFrame, min_count: int = 10, top: int = 2000, inside_p
     )
 
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    salted = two.unionByName(three).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
-    first = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("rank") <= top)
-    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
+    ranked = two.unionByName(three).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS[0])))
+    for parts in (RANK_PARTS[0], RANK_PARTS[0] // RANK_PARTS[1], 1):
+        own = Window.partitionBy("lang", "part").orderBy(*order)
+        ranked = ranked.withColumn("part", F.pmod("part", F.lit(parts))).withColumn("rank", F.row_number().over(own).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
