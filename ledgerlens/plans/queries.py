@@ -22,7 +22,7 @@ from ledgerlens.operators.classifier import classifier_scores, fit_classifier, t
 from ledgerlens.operators.encoding import add_indices, sparse_dummies, sparse_onehot
 from ledgerlens.operators.features import DERIVED_COLS, build_features, daily_intervals
 from ledgerlens.operators.iforest import fit_isolation_forest, score_isolation_forest
-from ledgerlens.operators.prepare import clean_column_names, model_input, prepare_transactions, q
+from ledgerlens.operators.prepare import clean_column_names, drop_identifiers, model_input, prepare_transactions, q
 from ledgerlens.operators.scoring import (
     add_anomaly_score,
     feature_stats,
@@ -190,8 +190,11 @@ def catalog_table(spark, sf_dir):
     t = tx(spark, sf_dir).select("hash", q("from").alias("from_address"), "value", "date")
     path = scratch_dir(spark, "external")
     write_partitioned(t, path, partition_col="date")
-    table = register_parquet_table(spark, f"ledgerlens_tx_{uuid.uuid4().hex}", path, ["date"])
-    return table.groupBy("date").agg(F.count(F.lit(1)).alias("n_tx"), F.max("value").alias("max_value"))
+    name = f"ledgerlens_tx_{uuid.uuid4().hex}"
+    table = register_parquet_table(spark, name, path, ["date"])
+    out = materialize(table.groupBy("date").agg(F.count(F.lit(1)).alias("n_tx"), F.max("value").alias("max_value")), "per_day")
+    spark.sql(f"DROP TABLE {name}")  # the files stay, the catalog is left as it was
+    return out
 
 
 def dashboard_scan(spark, sf_dir):
@@ -578,7 +581,7 @@ def onehot_dummies(spark, sf_dir):
 
 def _forest(spark, sf_dir):
     m = materialize(model_input(features(spark, sf_dir)), "model_input")
-    feats = [c for c in m.columns if c not in ("hash", "from", "to", *ENCODED_COLS)]
+    feats = [c for c in drop_identifiers(m).columns if c not in ENCODED_COLS]
     model = fit_isolation_forest(m, feats, n_trees=100, max_samples=256, key="hash", seed=42, categories=ENCODED_COLS)
     return score_isolation_forest(m, model, contamination=0.01)
 
