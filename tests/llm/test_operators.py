@@ -290,19 +290,12 @@ def test_compact_windows_are_all_windows():
                 assert h[of[t, i, j]] == h[i : j + 1].min()
 
 
-def test_pair_windows_are_all_common_runs():
-    rng = np.random.default_rng(3)
-    s = rng.integers(0, 60, 160, dtype=np.uint64)
-    first = np.array([0, 70, 70, 160])
-    salts = np.uint64(5), np.uint64(9)
-    made = [passages.compact_windows(s, first, 7, salt)[1:] for salt in salts]
-    i, j = passages.pair_windows(*made, 7)
-    want = set()
-    for t in range(3):
-        for x in range(first[t], first[t + 1]):
-            for y in range(x + 7, first[t + 1] + 1):
-                want.add(tuple(next(n for n, (a, c, b) in enumerate(zip(*w)) if a <= x <= c < y <= b + 1) for w in made))
-    assert sorted(zip(i.tolist(), j.tolist())) == sorted(want)
+def test_context_places():
+    assert passages.context_places(46, 5) == (23, (10, 18))
+    assert passages.context_places(7, 5) == (3, (0,))
+    for least in range(5, 200):
+        half, offsets = passages.context_places(least, 5)
+        assert offsets == (0,) or (0 < offsets[0] < offsets[1] - 5 and offsets[1] <= half)
 
 
 def test_recall_at_the_threshold():
@@ -313,11 +306,7 @@ def test_recall_at_the_threshold():
         one = rng.integers(0, 2**63, 46, dtype=np.uint64)
         two, at = one.copy(), rng.integers(4, 38)
         two[at : at + 5] = rng.integers(0, 2**63, 5, dtype=np.uint64)
-        keys = []
-        for s in (one, two):
-            made = [passages.compact_windows(s, np.array([0, 46]), 46, salt)[1:] for salt in passages._SALT]
-            pairs = [(e, f, *passages.pair_windows(made[e], made[f], 46)) for e in range(passages.HASHES) for f in range(e + 1, passages.HASHES)]
-            keys.append({(e, f, s[made[e][1][i]], s[made[f][1][j]]) for e, f, x, y in pairs for i, j in zip(x, y)})
+        keys = [{int(g) for f in range(passages.HASHES) for g in passages.window_keys(s, np.array([0, 46]), 46, 5, f)[0]} for s in (one, two)]
         met += bool(keys[0] & keys[1])
     assert met >= 985
 
