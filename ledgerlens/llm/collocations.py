@@ -43,9 +43,11 @@ from ledgerlens.llm.textops import LOWER, U, mix, word_spans
 #: Bytes of text of a block.
 BLOCK_BYTES = 4 << 20
 #: Distinct phrases a task holds before it writes its filters out.
-HELD_ENTRIES = 1 << 20
+HELD_ENTRIES = 1 << 19
+#: Words of a block that are counted in one step.
+STEP_WORDS = 1 << 17
 #: Occurrences in a part of the phrases' numbers.
-PART_WORDS = 1 << 21
+PART_WORDS = 1 << 19
 #: Parts of a language that are ranked by themselves first; the best of so many
 #: parts together next.
 RANK_PARTS = (256, 16)
@@ -223,7 +225,7 @@ def _block(langs: pa.Array, data: np.ndarray, offs: np.ndarray) -> tuple[pa.Arra
     size = len(words.dictionary)
     pair = names.indices.to_numpy().astype(np.int64)[text] * size + words.indices.to_numpy()
     pairs, place, counts = np.unique(pair, return_inverse=True, return_counts=True)
-    ended = np.cumsum(kind == 2)[starts]
+    ended = np.cumsum(kind == 2, dtype=np.int32)[starts]
     cut = np.flatnonzero((text[1:] != text[:-1]) | (ended[1:] != ended[:-1])) + 1
     codes = np.insert((place + 1).astype("<u4"), cut, 0)
     return names.dictionary.take(pa.array(pairs // size)), words.dictionary.take(pa.array(pairs % size)).cast(pa.binary()), counts, codes
@@ -281,19 +283,20 @@ def _gram_parts(layouts: dict[int, Layout]):
             for size, codes, pos, ids in zip(*(batch.column(k) for k in range(4)), strict=True):
                 number = np.zeros(size.as_py() + 1, np.int64)
                 number[pos.values.to_numpy()] = ids.values.to_numpy()
-                seq = number[np.frombuffer(codes.as_buffer(), "<u4")]
-                whole = seq > 0
-                for n, layout in layouts.items():
-                    whole = whole[:-1] & (seq[n - 1 :] > 0)
-                    at = np.flatnonzero(whole)
-                    if not len(at):
-                        continue
-                    numbers = layout.permuted(*layout.pack([seq[at + k] for k in range(n)]))
-                    held[n].append(CountingQuotientFilter.summed(layout, *numbers))
-                    if sum(map(len, held[n])) > HELD_ENTRIES:
-                        held[n] = [CountingQuotientFilter.merged(held[n])]
-                        if len(held[n][0]) > HELD_ENTRIES // 2:
-                            yield from rows(n)
+                codes = np.frombuffer(codes.as_buffer(), "<u4")
+                for begin in range(0, len(codes), STEP_WORDS):
+                    for n, layout in layouts.items():
+                        seq = number[codes[begin : begin + STEP_WORDS + n - 1]]
+                        size = len(seq) - n + 1
+                        at = np.flatnonzero(np.all([seq[k : size + k] > 0 for k in range(n)], axis=0)) if size > 0 else seq[:0]
+                        if not len(at):
+                            continue
+                        numbers = layout.permuted(*layout.pack([seq[at + k] for k in range(n)]))
+                        held[n].append(CountingQuotientFilter.summed(layout, *numbers))
+                        if sum(map(len, held[n])) > HELD_ENTRIES:
+                            held[n] = [CountingQuotientFilter.merged(held[n])]
+                            if len(held[n][0]) > HELD_ENTRIES // 2:
+                                yield from rows(n)
         for n in layouts:
             if held[n]:
                 yield from rows(n)

@@ -69,7 +69,7 @@ def _texts(seed, n, hot=0):
 def test_collocations(spark, monkeypatch, block, held, part):
     rows = _texts(1, 150, hot=60)
     rows += rows[:20]
-    for name, value in (("BLOCK_BYTES", block), ("HELD_ENTRIES", held), ("PART_WORDS", part)):
+    for name, value in (("BLOCK_BYTES", block), ("HELD_ENTRIES", held), ("PART_WORDS", part), ("STEP_WORDS", max(3, part // 2))):
         monkeypatch.setattr(C, name, value)
     got = C.collocations(spark.createDataFrame(rows, DOC).repartition(3))
     assert got.columns == OUT
