@@ -248,8 +248,8 @@ def score_transactions(
     """features -> (labelled rows, features used, threshold).
 
     With ``persist`` the feature table is written once to the shared
-    checkpoint folder; the statistics, the threshold passes and the scored
-    rows then read the written table. The number of scored rows comes with
+    checkpoint folder, and so are the scores; the statistics and the scored
+    rows then read the written table, the threshold passes the scores. The number of scored rows comes with
     the statistics when every feature is usable (or NULLs count as 0), which
     saves the counting pass."""
     stats, n_scored = None, None
@@ -261,5 +261,7 @@ def score_transactions(
             n_scored = stats["_rows"]
         elif all(usable(stats, c) for c in used):
             n_scored = stats["_complete"]
-    threshold = score_threshold(scored, q_, method, n_scored=n_scored)
+    # each pass of the threshold reads one written column, not every feature
+    scores = materialize(scored.select("anomaly_score"), "scores") if persist else scored
+    threshold = score_threshold(scores, q_, method, n_scored=n_scored)
     return add_labels(scored, threshold), used, threshold

@@ -116,3 +116,25 @@ def test_percentile_ends_on_ties(spark, shape):
 def test_percentile_between_two_runs_of_ties(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 500, 1.0).otherwise(3.0).alias("v"))
     assert exact_percentile(df, "v", 0.5, max_collect=5, accuracy=50) == pytest.approx(2.0)
+
+
+def test_threshold_reads_only_the_scores(spark, monkeypatch):
+    from ledgerlens.operators import scoring
+
+    read = []
+    own = scoring.score_threshold
+    monkeypatch.setattr(scoring, "score_threshold", lambda df, *a, **k: read.append(df) or own(df, *a, **k))
+    rows = [(str(i), float(i), float(i * i % 7)) for i in range(300)]
+    df = spark.createDataFrame(rows, "hash string, log_value double, log_gasPrice double")
+    lab, _, t = scoring.score_transactions(df)
+    plan = read[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert read[0].columns == ["anomaly_score"] and "log_value" not in plan
+    scores = sorted(r[0] for r in lab.select("anomaly_score").collect())
+    assert t == pytest.approx(np.quantile(scores, 0.99))
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark):
+    from ledgerlens.session import ensure_session
+
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    assert int(ensure_session(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
