@@ -211,6 +211,9 @@ MONDAY = 4 * 86400  # 1970-01-05: weeks of seconds begin where week_start does
 BUSY_ROWS = 100_000
 MAX_BUSY = 20_000
 SLICES = 1 << 20  # a week has fewer slices
+#: Rows, copies included, of a task that sorts clusters: the number of tasks
+#: grows with the input, and the memory of one does not.
+TASK_ROWS = 200_000
 
 
 def _merged(a: Column, b: Column) -> Column:
@@ -370,9 +373,10 @@ def _folded(pieces: str, x: str) -> Column:
     return F.aggregate(pieces, _no_values(), lambda acc, p: _merged(acc, p[x]))
 
 
-def _cluster_side(rows: DataFrame, days: DataFrame, side: str, layout: _Layout | None, rolling: bool) -> DataFrame:
+def _cluster_side(rows: DataFrame, days: DataFrame, side: str, layout: _Layout | None, rolling: bool, n_rows: int = 0) -> DataFrame:
     """Attach one side's features to rows that have a time: one exchange, by
-    (address, week, slice), of the rows, their copies and the day table."""
+    (address, week, slice), of the rows, their copies and the day table.
+    ``n_rows``: about how many rows there are."""
     tb = _tiebreak(rows)
     names = rows.columns
     data = rows.withColumns({"k": _key(side), "_t": q("ts"), "_kind": F.lit(0)})
@@ -399,6 +403,11 @@ def _cluster_side(rows: DataFrame, days: DataFrame, side: str, layout: _Layout |
         info = info.withColumn("_slice", F.lit(0).cast("long"))
     info = info.select("k", "_week", "_slice", "_t", F.lit(-1).alias("_kind"), F.struct(*[q(c) for c in kept]).alias("_info"))
     data = data.unionByName(info, allowMissingColumns=True).withColumn("_seg", q("_week") * SLICES + q("_slice")).drop("_week", "_slice")
+    n_rows *= 2 if rolling else 1
+    if n_rows > TASK_ROWS:
+        # a number of its own: adaptive execution would join parts by their compressed size
+        parts = max(-(-n_rows // TASK_ROWS), rows.sparkSession.sparkContext.defaultParallelism)
+        data = data.repartition(parts, "k", "_seg")
 
     part = Window.partitionBy("k", "_seg")
     earlier = part.orderBy(q("_t"), q("_kind"), *tb).rowsBetween(Window.unboundedPreceding, -1)
@@ -473,6 +482,8 @@ def _untimed(rows: DataFrame, days: DataFrame) -> DataFrame:
 
 
 def _features_clustered(base: DataFrame, busy_rows: int, days: DataFrame | None) -> DataFrame:
+    # ``days`` may be of a longer history than the rows
+    n_rows = None if days is None else base.count()
     days = materialize(day_table(activity_days(base) if days is None else days), "days")
     size = days.agg(
         F.sum(F.when(q("side") == "from", q("day_rows"))).alias("rows"),
@@ -480,6 +491,7 @@ def _features_clustered(base: DataFrame, busy_rows: int, days: DataFrame | None)
         F.count(F.when(q("date").isNull(), 1)).alias("untimed"),
     ).first()
     limit = max(busy_rows, (size["rows"] or 0) // MAX_BUSY)
+    n_rows = (size["rows"] or 0) if n_rows is None else n_rows
     layouts = dict.fromkeys(SIDES)
     timed = base.filter(q("ts").isNotNull()) if size["untimed"] else base
     if (size["busiest"] or 0) > limit:
@@ -489,8 +501,8 @@ def _features_clustered(base: DataFrame, busy_rows: int, days: DataFrame | None)
         weeks = weeks.withColumn("_week", F.explode(F.when(q("side") == "from", F.array("_week", q("_week") + 1)).otherwise(F.array("_week")))).distinct()
         weeks = materialize(weeks, "busy_weeks")
         layouts = {s: _Layout(timed, days, s, weeks, limit, s == "from") for s in SIDES}
-    out = _cluster_side(timed, days, "from", layouts["from"], rolling=True)
-    out = _cluster_side(out, days, "to", layouts["to"], rolling=False)
+    out = _cluster_side(timed, days, "from", layouts["from"], True, n_rows)
+    out = _cluster_side(out, days, "to", layouts["to"], False, n_rows)
     if size["untimed"]:
         out = out.unionByName(_untimed(base.filter(q("ts").isNull()), days))
     return out

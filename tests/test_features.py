@@ -65,6 +65,19 @@ def test_plans_agree_on_edge_fixture(spark, busy):
     assert_same(w, collect(build_features(tx, busy_rows=busy)))
 
 
+def test_tasks_grow_with_the_rows(spark, monkeypatch):
+    """The number of tasks that sort clusters follows the rows, whatever the
+    setting, and adaptive execution does not join them."""
+    tx = tx_rows(spark, edge_rows())
+    want = collect(build_features(tx, "window"))
+    monkeypatch.setattr(FT, "TASK_ROWS", 2)
+    f = build_features(tx)
+    n = tx.count()
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert f", {n})" in plan and f", {n // 2})" in plan and plan.count("REPARTITION_BY_NUM") == 2
+    assert_same(want, collect(f))
+
+
 def test_plans_agree_on_events(spark):
     tx = Q.tx(spark, SF001)
     w = collect(build_features(tx, "window"))
