@@ -311,6 +311,23 @@ def test_recall_at_the_threshold():
     assert met >= 985
 
 
+def test_recall_with_a_word_put_in():
+    """Runs of 50 words, one of them with a word put in (similarity 0.82), in
+    texts that differ around them, have a key in common."""
+    rng = np.random.default_rng(6)
+
+    def new(n):
+        return rng.integers(0, 2**63, n, dtype=np.uint64)
+
+    met = 0
+    for _ in range(1000):
+        run, at = new(46), rng.integers(4, 38)
+        texts = [np.concatenate([new(60), x, new(60)]) for x in (run, np.concatenate([run[:at], new(5), run[at + 4 :]]))]
+        keys = [{int(g) for f in range(passages.HASHES) for g in passages.window_keys(s, np.array([0, len(s)]), 46, 5, f)[0]} for s in texts]
+        met += bool(keys[0] & keys[1])
+    assert met >= 999
+
+
 def test_windows_of_repeated_lines_are_few():
     s = np.tile(np.arange(1, 9, dtype=np.uint64), 1000)
     assert len(passages.compact_windows(s, np.array([0, len(s)]), 46, np.uint64(5))[0]) < 4 * len(s) / 46
