@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from ledgerlens.operators.prepare import prepare_transactions, q
 from ledgerlens.session import ensure_session, path_exists
 from ledgerlens.sources.raw_json import CORRUPT, flatten_payloads, payload_schema, split_payloads
+from ledgerlens.sources.sinks import dealt_by
 
 BATCH = "batch"
 
@@ -58,7 +59,8 @@ def batch_writer(table_path: str, rejects_path: str | None, stream: str) -> Call
             old = stored.select(key.alias("_old"))
             rows = rows.withColumn("_key", key)
             rows = rows.join(old, rows["_key"] == old["_old"], "left_anti").drop("_key")
-        rows.write.mode("overwrite").partitionBy("date").parquet(f"{table_path}/{BATCH}={name}")
+        # a stream has no adaptive execution: each task would write to each date
+        dealt_by(rows, "date", ["hash"]).write.mode("overwrite").partitionBy("date").parquet(f"{table_path}/{BATCH}={name}")
 
     return write_batch
 

@@ -32,6 +32,7 @@ from ledgerlens.operators.features import DERIVED_COLS, NULL_KEY, SIDES, W, acti
 from ledgerlens.operators.prepare import q
 from ledgerlens.operators.temporal import add_temporal_features
 from ledgerlens.session import ensure_session, path_exists
+from ledgerlens.sources.sinks import dealt_by
 from ledgerlens.streaming.incremental import BATCH
 
 LOOK_BACK = W // 86400
@@ -90,8 +91,8 @@ def features_input(transactions: DataFrame, touched: set[_dt.date | None]) -> Da
     return transactions.filter(on_dates(touched | back))
 
 
-def _overwrite_dates(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+def _overwrite_dates(df: DataFrame, path: str, keys: list[str]) -> None:
+    dealt_by(df, "date", keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
 def refresh_features(spark: SparkSession, tables: FeatureTables) -> set[_dt.date | None]:
@@ -112,12 +113,12 @@ def refresh_features(spark: SparkSession, tables: FeatureTables) -> set[_dt.date
         return add_temporal_features(rows)
 
     counted = activity_days(timed(transactions.filter(on_dates(new_dates))))
-    _overwrite_dates(counted, tables.activity)
+    _overwrite_dates(counted, tables.activity, ["side", "k"])
     activity = spark.read.schema(counted.schema).parquet(tables.activity)
     new_keys = activity_days(timed(fresh.drop(BATCH))).select("side", "k", "date")
     touched = touched_dates(new_keys, activity)
     features = build_features(timed(features_input(transactions, touched)), days=activity)
-    _overwrite_dates(features.filter(on_dates(touched)).drop(*TOTALS), tables.features)
+    _overwrite_dates(features.filter(on_dates(touched)).drop(*TOTALS), tables.features, ["hash"])
     spark.createDataFrame([(b,) for b in sorted(batches)], f"{BATCH} string").write.mode("append").parquet(tables.seen)
     return touched
 
