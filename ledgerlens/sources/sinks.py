@@ -13,13 +13,6 @@ from ledgerlens.functions.scalar import landing_key
 from ledgerlens.schema import ANOMALY_LABEL, MODEL_TYPE, THRESHOLD_PERCENTILE
 
 
-def dealt_by(df: DataFrame, partition_col: str, keys: list[str], tasks_per_value: int = 8) -> DataFrame:
-    """Rows hashed by (partition value, ``keys`` modulo ``tasks_per_value``): a
-    partitioned write then makes that many files a folder, not one per task."""
-    part = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(tasks_per_value))
-    return df.repartition(F.col(f"`{partition_col}`"), part)
-
-
 def write_partitioned(
     df: DataFrame,
     path: str,
