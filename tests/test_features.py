@@ -74,7 +74,7 @@ def test_tasks_grow_with_the_rows(spark, monkeypatch):
     f = build_features(tx)
     n = tx.count()
     plan = f._jdf.queryExecution().executedPlan().toString()
-    assert f", {n})" in plan and f", {n // 2})" in plan and plan.count("REPARTITION_BY_NUM") == 2
+    assert f", {n})" in plan and f", {-(-n // 2)})" in plan and plan.count("REPARTITION_BY_NUM") == 2
     assert_same(want, collect(f))
 
 
