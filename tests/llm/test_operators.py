@@ -333,6 +333,45 @@ def test_windows_of_repeated_lines_are_few():
     assert len(passages.compact_windows(s, np.array([0, len(s)]), 46, np.uint64(5))[0]) < 4 * len(s) / 46
 
 
+def test_windows_that_begin_together_meet_once(spark):
+    """A pair of texts that meets by many keys carries one window for each
+    place both begin at, the longest one, whichever text is hub."""
+    rows = [(g, t, 0, 10 * (g % 2), 60 + g) for g in range(12) for t in (1, 2)]
+    found = spark.createDataFrame(rows, "g long, a long, b long, l int, r int")
+    for hub in (1, 2):
+        got = passages._pairs(found, found.filter(F.col("a") == hub), None).collect()
+        assert [(r.ha, r.a) for r in got] == [(hub, 3 - hub)]
+        assert sorted((w.hl, w.hr, w.l, w.r) for w in got[0].met) == [(0, 70, 0, 70), (10, 71, 10, 71)]
+
+
+def test_verified_stretches_match_the_sets():
+    """Each verified stretch has the asked similarity, and a run of equal
+    shingles is found whole, whether the texts are equal or not."""
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        a = rng.integers(0, 2**63, 120, dtype=np.uint64)
+        b = a.copy()
+        b[rng.integers(0, 120, rng.integers(0, 3))] = 7
+        got = passages.verify(a, b, 46, 0.8)
+        assert (got == [(0, 120, 0, 120)]) if np.array_equal(a, b) else got
+        for x, y, u, v in got:
+            one, two = set(a[x:y].tolist()), set(b[u:v].tolist())
+            assert len(one & two) >= 0.8 * len(one | two)
+    assert passages.verify(a[:40], a[:40], 46, 0.8) == []
+
+
+def test_overlapping_stretches_are_one_passage(spark):
+    """Stretches that touch but do not overlap stay apart; no Python is needed."""
+    links = spark.createDataFrame(
+        [(1, 0, lo, hi, 2, 0, 100 + lo, 100 + hi) for lo, hi in ((0, 50), (10, 90), (30, 60), (89, 120), (120, 170), (300, 350))],
+        "ha long, hb long, hlo long, hhi long, a long, b long, lo long, hi long",
+    )
+    got = passages._merged(links)
+    want = {(0, 0, 120), (10, 0, 120), (30, 0, 120), (89, 0, 120), (120, 120, 170), (300, 300, 350)}
+    assert {(r.lo, r.at, r.end) for r in got.filter("a = 1").collect()} == want
+    assert {(r.lo - 100, r.at - 100, r.end - 100) for r in got.filter("a = 2").collect()} == want
+
+
 def frequent_lines(rng, pairs):
     """Pairs of texts that share a passage of 51 words made of lines; each line
     stands in many other texts."""
