@@ -409,6 +409,54 @@ def test_passage_in_a_group_without_any(spark):
     assert {i for i, places in want.items() if places - covered.get(i, set())} == set()
 
 
+def test_texts_with_a_line_and_no_passage_are_not_compared_in_pairs(spark, monkeypatch):
+    """Texts share a line of 34 words and no passage: each is compared with few
+    others, and the two passages around the line are still found, one with a
+    word substituted and one with a word put in."""
+    rng = random.Random(13)
+    line = prose(rng, 34, 10**6)
+    rows = [(i, prose(rng, 60, 10**6) + " " + line + " " + prose(rng, 60, 10**6)) for i in range(300)]
+    for i in range(2):
+        one = (prose(rng, 20, 10**6) + " " + line + " " + prose(rng, 20, 10**6)).split(" ")
+        two = one[:58] + [f"z{i}"] + one[58 + (i == 0) :]
+        rows += [(1000 + 2 * i + z, f"{prose(rng, 60, 10**6)} {' '.join(x)} {prose(rng, 60, 10**6)}") for z, x in enumerate((one, two))]
+    met = []
+    pairs = passages._pairs
+    monkeypatch.setattr(passages, "_pairs", lambda *a: met.append((d := pairs(*a)).count()) or d)
+    got = {}
+    for r in passages.near_passages(frame(spark, rows)).collect():
+        got.setdefault(r.class_id, set()).add(r.doc_id)
+    assert got == {1000: {1000, 1001}, 1002: {1002, 1003}}
+    # all pairs would be 46,056
+    assert sum(met) < 4000
+
+
+def test_block_keys_of_similar_runs():
+    """Runs of 46 shingles with one word substituted or put in have a key of
+    their min-hash in common; runs with two words substituted have none."""
+    rng = np.random.default_rng(15)
+
+    def keys(s, c):
+        ends = [np.array([x]) for x in (0, 0, c, len(s) - 1)]
+        return [set(passages.block_keys(s, np.array([0, len(s)]), ends, 46, 5, e)[0].tolist()) for e in (False, True)]
+
+    def new(n):
+        return rng.integers(0, 2**63, n, dtype=np.uint64)
+
+    for _ in range(100):
+        run, at = new(46), int(rng.integers(4, 37))
+        changed = np.concatenate([run[:at], new(5), run[at + 5 :]])
+        longer = np.concatenate([run[:at], new(5), run[at + 4 :]])
+        c = int(rng.choice([x for x in range(46) if not at <= x < at + 5]))
+        for other, move in ((changed, 0), (longer, c > at)):
+            texts = [(np.concatenate([new(30), run, new(30)]), 30 + c), (np.concatenate([new(50), other, new(30)]), 50 + c + move)]
+            one, two = (keys(*x) for x in texts)
+            assert all(x & y for x, y in zip(one, two))
+    twice = run.copy()
+    twice[10:15], twice[30:35] = new(5), new(5)
+    assert not any(x & y for x, y in zip(keys(run, 20), keys(twice, 20)))
+
+
 # 1 ---------------------------------------------------------------------------
 
 
