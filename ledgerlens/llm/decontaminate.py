@@ -15,28 +15,35 @@ has such items.
 
 Only DataFrame functions run on this path. A document's positions are exploded
 with a slice per mask column, hashed in generated code and matched against the
-item seeds. The items are the query set: they are taken in blocks of at most
-``BLOCK_SEEDS`` seeds, each of which is broadcast; a larger benchmark takes
-more blocks, not a larger broadcast.
+item seeds. The items are the query set: up to ``BLOCK_SEEDS`` seeds are
+broadcast. More are joined by a shuffle, behind a sieve of at most
+``MAX_PIECES`` times 8 KB that holds back nearly all positions of the documents:
+what executors hold at once, and how often documents are read, does not grow
+with the benchmark. Hits travel as numbers, and only the documents that have
+any are read a second time, for the tokens of the diagonals.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import written
+
 #: Fixed masks of five tokens each. With a fifth of the tokens substituted at
 #: random, one of them keeps a clean position in every of 4,000 trials for items
 #: of 16 to 60 tokens.
 MASKS = ("1101011", "11100101", "110010011")
 #: An item is leaked if this share of its tokens is equal on one diagonal.
 OVERLAP = 0.8
-#: Seeds of a broadcast block: at most some 10 MB with their items' tokens.
+#: Seeds that are broadcast as they are: some 2 MB.
 BLOCK_SEEDS = 40_000
+#: A sieve is cut into pieces of 2**16 bits, has 16 bits a key or more, and at
+#: most so many pieces: 16 MB.
+MAX_PIECES = 1 << 11
 
 
 def tokens(text: Column) -> Column:
@@ -80,9 +87,38 @@ def _hashes(masks: tuple[str, ...], at: str, n: Column, pos: Column, only: dict[
 
 
 def _item_seeds(items: DataFrame, masks: tuple[str, ...], only: dict[str, list[int]]) -> DataFrame:
-    """(item, words, n, pos, hash) of the benchmark."""
-    w = items.withColumn("_n", F.size("_words")).select("_item", "_words", "_n", F.posexplode_outer(_seed_rows(F.col("_words"), masks)).alias("_pos", "_at"))
-    return w.select("_item", "_words", "_n", "_pos", F.explode(_hashes(masks, "_at", F.col("_n"), F.col("_pos"), only)).alias("_hash")).filter("_hash IS NOT NULL")
+    """(item, n, pos, hash) of the benchmark."""
+    w = items.withColumn("_n", F.size("_words")).select("_item", "_n", F.posexplode_outer(_seed_rows(F.col("_words"), masks)).alias("_pos", "_at"))
+    return w.select("_item", "_n", "_pos", F.explode(_hashes(masks, "_at", F.col("_n"), F.col("_pos"), only)).alias("_hash")).filter("_hash IS NOT NULL")
+
+
+def _bits(hash_: Column) -> list[Column]:
+    """The two bits of a hash in its piece of a sieve."""
+    return [hash_.bitwiseAND(F.lit(0xFFFF)).cast("int"), F.shiftrightunsigned(hash_, 16).bitwiseAND(F.lit(0xFFFF)).cast("int")]
+
+
+def _sifted(rows: DataFrame, col: str, keys: DataFrame, n: int) -> DataFrame:
+    """``rows`` whose 64-bit hash ``col`` may be among the hashes of ``keys``
+    (one column), some ``n``: all that are, and few others."""
+    pieces = 1
+    while pieces < min(MAX_PIECES, 16 * n / 65536):
+        pieces *= 2
+
+    def piece(hash_: Column) -> Column:
+        return F.shiftrightunsigned(hash_, 32).bitwiseAND(F.lit(pieces - 1)).cast("long")
+
+    key = F.col(keys.columns[0])
+    marks = keys.select(piece(key).alias("_piece"), F.explode(F.array(*_bits(key))).alias("_bit"))
+    marks = marks.select("_piece", F.shiftright("_bit", 6).alias("_word"), F.expr("shiftleft(1L, _bit & 63)").alias("_mark"))
+    # every word of every piece, so that a word's place in the array is its number
+    every = rows.sparkSession.range(pieces * 1024).select(F.shiftright("id", 10).alias("_piece"), F.col("id").bitwiseAND(F.lit(1023)).cast("int").alias("_word"), F.lit(0).cast("long").alias("_mark"))
+    words = marks.unionByName(every).groupBy("_piece", "_word").agg(F.bit_or("_mark").alias("_mark"))
+    sieve = words.groupBy("_piece").agg(F.sort_array(F.collect_list(F.struct("_word", "_mark")))["_mark"].alias("_marks"))
+    met = rows.withColumn("_piece", piece(F.col(col))).join(F.broadcast(sieve), "_piece")
+    for k, bit in enumerate(_bits(F.col(col))):
+        met = met.withColumn(f"_bit{k}", bit)
+    held = " AND ".join(f"(_marks[shiftright(_bit{k}, 6)] & shiftleft(1L, _bit{k} & 63)) <> 0" for k in range(2))
+    return met.filter(held).select(*rows.columns)
 
 
 def contaminated(
@@ -112,8 +148,8 @@ def contaminated(
         .withColumn("_item", F.xxhash64("_words"))
     )
     named = items.select("_item", "_iid").distinct()
-    unique = items.select("_item", "_words").dropDuplicates(["_item"])
-    # a bound on the seeds from a one-row count, to choose the blocks
+    unique = written(items.select("_item", "_words").dropDuplicates(["_item"]), "items")
+    # a bound on the seeds from a one-row count, to choose the join
     shortest = min(map(len, masks))
     known = unique.agg(F.sum(F.size("_words")), F.collect_set(F.when(F.size("_words") < shortest, F.size("_words")))).first()
     only: dict[str, list[int]] = {}
@@ -121,37 +157,44 @@ def contaminated(
         for mask in short_masks(n, overlap):
             only.setdefault(mask, []).append(n)
     masks = (*masks, *only)
-    blocks = max(1, math.ceil((known[0] or 0) * len(masks) / BLOCK_SEEDS))
-
-    words = docs.select(docs[id_col].alias("_doc"), tokens(docs[text_col]).alias("_dwords")).filter("_doc IS NOT NULL")
-    places = words.withColumn("_dn", F.size("_dwords")).select(
-        "_doc", "_dwords", "_dn", F.posexplode_outer(_seed_rows(F.col("_dwords"), masks)).alias("_dpos", "_at")
+    n_seeds = (known[0] or 0) * len(masks)
+    seeds = _item_seeds(unique, masks, only)
+
+    # rows that repeat an id are told apart by their text
+    texts = docs.select(docs[id_col].alias("_doc"), docs[text_col].alias("_text")).filter("_doc IS NOT NULL").withColumn("_row", F.xxhash64("_text"))
+    places = texts.select("_doc", "_row", tokens(F.col("_text")).alias("_dwords")).withColumn("_dn", F.size("_dwords"))
+    places = places.select("_doc", "_row", "_dn", F.posexplode_outer(_seed_rows(F.col("_dwords"), masks)).alias("_dpos", "_at"))
+    places = places.select("_doc", "_row", "_dpos", F.explode_outer(_hashes(masks, "_at", F.col("_dn"), F.col("_dpos"))).alias("_hash"))
+    if n_seeds <= BLOCK_SEEDS:
+        hit = places.join(F.broadcast(seeds), "_hash")
+    else:
+        hit = _sifted(places, "_hash", seeds.select("_hash"), n_seeds).join(seeds, "_hash")
+    # a diagonal once, however many of its positions meet
+    hits = hit.select("_doc", "_row", "_item", "_n", (F.col("_dpos") - F.col("_pos")).alias("_start")).distinct()
+    hits = written(hits, "hits")
+
+    read = _sifted(texts, "_row", hits.select("_row"), hits.count()).select("_doc", "_row", tokens(F.col("_text")).alias("_dwords"))
+    start = F.col("_start")
+    lead = F.greatest(F.lit(0), -start)  # tokens of the item before the document
+    doc_part = F.slice(F.col("_dwords"), F.greatest(F.lit(1), start + 1), F.greatest(F.lit(0), F.col("_n") - lead))
+    # cut out before the items are joined: no row with all tokens of a document is copied
+    parts = read.join(hits, ["_doc", "_row"]).select("_doc", "_item", "_n", "_start", lead.alias("_lead"), doc_part.alias("_part"))
+    item_part = F.slice(F.col("_words"), F.col("_lead") + 1, F.size("_part"))
+    equal = F.size(F.filter(F.zip_with("_part", item_part, lambda a, b: a == b), lambda x: x)).cast("long")
+    # the most equal tokens, then the first place, as one number
+    best = F.max(equal * (1 << 32) + (1 << 31) - start)
+    pairs = parts.join(unique, "_item").groupBy("_doc", "_item", "_n").agg(best.alias("_best"))
+    pairs = pairs.select(
+        "_doc", "_item", F.col("_n").alias("n_tokens"), F.shiftright("_best", 32).alias("n_equal"), (F.lit(1 << 31) - F.col("_best").bitwiseAND(F.lit((1 << 32) - 1))).alias("first_token")
     )
-    places = places.select("_doc", "_dwords", "_dn", "_dpos", F.explode_outer(_hashes(masks, "_at", F.col("_dn"), F.col("_dpos"))).alias("_hash"))
-
-    def verified(block: DataFrame) -> DataFrame:
-        hit = places.join(F.broadcast(block), "_hash")
-        start = F.col("_dpos") - F.col("_pos")
-        lead = F.greatest(F.lit(0), -start)  # tokens of the item before the document
-        doc_part = F.slice(F.col("_dwords"), F.greatest(F.lit(1), start + 1), F.greatest(F.lit(0), F.col("_n") - lead))
-        item_part = F.slice(F.col("_words"), lead + 1, F.size(doc_part))
-        equal = F.size(F.filter(F.zip_with(doc_part, item_part, lambda a, b: a == b), lambda x: x))
-        return hit.select("_doc", "_item", F.col("_n").alias("n_tokens"), start.alias("first_token"), equal.alias("n_equal"))
-
-    seeds_df = _item_seeds(unique, masks, only)
-    found = [verified(seeds_df.filter(F.pmod("_item", F.lit(blocks)) == b)) for b in range(blocks)]
-    best = F.max(F.struct("n_equal", (-F.col("first_token")).alias("_back")))
-    # filtered behind the aggregate: as a condition of the join, the count of
-    # equal tokens would take every position out of generated code
-    pairs = reduce(DataFrame.unionByName, found).groupBy("_doc", "_item", "n_tokens").agg(best.alias("_best"))
-    pairs = pairs.filter(F.col("_best.n_equal") >= F.ceil(F.col("n_tokens") * overlap))
+    pairs = pairs.filter(F.col("n_equal") >= F.ceil(F.col("n_tokens") * overlap))
     return pairs.join(named, "_item").select(
         F.col("_doc").alias(id_col),
         F.col("_iid").alias(item_col),
-        F.col("_best.n_equal").cast("int").alias("n_equal"),
+        F.col("n_equal").cast("int").alias("n_equal"),
         F.col("n_tokens").cast("int").alias("n_tokens"),
-        (-F.col("_best._back")).cast("int").alias("first_token"),
-        (F.col("_best.n_equal") / F.col("n_tokens")).alias("overlap"),
+        F.col("first_token").cast("int").alias("first_token"),
+        (F.col("n_equal") / F.col("n_tokens")).alias("overlap"),
     )
 
 

@@ -508,6 +508,34 @@ def test_contaminated_in_blocks(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id, r.first_token) for r in got.collect()) == [(i, i, 1) for i in range(10)]
 
 
+def test_documents_are_read_twice_at_most(spark, monkeypatch):
+    """However many seeds the benchmark has, and the pairs stay the same, with
+    ids that repeat, short items and items cut off at an end of a document."""
+    rng = random.Random(31)
+    items = [(i, prose(rng, rng.randrange(3, 30), 300)) for i in range(40)]
+    docs = [(i, prose(rng, 30, 300) + " " + edited(rng, t, len(t.split()) // 5) + " " + prose(rng, 20, 300)) for i, t in items]
+    docs += [(i, t) for i, t in items[:10]] + [(100, " ".join(t.split()[1:])) for _, t in items[10:15]] + [(101, None), (None, items[0][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    table = frame(spark, docs).mapInArrow(counted, DOC)
+    few = sorted(map(tuple, decontaminate.contaminated(frame(spark, docs), bench).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_SEEDS", 100)
+    many = sorted(map(tuple, decontaminate.contaminated(table, bench).collect()))
+    assert read.value <= 2 * len(docs)
+    assert many == few and {(d, i) for d, i, *_ in few} >= {(i, i) for i in range(10)}
+    # a sieve holds back no key of its own, and few of the others pass
+    keys = spark.range(3000).select(F.xxhash64("id").alias("h"))
+    got = decontaminate._sifted(spark.range(30_000).select("id", F.xxhash64("id").alias("g")), "g", keys, 3000)
+    ids = {r.id for r in got.collect()}
+    assert ids >= set(range(3000)) and len(ids) < 3000 + 0.05 * 27_000
+
+
 def test_decontamination_is_native(spark):
     d = frame(spark, [(1, "a")])
     plan = decontaminate.contaminated(d, d.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
