@@ -409,6 +409,38 @@ def test_passage_in_a_group_without_any(spark):
     assert {i for i, places in want.items() if places - covered.get(i, set())} == set()
 
 
+def test_passages_longer_than_what_the_hub_shares(spark):
+    """A passage of all texts goes on in pairs of them: each pair is found
+    whole, although the min-hashes lie in the passage of all."""
+    rng = random.Random(17)
+    whole, rows = prose(rng, 52, 10**6), []
+    for i in range(20):
+        more = prose(rng, 3, 10**6)
+        rows += [(2 * i + z, prose(rng, 60, 10**6) + " " + whole + " " + more + " " + prose(rng, 60, 10**6)) for z in range(2)]
+    covered, classes = {}, set()
+    for r in passages.near_passages(frame(spark, rows)).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.first_word, r.last_word))
+        classes.add(r.class_id)
+    want = brute.repeated_words(rows)
+    assert len(want) == 40 and all(len(places) >= 55 for places in want.values())
+    assert {i for i, places in want.items() if places - covered.get(i, set())} == set()
+    assert classes == {0}
+
+
+def test_windows_with_pairs_left(spark):
+    """Two windows are settled if both lie whole in passages of one class."""
+    found = spark.createDataFrame([(g, a, 0, 0, 9, 9, 60, n) for g, members, n in ((1, (1, 2), 2), (2, (1, 2, 3), 3), (3, (1, 2, 4), 3), (4, (1, 3), 2)) for a in members], "g long, a long, b long, l int, lo int, hi int, r int, size long")
+    named = spark.createDataFrame([(1, 0, 0, 70, 5), (2, 0, 0, 61, 5), (3, 0, 0, 60, 5), (4, 0, 0, 70, 6)], "a long, b long, lo long, hi long, class long")
+    got = passages._unsettled(found, named, None)
+    assert {(r.g, r.a, r["class"], r.open) for r in got.collect()} == {
+        (2, 1, 5, False), (2, 2, 5, False), (2, 3, None, True), (3, 1, 5, True), (3, 2, 5, True), (3, 4, 6, True), (4, 1, 5, False), (4, 3, None, True)
+    }
+    used = found.filter("g = 4 AND a = 3 OR g = 2 AND a = 3").select("g", "a", "b")
+    assert {r.g for r in passages._unsettled(found, named, used).collect()} == {3}
+    pairs = passages._pairs(got, passages._hubs(got, 9, 1)).collect()
+    assert {frozenset((r.ha, r.a)) for r in pairs} == {frozenset(x) for x in ((1, 3), (2, 3), (1, 4), (2, 4))}
+
+
 def test_texts_with_a_line_and_no_passage_are_not_compared_in_pairs(spark, monkeypatch):
     """Texts share a line of 34 words and no passage: each is compared with few
     others, and the two passages around the line are still found, one with a
