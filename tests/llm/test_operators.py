@@ -568,6 +568,20 @@ def test_documents_are_read_twice_at_most(spark, monkeypatch):
     assert ids >= set(range(3000)) and len(ids) < 3000 + 0.05 * 27_000
 
 
+def test_documents_are_dropped_by_a_large_benchmark(spark, monkeypatch):
+    """The plan of the stage has one broadcast of seeds, or none, not one for
+    each block of them, and the rows left are those of a small benchmark."""
+    rng = random.Random(37)
+    items = [(i, prose(rng, rng.randrange(12, 30), 300)) for i in range(30)]
+    docs = [(i, prose(rng, 20, 300) + (" " + items[i][1] if i < 30 and i % 2 else "")) for i in range(60)] + [(None, items[0][1]), (70, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    few = {r.doc_id for r in decontaminate.drop_contaminated(frame(spark, docs, True), bench).collect()}
+    monkeypatch.setattr(decontaminate, "BLOCK_SEEDS", 100)
+    many = decontaminate.drop_contaminated(frame(spark, docs, True), bench)
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("posexplode") <= 1
+    assert {r.doc_id for r in many.collect()} == few == {i for i, _ in docs} - set(range(1, 30, 2))
+
+
 def test_decontamination_is_native(spark):
     d = frame(spark, [(1, "a")])
     plan = decontaminate.contaminated(d, d.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
